@@ -45,17 +45,19 @@ def running(
     order: Sequence[str | Column],
     split: str | Column,
     aggs: dict[str, tuple[str, str | Column | None]],
+    inclusive: bool = True,
 ) -> DataFrame:
-    """Running (inclusive) aggregates per key in ``order``.
+    """Running aggregates per key in ``order`` (``inclusive=False``: rows strictly before).
 
     ``aggs`` maps an output name to ``(kind, expr)`` with kind in count/sum/min/max
     (``expr`` ignored for count). min/max accept structs, so ``("min", struct(ts, id, x))``
-    is the running *first* row.
+    is the running *first* row. With no ``keys`` the whole input is one sequence, still cut
+    into slices; the per-slice table then has one row per slice.
     """
     keys = list(keys)
     d = with_slice(df, split)
     kv = [*keys, SLICE]
-    w_in = Window.partitionBy(*kv).orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding, 0)
+    w_in = Window.partitionBy(*kv).orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     w_sl = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
 
     totals, prefix = [], []
@@ -71,7 +73,7 @@ def running(
     for name, (kind, _) in aggs.items():
         i, p = F.col(f"_i_{name}"), F.col(f"_p_{name}")
         if kind in ("count", "sum"):
-            v = i + F.coalesce(p, F.lit(0))
+            v = F.coalesce(i, F.lit(0)) + F.coalesce(p, F.lit(0))
         elif kind == "min":
             v = F.least(i, p)
         else:
@@ -181,3 +183,50 @@ def next_match(
         .withColumn(name, F.coalesce("_in", "_later"))
         .drop("_cand", "_in", "_later", SLICE)
     )
+
+
+def run_length(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str | Column],
+    split: str | Column,
+    pred: Column,
+    name: str = "run",
+) -> DataFrame:
+    """Adds ``name``: how many rows in a row, ending at this one, satisfy ``pred`` within the
+    key (0 where ``pred`` is false). Gaps-and-islands in one pass: inside a slice the run
+    starts after the last breaking row; a run reaching back to the slice start adds the run
+    carried in from earlier slices, computed on a table with one row per (key, slice)."""
+    keys = list(keys)
+    d = with_slice(df, split).withColumn("_ok", F.coalesce(pred, F.lit(False)))
+    kv = [*keys, SLICE]
+    w = Window.partitionBy(*kv).orderBy(*_cols(order))
+    d = d.withColumn("_rn", F.row_number().over(w)).withColumn(
+        "_brk", F.max(F.when(~F.col("_ok"), F.col("_rn"))).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    )
+    per = d.groupBy(*kv).agg(
+        F.count(F.lit(1)).alias("_n"), F.max(F.when(~F.col("_ok"), F.col("_rn"))).alias("_last_brk")
+    )
+    w_prev = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    per = per.withColumn("_before", F.coalesce(F.sum("_n").over(w_prev), F.lit(0)))
+    # the last earlier slice with a break: rows after its last break run on to this slice
+    per = per.withColumn(
+        "_b",
+        F.max(
+            F.when(
+                F.col("_last_brk").isNotNull(),
+                F.struct(F.col(SLICE), (F.col("_before") + F.col("_last_brk")).alias("pos")),
+            )
+        ).over(w_prev),
+    )
+    carry = per.select(*kv, (F.col("_before") - F.coalesce(F.col("_b.pos"), F.lit(0))).alias("_carry"))
+    run = (
+        F.when(~F.col("_ok"), F.lit(0))
+        .when(F.col("_brk").isNotNull(), F.col("_rn") - F.col("_brk"))
+        .otherwise(F.col("_rn") + F.col("_carry"))
+    )
+    return (
+        d.join(carry, kv, "left")
+        .withColumn(name, run.cast("bigint"))
+        .drop("_ok", "_rn", "_brk", "_carry", SLICE)
+    )
