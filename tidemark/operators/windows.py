@@ -153,3 +153,18 @@ def integer_division_window(
         F.timestamp_millis(F.col("_start") + size_ms).cast("timestamp_ntz").alias("window_end"),
         name,
     )
+
+
+def rows_average(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], split: str | Column, value: str, rows: int, name: str = "avg"
+) -> DataFrame:
+    """``avg(value) OVER (PARTITION BY keys ORDER BY order ROWS BETWEEN rows-1 PRECEDING
+    AND CURRENT ROW)`` as an integer mean (``sum div count``, the reference's BIGINT average).
+    The frame's earlier rows come from the slice-split look-back, so a hot key is not one task."""
+    k = rows - 1
+    r = keyed.lag(df, keys, order, split, [value], k, "_w") if k else df
+    vals = [F.col(value)] + [F.col(f"_w{j}_{value}") for j in range(1, k + 1)]
+    s = sum((F.coalesce(v, F.lit(0)) for v in vals), F.lit(0))
+    n = sum((v.isNotNull().cast("bigint") for v in vals), F.lit(0))
+    out = r.withColumn("_s", s).withColumn("_n", n).withColumn(name, F.expr("_s div _n"))
+    return out.drop("_s", "_n", *[f"_w{j}_{value}" for j in range(1, k + 1)])

@@ -453,13 +453,8 @@ WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 3 PRECEDING
 """)
 def w11_over_avg(spark, sf):
     ev = events(spark, sf).select("event_id", "user_id", "ts").withColumn("ms", epoch_ms("ts"))
-    r = keyed.lag(ev, ["user_id"], ORDER, _split(), ["ms"], 3, "p")
-    vals = [F.col("ms")] + [F.col(f"p{j}_ms") for j in (1, 2, 3)]
-    s = sum((F.coalesce(v, F.lit(0)) for v in vals), F.lit(0))
-    n = sum((v.isNotNull().cast("bigint") for v in vals), F.lit(0))
-    return r.select("user_id", "event_id", s.alias("_s"), n.alias("_n")).select(
-        "user_id", "event_id", F.expr("_s div _n").alias("avg_ts_ms")
-    )
+    r = windows.rows_average(ev, ["user_id"], ORDER, _split(), "ms", 4, "avg_ts_ms")
+    return r.select("user_id", "event_id", "avg_ts_ms")
 
 
 @query("w12_row_number", """
