@@ -26,7 +26,12 @@ from tidemark.functions.time import epoch_us
 
 
 def _prepared(df: DataFrame, key: str, et: str, seq: str, extra: Sequence[str | F.Column] = ()) -> DataFrame:
-    return df.select(F.col(key).alias("k"), epoch_us(et).alias("us"), F.col(seq).alias("seq"), *extra)
+    # ``et`` stays in the input: it carries the watermark the event-time timeouts need
+    return df.select(F.col(key).alias("k"), epoch_us(et).alias("us"), F.col(seq).alias("seq"), F.col(et), *extra)
+
+
+def _ktype(df: DataFrame, key: str) -> str:
+    return df.schema[key].dataType.simpleString()
 
 
 def _rows(pdfs: Iterator[pd.DataFrame]) -> pd.DataFrame:
@@ -80,7 +85,7 @@ def followed_by_within(
 
     r = d.groupBy("k").applyInPandasWithState(
         fn,
-        "k bigint, first_seq bigint, first_us bigint, second_seq bigint, second_us bigint, status string",
+        f"k {_ktype(df, key)}, first_seq bigint, first_us bigint, second_seq bigint, second_us bigint, status string",
         "pend_us array<bigint>, pend_seq array<bigint>",
         "append",
         GroupStateTimeout.EventTimeTimeout,
@@ -108,7 +113,7 @@ def group_of_n_average(df: DataFrame, key: str, n: int, value: str, et: str = "e
         yield pd.DataFrame(out, columns=["k", "grp", name])
 
     r = d.groupBy("k").applyInPandasWithState(
-        fn, f"k bigint, grp bigint, {name} bigint", "cnt bigint, tot bigint, grp bigint", "append", GroupStateTimeout.NoTimeout
+        fn, f"k {_ktype(df, key)}, grp bigint, {name} bigint", "cnt bigint, tot bigint, grp bigint", "append", GroupStateTimeout.NoTimeout
     )
     return r.withColumnRenamed("k", key)
 
@@ -134,7 +139,7 @@ def state_machine(
         yield pd.DataFrame(out, columns=["k", "seq", "us"])
 
     r = d.groupBy("k").applyInPandasWithState(
-        fn, "k bigint, seq bigint, us bigint", "s int", "append", GroupStateTimeout.NoTimeout
+        fn, f"k {_ktype(df, key)}, seq bigint, us bigint", "s int", "append", GroupStateTimeout.NoTimeout
     )
     return r.select(F.col("k").alias(key), F.col("seq").alias(seq), _ntz("us").alias("ts"))
 
@@ -154,7 +159,7 @@ def consecutive(df: DataFrame, key: str, pred: F.Column, n: int, et: str = "et",
         yield pd.DataFrame(out, columns=["k", "seq", "us", "run"])
 
     r = d.groupBy("k").applyInPandasWithState(
-        fn, "k bigint, seq bigint, us bigint, run bigint", "run bigint", "append", GroupStateTimeout.NoTimeout
+        fn, f"k {_ktype(df, key)}, seq bigint, us bigint, run bigint", "run bigint", "append", GroupStateTimeout.NoTimeout
     )
     return r.select(F.col("k").alias(key), F.col("seq").alias(seq), _ntz("us").alias("ts"), "run")
 
@@ -176,7 +181,7 @@ def rows_average(df: DataFrame, key: str, rows: int, et: str = "et", seq: str =
         yield pd.DataFrame(out, columns=["k", "seq", name])
 
     r = d.groupBy("k").applyInPandasWithState(
-        fn, f"k bigint, seq bigint, {name} bigint", "last array<bigint>", "append", GroupStateTimeout.NoTimeout
+        fn, f"k {_ktype(df, key)}, seq bigint, {name} bigint", "last array<bigint>", "append", GroupStateTimeout.NoTimeout
     )
     return r.select(F.col("k").alias(key), F.col("seq").alias(seq), name)
 
@@ -208,7 +213,7 @@ def event_timer(df: DataFrame, key: str, delay: str, et: str = "et", seq: str =
         yield pd.DataFrame(out, columns=["k", "kind", "us"])
 
     r = d.groupBy("k").applyInPandasWithState(
-        fn, "k bigint, kind string, us bigint", "pend array<bigint>", "append", GroupStateTimeout.EventTimeTimeout
+        fn, f"k {_ktype(df, key)}, kind string, us bigint", "pend array<bigint>", "append", GroupStateTimeout.EventTimeTimeout
     )
     return r.select(F.col("k").alias(key), "kind", _ntz("us").alias("at"))
 
@@ -230,6 +235,6 @@ def late_route(df: DataFrame, key: str, size: str, lateness: str = "0 seconds",
         yield pd.DataFrame({"k": pdf["k"], "seq": pdf["seq"], "us": pdf["us"], "route": late.map({True: "late", False: "main"})})
 
     r = d.groupBy("k").applyInPandasWithState(
-        fn, "k bigint, seq bigint, us bigint, route string", "x int", "append", GroupStateTimeout.NoTimeout
+        fn, f"k {_ktype(df, key)}, seq bigint, us bigint, route string", "x int", "append", GroupStateTimeout.NoTimeout
     )
     return r.select(F.col("k").alias(key), F.col("seq").alias(seq), _ntz("us").alias("et"), "route")
