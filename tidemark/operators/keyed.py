@@ -11,8 +11,13 @@ runs in ``(key, slice)`` window partitions; what crosses slice borders is carrie
 table with one row per ``(key, slice)`` (or ``k`` rows for a k-step look-back), so its size is
 bounded by the number of slices, not by the number of rows of the key.
 
-Limits: rows whose key or slice is null get no state from other slices; ``order`` columns are
-taken ascending.
+Plan shape: the rows are shuffled once by ``(key, slice)`` and windowed there. The per-slice
+table is taken from the windowed rows (the last row of each slice), is small, and joins back
+on the same ``(key, slice)`` partitioning, so the rows are not shuffled again; the input is
+evaluated twice (rows and per-slice table), which is cheap for a columnar scan and worth a
+written intermediate for an expensive derived input. Keys and slice are packed into one
+struct column ``KV``: a struct is never null, so Catalyst infers no ``isnotnull`` filter,
+and null keys are grouped like any other key. ``order`` columns are taken ascending.
 """
 
 from __future__ import annotations
@@ -23,6 +28,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SLICE = "_tm_slice"
+KV = "_tm_kv"  # struct(keys..., slice)
+K = "_tm_k"  # struct(keys...)
 
 _AGG = {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max}
 
@@ -39,6 +46,22 @@ def with_slice(df: DataFrame, split: str | Column) -> DataFrame:
     return df.withColumn(SLICE, _col(split))
 
 
+def _keyed(df: DataFrame, keys: Sequence[str], split: str | Column) -> DataFrame:
+    """Adds the struct ``KV = (keys..., slice)``, the only extra column carried per row."""
+    return df.withColumn(KV, F.struct(*[F.col(k) for k in keys], _col(split).alias(SLICE)))
+
+
+def _per_slice(d: DataFrame, keys: Sequence[str], *cols: str | Column) -> DataFrame:
+    """Columns of the per-slice table: ``KV``, the key-only struct ``K`` and ``SLICE``."""
+    return d.select(
+        KV, F.struct(*[F.col(f"{KV}.{k}") for k in keys]).alias(K), F.col(f"{KV}.{SLICE}").alias(SLICE), *cols
+    )
+
+
+def _drop(df: DataFrame, *cols: str) -> DataFrame:
+    return df.drop(SLICE, KV, K, *cols)
+
+
 def running(
     df: DataFrame,
     keys: Sequence[str],
@@ -55,21 +78,25 @@ def running(
     into slices; the per-slice table then has one row per slice.
     """
     keys = list(keys)
-    d = with_slice(df, split)
-    kv = [*keys, SLICE]
-    w_in = Window.partitionBy(*kv).orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-    w_sl = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    d = _keyed(df, keys, split)
+    w = Window.partitionBy(KV).orderBy(*_cols(order))
+    w_in = w.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    w_sl = Window.partitionBy(K).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
 
     totals, prefix = [], []
     for name, (kind, expr) in aggs.items():
         e = F.lit(1) if kind == "count" else _col(expr)
-        totals.append(_AGG[kind](e).alias(f"_t_{name}"))
+        d = d.withColumn(f"_i_{name}", _AGG[kind](e).over(w_in))
+        # slice total = the inclusive running value at the slice's last row
+        if not inclusive:
+            d = d.withColumn(f"_a_{name}", _AGG[kind](e).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+        totals.append(F.col(f"_i_{name}" if inclusive else f"_a_{name}").alias(f"_t_{name}"))
         carry = "sum" if kind in ("count", "sum") else kind
         prefix.append(_AGG[carry](F.col(f"_t_{name}")).over(w_sl).alias(f"_p_{name}"))
-        d = d.withColumn(f"_i_{name}", _AGG[kind](e).over(w_in))
+    d = d.withColumn("_last", F.lead(F.lit(1), 1).over(w).isNull())
 
-    offsets = d.groupBy(*kv).agg(*totals).select(*kv, *prefix)
-    out = d.join(offsets, kv, "left")
+    offsets = _per_slice(d.filter("_last"), keys, *totals).select(KV, *prefix)
+    out = d.join(offsets, KV, "left")
     for name, (kind, _) in aggs.items():
         i, p = F.col(f"_i_{name}"), F.col(f"_p_{name}")
         if kind in ("count", "sum"):
@@ -78,8 +105,8 @@ def running(
             v = F.least(i, p)
         else:
             v = F.greatest(i, p)
-        out = out.withColumn(name, v).drop(f"_i_{name}", f"_p_{name}")
-    return out.drop(SLICE)
+        out = out.withColumn(name, v).drop(f"_i_{name}", f"_p_{name}", f"_a_{name}")
+    return _drop(out, "_last")
 
 
 def row_number(
@@ -105,39 +132,32 @@ def lag(
     rows of each earlier slice (a table of at most ``k`` rows per key and slice).
     """
     keys, cols = list(keys), list(cols)
-    d = with_slice(df, split)
-    kv = [*keys, SLICE]
-    w = Window.partitionBy(*kv).orderBy(*_cols(order))
-    d = d.withColumn("_rn", F.row_number().over(w)).withColumn(
-        "_cnt", F.count(F.lit(1)).over(Window.partitionBy(*kv))
-    )
+    d = _keyed(df, keys, split)
+    w = Window.partitionBy(KV).orderBy(*_cols(order))
+    d = d.withColumn("_rn", F.row_number().over(w)).withColumn("_tail", F.lead(F.lit(1), k).over(w).isNull())
     for j in range(1, k + 1):
         for c in cols:
             d = d.withColumn(f"_l{j}_{c}", F.lag(c, j).over(w))
 
-    # last k rows of every (key, slice), then the halo each later slice needs
-    tail = d.filter(F.col("_rn") > F.col("_cnt") - k).select(*kv, "_rn", *cols)
-    wt = Window.partitionBy(*keys).orderBy(SLICE, "_rn")
-    tail = tail.withColumn(
-        "_first", F.coalesce(F.lag(SLICE, 1).over(wt) != F.col(SLICE), F.lit(True))
-    )
+    # last k rows of every (key, slice), then the halo each later slice needs: a tail row
+    # belongs to the halo of slice b when one of the next k tail rows is b's first one
+    tail = _per_slice(d.filter("_tail"), keys, "_rn", *cols)
+    wt = Window.partitionBy(K).orderBy(SLICE, "_rn")
+    tail = tail.withColumn("_first", F.coalesce(F.lag(SLICE, 1).over(wt) != F.col(SLICE), F.lit(True)))
     targets = F.array(
         *[
-            F.when(
-                F.lead("_first", j).over(wt) & (F.lead(SLICE, j).over(wt) != F.col(SLICE)),
-                F.lead(SLICE, j).over(wt),
-            )
+            F.when(F.lead("_first", j).over(wt) & (F.lead(SLICE, j).over(wt) != F.col(SLICE)), F.lead(SLICE, j).over(wt))
             for j in range(1, k + 1)
         ]
     )
     halo = (
         tail.withColumn("_targets", targets)
         .withColumn("_target", F.explode(F.filter("_targets", lambda x: x.isNotNull())))
-        .groupBy(*keys, "_target")
+        .groupBy(K, "_target")
         .agg(F.sort_array(F.collect_list(F.struct(SLICE, "_rn", *cols))).alias("_halo"))
-        .withColumnRenamed("_target", SLICE)
+        .select(F.struct(*[F.col(f"{K}.{kk}") for kk in keys], F.col("_target").alias(SLICE)).alias(KV), "_halo")
     )
-    out = d.join(halo, kv, "left")
+    out = d.join(halo, KV, "left")
     for j in range(1, k + 1):
         idx = F.size("_halo") - F.lit(j) + F.col("_rn")
         from_halo = F.when(F.col("_halo").isNotNull() & (idx >= 1), F.try_element_at("_halo", idx.cast("int")))
@@ -146,7 +166,7 @@ def lag(
                 f"{prefix}{j}_{c}",
                 F.when(F.col("_rn") > j, F.col(f"_l{j}_{c}")).otherwise(from_halo.getField(c)),
             ).drop(f"_l{j}_{c}")
-    return out.drop("_rn", "_cnt", "_halo", SLICE)
+    return _drop(out, "_rn", "_tail", "_halo")
 
 
 def next_match(
@@ -166,23 +186,18 @@ def next_match(
     """
     keys, order, cols = list(keys), list(order), list(cols)
     fields = list(dict.fromkeys(order + cols))
-    d = with_slice(df, split).withColumn("_cand", F.when(is_target, F.struct(*fields)))
-    kv = [*keys, SLICE]
-    w_rev = (
-        Window.partitionBy(*kv)
-        .orderBy(*[F.col(c).desc() for c in order])
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    d = d.withColumn("_in", F.min("_cand").over(w_rev))
-    w_sl = Window.partitionBy(*keys).orderBy(F.col(SLICE).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    later = d.groupBy(*kv).agg(F.min("_cand").alias("_first")).select(
-        *kv, F.min("_first").over(w_sl).alias("_later")
+    d = _keyed(df, keys, split).withColumn("_cand", F.when(is_target, F.struct(*fields)))
+    w_rev = Window.partitionBy(KV).orderBy(*[F.col(c).desc() for c in order])
+    d = d.withColumn("_in", F.min("_cand").over(w_rev.rowsBetween(Window.unboundedPreceding, -1))).withColumn(
+        "_head", F.lead(F.lit(1), 1).over(w_rev).isNull()
     )
-    return (
-        d.join(later, kv, "left")
-        .withColumn(name, F.coalesce("_in", "_later"))
-        .drop("_cand", "_in", "_later", SLICE)
+    w_sl = Window.partitionBy(K).orderBy(F.col(SLICE).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    # the slice's first target = at its first row, min(own candidate, later candidates)
+    later = _per_slice(d.filter("_head"), keys, F.least("_cand", "_in").alias("_first")).select(
+        KV, F.min("_first").over(w_sl).alias("_later")
     )
+    out = d.join(later, KV, "left").withColumn(name, F.coalesce("_in", "_later"))
+    return _drop(out, "_cand", "_in", "_head", "_later")
 
 
 def run_length(
@@ -198,16 +213,16 @@ def run_length(
     starts after the last breaking row; a run reaching back to the slice start adds the run
     carried in from earlier slices, computed on a table with one row per (key, slice)."""
     keys = list(keys)
-    d = with_slice(df, split).withColumn("_ok", F.coalesce(pred, F.lit(False)))
-    kv = [*keys, SLICE]
-    w = Window.partitionBy(*kv).orderBy(*_cols(order))
-    d = d.withColumn("_rn", F.row_number().over(w)).withColumn(
-        "_brk", F.max(F.when(~F.col("_ok"), F.col("_rn"))).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    d = _keyed(df, keys, split).withColumn("_ok", F.coalesce(pred, F.lit(False)))
+    w = Window.partitionBy(KV).orderBy(*_cols(order))
+    d = (
+        d.withColumn("_rn", F.row_number().over(w))
+        .withColumn("_brk", F.max(F.when(~F.col("_ok"), F.col("_rn"))).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("_last", F.lead(F.lit(1), 1).over(w).isNull())
     )
-    per = d.groupBy(*kv).agg(
-        F.count(F.lit(1)).alias("_n"), F.max(F.when(~F.col("_ok"), F.col("_rn"))).alias("_last_brk")
-    )
-    w_prev = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    # per slice: its size and its last break (the running values at its last row)
+    per = _per_slice(d.filter("_last"), keys, F.col("_rn").alias("_n"), F.col("_brk").alias("_last_brk"))
+    w_prev = Window.partitionBy(K).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     per = per.withColumn("_before", F.coalesce(F.sum("_n").over(w_prev), F.lit(0)))
     # the last earlier slice with a break: rows after its last break run on to this slice
     per = per.withColumn(
@@ -219,14 +234,11 @@ def run_length(
             )
         ).over(w_prev),
     )
-    carry = per.select(*kv, (F.col("_before") - F.coalesce(F.col("_b.pos"), F.lit(0))).alias("_carry"))
+    carry = per.select(KV, (F.col("_before") - F.coalesce(F.col("_b.pos"), F.lit(0))).alias("_carry"))
     run = (
         F.when(~F.col("_ok"), F.lit(0))
         .when(F.col("_brk").isNotNull(), F.col("_rn") - F.col("_brk"))
         .otherwise(F.col("_rn") + F.col("_carry"))
     )
-    return (
-        d.join(carry, kv, "left")
-        .withColumn(name, run.cast("bigint"))
-        .drop("_ok", "_rn", "_brk", "_carry", SLICE)
-    )
+    out = d.join(carry, KV, "left").withColumn(name, run.cast("bigint"))
+    return _drop(out, "_ok", "_rn", "_brk", "_last", "_carry")
