@@ -212,3 +212,62 @@ def test_buffered_sink_restart(spark):
     res = spark.read.parquet(out)
     assert res.agg(F.sum("n")).first()[0] == 32
     assert res.select("epoch").distinct().count() == 2
+
+
+def test_periodic_count_stream(spark, stream_dir):
+    got = _run(stateful.periodic_count(_stream(spark, stream_dir), "user_id", "1 day"), "tm_x03")
+    until = spark.read.parquet(f"{SF_SMALL}/events.parquet").agg(F.max("ts")).first()[0]
+    got = got.filter((F.col("user_id") >= 0) & (F.col("tick") <= F.lit(until)))
+    b = _batch(spark, "x03_periodic_pv")
+    assert _norm(got.select("user_id", "tick", "pv").collect()) == _norm(b.select("user_id", "tick", "pv").collect())
+
+
+def test_hand_made_window_stream(spark, stream_dir):
+    got = _run(stateful.keyed_window_counts(_stream(spark, stream_dir), "event_type", "1 hour"), "tm_w13")
+    got = got.filter(F.col("window_start") < dt.datetime(2030, 1, 1))
+    b = _batch(spark, "a12_url_views")
+    cols = ["event_type", "window_start", "window_end", "cnt"]
+    assert _norm(got.select(cols).collect()) == _norm(b.select(cols).collect())
+
+
+def test_reconcile_stream_fixture(spark):
+    """F7 with a 5 s tolerance; a sentinel row far later expires the lonely payment."""
+    d = tempfile.mkdtemp(prefix="tm-bill-")
+    # Fixture F7 (app and third-party payments) plus a sentinel.
+    steps = [["order-1,app,1000", "order-2,app,2000", "order-1,third,3000"],
+             ["order-3,app,3500", "order-3,third,4000"], ["sentinel,app,99000"]]
+    for i, lines in enumerate(steps):
+        p = f"{d}/s{i}.txt"
+        with open(p, "w") as f:
+            f.write("\n".join(lines) + "\n")
+        os.utime(p, (1_700_000_000 + i, 1_700_000_000 + i))
+    from tidemark.sources.text import parse_delimited, stream_lines
+
+    ev = parse_delimited(stream_lines(spark, d, max_files_per_trigger=1), "order_id string, src string, ms bigint", trim=False)
+    ev = basic.event_time(ev.withColumn("seq", F.col("ms")), "0 seconds", ms="ms")
+    got = _run(stateful.reconcile(ev, "order_id", "src", "app", "5 seconds"), "tm_j05")
+    assert sorted((r.order_id, r.status) for r in got.filter("order_id != 'sentinel'").collect()) == [
+        ("order-1", "matched"), ("order-2", "missing_third"), ("order-3", "matched")]
+
+
+def test_processing_timer_fires(spark, stream_dir):
+    """A processing-time timeout keeps batches coming, so this query runs on a
+    processing-time trigger and is stopped; only row counts are reproducible."""
+    s = stateful.processing_timer(_stream(spark, stream_dir), "user_id", "1 second")
+    q = to_memory(s, "tm_x02", "append", checkpoint=tempfile.mkdtemp(prefix="tm-ckpt-"), trigger={"processingTime": "500 milliseconds"})
+    n = spark.read.parquet(f"{SF_SMALL}/events.parquet").count() + 1
+    import time
+
+    deadline = time.time() + 120
+    try:
+        # processAllAvailable would wait for ever: this timeout always asks for another batch
+        while time.time() < deadline:
+            t = spark.table("tm_x02")
+            if t.filter("kind = 'arrival'").count() == n and t.filter("kind = 'timer'").count() > 0:
+                break
+            time.sleep(1)
+    finally:
+        q.stop()
+    got = spark.table("tm_x02")
+    assert got.filter("kind = 'arrival'").count() == n
+    assert got.filter("kind = 'timer'").count() > 0

@@ -20,9 +20,11 @@ def labelled(df: DataFrame, label: str, name: str = "label") -> DataFrame:
 def to_memory(df: DataFrame, name: str, mode: str = "append", checkpoint: str | None = None, trigger: Mapping | None = None) -> StreamingQuery:
     """K01 / K05 for streams: a queryable in-memory table (``append`` = toDataStream,
     ``update`` = toChangelogStream without retractions, ``complete``)."""
+    from tidemark.session import checkpoint_dir
+
     w = df.writeStream.format("memory").queryName(name).outputMode(mode)
-    if checkpoint:
-        w = w.option("checkpointLocation", checkpoint)
+    # state and progress go to the shared folder named by spark.checkpoint.dir
+    w = w.option("checkpointLocation", checkpoint or checkpoint_dir(df.sparkSession, f"streams/{name}"))
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 

@@ -238,3 +238,163 @@ def late_route(df: DataFrame, key: str, size: str, lateness: str = "0 seconds",
         fn, f"k {_ktype(df, key)}, seq bigint, us bigint, route string", "x int", "append", GroupStateTimeout.NoTimeout
     )
     return r.select(F.col("k").alias(key), F.col("seq").alias(seq), _ntz("us").alias("et"), "route")
+
+
+def periodic_count(df: DataFrame, key: str, period: str, et: str = "et", seq: str = "seq") -> DataFrame:
+    """X03 on a stream: from a key's first row ``t0`` an event-time timer every ``period``
+    emits the key's cumulative count of rows with ``ts <= tick``; the timer re-arms itself.
+    State: next tick, count so far, and the timestamps not yet counted (rows newer than the
+    watermark, which is a bounded set)."""
+    p = duration_us(period)
+    d = _prepared(df, key, et, seq)
+
+    def fn(k, pdfs, state: GroupState):
+        nxt, cnt, pend = (state.get[0], state.get[1], list(state.get[2])) if state.exists else (None, 0, [])
+        wm = state.getCurrentWatermarkMs() * 1000
+        out = []
+
+        def fire():
+            nonlocal nxt, cnt, pend
+            while nxt is not None and nxt <= wm:
+                cnt += sum(1 for t in pend if t <= nxt)
+                pend = [t for t in pend if t > nxt]
+                out.append((k[0], nxt, cnt))
+                nxt += p
+
+        fire()
+        if not state.hasTimedOut:
+            rows = _rows(pdfs)
+            if len(rows):
+                if nxt is None:
+                    nxt = int(rows["us"].iloc[0]) + p
+                pend.extend(int(t) for t in rows["us"])
+        state.update((nxt, cnt, sorted(pend)))
+        state.setTimeoutTimestamp(max(nxt // 1000, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame(out, columns=["k", "us", "pv"])
+
+    r = d.groupBy("k").applyInPandasWithState(
+        fn, f"k {_ktype(df, key)}, us bigint, pv bigint", "nxt bigint, cnt bigint, pend array<bigint>", "append",
+        GroupStateTimeout.EventTimeTimeout,
+    )
+    return r.select(F.col("k").alias(key), _ntz("us").alias("tick"), "pv")
+
+
+def processing_timer(df: DataFrame, key: str, delay: str, et: str = "et", seq: str = "seq") -> DataFrame:
+    """X02 on a stream: arrivals at once, then one ``timer`` row per arrival ``delay`` of
+    processing time later (pending fire times kept in state; the timeout is their minimum).
+    Wall-clock driven, so only row counts are reproducible."""
+    d_ms = duration_us(delay) // 1000
+    d = _prepared(df, key, et, seq)
+
+    def fn(k, pdfs, state: GroupState):
+        pend = list(state.get[0]) if state.exists else []
+        now = state.getCurrentProcessingTimeMs()
+        out = [(k[0], "timer", t) for t in pend if t <= now]
+        pend = [t for t in pend if t > now]
+        if not state.hasTimedOut:
+            for r in _rows(pdfs).itertuples(index=False):
+                out.append((k[0], "arrival", now))
+                pend.append(now + d_ms)
+        if pend:
+            state.update((sorted(pend),))
+            state.setTimeoutDuration(max(min(pend) - now, 1))
+        else:
+            state.remove()
+        yield pd.DataFrame(out, columns=["k", "kind", "ms"])
+
+    r = d.groupBy("k").applyInPandasWithState(
+        fn, f"k {_ktype(df, key)}, kind string, ms bigint", "pend array<bigint>", "append",
+        GroupStateTimeout.ProcessingTimeTimeout,
+    )
+    return r.select(F.col("k").alias(key), "kind", F.timestamp_millis("ms").alias("at"))
+
+
+def keyed_window_counts(df: DataFrame, key: str, size: str, et: str = "et", seq: str = "seq") -> DataFrame:
+    """W13 on a stream: the hand-made tumbling window — a map state window start -> count per
+    key, and an event-time timer at the earliest window end; a window is emitted and removed
+    once the watermark reaches its end. Must equal the built-in window count (A12)."""
+    s = duration_us(size)
+    d = _prepared(df, key, et, seq)
+
+    def fn(k, pdfs, state: GroupState):
+        wins = dict(zip(state.get[0], state.get[1])) if state.exists else {}
+        wm = state.getCurrentWatermarkMs() * 1000
+        if not state.hasTimedOut:
+            for us in _rows(pdfs)["us"]:
+                st = (int(us) // s) * s
+                wins[st] = wins.get(st, 0) + 1
+        done = sorted(st for st in wins if st + s <= wm)
+        out = [(k[0], st, st + s, wins.pop(st)) for st in done]
+        if wins:
+            starts = sorted(wins)
+            state.update((starts, [wins[x] for x in starts]))
+            state.setTimeoutTimestamp(max((starts[0] + s) // 1000, state.getCurrentWatermarkMs() + 1))
+        else:
+            state.remove()
+        yield pd.DataFrame(out, columns=["k", "s", "e", "cnt"])
+
+    r = d.groupBy("k").applyInPandasWithState(
+        fn, f"k {_ktype(df, key)}, s bigint, e bigint, cnt bigint", "starts array<bigint>, counts array<bigint>", "append",
+        GroupStateTimeout.EventTimeTimeout,
+    )
+    return r.select(F.col("k").alias(key), _ntz("s").alias("window_start"), _ntz("e").alias("window_end"), "cnt")
+
+
+def reconcile(df: DataFrame, key: str, side: str, app: str, tolerance: str, et: str = "et", seq: str = "seq") -> DataFrame:
+    """J05 on a stream (G11 / X12): one stream of both payment kinds, ``side == app`` marks
+    the app's rows. A row pairs with the oldest waiting row of the other side: ``matched``
+    when at most ``tolerance`` apart, else ``too_far``; a row nobody claims within
+    ``tolerance`` of event time is reported ``missing_third`` / ``missing_app`` when the
+    watermark passes it (the timer is dropped once matched)."""
+    tol = duration_us(tolerance)
+    d = _prepared(df, key, et, seq, [(F.col(side) == app).alias("is_app")])
+
+    def fn(k, pdfs, state: GroupState):
+        if state.exists:
+            pa_, pt_ = list(zip(state.get[0], state.get[1])), list(zip(state.get[2], state.get[3]))
+        else:
+            pa_, pt_ = [], []
+        out = []
+        wm = state.getCurrentWatermarkMs() * 1000
+
+        def expire():
+            nonlocal pa_, pt_
+            for us, s_ in [x for x in pa_ if x[0] + tol <= wm]:
+                out.append((k[0], s_, us, None, None, "missing_third"))
+            for us, s_ in [x for x in pt_ if x[0] + tol <= wm]:
+                out.append((k[0], None, None, s_, us, "missing_app"))
+            pa_ = [x for x in pa_ if x[0] + tol > wm]
+            pt_ = [x for x in pt_ if x[0] + tol > wm]
+
+        expire()
+        if not state.hasTimedOut:
+            for r in _rows(pdfs).itertuples(index=False):
+                me = (int(r.us), int(r.seq))
+                mine, other = (pa_, pt_) if r.is_app else (pt_, pa_)
+                if other:
+                    o = other.pop(0)
+                    a, t = (me, o) if r.is_app else (o, me)
+                    status = "matched" if abs(a[0] - t[0]) <= tol else "too_far"
+                    out.append((k[0], a[1], a[0], t[1], t[0], status))
+                else:
+                    mine.append(me)
+        if pa_ or pt_:
+            state.update(([x[0] for x in pa_], [x[1] for x in pa_], [x[0] for x in pt_], [x[1] for x in pt_]))
+            first = min([x[0] for x in pa_ + pt_]) + tol
+            state.setTimeoutTimestamp(max(first // 1000, state.getCurrentWatermarkMs() + 1))
+        else:
+            state.remove()
+        yield pd.DataFrame(out, columns=["k", "app_seq", "app_us", "third_seq", "third_us", "status"]).astype(
+            {"app_seq": "Int64", "app_us": "Int64", "third_seq": "Int64", "third_us": "Int64"}
+        )
+
+    r = d.groupBy("k").applyInPandasWithState(
+        fn,
+        f"k {_ktype(df, key)}, app_seq bigint, app_us bigint, third_seq bigint, third_us bigint, status string",
+        "a_us array<bigint>, a_seq array<bigint>, t_us array<bigint>, t_seq array<bigint>",
+        "append",
+        GroupStateTimeout.EventTimeTimeout,
+    )
+    return r.select(
+        F.col("k").alias(key), "app_seq", _ntz("app_us").alias("app_ts"), "third_seq", _ntz("third_us").alias("third_ts"), "status"
+    )
