@@ -31,12 +31,12 @@ def ms_to_ts(ms: str | Column) -> Column:
 def seconds_ts(ms: str | Column) -> Column:
     """``TO_TIMESTAMP(FROM_UNIXTIME(ts / 1000))`` — integer division, so the result is
     cut to whole seconds (``ts / 1000`` as a fraction would keep them)."""
-    return F.timestamp_seconds(F.floor(_c(ms) / 1000)).cast("timestamp_ntz")
+    return F.timestamp_seconds(floordiv(ms, 1000)).cast("timestamp_ntz")
 
 
 def floor_to(ms: str | Column, size_ms: int) -> Column:
     """``ts / size * size`` for ts >= 0 (window start by integer division)."""
-    return (F.floor(_c(ms) / size_ms) * size_ms).cast("bigint")
+    return floordiv(ms, size_ms) * size_ms
 
 
 def bucket(ts: str | Column, width: str) -> Column:
@@ -47,3 +47,15 @@ def bucket(ts: str | Column, width: str) -> Column:
 def minus(ts: str | Column, interval: str) -> Column:
     """``et - INTERVAL '1' SECOND``."""
     return _c(ts) - F.expr(f"INTERVAL {interval}")
+
+
+def floordiv(x: str | Column, w: int) -> Column:
+    """Exact ``floor(x / w)`` for bigint ``x`` and a positive integer ``w`` (no floating point)."""
+    x = _c(x).cast("bigint")
+    wl = F.lit(w).cast("bigint")
+    return F.call_function("div", x - F.pmod(x, wl), wl)
+
+
+def ceildiv(x: str | Column, w: int) -> Column:
+    """Exact ``ceil(x / w)`` for bigint ``x`` and a positive integer ``w``."""
+    return -floordiv(-_c(x).cast("bigint"), w)

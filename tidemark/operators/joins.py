@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.durations import duration_us
-from tidemark.functions.time import epoch_us
+from tidemark.functions.time import epoch_us, floordiv
 from tidemark.operators import keyed
 
 
@@ -41,21 +41,25 @@ def window_join(
 
 
 def cogroup(
-    left: DataFrame, right: DataFrame, key: str, ts: str, size: str, order: Sequence[str]
+    left: DataFrame, right: DataFrame, key: str, ts: str, size: str, order: Sequence[str], split: str | Column | None = None
 ) -> DataFrame:
     """Per key and tumbling window the rows of each side, one-sided groups included.
 
     The two lists are returned in long form (no collected arrays): one row per member with
     ``side`` ('left'/'right'), its ``pos`` in its list (by ``order``), and the group's list
-    sizes ``n_left`` / ``n_right``. Both sides must have the columns ``key, *order``."""
+    sizes ``n_left`` / ``n_right``. Both sides must have the columns ``key, *order``.
+    Positions come from the slice-split running count (``split``, default: 1/60 of the
+    window), the sizes from a table with one row per group, so a hot group is not one task."""
     cols = list(dict.fromkeys([key, ts, *order]))
     u = left.select(*cols, F.lit("left").alias("side")).unionByName(right.select(*cols, F.lit("right").alias("side")))
     u = u.withColumn("_w", F.window(ts, size))
-    g = Window.partitionBy(key, "_w")
-    u = u.withColumn("n_left", F.count(F.when(F.col("side") == "left", 1)).over(g)).withColumn(
-        "n_right", F.count(F.when(F.col("side") == "right", 1)).over(g)
+    sizes = u.groupBy(key, "_w").agg(
+        F.count(F.when(F.col("side") == "left", 1)).alias("n_left"),
+        F.count(F.when(F.col("side") == "right", 1)).alias("n_right"),
     )
-    u = u.withColumn("pos", F.row_number().over(Window.partitionBy(key, "_w", "side").orderBy(*order)).cast("bigint"))
+    if split is None:
+        split = F.window(ts, f"{max(duration_us(size) // 60, 1)} microseconds").start
+    u = keyed.row_number(u, [key, "_w", "side"], order, split, "pos").join(sizes, [key, "_w"])
     rest = [c for c in cols if c != key]
     return u.select(
         key, F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
@@ -76,9 +80,9 @@ def interval_join(
     if hi < lo:
         raise ValueError("upper < lower")
     width = max(hi - lo, 1)
-    r = right.withColumn("_slot", F.floor(epoch_us(rts) / width))
+    r = right.withColumn("_slot", floordiv(epoch_us(rts), width))
     lus = epoch_us(lts)
-    first, last = F.floor((lus + lo) / width), F.floor((lus + hi) / width)
+    first, last = floordiv(lus + lo, width), floordiv(lus + hi, width)
     l = left.withColumn("_slot", F.explode(F.sequence(first, last)))
     r_us = epoch_us(F.col(rts))
     cond = (r_us >= lus + lo) & (r_us <= lus + hi)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.durations import duration_us
-from tidemark.functions.time import epoch_us
+from tidemark.functions.time import ceildiv, epoch_us, floordiv
 
 
 def _as_ts(us, like: DataFrame, ts: str):
@@ -37,9 +37,9 @@ def periodic_count(df: DataFrame, key: str, ts: str, period: str, until=None) ->
         until = df.agg(F.max(ts)).first()[0]
     t0 = df.groupBy(key).agg(F.min(ts).alias("_t0"))
     # row -> tick index; the per-key start is an equi-join (AQE splits a skewed key's partitions)
-    idx = F.ceil((epoch_us(ts) - epoch_us("_t0")) / p).cast("bigint")
+    idx = ceildiv(epoch_us(ts) - epoch_us("_t0"), p)
     per = df.select(key, ts).join(t0, key).groupBy(key, idx.alias("k")).agg(F.count(F.lit(1)).alias("_n"))
-    m = F.floor((epoch_us(F.lit(until)) - epoch_us("_t0")) / p).cast("bigint")
+    m = floordiv(epoch_us(F.lit(until)) - epoch_us("_t0"), p)
     ticks = t0.withColumn("_m", m).filter(F.col("_m") >= 1).select(
         key, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_m"))).alias("k")
     )

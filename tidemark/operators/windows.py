@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.durations import duration_us
-from tidemark.functions.time import epoch_us
+from tidemark.functions.time import epoch_us, floordiv
 from tidemark.operators import keyed
 
 
@@ -91,7 +91,7 @@ def cumulate(
         "_k",
         F.explode(
             F.sequence(
-                (F.floor((epoch_us(ts) - epoch_us(F.col("_w.start"))) / step_us) + 1).cast("int"),
+                (floordiv(epoch_us(ts) - epoch_us(F.col("_w.start")), step_us) + 1).cast("int"),
                 F.lit(n).cast("int"),
             )
         ),
@@ -145,7 +145,7 @@ def integer_division_window(
     """The hand-made tumbling window — start = ``ts / size * size`` on epoch ms
     (F10), one counter per key and start, closing at ``start + size``. Same answer as
     :func:`window_count` with a tumbling window."""
-    start = (F.floor(F.col(ts_ms) / size_ms) * size_ms).cast("bigint")
+    start = floordiv(ts_ms, size_ms) * size_ms
     g = df.groupBy(*keys, start.alias("_start")).agg(F.count(F.lit(1)).alias(name))
     return g.select(
         *keys,

@@ -552,7 +552,7 @@ FROM (SELECT *,
 def u02_watermark_trace(spark, sf):
     ev = events(spark, sf).select("event_id", "event_type", "ts").filter(F.col("event_type").isin("click", "view"))
     return watermark.watermark_trace(
-        ev, "event_type", {"click": "10 minutes", "view": "30 minutes"}, ORDER, "ts", _split()
+        ev, "event_type", {"click": "10 minutes", "view": "30 minutes"}, ORDER, "ts", bucket("ts", "1 minute")
     )
 
 
