@@ -209,7 +209,7 @@ def a04_max_by(spark, sf):
 
 
 @query("a05_sum_min_min_by", """
-SELECT user_id, sum(CAST(round(value * 100) AS BIGINT)) AS sum_cents, min(value) AS min_value,
+SELECT user_id, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS sum_cents, min(value) AS min_value,
        first(event_type ORDER BY value, event_id) AS min_by_type
 FROM events GROUP BY user_id
 """)
@@ -257,7 +257,7 @@ def a08_window_count(spark, sf):
 @query("a09_window_mean_ts", """
 SELECT user_id, time_bucket(INTERVAL '30 minutes', ts) AS window_start,
        time_bucket(INTERVAL '30 minutes', ts) + INTERVAL '30 minutes' AS window_end,
-       sum(epoch_us(ts) // 1000) // count(*) AS mean_ts_ms
+       CAST(sum(epoch_us(ts) // 1000) // count(*) AS BIGINT) AS mean_ts_ms
 FROM events GROUP BY ALL
 """)
 def a09_window_mean_ts(spark, sf):
@@ -311,7 +311,7 @@ def a14_sql_group_count(spark, sf):
 
 
 @query("a15_avg_of_5", """
-SELECT user_id, grp, sum(ms) // 5 AS avg_ts_ms FROM (
+SELECT user_id, grp, CAST(sum(ms) // 5 AS BIGINT) AS avg_ts_ms FROM (
   SELECT user_id, epoch_us(ts) // 1000 AS ms,
          (row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1) // 5 AS grp FROM events)
 GROUP BY user_id, grp HAVING count(*) = 5
@@ -326,7 +326,7 @@ def a15_avg_of_5(spark, sf):
 @query("w01_tumble", """
 SELECT event_type, time_bucket(INTERVAL '30 minutes', ts) AS window_start,
        time_bucket(INTERVAL '30 minutes', ts) + INTERVAL '30 minutes' AS window_end,
-       count(*) AS cnt, sum(CAST(round(value * 100) AS BIGINT)) AS sum_cents
+       count(*) AS cnt, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS sum_cents
 FROM events GROUP BY ALL
 """)
 def w01_tumble(spark, sf):
@@ -360,7 +360,7 @@ def w03_session(spark, sf):
 @query("w04_count_window", """
 SELECT user_id, fire_pos, frame_rows, frame_sum, frame_first FROM (
   SELECT user_id, rn AS fire_pos,
-         count(*) OVER w AS frame_rows, sum(c) OVER w AS frame_sum, min(rn) OVER w AS frame_first
+         count(*) OVER w AS frame_rows, CAST(sum(c) OVER w AS BIGINT) AS frame_sum, min(rn) OVER w AS frame_first
   FROM (SELECT user_id, ts, event_id, CAST(round(value * 100) AS BIGINT) AS c,
                row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events)
   WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW))
@@ -447,7 +447,7 @@ def w10_cumulate(spark, sf):
 
 @query("w11_over_avg", """
 SELECT user_id, event_id,
-       sum(epoch_us(ts) // 1000) OVER w // count(*) OVER w AS avg_ts_ms
+       CAST(sum(epoch_us(ts) // 1000) OVER w // count(*) OVER w AS BIGINT) AS avg_ts_ms
 FROM events
 WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)
 """)
