@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import lines as text_lines
-from tidemark.functions.time import bucket, epoch_ms, seconds_ts
+from tidemark.functions.time import bucket, epoch_ms, floordiv, seconds_ts
 from tidemark.operators import aggregate, joins, keyed, patterns, state, timers, topn, transform, watermark, windows
 from tidemark.sources.tables import EVENT_ORDER, events, table
 
@@ -84,8 +84,8 @@ SELECT doc_id, line_no, pos, word,
 FROM t""")
 def a02_running_word_count(spark, sf):
     toks = aggregate.tokens(_doc_lines(spark, sf), "line")
-    # slices of the order: documents (a hot word is cut into its documents)
-    return aggregate.running_count(toks, ["word"], ["doc_id", "line_no", "pos"], F.col("doc_id"), "cnt")
+    # slices of the order: blocks of 256 documents (a hot word is cut into its blocks)
+    return aggregate.running_count(toks, ["word"], ["doc_id", "line_no", "pos"], floordiv("doc_id", 256), "cnt")
 
 
 # ---------------------------------------------------------------- transforms --------------
