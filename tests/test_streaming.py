@@ -271,3 +271,49 @@ def test_processing_timer_fires(spark, stream_dir):
     got = spark.table("tm_x02")
     assert got.filter("kind = 'arrival'").count() == n
     assert got.filter("kind = 'timer'").count() > 0
+
+
+def test_keyed_state_forms_stream(spark, stream_dir):
+    src = _stream(spark, stream_dir).filter(F.col("user_id") >= 0)
+    got = _run(stateful.keyed_state_forms(src, "user_id", "event_type"), "tm_x0x")
+    g = {r.seq: r for r in got.collect()}
+    x4 = {r.event_id: r for r in _batch(spark, "x04_value_state_previous").collect()}
+    x5 = {r.event_id: r.list_size for r in _batch(spark, "x05_list_state_size").collect()}
+    x6 = {r.event_id: r.map_count for r in _batch(spark, "x06_map_state_counter").collect()}
+    x7 = {r.event_id: (r.first_event_type, r.latest_ts) for r in _batch(spark, "x07_reducing_state").collect()}
+    x8 = {r.event_id: r.agg for r in _batch(spark, "x08_aggregating_state").collect()}
+    assert set(g) == set(x4)
+    for i, r in g.items():
+        assert (r.prev_event_type, r.prev_seq) == (x4[i].prev_event_type, x4[i].prev_event_id)
+        assert r.list_size == x5[i] and r.map_count == x6[i] and r.agg == x8[i]
+        assert (r.first_event_type, r.latest_ts.replace(tzinfo=None)) == x7[i]
+
+
+def test_rule_join_stream(spark, stream_dir):
+    from tidemark.plans.catalog import _rules
+
+    got = _run(stateful.rule_join(_stream(spark, stream_dir), _rules(spark), "user_id", "event_type"), "tm_j06")
+    b = _batch(spark, "j06_rule_join_all")
+    cols = ["user_id", "event_type", "action1", "action2", "version"]
+    assert _norm(got.select("seq", *cols).collect()) == _norm(b.select("event_id", *cols).collect())
+
+
+def test_count_window_stream(spark, stream_dir):
+    src = _stream(spark, stream_dir).filter(F.col("user_id") >= 0).withColumn("c", F.round(F.col("value") * 100).cast("bigint"))
+    got = _run(stateful.count_window(src, "user_id", 10, 2, "c"), "tm_w04")
+    b = _batch(spark, "w04_count_window")
+    cols = ["user_id", "fire_pos", "frame_rows", "frame_sum", "frame_first"]
+    assert _norm(got.select(cols).collect()) == _norm(b.select(cols).collect())
+
+
+def test_distinct_counts_stream_and_watermark(spark, stream_dir):
+    s = basic.distinct_counts(_stream(spark, stream_dir), [], "et", "1 hour", "user_id")
+    q = to_memory(s, "tm_a10", "append", checkpoint=tempfile.mkdtemp(prefix="tm-ckpt-"))
+    q.awaitTermination()
+    got = spark.table("tm_a10").filter(F.col("window_start") < dt.datetime(2030, 1, 1))
+    b = _batch(spark, "a10_uv_window")
+    cols = ["window_start", "window_end", "uv"]
+    assert _norm(got.select(cols).collect()) == _norm(b.select(cols).collect())
+    # U02 on a stream: the last watermark is the sentinel's event time (delay 0)
+    sentinel = spark.read.parquet(stream_dir).agg(F.max("ts")).first()[0]
+    assert basic.watermark_ms(q) == int((sentinel - dt.datetime(1970, 1, 1)).total_seconds() * 1000)

@@ -119,3 +119,13 @@ def watermark_ms(query) -> int | None:
 
     t = _dt.datetime.strptime(wm, "%Y-%m-%dT%H:%M:%S.%fZ").replace(tzinfo=_dt.timezone.utc)
     return int(t.timestamp() * 1000)
+
+
+def distinct_counts(df: DataFrame, keys: Sequence[str], et: str, size: str, col: str, slide: str | None = None, exact: bool = True, name: str = "uv") -> DataFrame:
+    """A10 / A11 on a stream. Spark refuses ``count(distinct)`` in streaming aggregations;
+    the exact form is the size of the window's value set (state holds the distinct values
+    of open windows), ``exact=False`` uses ``approx_count_distinct`` (fixed-size sketch)."""
+    w = F.window(et, size, slide) if slide else F.window(et, size)
+    agg = F.size(F.collect_set(col)) if exact else F.approx_count_distinct(col)
+    g = df.groupBy(*keys, w.alias("w")).agg(agg.cast("bigint").alias(name))
+    return g.select(*keys, _ntz(F.col("w.start")).alias("window_start"), _ntz(F.col("w.end")).alias("window_end"), name)

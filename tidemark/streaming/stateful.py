@@ -398,3 +398,91 @@ def reconcile(df: DataFrame, key: str, side: str, app: str, tolerance: str, et:
     return r.select(
         F.col("k").alias(key), "app_seq", _ntz("app_us").alias("app_ts"), "third_seq", _ntz("third_us").alias("third_ts"), "status"
     )
+
+
+def keyed_state_forms(df: DataFrame, key: str, value: str, et: str = "et", seq: str = "seq") -> DataFrame:
+    """X04-X08 on a stream, the five kinds of keyed state in one processor: value state (the
+    previous row), list state (its size), map state (count per ``value``), reducing state
+    (first row's ``value`` with the newest timestamp) and aggregating state
+    (``"count : n"``). One output row per input row, as the batch forms."""
+    d = _prepared(df, key, et, seq, [F.col(value).cast("string").alias("v")])
+
+    def fn(k, pdfs, state: GroupState):
+        if state.exists:
+            prev_v, prev_s, n, mk, mv, first_v = state.get
+            counts = dict(zip(mk, mv))
+        else:
+            prev_v, prev_s, n, counts, first_v = None, None, 0, {}, None
+        out = []
+        for r in _rows(pdfs).itertuples(index=False):
+            n += 1
+            counts[r.v] = counts.get(r.v, 0) + 1
+            first_v = r.v if first_v is None else first_v
+            out.append((k[0], int(r.seq), prev_v, prev_s, n, counts[r.v], first_v, int(r.us), f"count : {n}"))
+            prev_v, prev_s = r.v, int(r.seq)
+        state.update((prev_v, prev_s, n, list(counts), list(counts.values()), first_v))
+        yield pd.DataFrame(out, columns=["k", "seq", "prev_v", "prev_seq", "list_size", "map_count", "first_v", "us", "agg"]).astype(
+            {"prev_seq": "Int64"}
+        )
+
+    r = d.groupBy("k").applyInPandasWithState(
+        fn,
+        f"k {_ktype(df, key)}, seq bigint, prev_v string, prev_seq bigint, list_size bigint, map_count bigint, "
+        "first_v string, us bigint, agg string",
+        "prev_v string, prev_seq bigint, n bigint, mk array<string>, mv array<bigint>, first_v string",
+        "append",
+        GroupStateTimeout.NoTimeout,
+    )
+    return r.select(
+        F.col("k").alias(key), F.col("seq").alias(seq), F.col("prev_v").alias(f"prev_{value}"), F.col("prev_seq").alias(f"prev_{seq}"),
+        "list_size", "map_count", F.col("first_v").alias(f"first_{value}"), _ntz("us").alias("latest_ts"), "agg",
+    )
+
+
+def rule_join(df: DataFrame, rules: DataFrame, key: str, action: str, et: str = "et", seq: str = "seq", max_rules: int = 100_000) -> DataFrame:
+    """J06 on a stream: the previous action per key is value state; the (previous, current)
+    pairs are joined with the rule table as a stream-static join, the rule table broadcast
+    after a bounded count (re-read each micro-batch when it is a table)."""
+    from tidemark.operators.joins import checked_broadcast
+
+    d = _prepared(df, key, et, seq, [F.col(action).cast("string").alias("a")])
+
+    def fn(k, pdfs, state: GroupState):
+        prev = state.get[0] if state.exists else None
+        out = []
+        for r in _rows(pdfs).itertuples(index=False):
+            if prev is not None:
+                out.append((k[0], int(r.seq), prev, r.a))
+            prev = r.a
+        state.update((prev,))
+        yield pd.DataFrame(out, columns=["k", "seq", "prev", "cur"])
+
+    pairs = d.groupBy("k").applyInPandasWithState(
+        fn, f"k {_ktype(df, key)}, seq bigint, prev string, cur string", "prev string", "append", GroupStateTimeout.NoTimeout
+    )
+    r = checked_broadcast(rules, max_rules)
+    j = pairs.join(r, (pairs["prev"] == r["action1"]) & (pairs["cur"] == r["action2"]))
+    return j.select(F.col("k").alias(key), F.col("seq").alias(seq), F.col("cur").alias(action), *[c for c in rules.columns])
+
+
+def count_window(df: DataFrame, key: str, size: int, slide: int, value: str, et: str = "et", seq: str = "seq") -> DataFrame:
+    """W04 on a stream: list state of the key's last ``size`` values; every ``slide``-th row
+    emits the frame (rows, sum, first position), as :func:`tidemark.operators.windows.count_window`."""
+    d = _prepared(df, key, et, seq, [F.col(value).cast("bigint").alias("v")])
+
+    def fn(k, pdfs, state: GroupState):
+        pos, last = (state.get[0], list(state.get[1])) if state.exists else (0, [])
+        out = []
+        for r in _rows(pdfs).itertuples(index=False):
+            pos += 1
+            last = (last + [int(r.v)])[-size:]
+            if pos % slide == 0:
+                out.append((k[0], pos, len(last), sum(last), pos - len(last) + 1))
+        state.update((pos, last))
+        yield pd.DataFrame(out, columns=["k", "fire_pos", "frame_rows", "frame_sum", "frame_first"])
+
+    r = d.groupBy("k").applyInPandasWithState(
+        fn, f"k {_ktype(df, key)}, fire_pos bigint, frame_rows bigint, frame_sum bigint, frame_first bigint",
+        "pos bigint, last array<bigint>", "append", GroupStateTimeout.NoTimeout,
+    )
+    return r.withColumnRenamed("k", key)
