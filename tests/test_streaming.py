@@ -317,3 +317,25 @@ def test_distinct_counts_stream_and_watermark(spark, stream_dir):
     # U02 on a stream: the last watermark is the sentinel's event time (delay 0)
     sentinel = spark.read.parquet(stream_dir).agg(F.max("ts")).first()[0]
     assert basic.watermark_ms(q) == int((sentinel - dt.datetime(1970, 1, 1)).total_seconds() * 1000)
+
+
+def test_cumulate_stream(spark, stream_dir):
+    from tidemark.operators import windows
+
+    s = windows.cumulate(_stream(spark, stream_dir), ["user_id"], "et", "15 minutes", "1 hour", [F.count(F.lit(1)).alias("cnt")])
+    s = s.select("user_id", F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                 F.col("window_end").cast("timestamp_ntz").alias("window_end"), "cnt")
+    got = _run(s, "tm_w10").filter(F.col("user_id") >= 0)
+    b = _batch(spark, "w10_cumulate")
+    cols = ["user_id", "window_start", "window_end", "cnt"]
+    assert _norm(got.select(cols).collect()) == _norm(b.select(cols).collect())
+
+
+def test_window_join_stream(spark, stream_dir):
+    src = _stream(spark, stream_dir, "6 hours")
+    c = src.filter(F.col("event_type") == "click").select("user_id", F.col("seq").alias("click_id"), F.col("et").alias("click_et"))
+    v = src.filter(F.col("event_type") == "view").select("user_id", F.col("seq").alias("view_id"), F.col("et").alias("view_et"))
+    got = _run(basic.window_join(c, v, "user_id", "click_et", "view_et", "6 hours"), "tm_j01")
+    b = _batch(spark, "j01_window_join")
+    cols = ["user_id", "window_start", "click_id", "view_id"]
+    assert _norm(got.select(cols).collect()) == _norm(b.select(cols).collect())

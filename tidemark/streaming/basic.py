@@ -87,9 +87,11 @@ def interval_join(
 
 
 def window_join(left: DataFrame, right: DataFrame, key: str, l_et: str, r_et: str, size: str) -> DataFrame:
-    """J01 on streams: equi-join on key and the tumbling window of both sides."""
-    lw = left.withColumn("_w", F.window(l_et, size))
-    rw = right.withColumn("_w", F.window(r_et, size))
+    """J01 on streams: equi-join on key and the tumbling window of both sides. A stream may
+    carry one event-time column, so the window is kept as that column and the rows' own event
+    times are returned as plain ``timestamp_ntz`` values."""
+    lw = left.withColumn("_w", F.window(l_et, size)).withColumn(l_et, _ntz(F.col(l_et)))
+    rw = right.withColumn("_w", F.window(r_et, size)).withColumn(r_et, _ntz(F.col(r_et)))
     j = lw.join(rw, [key, "_w"])
     rest = [c for c in j.columns if c not in (key, "_w")]
     return j.select(key, _ntz(F.col("_w.start")).alias("window_start"), _ntz(F.col("_w.end")).alias("window_end"), *rest)
