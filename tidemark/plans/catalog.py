@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.text import lines as text_lines
 from tidemark.functions.time import bucket, epoch_ms, floordiv, seconds_ts
-from tidemark.operators import aggregate, joins, keyed, patterns, state, timers, topn, transform, watermark, windows
+from tidemark.operators import aggregate, joins, patterns, state, timers, topn, transform, watermark, windows
 from tidemark.sources.tables import EVENT_ORDER, events, table
 
 Builder = Callable[[SparkSession, str], DataFrame]
