@@ -13,11 +13,13 @@ def java_split(s: Column, sep: str = " ") -> Column:
     a string of separators only yields no token; the empty string yields one ``''``.
     Spark's ``split`` keeps trailing empties, so trailing separators are cut first."""
     q = re.escape(sep)
-    cut = F.regexp_replace(s, f"(?:{q})+$", "")
+    # Spark's rtrim strips trailing spaces only: exactly the cut for a single-space separator
+    cut = F.rtrim(s) if sep == " " else F.regexp_replace(s, f"(?:{q})+$", "")
     return F.when((s != F.lit("")) & (cut == F.lit("")), F.array().cast("array<string>")).otherwise(F.split(cut, q))
 
 
 def lines(text: Column) -> Column:
     """The lines of a text value as a file reader yields them: split at ``\\n``; a final
     newline ends the last line rather than starting an empty one."""
-    return F.split(F.regexp_replace(text, r"\n\z", ""), r"\n")
+    body = F.when(text.endswith("\n"), text.substr(F.lit(1), F.length(text) - 1)).otherwise(text)
+    return F.split(body, "\n")
