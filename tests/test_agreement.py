@@ -101,3 +101,19 @@ def test_one_hot_key_is_split(spark):
     j = r.join(ref.select("event_id", "rn2"), "event_id")
     assert j.filter(F.col("rn") != F.col("rn2")).count() == 0
     assert r.filter("user_id = 0").agg(F.max("rn")).first()[0] > 6000
+
+
+def test_null_keys_are_one_group(spark):
+    """Rows with a null key form one group across slices, as in a plain window."""
+    from pyspark.sql import Window
+
+    ev = events(spark, SF_SMALL).withColumn("user_id", F.when(F.col("user_id") % 5 == 0, F.lit(None)).otherwise(F.col("user_id")))
+    order = ["ts", "event_id"]
+    w = Window.partitionBy("user_id").orderBy(*order)
+    ref = ev.withColumn("rn2", F.row_number().over(w)).withColumn("p2", F.lag("event_id", 2).over(w))
+    r = keyed.row_number(ev, ["user_id"], order, bucket("ts", "1 hour"), "rn")
+    lg = keyed.lag(ev, ["user_id"], order, bucket("ts", "1 hour"), ["event_id"], 2, "p")
+    j = r.join(lg.select("event_id", "p2_event_id"), "event_id").join(ref.select("event_id", "rn2", "p2"), "event_id")
+    assert j.count() == ev.count()
+    assert j.filter((F.col("rn") != F.col("rn2")) | ~F.col("p2_event_id").eqNullSafe(F.col("p2"))).count() == 0
+    assert j.filter(F.col("user_id").isNull()).agg(F.max("rn")).first()[0] > 100

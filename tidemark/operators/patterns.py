@@ -112,41 +112,39 @@ def state_machine(
     computed by pointer doubling in ``(key, slice)`` window partitions (log2 of the largest
     slice steps) and carried across slices on the table of slice summaries."""
     keys, order = list(keys), list(order)
-    n_sym, n_states = len(next_state), len(next_state[0])
+    n_sym = len(next_state)
     table = F.array(*[F.array(*[F.lit(int(s)) for s in row]) for row in next_state])
     emits = F.array(*[F.array(*[F.lit(bool(e)) for e in row]) for row in emit])
 
     sym = F.coalesce(symbol.cast("int"), F.lit(n_sym - 1))
-    d = keyed.with_slice(df, split).withColumn("_sym", sym).withColumn("_f", F.element_at(table, F.col("_sym") + 1))
-    kv = [*keys, keyed.SLICE]
-    w = Window.partitionBy(*kv).orderBy(*order)
-    d = d.withColumn("_rn", F.row_number().over(w)).withColumn("_cnt", F.count(F.lit(1)).over(Window.partitionBy(*kv)))
+    kv, k_, sl = keyed.KV, keyed.K, keyed.SLICE
+    d = keyed._keyed(df, keys, split).withColumn("_sym", sym).withColumn("_f", F.element_at(table, F.col("_sym") + 1))
+    w = Window.partitionBy(kv).orderBy(*order)
+    d = d.withColumn("_rn", F.row_number().over(w)).withColumn("_last", F.lead(F.lit(1), 1).over(w).isNull())
 
     # number of doubling steps: one small aggregate job (partial counts per (key, slice))
-    sizes = keyed.with_slice(df, split).groupBy(*kv).agg(F.count(F.lit(1)).alias("_n"))
-    stats = sizes.groupBy(*keys).agg(F.count(F.lit(1)).alias("_s"), F.max("_n").alias("_n")).agg(
-        F.max("_s").alias("s"), F.max("_n").alias("n")
-    ).first()
+    sizes = keyed._keyed(df, keys, split).groupBy(kv).agg(F.count(F.lit(1)).alias("_n"))
+    stats = sizes.groupBy(*[F.col(f"{kv}.{k}") for k in keys]).agg(
+        F.count(F.lit(1)).alias("_s"), F.max("_n").alias("_n")
+    ).agg(F.max("_s").alias("s"), F.max("_n").alias("n")).first()
     if stats is None or stats["n"] is None:
         return df.withColumn("state_before", F.lit(None).cast("int")).withColumn(
             "state_after", F.lit(None).cast("int")).withColumn("alert", F.lit(False))
     row_steps = max(1, math.ceil(math.log2(max(stats["n"], 2))))
     slice_steps = max(1, math.ceil(math.log2(max(stats["s"], 2))))
 
-    d = _prefix(d, kv, order, "_f", row_steps)
+    d = _prefix(d, [kv], order, "_f", row_steps)
     # slice summaries -> exclusive prefix over slices -> state entering each slice
-    summ = d.filter(F.col("_rn") == F.col("_cnt")).select(*kv, F.col("_f").alias("_g"))
-    summ = _prefix(summ, keys, [keyed.SLICE], "_g", slice_steps)
-    ws = Window.partitionBy(*keys).orderBy(keyed.SLICE)
-    carry = summ.select(
-        *kv, F.coalesce(F.element_at(F.lag("_g", 1).over(ws), start + 1), F.lit(start)).alias("_in")
-    )
+    summ = keyed._per_slice(d.filter("_last"), keys, F.col("_f").alias("_g"))
+    summ = _prefix(summ, [k_], [sl], "_g", slice_steps)
+    ws = Window.partitionBy(k_).orderBy(sl)
+    carry = summ.select(kv, F.coalesce(F.element_at(F.lag("_g", 1).over(ws), start + 1), F.lit(start)).alias("_in"))
     d = d.join(carry, kv, "left")
     before = F.coalesce(F.element_at(F.lag("_f", 1).over(w), F.col("_in") + 1), F.col("_in"))
     d = d.withColumn("state_before", before.cast("int"))
     d = d.withColumn("state_after", F.element_at("_f", F.col("_in") + 1).cast("int"))
     d = d.withColumn("alert", F.element_at(F.element_at(emits, F.col("_sym") + 1), F.col("state_before") + 1))
-    return d.drop("_sym", "_f", "_rn", "_cnt", "_in", keyed.SLICE)
+    return d.drop("_sym", "_f", "_rn", "_last", "_in", kv, k_, sl)
 
 
 # The reference's login-failure machine.
