@@ -242,3 +242,33 @@ def run_length(
     )
     out = d.join(carry, KV, "left").withColumn(name, run.cast("bigint"))
     return _drop(out, "_ok", "_rn", "_brk", "_last", "_carry")
+
+
+def time_split(df: DataFrame, ts: str, min_width: int = 1, max_width: int = 86_400) -> Column:
+    """A ``split`` sized from the data: time buckets of ``span / sqrt(rows)`` seconds (clamped
+    to ``[min_width, max_width]``). With N rows that gives about sqrt(N) slices, so even a key
+    holding a third of all rows has about sqrt(N) rows per slice and sqrt(N) rows in its
+    per-slice table. Costs one min/max/count aggregate over one column."""
+    import math
+
+    lo, hi, n = df.agg(F.min(ts), F.max(ts), F.count(F.lit(1))).first()
+    if not n or lo is None:
+        return F.window(F.col(ts), f"{max_width} seconds").start
+    span = max((hi - lo).total_seconds(), 1.0)
+    width = int(min(max(span / math.sqrt(n), min_width), max_width))
+    return F.window(F.col(ts), f"{width} seconds").start
+
+
+def range_split(df: DataFrame, col: str, rows: int | None = None) -> Column:
+    """A ``split`` over an integer ordering column: ranges of ``span / sqrt(rows)`` values
+    (``rows`` defaults to the row count of ``df``); see :func:`time_split`."""
+    import math
+
+    lo, hi, n = df.agg(F.min(col), F.max(col), F.count(F.lit(1))).first()
+    n = rows or n
+    if not n or lo is None:
+        return F.lit(0).cast("bigint")
+    width = max(int((hi - lo + 1) / math.sqrt(n)), 1)
+    x = F.col(col).cast("bigint")
+    wl = F.lit(width).cast("bigint")
+    return F.call_function("div", x - F.pmod(x, wl), wl)

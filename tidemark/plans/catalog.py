@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.text import lines as text_lines
 from tidemark.functions.time import bucket, epoch_ms, floordiv, seconds_ts
-from tidemark.operators import aggregate, joins, patterns, state, timers, topn, transform, watermark, windows
+from tidemark.operators import aggregate, joins, keyed, patterns, state, timers, topn, transform, watermark, windows
 from tidemark.sources.tables import EVENT_ORDER, events, table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -27,8 +27,9 @@ CATALOG: dict[str, tuple[Builder, str | None]] = {}
 ORDER = list(EVENT_ORDER)
 
 
-def _split():
-    return bucket("ts", "1 day")
+def _split(df):
+    """Slices of the (ts, event_id) order sized from the data (about sqrt(rows) slices)."""
+    return keyed.time_split(df, "ts")
 
 
 def query(name: str, sql: str | None):
@@ -84,8 +85,9 @@ SELECT doc_id, line_no, pos, word,
 FROM t""")
 def a02_running_word_count(spark, sf):
     toks = aggregate.tokens(_doc_lines(spark, sf), "line")
-    # slices of the order: blocks of 256 documents (a hot word is cut into its blocks)
-    return aggregate.running_count(toks, ["word"], ["doc_id", "line_no", "pos"], floordiv("doc_id", 256), "cnt")
+    # slices of the order: document-id ranges, about sqrt(#documents) of them
+    docs = table(spark, sf, "documents").select("doc_id")
+    return aggregate.running_count(toks, ["word"], ["doc_id", "line_no", "pos"], keyed.range_split(docs, "doc_id"), "cnt")
 
 
 # ---------------------------------------------------------------- transforms --------------
@@ -233,7 +235,7 @@ FROM events
 """)
 def a06_running_clicks(spark, sf):
     ev = events(spark, sf).select("event_id", "user_id", "ts")
-    return aggregate.running_count(ev, ["user_id"], ORDER, _split(), "cnt").select("event_id", "user_id", "cnt")
+    return aggregate.running_count(ev, ["user_id"], ORDER, _split(ev), "cnt").select("event_id", "user_id", "cnt")
 
 
 @query("a07_most_active", """
@@ -318,7 +320,7 @@ GROUP BY user_id, grp HAVING count(*) = 5
 """)
 def a15_avg_of_5(spark, sf):
     ev = events(spark, sf).withColumn("ts_ms", epoch_ms("ts"))
-    return aggregate.group_of_n_average(ev, ["user_id"], ORDER, _split(), 5, "ts_ms", "avg_ts_ms")
+    return aggregate.group_of_n_average(ev, ["user_id"], ORDER, _split(ev), 5, "ts_ms", "avg_ts_ms")
 
 
 # ---------------------------------------------------------------- windows -----------------
@@ -368,7 +370,7 @@ WHERE fire_pos % 2 = 0
 """)
 def w04_count_window(spark, sf):
     ev = events(spark, sf).withColumn("c", _cents())
-    return windows.count_window(ev, ["user_id"], ORDER, _split(), 10, 2, "c")
+    return windows.count_window(ev, ["user_id"], ORDER, _split(ev), 10, 2, "c")
 
 
 @query("w06_window_all", """
@@ -453,7 +455,7 @@ WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 3 PRECEDING
 """)
 def w11_over_avg(spark, sf):
     ev = events(spark, sf).select("event_id", "user_id", "ts").withColumn("ms", epoch_ms("ts"))
-    r = windows.rows_average(ev, ["user_id"], ORDER, _split(), "ms", 4, "avg_ts_ms")
+    r = windows.rows_average(ev, ["user_id"], ORDER, _split(ev), "ms", 4, "avg_ts_ms")
     return r.select("user_id", "event_id", "avg_ts_ms")
 
 
@@ -552,7 +554,7 @@ FROM (SELECT *,
 def u02_watermark_trace(spark, sf):
     ev = events(spark, sf).select("event_id", "event_type", "ts").filter(F.col("event_type").isin("click", "view"))
     return watermark.watermark_trace(
-        ev, "event_type", {"click": "10 minutes", "view": "30 minutes"}, ORDER, "ts", bucket("ts", "1 minute")
+        ev, "event_type", {"click": "10 minutes", "view": "30 minutes"}, ORDER, "ts", _split(ev)
     )
 
 
@@ -583,7 +585,7 @@ FROM m
 def l07_late_route(spark, sf):
     d = _late_input(spark, sf)
     return watermark.late_route(
-        d, "source", ["event_id"], F.floor(F.col("event_id") / 1000), "et", "1 hour", "1 hour", "30 minutes"
+        d, "source", ["event_id"], keyed.range_split(d, "event_id"), "et", "1 hour", "1 hour", "30 minutes"
     )
 
 
@@ -619,7 +621,7 @@ FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
 """)
 def x04_value_state_previous(spark, sf):
     ev = events(spark, sf).select("event_id", "user_id", "event_type", "ts")
-    r = state.value_state_previous(ev, ["user_id"], ORDER, _split(), ["event_type", "event_id"])
+    r = state.value_state_previous(ev, ["user_id"], ORDER, _split(ev), ["event_type", "event_id"])
     return r.select("event_id", "user_id", "prev_event_type", "prev_event_id")
 
 
@@ -629,7 +631,7 @@ FROM events
 """)
 def x05_list_state_size(spark, sf):
     ev = events(spark, sf).select("event_id", "user_id", "ts")
-    return state.list_state_size(ev, ["user_id"], ORDER, _split()).select("event_id", "user_id", "list_size")
+    return state.list_state_size(ev, ["user_id"], ORDER, _split(ev)).select("event_id", "user_id", "list_size")
 
 
 @query("x06_map_state_counter", """
@@ -639,7 +641,7 @@ FROM events
 """)
 def x06_map_state_counter(spark, sf):
     ev = events(spark, sf).select("event_id", "user_id", "event_type", "ts")
-    return state.map_state_counter(ev, ["user_id"], "event_type", ORDER, _split()).select(
+    return state.map_state_counter(ev, ["user_id"], "event_type", ORDER, _split(ev)).select(
         "event_id", "user_id", "event_type", "map_count"
     )
 
@@ -652,7 +654,7 @@ FROM events
 """)
 def x07_reducing_state(spark, sf):
     ev = events(spark, sf).select("event_id", "user_id", "event_type", "ts")
-    r = state.reducing_first_latest(ev, ["user_id"], ORDER, _split(), ["event_type"], "ts")
+    r = state.reducing_first_latest(ev, ["user_id"], ORDER, _split(ev), ["event_type"], "ts")
     return r.select("event_id", "user_id", "first_event_type", "latest_ts")
 
 
@@ -663,7 +665,7 @@ FROM events
 """)
 def x08_aggregating_state(spark, sf):
     ev = events(spark, sf).select("event_id", "user_id", "ts")
-    return state.aggregating_count_text(ev, ["user_id"], ORDER, _split()).select("event_id", "user_id", "agg")
+    return state.aggregating_count_text(ev, ["user_id"], ORDER, _split(ev)).select("event_id", "user_id", "agg")
 
 
 # ---------------------------------------------------------------- joins -------------------
@@ -743,7 +745,7 @@ def j05_reconcile(spark, sf):
     b = _side(spark, sf, "purchase", "third")
     r = joins.reconcile(
         a, b, "user_id", ["app_ts", "app_id"], ["third_ts", "third_id"],
-        bucket("app_ts", "1 day"), bucket("third_ts", "1 day"), "app_ts", "third_ts", "1 day",
+        keyed.time_split(a, "app_ts"), keyed.time_split(b, "third_ts"), "app_ts", "third_ts", "1 day",
     )
     return r.select("user_id", "k", "app_id", "app_ts", "third_id", "third_ts", "status")
 
@@ -766,14 +768,14 @@ FROM p JOIN r ON p.prev = r.action1 AND p.event_type = r.action2
 @query("j06_rule_join_all", _SQL_RULES)
 def j06_rule_join_all(spark, sf):
     ev = events(spark, sf).select("user_id", "event_id", "event_type", "ts")
-    r = joins.rule_join(ev, _rules(spark), "user_id", ORDER, _split(), "event_type", "all")
+    r = joins.rule_join(ev, _rules(spark), "user_id", ORDER, _split(ev), "event_type", "all")
     return r.select("user_id", "event_id", "event_type", "action1", "action2", "version")
 
 
 @query("j06_rule_join_latest", _SQL_RULES + " WHERE version = 2")
 def j06_rule_join_latest(spark, sf):
     ev = events(spark, sf).select("user_id", "event_id", "event_type", "ts")
-    r = joins.rule_join(ev, _rules(spark), "user_id", ORDER, _split(), "event_type", "latest")
+    r = joins.rule_join(ev, _rules(spark), "user_id", ORDER, _split(ev), "event_type", "latest")
     return r.select("user_id", "event_id", "event_type", "action1", "action2", "version")
 
 
@@ -789,7 +791,7 @@ WHERE event_type = 'error' AND e1 = 'error' AND e2 = 'error'
 """)
 def c01_three_fails(spark, sf):
     ev = events(spark, sf).select("user_id", "event_id", "event_type", "ts")
-    return patterns.adjacent(ev, ["user_id"], ORDER, _split(), F.col("event_type") == "error", 3, ["event_id", "ts"])
+    return patterns.adjacent(ev, ["user_id"], ORDER, _split(ev), F.col("event_type") == "error", 3, ["event_id", "ts"])
 
 
 @query("c02_consecutive", """
@@ -805,7 +807,7 @@ WHERE run >= 3
 """)
 def c02_consecutive(spark, sf):
     ev = events(spark, sf).select("user_id", "event_id", "event_type", "ts")
-    return patterns.consecutive(ev, ["user_id"], ORDER, _split(), F.col("event_type") == "error", 3, ["event_id", "ts"])
+    return patterns.consecutive(ev, ["user_id"], ORDER, _split(ev), F.col("event_type") == "error", 3, ["event_id", "ts"])
 
 
 @query("c03_followed_by_within", """
@@ -823,7 +825,7 @@ def c03_followed_by_within(spark, sf):
     ev = events(spark, sf).select("user_id", "event_id", "event_type", "ts")
     t = F.col("event_type")
     return patterns.followed_by_within(
-        ev, ["user_id"], ORDER, _split(), t == "signup", t == "purchase", "12 hours", ["event_id", "ts"]
+        ev, ["user_id"], ORDER, _split(ev), t == "signup", t == "purchase", "12 hours", ["event_id", "ts"]
     )
 
 
@@ -838,7 +840,7 @@ def c04_state_machine(spark, sf):
     t = F.col("event_type")
     sym = F.when(t == "error", 0).when(t == "purchase", 1).otherwise(2)
     r = patterns.state_machine(
-        ev, ["user_id"], ORDER, _split(), sym, patterns.LOGIN_FAIL_NEXT, patterns.LOGIN_FAIL_EMIT
+        ev, ["user_id"], ORDER, _split(ev), sym, patterns.LOGIN_FAIL_NEXT, patterns.LOGIN_FAIL_EMIT
     )
     return r.filter("alert").select("user_id", "event_id", "ts")
 
@@ -854,4 +856,4 @@ def k04_buffered_groups(spark, sf):
     from tidemark.sinks.buffered import flush_groups
 
     ev = events(spark, sf).select("event_type", "event_id")
-    return flush_groups(ev, ["event_type"], ["event_id"], F.floor(F.col("event_id") / 1000), 10)
+    return flush_groups(ev, ["event_type"], ["event_id"], keyed.range_split(ev, "event_id"), 10)
