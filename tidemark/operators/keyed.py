@@ -12,11 +12,12 @@ table with one row per ``(key, slice)`` (or ``k`` rows for a k-step look-back),
 bounded by the number of slices, not by the number of rows of the key.
 
 Plan shape: the rows are shuffled once by ``(key, slice)`` and windowed there. The per-slice
-table is taken from the windowed rows (the last row of each slice), is small, and joins back
-on the same ``(key, slice)`` partitioning, so the rows are not shuffled again; the input is
-evaluated twice (rows and per-slice table), which is cheap for a columnar scan and worth a
-written intermediate for an expensive derived input. Keys and slice are packed into one
-struct column ``KV``: a struct is never null, so Catalyst infers no ``isnotnull`` filter,
+table is a grouped aggregate (partial per map task, no sort) for running aggregates and the
+next match, and the last rows of each windowed slice for look-backs and run lengths; it is
+small and joins back on the same ``(key, slice)`` partitioning, so the rows are not shuffled
+again. The input is evaluated twice (rows and per-slice table): cheap for a columnar scan,
+worth a written intermediate for an expensive derived input. Keys and slice are packed into
+one struct column ``KV``: a struct is never null, so Catalyst infers no ``isnotnull`` filter,
 and null keys are grouped like any other key. ``order`` columns are taken ascending.
 """
 
@@ -86,16 +87,14 @@ def running(
     totals, prefix = [], []
     for name, (kind, expr) in aggs.items():
         e = F.lit(1) if kind == "count" else _col(expr)
-        d = d.withColumn(f"_i_{name}", _AGG[kind](e).over(w_in))
-        # slice total = the inclusive running value at the slice's last row
-        if not inclusive:
-            d = d.withColumn(f"_a_{name}", _AGG[kind](e).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-        totals.append(F.col(f"_i_{name}" if inclusive else f"_a_{name}").alias(f"_t_{name}"))
+        totals.append(_AGG[kind](e).alias(f"_t_{name}"))
         carry = "sum" if kind in ("count", "sum") else kind
         prefix.append(_AGG[carry](F.col(f"_t_{name}")).over(w_sl).alias(f"_p_{name}"))
-    d = d.withColumn("_last", F.lead(F.lit(1), 1).over(w).isNull())
-
-    offsets = _per_slice(d.filter("_last"), keys, *totals).select(KV, *prefix)
+    # slice totals: a grouped aggregate, partial per map task (no sort of the rows)
+    offsets = _per_slice(d.groupBy(KV).agg(*totals), keys, *[f"_t_{n}" for n in aggs]).select(KV, *prefix)
+    for name, (kind, expr) in aggs.items():
+        e = F.lit(1) if kind == "count" else _col(expr)
+        d = d.withColumn(f"_i_{name}", _AGG[kind](e).over(w_in))
     out = d.join(offsets, KV, "left")
     for name, (kind, _) in aggs.items():
         i, p = F.col(f"_i_{name}"), F.col(f"_p_{name}")
@@ -105,8 +104,8 @@ def running(
             v = F.least(i, p)
         else:
             v = F.greatest(i, p)
-        out = out.withColumn(name, v).drop(f"_i_{name}", f"_p_{name}", f"_a_{name}")
-    return _drop(out, "_last")
+        out = out.withColumn(name, v).drop(f"_i_{name}", f"_p_{name}")
+    return _drop(out)
 
 
 def row_number(
@@ -188,16 +187,14 @@ def next_match(
     fields = list(dict.fromkeys(order + cols))
     d = _keyed(df, keys, split).withColumn("_cand", F.when(is_target, F.struct(*fields)))
     w_rev = Window.partitionBy(KV).orderBy(*[F.col(c).desc() for c in order])
-    d = d.withColumn("_in", F.min("_cand").over(w_rev.rowsBetween(Window.unboundedPreceding, -1))).withColumn(
-        "_head", F.lead(F.lit(1), 1).over(w_rev).isNull()
-    )
     w_sl = Window.partitionBy(K).orderBy(F.col(SLICE).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    # the slice's first target = at its first row, min(own candidate, later candidates)
-    later = _per_slice(d.filter("_head"), keys, F.least("_cand", "_in").alias("_first")).select(
+    # the first target of every slice: a grouped aggregate, partial per map task
+    later = _per_slice(d.groupBy(KV).agg(F.min("_cand").alias("_first")), keys, "_first").select(
         KV, F.min("_first").over(w_sl).alias("_later")
     )
+    d = d.withColumn("_in", F.min("_cand").over(w_rev.rowsBetween(Window.unboundedPreceding, -1)))
     out = d.join(later, KV, "left").withColumn(name, F.coalesce("_in", "_later"))
-    return _drop(out, "_cand", "_in", "_head", "_later")
+    return _drop(out, "_cand", "_in", "_later")
 
 
 def run_length(
