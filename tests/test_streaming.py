@@ -339,3 +339,18 @@ def test_window_join_stream(spark, stream_dir):
     b = _batch(spark, "j01_window_join")
     cols = ["user_id", "window_start", "click_id", "view_id"]
     assert _norm(got.select(cols).collect()) == _norm(b.select(cols).collect())
+
+
+def test_sql_on_a_streaming_view(spark, stream_dir):
+    """A stream turned into a view with its row-time column (cut to seconds, F09)
+    and a watermark, queried in SQL (the W07 group window), equals the batch query."""
+    schema = spark.read.parquet(f"{SF_SMALL}/events.parquet").schema
+    raw = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(stream_dir)
+    v = raw.select(F.col("user_id").alias("user_name"), F.col("event_type").alias("url"),
+                   F.timestamp_seconds(F.floor(epoch_ms("ts") / 1000)).alias("et")).withWatermark("et", "0 seconds")
+    v.createOrReplaceTempView("tm_stream_clicks")
+    s = spark.sql("SELECT user_name, CAST(window.end AS TIMESTAMP_NTZ) AS window_end, COUNT(1) AS cnt "
+                  "FROM tm_stream_clicks GROUP BY user_name, window(et, '1 hour')")
+    got = _run(s, "tm_w07_stream").filter(F.col("user_name") >= 0)
+    b = _batch(spark, "w07_sql_tumble_end")
+    assert _norm(got.select("user_name", "window_end", "cnt").collect()) == _norm(b.select("user_name", "window_end", "cnt").collect())
