@@ -117,3 +117,13 @@ def test_null_keys_are_one_group(spark):
     assert j.count() == ev.count()
     assert j.filter((F.col("rn") != F.col("rn2")) | ~F.col("p2_event_id").eqNullSafe(F.col("p2"))).count() == 0
     assert j.filter(F.col("user_id").isNull()).agg(F.max("rn")).first()[0] > 100
+
+
+def test_periodic_count_without_broadcast(spark):
+    """X03's fallback when the per-key table is too big to broadcast: same result."""
+    from tidemark.operators import timers
+
+    ev = events(spark, SF_SMALL)
+    a = timers.periodic_count(ev, "user_id", "ts", "1 day")
+    b = timers.periodic_count(ev, "user_id", "ts", "1 day", max_keys=1)
+    assert _set(a, "user_id", "tick", "pv") == _set(b, "user_id", "tick", "pv")

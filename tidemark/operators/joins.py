@@ -21,11 +21,16 @@ from tidemark.functions.time import epoch_us, floordiv
 from tidemark.operators import keyed
 
 
+def fits(df: DataFrame, max_rows: int) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows (a bounded count: at most ``max_rows + 1``
+    rows are read)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def checked_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows (a bounded count: it reads
-    ``max_rows + 1`` rows at most); otherwise return it unchanged for a shuffle join."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    """Broadcast ``df`` only if it has at most ``max_rows`` rows; otherwise return it
+    unchanged for a shuffle join."""
+    return F.broadcast(df) if fits(df, max_rows) else df
 
 
 def window_join(
@@ -59,7 +64,9 @@ def cogroup(
     )
     if split is None:
         split = F.window(ts, f"{max(duration_us(size) // 60, 1)} microseconds").start
-    u = keyed.row_number(u, [key, "_w", "side"], order, split, "pos").join(sizes, [key, "_w"])
+    # the sizes table has one row per group: broadcast when a bounded count proves it small,
+    # else a shuffle join (AQE splits a skewed group's partition; nothing follows the join)
+    u = keyed.row_number(u, [key, "_w", "side"], order, split, "pos").join(checked_broadcast(sizes, 1_000_000), [key, "_w"])
     rest = [c for c in cols if c != key]
     return u.select(
         key, F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),

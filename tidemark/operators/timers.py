@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.durations import duration_us
 from tidemark.functions.time import ceildiv, epoch_us, floordiv
+from tidemark.operators import keyed
+from tidemark.operators.joins import fits
 
 
 def _as_ts(us, like: DataFrame, ts: str):
@@ -24,27 +26,33 @@ def event_timer(df: DataFrame, key: str, ts: str, delay: str) -> DataFrame:
     return arrivals.unionByName(timers.select(key, F.lit("timer").alias("kind"), "at"))
 
 
-def periodic_count(df: DataFrame, key: str, ts: str, period: str, until=None) -> DataFrame:
+def periodic_count(df: DataFrame, key: str, ts: str, period: str, until=None, max_keys: int = 1_000_000) -> DataFrame:
     """Per key, starting at its first row ``t0``, a timer every ``period`` reports the
     key's cumulative row count up to the timer (rows with ``ts <= tick``). Ticks stop at
     ``until`` (default: the input's last ``ts``, the last watermark of a bounded run).
 
-    Each row goes to the first tick at or after it (``ceil((ts - t0) / period)``); counts per
-    (key, tick) are prefix-summed over the key's ticks. The tick table has one row per key and
-    period, so a hot key costs its number of periods, not its rows."""
+    Each row goes to the first tick at or after it (``ceil((ts - t0) / period)``); the rows
+    are counted per (key, tick index), a table with one row per key and period. A running
+    sum over that table gives the count at each index, which holds for every tick up to the
+    next index that has rows, so the ticks are generated from it directly."""
     p = duration_us(period)
     if until is None:
         until = df.agg(F.max(ts)).first()[0]
     t0 = df.groupBy(key).agg(F.min(ts).alias("_t0"))
-    # row -> tick index; the per-key start is an equi-join (AQE splits a skewed key's partitions)
+    # each row needs its key's start: a broadcast join when a bounded count proves the
+    # per-key table small, else a slice-split running minimum (a hot key is not one task)
+    if fits(t0, max_keys):
+        rows = df.select(key, ts).join(F.broadcast(t0), key)
+    else:
+        rows = keyed.running(df.select(key, ts), [key], [ts], keyed.time_split(df, ts), {"_t0": ("min", ts)})
     idx = ceildiv(epoch_us(ts) - epoch_us("_t0"), p)
-    per = df.select(key, ts).join(t0, key).groupBy(key, idx.alias("k")).agg(F.count(F.lit(1)).alias("_n"))
-    m = floordiv(epoch_us(F.lit(until)) - epoch_us("_t0"), p)
-    ticks = t0.withColumn("_m", m).filter(F.col("_m") >= 1).select(
-        key, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_m"))).alias("k")
+    # counted per (key, tick index) with partial aggregation before the shuffle
+    per = rows.groupBy(key, "_t0", idx.alias("k")).agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(key).orderBy("k")
+    last = floordiv(epoch_us(F.lit(until)) - epoch_us("_t0"), p)
+    per = per.withColumn("_cum", F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn(
+        "_to", F.least(F.coalesce(F.lead("k", 1).over(w) - 1, last), last)
     )
-    # tick index 0 holds rows at t0 itself; they count from the first tick on
-    allk = ticks.unionByName(per.filter(F.col("k") == 0).select(key, "k")).join(per, [key, "k"], "left")
-    w = Window.partitionBy(key).orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
-    pv = allk.withColumn("pv", F.sum(F.coalesce("_n", F.lit(0))).over(w)).filter(F.col("k") >= 1).join(t0, key)
-    return pv.select(key, _as_ts(epoch_us("_t0") + F.col("k") * p, df, ts).alias("tick"), F.col("pv").cast("bigint"))
+    ticks = per.withColumn("_from", F.greatest(F.col("k"), F.lit(1).cast("bigint"))).filter(F.col("_from") <= F.col("_to"))
+    ticks = ticks.select(key, "_t0", "_cum", F.explode(F.sequence("_from", "_to")).alias("_j"))
+    return ticks.select(key, _as_ts(epoch_us("_t0") + F.col("_j") * p, df, ts).alias("tick"), F.col("_cum").cast("bigint").alias("pv"))
