@@ -589,6 +589,32 @@ def l07_late_route(spark, sf):
     )
 
 
+_SQL_LATE = """
+WITH e AS (
+  SELECT event_id, user_id, event_type, event_id % 4 AS source,
+         ts + to_minutes(30 * ((event_id * 7919) % 7)) AS et FROM events),
+m AS (
+  SELECT *, max(epoch_us(et)) OVER (PARTITION BY source ORDER BY event_id
+                                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 3600000000 AS wm
+  FROM e)
+"""
+
+
+@query("l06_allowed_lateness", _SQL_LATE + """
+SELECT event_type, time_bucket(INTERVAL '1 hour', et) AS window_start,
+       time_bucket(INTERVAL '1 hour', et) + INTERVAL '1 hour' AS window_end, count(*) AS cnt
+FROM m
+WHERE NOT coalesce(epoch_us(time_bucket(INTERVAL '1 hour', et) + INTERVAL '1 hour') + 1800000000 <= wm, false)
+GROUP BY ALL
+""")
+def l06_allowed_lateness(spark, sf):
+    """Final window counts with 1 h bound and 30 min allowed lateness: rows arriving after
+    their window closed for good are left out (they go to the side output, L07)."""
+    d = _late_input(spark, sf)
+    r = watermark.late_route(d, "source", ["event_id"], keyed.range_split(d, "event_id"), "et", "1 hour", "1 hour", "30 minutes")
+    return r.filter(F.col("route") == "main").groupBy("event_type", "window_start", "window_end").agg(F.count(F.lit(1)).alias("cnt"))
+
+
 # ---------------------------------------------------------------- timers / state ----------
 
 @query("x01_event_timer", """
