@@ -66,6 +66,16 @@ def max_by_row(df: DataFrame, keys: Sequence[str], field: str, tie: str, cols: S
     return g.select(*keys, *[F.col(f"_b.{c}").alias(c) for c in cols if c not in keys])
 
 
+def running_max_by_row(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], split: str | Column, field: str, tie: str, cols: Sequence[str]
+) -> DataFrame:
+    """A04 running: after each row, the row with the largest ``field`` so far (earliest on a
+    tie); its columns come out as ``best_{c}``."""
+    best = F.struct(F.col(field).alias("_f"), (-F.col(tie)).alias("_t"), *[F.col(c) for c in cols])
+    r = keyed.running(df, keys, order, split, {"_best": ("max", best)})
+    return r.select(*df.columns, *[F.col(f"_best.{c}").alias(f"best_{c}") for c in cols])
+
+
 def min_by_row(df: DataFrame, keys: Sequence[str], field: str, tie: str, cols: Sequence[str]) -> DataFrame:
     """A05 ``minBy(field)``: smallest ``field``, earliest row on a tie."""
     best = F.min_by(F.struct(*cols), F.struct(F.col(field), F.col(tie)))

@@ -201,6 +201,18 @@ def a03_max_keep_first(spark, sf):
     return aggregate.max_keep_first(events(spark, sf), ["user_id"], ORDER, "ts", ["event_type"])
 
 
+@query("a03_running_max", """
+SELECT user_id, ts, event_id,
+       first_value(event_type) OVER w AS first_event_type,
+       max(value) OVER w AS max_value
+FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)
+""")
+def a03_running_max(spark, sf):
+    """A03 emitted on every row: the key's first-row fields with the running max of value."""
+    ev = events(spark, sf).select("user_id", "ts", "event_id", "event_type", "value")
+    return aggregate.running_max_keep_first(ev, ["user_id"], ORDER, _split(ev), "value", ["event_type"])
+
+
 @query("a04_max_by", """
 SELECT user_id, event_id, event_type, value FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) AS rn FROM events)
@@ -210,6 +222,20 @@ def a04_max_by(spark, sf):
     return aggregate.max_by_row(events(spark, sf), ["user_id"], "value", "event_id", ["event_id", "event_type", "value"])
 
 
+@query("a04_running_max_by", """
+SELECT user_id, event_id, b.event_id AS best_event_id, b.value AS best_value FROM (
+  SELECT user_id, event_id,
+         max({'v': value, 'neg': -event_id, 'event_id': event_id, 'value': value})
+           OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS b
+  FROM events)
+""")
+def a04_running_max_by(spark, sf):
+    """A04 emitted on every row: the row with the largest value so far (earliest on a tie)."""
+    ev = events(spark, sf).select("user_id", "ts", "event_id", "value")
+    r = aggregate.running_max_by_row(ev, ["user_id"], ORDER, _split(ev), "value", "event_id", ["event_id", "value"])
+    return r.select("user_id", "event_id", "best_event_id", "best_value")
+
+
 @query("a05_sum_min_min_by", """
 SELECT user_id, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS sum_cents, min(value) AS min_value,
        first(event_type ORDER BY value, event_id) AS min_by_type
