@@ -11,9 +11,9 @@ from tidemark.sources.text import lines_of, parse_delimited, read_lines, split_b
 
 def test_read_lines_and_lines_of(spark):
     d = tempfile.mkdtemp(prefix="tm-text-")
-    with open(f"{d}/word.txt", "w") as f:
-        f.write("hello word\nhello bigdata\nhello fink\n")
-    assert [r.value for r in read_lines(spark, d).collect()] == ["hello word", "hello bigdata", "hello fink"]
+    with open(f"{d}/lines.txt", "w") as f:
+        f.write("alpha beta\ngamma\ndelta epsilon\n")
+    assert [r.value for r in read_lines(spark, d).collect()] == ["alpha beta", "gamma", "delta epsilon"]
     df = spark.createDataFrame([(1, "a\nb\n"), (2, "c")], "id int, text string")
     assert sorted((r.id, r.line_no, r.line) for r in lines_of(df, "text", keep=["id"]).collect()) == [
         (1, 1, "a"), (1, 2, "b"), (2, 1, "c")]
