@@ -585,62 +585,60 @@ def u02_watermark_trace(spark, sf):
 
 
 def _late_input(spark, sf):
+    """Disordered delivery: event time stays ``ts``; each event arrives 0-3 h late
+    (``ts + 30 min x ((event_id x 7919) mod 7)``) through one of 4 sources
+    (``event_id mod 4``); records are processed in arrival order."""
     ev = events(spark, sf).select("event_id", "user_id", "event_type", "ts")
-    shift = F.expr("make_dt_interval(0, 0, 30 * pmod(event_id * 7919, 7), 0)")
-    return ev.select(
-        "event_id", "user_id", "event_type", F.pmod("event_id", F.lit(4)).alias("source"), (F.col("ts") + shift).alias("et")
-    )
+    delay = F.expr("make_dt_interval(0, 0, 30 * pmod(event_id * 7919, 7), 0)")
+    return ev.select("event_id", "user_id", "event_type", F.pmod("event_id", F.lit(4)).alias("source"), "ts",
+                     (F.col("ts") + delay).alias("arrival"))
 
 
-@query("l07_late_route", """
-WITH e AS (
-  SELECT event_id, user_id, event_type, event_id % 4 AS source,
-         ts + to_minutes(30 * ((event_id * 7919) % 7)) AS et FROM events),
-m AS (
-  SELECT *, max(epoch_us(et)) OVER (PARTITION BY source ORDER BY event_id
-                                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 3600000000 AS wm
-  FROM e)
-SELECT event_id, user_id, event_type, source, et,
-       time_bucket(INTERVAL '1 hour', et) AS window_start,
-       time_bucket(INTERVAL '1 hour', et) + INTERVAL '1 hour' AS window_end,
-       make_timestamp(wm) AS watermark,
-       CASE WHEN epoch_us(time_bucket(INTERVAL '1 hour', et) + INTERVAL '1 hour') + 1800000000 <= wm
-            THEN 'late' ELSE 'main' END AS route
-FROM m
-""")
-def l07_late_route(spark, sf):
+def _late_routed(spark, sf):
     d = _late_input(spark, sf)
     return watermark.late_route(
-        d, "source", ["event_id"], keyed.range_split(d, "event_id"), "et", "1 hour", "1 hour", "30 minutes"
+        d, "source", ["arrival", "event_id"], keyed.time_split(d, "arrival"), "ts", "1 hour", "1 hour", "30 minutes"
     )
 
 
 _SQL_LATE = """
 WITH e AS (
-  SELECT event_id, user_id, event_type, event_id % 4 AS source,
-         ts + to_minutes(30 * ((event_id * 7919) % 7)) AS et FROM events),
+  SELECT event_id, user_id, event_type, event_id % 4 AS source, ts,
+         ts + to_minutes(30 * ((event_id * 7919) % 7)) AS arrival FROM events),
 m AS (
-  SELECT *, max(epoch_us(et)) OVER (PARTITION BY source ORDER BY event_id
+  SELECT *, max(epoch_us(ts)) OVER (PARTITION BY source ORDER BY arrival, event_id
                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 3600000000 AS wm
   FROM e)
 """
 
 
 @query("l06_allowed_lateness", _SQL_LATE + """
-SELECT event_type, time_bucket(INTERVAL '1 hour', et) AS window_start,
-       time_bucket(INTERVAL '1 hour', et) + INTERVAL '1 hour' AS window_end, count(*) AS cnt
+SELECT event_type, time_bucket(INTERVAL '1 hour', ts) AS window_start,
+       time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' AS window_end, count(*) AS cnt
 FROM m
-WHERE NOT coalesce(epoch_us(time_bucket(INTERVAL '1 hour', et) + INTERVAL '1 hour') + 1800000000 <= wm, false)
+WHERE NOT coalesce(epoch_us(time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour') + 1800000000 <= wm, false)
 GROUP BY ALL
 """)
 def l06_allowed_lateness(spark, sf):
     """Final window counts with 1 h bound and 30 min allowed lateness: rows arriving after
     their window closed for good are left out (they go to the side output, L07)."""
-    d = _late_input(spark, sf)
-    r = watermark.late_route(d, "source", ["event_id"], keyed.range_split(d, "event_id"), "et", "1 hour", "1 hour", "30 minutes")
+    r = _late_routed(spark, sf)
     return r.filter(F.col("route") == "main").groupBy("event_type", "window_start", "window_end").agg(F.count(F.lit(1)).alias("cnt"))
 
 
+@query("l07_late_route", _SQL_LATE + """
+SELECT event_id, user_id, event_type, source, ts, arrival,
+       time_bucket(INTERVAL '1 hour', ts) AS window_start,
+       time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' AS window_end,
+       make_timestamp(wm) AS watermark,
+       CASE WHEN epoch_us(time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour') + 1800000000 <= wm
+            THEN 'late' ELSE 'main' END AS route
+FROM m
+""")
+def l07_late_route(spark, sf):
+    return _late_routed(spark, sf)
+
+
 # ---------------------------------------------------------------- timers / state ----------
 
 @query("x01_event_timer", """
