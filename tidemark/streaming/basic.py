@@ -60,7 +60,7 @@ def top_n(df: DataFrame, key: str, et: str, size: str, slide: str | None, n: int
     w = F.window(et, size, slide) if slide else F.window(et, size)
     c = df.groupBy(key, w.alias("w")).agg(F.count(F.lit(1)).alias(name))
     c = c.select(key, name, F.col("w.start").alias("ws"), F.col("w.end").alias("we"), F.window_time("w").alias("wt"))
-    top = c.groupBy(F.window("wt", "1 microsecond").alias("w2"), "ws", "we").agg(
+    top = c.groupBy("wt", "ws", "we").agg(
         F.slice(F.sort_array(F.collect_list(F.struct((-F.col(name)).alias("neg"), F.col(key).alias("k")))), 1, n).alias("top")
     )
     return top.select(
