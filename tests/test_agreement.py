@@ -127,3 +127,26 @@ def test_periodic_count_without_broadcast(spark):
     a = timers.periodic_count(ev, "user_id", "ts", "1 day")
     b = timers.periodic_count(ev, "user_id", "ts", "1 day", max_keys=1)
     assert _set(a, "user_id", "tick", "pv") == _set(b, "user_id", "tick", "pv")
+
+
+def test_hot_key_rows_span_many_tasks(spark):
+    """The rows of a key holding 2/3 of the data are processed by many tasks in the
+    slice-split scan, by one task in a plain keyed window."""
+    from pyspark.sql import Window
+
+    ev = events(spark, SF_MID).withColumn("user_id", F.when(F.col("event_id") % 3 != 0, F.lit(0)).otherwise(F.col("user_id")))
+    order = ["ts", "event_id"]
+    prev = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        split = keyed.row_number(ev, ["user_id"], order, keyed.time_split(ev, "ts"), "rn")
+        plain = ev.withColumn("rn", F.row_number().over(Window.partitionBy("user_id").orderBy(*order)))
+        # keep rn in the output: an unused window would be pruned and the id read at the scan
+        def tasks(df):
+            rows = df.filter("user_id = 0").select(F.spark_partition_id().alias("p"), "rn").collect()
+            return len({r.p for r in rows})
+
+        assert tasks(plain) == 1
+        assert tasks(split) >= 6
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", prev)
