@@ -354,3 +354,27 @@ def test_sql_on_a_streaming_view(spark, stream_dir):
     got = _run(s, "tm_w07_stream").filter(F.col("user_name") >= 0)
     b = _batch(spark, "w07_sql_tumble_end")
     assert _norm(got.select("user_name", "window_end", "cnt").collect()) == _norm(b.select("user_name", "window_end", "cnt").collect())
+
+
+def test_unbounded_join_and_running_counts_stream(spark, stream_dir):
+    src = _stream(spark, stream_dir).filter(F.col("user_id") >= 0)
+    c = src.filter(F.col("event_type") == "click").select("user_id", F.col("seq").alias("click_id"))
+    v = src.filter(F.col("event_type") == "view").select("user_id", F.col("seq").alias("view_id"))
+    got = _run(basic.unbounded_join(c, v, "user_id"), "tm_j04s")
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    bc = ev.filter("event_type = 'click'").select("user_id", F.col("event_id").alias("click_id"))
+    bv = ev.filter("event_type = 'view'").select("user_id", F.col("event_id").alias("view_id"))
+    assert _norm(got.collect()) == _norm(bc.join(bv, "user_id").select(*got.columns).collect())
+    counts = _run(basic.running_counts(src, ["user_id"]), "tm_a14s", "update")
+    final = counts.groupBy("user_id").agg(F.max("cnt").alias("cnt"))
+    b = _batch(spark, "a14_sql_group_count")
+    assert _norm(final.collect()) == _norm(b.select("user_id", "cnt").collect())
+
+
+def test_console_sink(spark, stream_dir):
+    from tidemark.sinks.outputs import to_console
+
+    q = to_console(_stream(spark, stream_dir).select("user_id", "event_type").filter("user_id = 1"), "clicks",
+                   checkpoint=tempfile.mkdtemp(prefix="tm-ckpt-"))
+    q.awaitTermination()
+    assert q.lastProgress is not None

@@ -28,6 +28,19 @@ def to_memory(df: DataFrame, name: str, mode: str = "append", checkpoint: str |
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def to_console(df: DataFrame, label: str | None = None, mode: str = "append", checkpoint: str | None = None) -> StreamingQuery:
+    """K01 ``print(label)`` on a stream: the console sink, the label as a first column."""
+    from tidemark.session import checkpoint_dir
+
+    out = labelled(df, label) if label else df
+    name = f"console_{label or 'out'}"
+    return (
+        out.writeStream.format("console").outputMode(mode).option("truncate", False)
+        .option("checkpointLocation", checkpoint or checkpoint_dir(df.sparkSession, f"streams/{name}"))
+        .trigger(availableNow=True).start()
+    )
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "append", header: bool = False) -> None:
     """``executeInsert`` into a filesystem CSV table."""
     df.write.mode(mode).option("header", header).csv(path)

@@ -97,6 +97,13 @@ def window_join(left: DataFrame, right: DataFrame, key: str, l_et: str, r_et: st
     return j.select(key, _ntz(F.col("_w.start")).alias("window_start"), _ntz(F.col("_w.end")).alias("window_end"), *rest)
 
 
+def unbounded_join(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
+    """J04 on streams: an inner equi-join with no time bound. Spark allows it; every row of
+    both sides stays in the join state for ever (the reference keeps them in list state),
+    so it is only for inputs whose key space and lifetime are bounded."""
+    return left.join(right, on)
+
+
 def union(*dfs: DataFrame) -> DataFrame:
     """The union's watermark is the minimum of its inputs' (Spark's default policy)."""
     out = dfs[0]
