@@ -150,3 +150,20 @@ def test_hot_key_rows_span_many_tasks(spark):
         assert tasks(split) >= 6
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", prev)
+
+
+def test_hot_split_slices_only_hot_keys(spark):
+    """Only the hot key is sliced; results equal the plain window; the per-slice table has
+    about one row per cold key."""
+    from pyspark.sql import Window
+
+    ev = events(spark, SF_MID).withColumn("user_id", F.when(F.col("event_id") % 3 != 0, F.lit(0)).otherwise(F.col("user_id")))
+    order = ["ts", "event_id"]
+    sp = keyed.hot_split(ev, "user_id", "ts")
+    slices = ev.select("user_id", sp.alias("s")).distinct()
+    assert slices.filter("user_id = 0").count() > 50
+    assert slices.filter("user_id != 0").count() == ev.filter("user_id != 0").select("user_id").distinct().count()
+    r = keyed.row_number(ev, ["user_id"], order, sp, "rn")
+    ref = ev.withColumn("rn2", F.row_number().over(Window.partitionBy("user_id").orderBy(*order)))
+    j = r.join(ref.select("event_id", "rn2"), "event_id")
+    assert j.filter(F.col("rn") != F.col("rn2")).count() == 0

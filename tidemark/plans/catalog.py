@@ -27,9 +27,10 @@ CATALOG: dict[str, tuple[Builder, str | None]] = {}
 ORDER = list(EVENT_ORDER)
 
 
-def _split(df):
-    """Slices of the (ts, event_id) order sized from the data (about sqrt(rows) slices)."""
-    return keyed.time_split(df, "ts")
+def _split(df, key="user_id"):
+    """Slices of the (ts, event_id) order per user: a user above sqrt(rows) rows is cut into
+    data-sized time buckets, every other user is one slice."""
+    return keyed.hot_split(df, key, "ts")
 
 
 def query(name: str, sql: str | None):
@@ -580,7 +581,7 @@ FROM (SELECT *,
 def u02_watermark_trace(spark, sf):
     ev = events(spark, sf).select("event_id", "event_type", "ts").filter(F.col("event_type").isin("click", "view"))
     return watermark.watermark_trace(
-        ev, "event_type", {"click": "10 minutes", "view": "30 minutes"}, ORDER, "ts", _split(ev)
+        ev, "event_type", {"click": "10 minutes", "view": "30 minutes"}, ORDER, "ts", keyed.time_split(ev, "ts")
     )
 
 
