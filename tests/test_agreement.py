@@ -167,3 +167,23 @@ def test_hot_split_slices_only_hot_keys(spark):
     ref = ev.withColumn("rn2", F.row_number().over(Window.partitionBy("user_id").orderBy(*order)))
     j = r.join(ref.select("event_id", "rn2"), "event_id")
     assert j.filter(F.col("rn") != F.col("rn2")).count() == 0
+
+
+def test_operators_on_empty_input(spark):
+    """Sizing jobs, carry tables and timers cope with an input without rows."""
+    from tidemark.operators import aggregate, joins, patterns, timers, watermark
+
+    ev = events(spark, SF_SMALL).limit(0)
+    order = ["ts", "event_id"]
+    t = F.col("event_type")
+    for sp in (keyed.time_split(ev, "ts"), keyed.hot_split(ev, "user_id", "ts"), keyed.range_split(ev, "event_id")):
+        assert keyed.row_number(ev, ["user_id"], order, sp).count() == 0
+        assert keyed.lag(ev, ["user_id"], order, sp, ["event_type"], 2).count() == 0
+        assert patterns.followed_by_within(ev, ["user_id"], order, sp, t == "signup", t == "purchase", "1 hour", ["event_id", "ts"]).count() == 0
+        assert patterns.state_machine(ev, ["user_id"], order, sp, F.lit(0), patterns.LOGIN_FAIL_NEXT, patterns.LOGIN_FAIL_EMIT).count() == 0
+    assert timers.periodic_count(ev, "user_id", "ts", "1 day").count() == 0
+    assert aggregate.most_active(ev, "user_id", order).count() in (0, 1)
+    assert joins.interval_join(ev.select("user_id", F.col("ts").alias("a")), ev.select("user_id", F.col("ts").alias("b")),
+                               "user_id", "a", "b", "-1 hour", "1 hour").count() == 0
+    assert watermark.late_route(ev.withColumn("source", F.lit(0)), "source", order, keyed.time_split(ev, "ts"), "ts",
+                                "1 hour", "1 hour").count() == 0
