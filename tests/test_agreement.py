@@ -187,3 +187,18 @@ def test_operators_on_empty_input(spark):
                                "user_id", "a", "b", "-1 hour", "1 hour").count() == 0
     assert watermark.late_route(ev.withColumn("source", F.lit(0)), "source", order, keyed.time_split(ev, "ts"), "ts",
                                 "1 hour", "1 hour").count() == 0
+
+
+def test_running_sum_min_max_match_window(spark):
+    """Running sum (null until a value), min and max over slices equal plain windows."""
+    from pyspark.sql import Window
+
+    ev = events(spark, SF_SMALL).withColumn("v", F.when(F.col("event_id") % 4 == 0, F.lit(None)).otherwise(F.col("event_id")))
+    order = ["ts", "event_id"]
+    r = keyed.running(ev, ["user_id"], order, bucket("ts", "1 hour"),
+                      {"s": ("sum", "v"), "lo": ("min", "v"), "hi": ("max", "v")})
+    w = Window.partitionBy("user_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    ref = ev.select("event_id", F.sum("v").over(w).alias("s2"), F.min("v").over(w).alias("lo2"), F.max("v").over(w).alias("hi2"))
+    j = r.join(ref, "event_id")
+    bad = j.filter(~F.col("s").eqNullSafe(F.col("s2")) | ~F.col("lo").eqNullSafe(F.col("lo2")) | ~F.col("hi").eqNullSafe(F.col("hi2")))
+    assert j.count() == ev.count() and bad.count() == 0

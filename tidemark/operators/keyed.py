@@ -98,8 +98,10 @@ def running(
     out = d.join(offsets, KV, "left")
     for name, (kind, _) in aggs.items():
         i, p = F.col(f"_i_{name}"), F.col(f"_p_{name}")
-        if kind in ("count", "sum"):
+        if kind == "count":
             v = F.coalesce(i, F.lit(0)) + F.coalesce(p, F.lit(0))
+        elif kind == "sum":  # null until a non-null value was seen, as SQL's sum
+            v = F.when(i.isNull() & p.isNull(), F.lit(None)).otherwise(F.coalesce(i, F.lit(0)) + F.coalesce(p, F.lit(0)))
         elif kind == "min":
             v = F.least(i, p)
         else:
