@@ -400,3 +400,17 @@ def test_streaming_word_count(spark):
     lines = from_rows(spark, [("hello word",), ("hello bigdata",), ("hello fink",)], "line string")
     b = aggregate.word_count(lines, "line")
     assert _norm(got.collect()) == _norm(b.select("word", "cnt").collect())
+
+
+def test_cogroup_stream(spark, stream_dir):
+    # the sentinel row stays in (it closes the last windows) and is dropped from the results
+    src = _stream(spark, stream_dir, "6 hours").filter(F.col("event_type").isin("click", "view") | (F.col("user_id") < 0))
+    src = src.withColumn("side", F.when(F.col("event_type") == "click", "left").otherwise("right"))
+    members, sizes = stateful.cogroup(src, "user_id", "side", "6 hours")
+    m = _run(members, "tm_j02_m").filter(F.col("user_id") >= 0)
+    z = _run(sizes, "tm_j02_s").filter(F.col("user_id") >= 0)
+    b = _batch(spark, "j02_cogroup")
+    assert _norm(m.select("user_id", "window_start", "side", "pos", "seq", "ts").collect()) == _norm(
+        b.select("user_id", "window_start", "side", "pos", "event_id", "ts").collect())
+    assert _norm(z.select("user_id", "window_start", "window_end", "n_left", "n_right").collect()) == _norm(
+        b.select("user_id", "window_start", "window_end", "n_left", "n_right").distinct().collect())

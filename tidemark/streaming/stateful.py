@@ -486,3 +486,56 @@ def count_window(df: DataFrame, key: str, size: int, slide: int, value: str, et:
         "pos bigint, last array<bigint>", "append", GroupStateTimeout.NoTimeout,
     )
     return r.withColumnRenamed("k", key)
+
+
+def cogroup(df: DataFrame, key: str, side: str, size: str, et: str = "et", seq: str = "seq") -> tuple[DataFrame, DataFrame]:
+    """J02 on a stream, in the batch form's long layout but with bounded state. ``df`` holds
+    both inputs with a ``side`` column ('left' / 'right'). Returns two streams:
+
+    * members: every row at once with its ``pos`` in its (key, window, side) list — the
+      state is one counter per list, dropped by an event-time timeout at the window end;
+    * sizes: ``n_left`` / ``n_right`` per (key, window), emitted when the window closes
+      (a windowed count in append mode).
+    """
+    s_us = duration_us(size)
+    d = _prepared(df, key, et, seq, [F.col(side).alias("side"), F.window(et, size).start.alias("ws")])
+
+    def fn(k, pdfs, state: GroupState):
+        n = state.get[0] if state.exists else 0
+        out = []
+        if not state.hasTimedOut:
+            for r in _rows(pdfs).itertuples(index=False):
+                n += 1
+                out.append((k[0], k[2], n, int(r.seq), int(r.us)))
+            state.update((n,))
+            wm = state.getCurrentWatermarkMs()
+            start_us = int(_datetime_us(k[1]))
+            state.setTimeoutTimestamp(max((start_us + s_us) // 1000, wm + 1))
+        else:
+            state.remove()
+        yield pd.DataFrame(out, columns=["k", "side", "pos", "seq", "us"])
+
+    members = d.groupBy("k", "ws", "side").applyInPandasWithState(
+        fn, f"k {_ktype(df, key)}, side string, pos bigint, seq bigint, us bigint", "n bigint", "append",
+        GroupStateTimeout.EventTimeTimeout,
+    ).select(
+        F.col("k").alias(key), F.window(_ntz("us"), size).start.alias("window_start"), "side", "pos",
+        F.col("seq").alias(seq), _ntz("us").alias("ts"),
+    )
+    w = F.window(et, size)
+    sizes = df.groupBy(F.col(key), w.alias("w")).agg(
+        F.count(F.when(F.col(side) == "left", 1)).alias("n_left"), F.count(F.when(F.col(side) == "right", 1)).alias("n_right")
+    ).select(key, F.col("w.start").cast("timestamp_ntz").alias("window_start"), F.col("w.end").cast("timestamp_ntz").alias("window_end"),
+             "n_left", "n_right")
+    return members, sizes
+
+
+def _datetime_us(ws) -> int:
+    """Epoch microseconds of a window start handed to a state function (a datetime)."""
+    import datetime as _dt
+
+    if isinstance(ws, pd.Timestamp):
+        ws = ws.to_pydatetime()
+    if ws.tzinfo is None:
+        ws = ws.replace(tzinfo=_dt.timezone.utc)
+    return int(ws.timestamp() * 1_000_000)
