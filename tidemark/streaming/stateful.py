@@ -498,7 +498,7 @@ def cogroup(df: DataFrame, key: str, side: str, size: str, et: str = "et", seq:
       (a windowed count in append mode).
     """
     s_us = duration_us(size)
-    d = _prepared(df, key, et, seq, [F.col(side).alias("side"), F.window(et, size).start.alias("ws")])
+    d = _prepared(df, key, et, seq, [F.col(side).alias("side"), epoch_us(F.window(et, size).start).alias("ws")])
 
     def fn(k, pdfs, state: GroupState):
         n = state.get[0] if state.exists else 0
@@ -509,8 +509,7 @@ def cogroup(df: DataFrame, key: str, side: str, size: str, et: str = "et", seq:
                 out.append((k[0], k[2], n, int(r.seq), int(r.us)))
             state.update((n,))
             wm = state.getCurrentWatermarkMs()
-            start_us = int(_datetime_us(k[1]))
-            state.setTimeoutTimestamp(max((start_us + s_us) // 1000, wm + 1))
+            state.setTimeoutTimestamp(max((int(k[1]) + s_us) // 1000, wm + 1))
         else:
             state.remove()
         yield pd.DataFrame(out, columns=["k", "side", "pos", "seq", "us"])
@@ -528,14 +527,3 @@ def cogroup(df: DataFrame, key: str, side: str, size: str, et: str = "et", seq:
     ).select(key, F.col("w.start").cast("timestamp_ntz").alias("window_start"), F.col("w.end").cast("timestamp_ntz").alias("window_end"),
              "n_left", "n_right")
     return members, sizes
-
-
-def _datetime_us(ws) -> int:
-    """Epoch microseconds of a window start handed to a state function (a datetime)."""
-    import datetime as _dt
-
-    if isinstance(ws, pd.Timestamp):
-        ws = ws.to_pydatetime()
-    if ws.tzinfo is None:
-        ws = ws.replace(tzinfo=_dt.timezone.utc)
-    return int(ws.timestamp() * 1_000_000)
