@@ -414,3 +414,11 @@ def test_cogroup_stream(spark, stream_dir):
         b.select("user_id", "window_start", "side", "pos", "event_id", "ts").collect())
     assert _norm(z.select("user_id", "window_start", "window_end", "n_left", "n_right").collect()) == _norm(
         b.select("user_id", "window_start", "window_end", "n_left", "n_right").distinct().collect())
+
+
+def test_approx_distinct_counts_stream(spark, stream_dir):
+    """A10 with exact=False: approx_count_distinct per window, close to the exact count."""
+    s = basic.distinct_counts(_stream(spark, stream_dir), [], "et", "1 hour", "user_id", exact=False)
+    got = {r.window_start: r.uv for r in _run(s, "tm_a10_approx").collect()}
+    exact = {r.window_start: r.uv for r in _batch(spark, "a10_uv_window").collect()}
+    assert all(abs(got[w] - n) <= max(1, 0.1 * n) for w, n in exact.items())
