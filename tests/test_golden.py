@@ -278,3 +278,26 @@ def test_f11_order_timeout(spark, width):
     t = F.col("event_type")
     r = patterns.followed_by_within(df, ["order_id"], ORDER, bucket("ts", width), t == "create", t == "pay", "15 minutes", ["seq", "ts"])
     assert rows_of(r, "order_id", "status") == [("order_1", "matched"), ("order_2", "timeout"), ("order_3", "matched")]
+
+
+# --- boundaries (Q15) ------------------------------------------------------------------------
+
+def test_followed_by_limit_is_strict(spark):
+    rows = [("u", "create", 0), ("u", "pay", 15 * 60_000), ("v", "create", 0), ("v", "pay", 15 * 60_000 - 1)]
+    df = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "k string, t string, ms bigint, seq bigint").withColumn("ts", ms_to_ts("ms"))
+    r = patterns.followed_by_within(df, ["k"], ORDER, bucket("ts", "1 minute"), F.col("t") == "create", F.col("t") == "pay", "15 minutes", ["seq", "ts"])
+    assert rows_of(r, "k", "status") == [("u", "timeout"), ("v", "matched")]
+
+
+def test_interval_join_bounds_inclusive(spark):
+    left = spark.createDataFrame([("a", 10_000)], "k string, ms bigint").withColumn("l_ts", ms_to_ts("ms")).drop("ms")
+    right = spark.createDataFrame([("a", 5_000), ("a", 20_000), ("a", 4_999), ("a", 20_001)], "k string, ms bigint")
+    right = right.withColumn("r_ts", ms_to_ts("ms"))
+    j = joins.interval_join(left, right, "k", "l_ts", "r_ts", "-5 seconds", "10 seconds")
+    assert sorted(r.ms for r in j.collect()) == [5_000, 20_000]
+
+
+def test_session_merges_at_exact_gap(spark):
+    df = spark.createDataFrame([("a", 0), ("a", 2_000), ("a", 4_001)], "k string, ms bigint").withColumn("ts", ms_to_ts("ms"))
+    s = windows.session_count(df, ["k"], "ts", "2 seconds")
+    assert sorted(r.cnt for r in s.collect()) == [1, 2]
