@@ -23,6 +23,8 @@ from __future__ import annotations
 
 import base64
 import heapq
+import sys
+from array import array
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -32,7 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PART, PIECE = 4096, 48
-CACHE = 200_000
+CACHE = 400_000
+NONE = 1 << 60
 
 
 class Encoder:
@@ -96,19 +99,18 @@ class Encoder:
             return [whole]
         if len(piece) > 2 * PIECE:
             return self._merge_long(piece)
+        get = ranks.get
         parts = [piece[i : i + 1] for i in range(len(piece))]
-        pairs = [ranks.get(piece[i : i + 2]) for i in range(len(piece) - 1)]
-        while pairs:
-            best = min((r for r in pairs if r is not None), default=None)
-            if best is None:
-                break
+        pairs = [get(piece[i : i + 2], NONE) for i in range(len(piece) - 1)]
+        while pairs and (best := min(pairs)) != NONE:
             i = pairs.index(best)
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            whole = parts[i] + parts.pop(i + 1)
+            parts[i] = whole
             del pairs[i]
             if i < len(pairs):
-                pairs[i] = ranks.get(parts[i] + parts[i + 1])
+                pairs[i] = get(whole + parts[i + 1], NONE)
             if i:
-                pairs[i - 1] = ranks.get(parts[i - 1] + parts[i])
+                pairs[i - 1] = get(parts[i - 1] + whole, NONE)
         return [ranks[p] for p in parts]
 
     def _merge_long(self, piece: bytes) -> list[int]:
@@ -146,19 +148,29 @@ class Encoder:
 
 
 class _Packed(dict):
-    """Packed ids by match; forgets all when full (matches are then encoded again)."""
+    """Packed ids by match, in two generations of ``CACHE`` at most: when the young one is full it
+    becomes the old one, and what is asked for again comes back from there. So frequent
+    matches stay; what is forgotten is encoded again."""
 
     def __init__(self, encoder: Encoder):
         super().__init__()
         self.encoder = encoder
+        self.old: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
+        out = self.old.get(piece)
+        if out is None:
+            raw = piece.encode("utf-8", "surrogatepass")
+            ids = array("I", self.encoder.tokens(raw))
+            if sys.byteorder == "big":
+                ids.byteswap()
+            out = ids.tobytes()
+            if len(raw) > 64:
+                return out
         if len(self) >= CACHE:
+            self.old = dict(self)
             self.clear()
-        raw = piece.encode("utf-8", "surrogatepass")
-        out = np.array(self.encoder.tokens(raw), "<u4").tobytes()
-        if len(raw) <= 64:
-            self[piece] = out
+        self[piece] = out
         return out
 
 
