@@ -9,7 +9,10 @@
    the full shingle sets, and components are built.
 4. Members of one bucket that are still in different components are paired with each other, in
    the same way filtered and confirmed. So every pair that shares a band is either confirmed,
-   refuted or within one component; inside a group of copies pairs are never listed.
+   refuted or within one component; inside a group of copies pairs are never listed. Here a
+   second odd sketch is asked too, of the whole shingle set: its XOR counts the symmetric
+   difference itself, without the sampling error, so that documents which merely share a
+   passage never become pairs.
 
 With 48 bands of 4, a pair at similarity 0.75 shares no band with probability 1.2e-8, and
 its sketch misses the bound with about 1e-7; both fall fast above.
@@ -31,7 +34,7 @@ from .common import components, saved
 WORDS, PERCENT = 5, 75
 BANDS, ROWS = 48, 4
 HASHES = BANDS * ROWS
-SKETCH = 512
+SKETCH, WHOLE = 512, 2048
 #: Most bits in which the sketches of two documents of similarity 0.75 differ: mean 80, deviation 12.
 FAR = 145
 
@@ -76,11 +79,16 @@ def _sketches(m: np.ndarray) -> np.ndarray:
     return np.packbits(odd.reshape(len(m), SKETCH), axis=1)
 
 
-SIGNED = "doc_id bigint, key binary, n_shingles bigint, bands array<bigint>, sketch binary"
+def _whole(h: np.ndarray) -> bytes:
+    """Parities of all shingles, in WHOLE bits."""
+    return np.packbits((np.bincount((h >> np.uint64(20)).astype(np.int64) % WHOLE, minlength=WHOLE) & 1).astype(np.uint8)).tobytes()
+
+
+SIGNED = "doc_id bigint, key binary, n_shingles bigint, bands array<bigint>, sketch binary, whole binary"
 
 
 def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text) -> doc_id, key (16 bytes of the word sequence), n_shingles, bands, sketch."""
+    """(doc_id, text) -> doc_id, key (16 bytes of the word sequence), n_shingles, bands, sketch, whole."""
     a, b = _constants()
     for batch in batches:
         data, off = V.raw(batch.column(1))
@@ -98,10 +106,11 @@ def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             flat = np.where(sep, np.uint8(32), low)
             use = ~space | sep
             m = np.full((j - i, HASHES), 0xFFFFFFFF, np.uint32)
-            n, keys = [], []
+            n, keys, whole = [], [], []
             for d in range(j - i):
                 h = shingle_hashes(words[at[d] : at[d + 1]])
                 n.append(len(h))
+                whole.append(_whole(h))
                 if len(h):
                     m[d] = signature(h, a, b)
                 piece = slice(o[d], o[d + 1])
@@ -114,8 +123,9 @@ def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(n, pa.int64()),
                     pa.ListArray.from_arrays(pa.array(np.arange(0, (j - i + 1) * BANDS, BANDS), pa.int32()), pa.array(bands.ravel())),
                     pa.array([x.tobytes() for x in sk], pa.binary()),
+                    pa.array(whole, pa.binary()),
                 ],
-                names=["doc_id", "key", "n_shingles", "bands", "sketch"],
+                names=["doc_id", "key", "n_shingles", "bands", "sketch", "whole"],
             )
 
 
@@ -148,12 +158,24 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], names=["a", "b"]).filter(pa.array(keep))
 
 
-def _bits(x: Column, y: Column) -> Column:
-    """Bits in which two sketches differ."""
-    out = F.lit(0)
-    for i in range(SKETCH // 64):
-        out = out + F.bit_count(F.get(x, i).bitwiseXOR(F.get(y, i)))
-    return out
+def _longs(c: str, n: int) -> list[Column]:
+    """The first ``n`` bits of a binary column as plain, non-null numbers."""
+    word = lambda i: F.conv(F.hex(F.substring(c, 8 * i + 1, 8)), 16, -10).cast("bigint")
+    return [F.coalesce(word(i), F.lit(0).cast("bigint")).alias(f"{c}{i}") for i in range(n // 64)]
+
+
+def _bits(x: str, y: str, c: str, n: int) -> Column:
+    """Bits in which two sketches differ. Plain columns keep the compiled condition small."""
+    return sum((F.bit_count(F.col(f"{x}.{c}{i}").bitwiseXOR(F.col(f"{y}.{c}{i}"))) for i in range(n // 64)), F.lit(0))
+
+
+def _whole_fit(x: str, y: str) -> Column:
+    """Sets of similarity 0.75 differ in a seventh of their sizes' sum at most. That many parities
+    flip no more bits than they are, and a known mean of bits, here with six deviations."""
+    d = (F.col(f"{x}.n_shingles") + F.col(f"{y}.n_shingles")) / F.lit((100 + PERCENT) / (100 - PERCENT))
+    mean = F.lit(WHOLE / 2) * (F.lit(1.0) - F.exp(F.lit(-2.0 / WHOLE) * d))
+    deviation = F.least(d * F.lit((2 / WHOLE) ** 0.5), F.lit(WHOLE**0.5 / 2))
+    return _bits(x, y, "whole", WHOLE) <= F.least(d, mean + F.lit(6.0) * deviation + F.lit(2.0))
 
 
 def _sizes_fit(x: Column, y: Column) -> Column:
@@ -161,9 +183,9 @@ def _sizes_fit(x: Column, y: Column) -> Column:
 
 
 def _plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    n = nodes.select("node", "sketch", "n_shingles")
-    p = pairs.join(n.toDF("a", "ka", "na"), "a").join(n.toDF("b", "kb", "nb"), "b")
-    return p.filter(_sizes_fit(F.col("na"), F.col("nb")) & (_bits(F.col("ka"), F.col("kb")) <= FAR)).select("a", "b").distinct()
+    n = nodes.select("node", "n_shingles", *_longs("sketch", SKETCH))
+    p = pairs.alias("p").join(n.alias("x"), F.col("p.a") == F.col("x.node")).join(n.alias("y"), F.col("p.b") == F.col("y.node"))
+    return p.filter(_sizes_fit(F.col("x.n_shingles"), F.col("y.n_shingles")) & (_bits("x", "y", "sketch", SKETCH) <= FAR)).select("p.a", "p.b").distinct()
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -184,11 +206,9 @@ def classes(docs: DataFrame) -> DataFrame:
     nothing and its component is null. Other columns are ignored."""
     signed = saved(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(sign, SIGNED))
     linked = signed.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
-    longs = [F.conv(F.hex(F.substring("sketch", 8 * i + 1, 8)), 16, -10).cast("bigint") for i in range(SKETCH // 64)]
     nodes = saved(
         linked.groupBy("key")
-        .agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
-        .withColumn("sketch", F.array(*longs))
+        .agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.first("whole").alias("whole"))
     )
     band = nodes.select("node", F.explode("bands").alias("bucket"))
     by = lambda k: F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("h"), "node"))["node"]
@@ -204,14 +224,15 @@ def classes(docs: DataFrame) -> DataFrame:
     at = members.select("bucket", "node").join(comp.withColumnRenamed("id", "node"), "node", "left")
     at = at.select("bucket", "node", F.coalesce("component", "node").alias("component"))
     split = at.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("bucket")
-    rest = saved(at.join(split, "bucket").join(nodes.select("node", "sketch", "n_shingles"), "node"))
+    rest = at.join(split, "bucket").join(nodes.select("node", "n_shingles", *_longs("sketch", SKETCH), *_longs("whole", WHOLE)), "node")
     x, y = rest.alias("x"), rest.alias("y")
     near = (
         (F.col("x.bucket") == F.col("y.bucket"))
         & (F.col("x.node") > F.col("y.node"))
         & (F.col("x.component") != F.col("y.component"))
         & _sizes_fit(F.col("x.n_shingles"), F.col("y.n_shingles"))
-        & (_bits(F.col("x.sketch"), F.col("y.sketch")) <= FAR)
+        & (_bits("x", "y", "sketch", SKETCH) <= FAR)
+        & _whole_fit("x", "y")
     )
     cross = x.join(y, near).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
     cross = cross.join(stars, ["a", "b"], "left_anti")
