@@ -7,13 +7,14 @@ of two or more go on:
 1. Digit of ``GRAM`` bytes. Not every suffix is dealt out: of each window of ``LENGTH`` bytes the
    leftmost of its least gram fingerprints stands for it (equal windows choose alike), so one
    row stands for all neighbouring windows that share it, about one row in 176 bytes.
-2. Windows that share a gram, in runs of ``RUN`` neighbours: the digit is the bytes common to the
-   run. If in a group all whole stretches of the runs are equal too, all their windows repeat.
+2. Windows that share a gram, in runs of up to ``RUN`` neighbours: the digit is the bytes common
+   to the run. If in a group the runs' whole stretches are equal too, all their windows repeat.
 3. Only where they differ, the windows one by one, on all ``LENGTH`` bytes.
 
 Texts meet as their 16-byte key; equal texts are one text with a count, and all of them goes
 if it has ``LENGTH`` bytes. The distinct texts are written once, bucketed by key, so each pass
-shuffles only the small side. Fingerprints that decide have 128 bits.
+shuffles only the small side. Fingerprints that decide have 128 bits (a stretch: 64, inside a
+group of 64).
 """
 
 from __future__ import annotations
@@ -92,7 +93,7 @@ def _batch(schema: pa.Schema, hold: list[tuple]) -> pa.RecordBatch:
 
 
 _ANCHOR = pa.schema([("g", pa.int64()), ("key", pa.binary()), ("place", pa.int32()), ("first", pa.int32()), ("last", pa.int32())])
-_RUNS = pa.schema([("core", pa.int64()), ("b1", pa.int64()), ("b2", pa.int64()), ("key", pa.binary()), ("first", pa.int32()), ("last", pa.int32())])
+_RUNS = pa.schema([("core", pa.int64()), ("stretch", pa.int64()), ("key", pa.binary()), ("first", pa.int32()), ("last", pa.int32())])
 _WINDOW = pa.schema([("w1", pa.int64()), ("w2", pa.int64()), ("key", pa.binary()), ("first", pa.int32())])
 
 
@@ -112,8 +113,8 @@ def _structs(b: pa.RecordBatch, i: int, col: int) -> list[np.ndarray]:
 
 
 def _pass2(batches):
-    """(key, text, anchors) -> runs of windows: fingerprint of what they share, of the whole
-    stretch (two different numbers for each if it is not whole), first and last window."""
+    """(key, text, anchors) -> runs of windows: fingerprint of what the run's windows share, of the
+    stretch of those there are and their places in the run, first and last window."""
 
     def rows():
         for b, i, data in _texts(batches, 1):
@@ -126,11 +127,8 @@ def _pass2(batches):
             fp = _two(data)
             # shared by all windows of the run, whichever of them there are
             core = V.mix(fp(np.minimum(hi, len(data)), np.minimum(lo + LENGTH, len(data)))[0].view(np.uint64) + k.astype(np.uint64)).view(np.int64)
-            whole = (own_lo == lo) & (own_hi == hi)
-            b1, b2 = fp(own_lo, own_hi + LENGTH)
-            # a part of a run counts as different from everything
-            b1 = np.where(whole, b1 | 1, np.int64(0))
-            yield core, b1, b2, [b.column(0)[i].as_py()] * len(core), own_lo, own_hi
+            stretch = V.mix(fp(own_lo, own_hi + LENGTH)[1].view(np.uint64) + ((own_lo - lo) * RUN + own_hi - lo).astype(np.uint64)).view(np.int64)
+            yield core, stretch, [b.column(0)[i].as_py()] * len(core), own_lo, own_hi
 
     return _flush(_RUNS, rows())
 
@@ -197,10 +195,9 @@ def repeats(docs: DataFrame) -> DataFrame:
     a = saved(thin.mapInArrow(_pass1, "g bigint, key binary, place int, first int, last int"))
     again = a.groupBy("g").agg(F.count("*").alias("n")).filter("n > 1").select("g")
     of_key = a.join(again, "g").groupBy("key").agg(F.collect_list(F.struct("place", "first", "last")).alias("at"))
-    r = saved(thin.join(of_key, "key").select("key", "text", "at").mapInArrow(_pass2, "core bigint, b1 bigint, b2 bigint, key binary, first int, last int"))
-    b = F.struct("b1", "b2")
-    g = r.groupBy("core").agg(F.count("*").alias("n"), F.min(b).alias("x"), F.max(b).alias("y")).filter("n > 1")
-    g = g.select("core", ((F.col("x") == F.col("y")) & (F.col("x.b1") != 0)).alias("same"))
+    r = saved(thin.join(of_key, "key").select("key", "text", "at").mapInArrow(_pass2, "core bigint, stretch bigint, key binary, first int, last int"))
+    g = r.groupBy("core").agg(F.count("*").alias("n"), F.min("stretch").alias("x"), F.max("stretch").alias("y")).filter("n > 1")
+    g = g.select("core", (F.col("x") == F.col("y")).alias("same"))
     m = saved(r.join(g, "core").select("key", "first", "last", "same"))
     mixed = m.filter("not same").groupBy("key").agg(F.collect_list(F.struct("first", "last")).alias("at"))
     w = saved(thin.join(mixed, "key").select("key", "text", "at").mapInArrow(_pass3, "w1 bigint, w2 bigint, key binary, first int"))
