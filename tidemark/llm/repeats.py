@@ -8,8 +8,9 @@ of two or more go on:
    leftmost of its least gram fingerprints stands for it (equal windows choose alike), so one
    row stands for all neighbouring windows that share it, about one row in 176 bytes.
 2. Windows that share a gram, in runs of up to ``RUN`` neighbours: the digit is the bytes common
-   to the run. If in a group the runs' whole stretches are equal too, all their windows repeat.
-3. Only where they differ, the windows one by one, on all ``LENGTH`` bytes.
+   to the run. Where in a group the runs' whole stretches are equal too, all their windows repeat.
+3. Of groups with different stretches, one run of each: its windows one by one, on all ``LENGTH``
+   bytes.
 
 Texts meet as their 16-byte key; equal texts are one text with a count, and all of them goes
 if it has ``LENGTH`` bytes. The distinct texts are written once, bucketed by key, so each pass
@@ -196,13 +197,14 @@ def repeats(docs: DataFrame) -> DataFrame:
     again = a.groupBy("g").agg(F.count("*").alias("n")).filter("n > 1").select("g")
     of_key = a.join(again, "g").groupBy("key").agg(F.collect_list(F.struct("place", "first", "last")).alias("at"))
     r = saved(thin.join(of_key, "key").select("key", "text", "at").mapInArrow(_pass2, "core bigint, stretch bigint, key binary, first int, last int"))
-    g = r.groupBy("core").agg(F.count("*").alias("n"), F.min("stretch").alias("x"), F.max("stretch").alias("y")).filter("n > 1")
-    g = g.select("core", (F.col("x") == F.col("y")).alias("same"))
-    m = saved(r.join(g, "core").select("key", "first", "last", "same"))
-    mixed = m.filter("not same").groupBy("key").agg(F.collect_list(F.struct("first", "last")).alias("at"))
+    same = r.groupBy("core", "stretch").agg(F.count("*").alias("n"), F.min(F.struct("key", "first", "last")).alias("at"))
+    # equal stretches repeat as they are; where a core has several, one of each goes on
+    several = same.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1").select("core")
+    covered = r.join(same.filter("n > 1").select("core", "stretch"), ["core", "stretch"]).select("key", "first", "last")
+    mixed = same.join(several, "core").select("at.*").groupBy("key").agg(F.collect_list(F.struct("first", "last")).alias("at"))
     w = saved(thin.join(mixed, "key").select("key", "text", "at").mapInArrow(_pass3, "w1 bigint, w2 bigint, key binary, first int"))
     twice = w.groupBy("w1", "w2").agg(F.count("*").alias("n")).filter("n > 1").select("w1", "w2")
-    spans = m.filter("same").select("key", F.col("first").cast("long").alias("lo"), (F.col("last").cast("long") + LENGTH).alias("hi"))
+    spans = covered.select("key", F.col("first").cast("long").alias("lo"), (F.col("last").cast("long") + LENGTH).alias("hi"))
     spans = spans.unionByName(w.join(twice, ["w1", "w2"]).select("key", F.col("first").cast("long").alias("lo"), (F.col("first").cast("long") + LENGTH).alias("hi")))
     spans = spans.groupBy("key").agg(F.collect_list(F.struct("lo", "hi")).alias("at"))
     return texts.join(spans, "key", "left").select("key", "text", "copies", "at").mapInArrow(_cut, _CUT)
