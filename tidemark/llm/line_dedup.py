@@ -3,7 +3,8 @@
 A line is the set of its words. In every line the words are ordered by rarity; two lines of
 similarity ``t`` or more share a word among the first ``size - ceil(t * size) + 1`` of both (prefix
 filter), their sizes differ by at most a factor ``t`` (length filter), and the words behind the
-shared one must be able to make up the overlap (positional filter). Pairs that pass are
+shared one must be able to make up the overlap (positional filter). A word of parities for
+each line bounds from below how many words are in one of the two only. Pairs that pass are
 verified on the lines' words, and the later line goes.
 
 Any fixed order of words is exact; rarity only keeps prefixes selective. It comes from counts of
@@ -63,7 +64,7 @@ def _prefix(size: np.ndarray) -> np.ndarray:
     return size + (-PERCENT * size) // 100 + 1  # size - ceil(t * size) + 1
 
 
-_LINES = "doc_id bigint, row bigint, line int, s1 bigint, s2 bigint, size int, prefix array<int>"
+_LINES = "doc_id bigint, row bigint, line int, s1 bigint, s2 bigint, size int, sketch bigint, prefix array<int>"
 
 
 def _lines(counts):
@@ -89,6 +90,7 @@ def _lines(counts):
                 size = np.diff(np.concatenate([start, [len(h2)]]))
                 s1 = np.add.reduceat(V.mix(h2 + V.BASE), start)
                 s2 = np.add.reduceat(V.mix(h2 ^ V.BASE2), start)
+                sketch = np.bitwise_xor.reduceat(np.uint64(1) << (h2 >> np.uint64(58)), start)
                 n = _prefix(size)
                 at = np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
                 first = np.flatnonzero(new)
@@ -100,9 +102,10 @@ def _lines(counts):
                         pa.array(s1.view(np.int64)),
                         pa.array(s2.view(np.int64)),
                         pa.array(size.astype(np.int32)),
+                        pa.array(sketch.view(np.int64)),
                         pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array((h2[at] >> np.uint64(32)).astype(np.uint32).view(np.int32))),
                     ],
-                    names=["doc_id", "row", "line", "s1", "s2", "size", "prefix"],
+                    names=["doc_id", "row", "line", "s1", "s2", "size", "sketch", "prefix"],
                 )
 
     return work
@@ -141,11 +144,11 @@ def later_lines(docs: DataFrame) -> DataFrame:
     d = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), row_key().alias("row"), F.coalesce("text", F.lit("")).alias("text"))
     lines = saved(d.mapInArrow(_lines(counts), _LINES))
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "line")
-    sets = lines.groupBy("s1", "s2").agg(F.min(place).alias("at"), F.count("*").alias("n"), F.first("size").alias("size"), F.first("prefix").alias("prefix"))
+    sets = lines.groupBy("s1", "s2").agg(F.min(place).alias("at"), F.count("*").alias("n"), F.first("size").alias("size"), F.first("sketch").alias("sketch"), F.first("prefix").alias("prefix"))
     sets = saved(sets)
 
-    index = sets.select(F.col("s1").alias("id"), "size", F.posexplode("prefix").alias("pos", "token"))
-    index = index.select("token", "id", F.expr("size * 65536L * 32768L + pos").alias("sp"))  # one number: a smaller shuffle row
+    index = sets.select(F.col("s1").alias("id"), "size", "sketch", F.posexplode("prefix").alias("pos", "token"))
+    index = index.select("token", "id", "sketch", F.expr("size * 65536L * 32768L + pos").alias("sp"))  # one number: a smaller shuffle row
     x, y = index.alias("x"), index.alias("y")
     sx, sy = (F.expr(f"shiftright({t}.sp, 31)") for t in "xy")
     px, py = (F.expr(f"{t}.sp & 2147483647") for t in "xy")
@@ -154,6 +157,8 @@ def later_lines(docs: DataFrame) -> DataFrame:
         & ((sx > sy) | ((sx == sy) & (F.col("x.id") > F.col("y.id"))))
         & (F.lit(100) * sy >= F.lit(PERCENT) * sx)
         # overlap >= t / (1 + t) * (sizes together)
+        # words in one line only: at most (1 - t) / (1 + t) of the sizes, and at least what parity shows
+        & (F.bit_count(F.col("x.sketch").bitwiseXOR(F.col("y.sketch"))) * F.lit(100 + PERCENT) <= F.lit(100 - PERCENT) * (sx + sy))
         & ((F.lit(1) + F.least(sx - px, sy - py) - 1) * F.lit(100 + PERCENT) >= F.lit(PERCENT) * (sx + sy))
     )
     pairs = saved(x.join(y, near).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct())
