@@ -10,7 +10,9 @@ verified on the lines' words, and the later line goes.
 Any fixed order of words is exact; rarity only keeps prefixes selective. It comes from counts of
 words over all texts, folded into ``BUCKETS`` counters (4 MB, whatever the corpus). Lines of equal
 sets are one line with its earliest place before any pair is made, so frequent lines cost one
-row each. Nothing is capped: all candidates are verified.
+row each. A line needs only one earlier partner, so those that a first round against the earliest
+line of their rarest words has settled are paired no further: groups of near copies are never
+listed pair by pair. Nothing is capped: all other candidates are verified.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import vectors as V
@@ -28,6 +30,8 @@ from .common import row_key, saved
 PERCENT = 75
 BUCKETS = 1 << 20
 BITS = 1 << 24
+#: Rarest words by which lines are first held against the earliest line that has them.
+LEADING = 4
 
 
 def _words(data: np.ndarray, off: np.ndarray, i: int, j: int):
@@ -133,6 +137,39 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
 
+def _order() -> Column:
+    return F.coalesce(F.col("at.doc_id"), F.lit(2**63 - 1))
+
+
+def _sizes_fit(sx: Column, sy: Column) -> Column:
+    """Length filter, and the words in one line only: at most (1 - t) / (1 + t) of the sizes, at
+    least what the parities show."""
+    fit = F.lit(100) * F.least(sx, sy) >= F.lit(PERCENT) * F.greatest(sx, sy)
+    return fit & (F.bit_count(F.col("x.sketch").bitwiseXOR(F.col("y.sketch"))) * F.lit(100 + PERCENT) <= F.lit(100 - PERCENT) * (sx + sy))
+
+
+def _later(pairs: DataFrame, d: DataFrame, sets: DataFrame) -> DataFrame:
+    """s1 of the later line of each pair of sets (a, b) that is verified on the lines' words,
+    which are read again at the sets' first places."""
+    spark = d.sparkSession
+    pairs = saved(pairs.distinct())
+    need = pairs.select(F.col("a").alias("s1")).unionByName(pairs.select(F.col("b").alias("s1"))).distinct()
+    need = saved(sets.select("s1", "at").join(need, "s1", "left_semi").select("s1", F.col("at.row").alias("row"), F.col("at.line").alias("line")))
+    marks = need.select(F.expr(f"cast(row & {BITS - 1} as int)").alias("bit")).distinct().toArrow()
+    have = np.zeros(BITS, np.uint8)
+    have[marks["bit"].to_numpy()] = 1
+    bits = spark.sparkContext.broadcast(np.packbits(have))
+    picked = d.select("row", "text").mapInArrow(_pick(bits), "row bigint, text string")
+    at_lines = picked.select("row", F.posexplode(F.split("text", "\n")).alias("line", "words"))
+    words = at_lines.join(need, ["row", "line"]).select("s1", "words").dropDuplicates(["s1"])
+    words = saved(words)
+    both = pairs.join(words.toDF("a", "wa"), "a").join(words.toDF("b", "wb"), "b").select("a", "b", "wa", "wb")
+    good = both.mapInArrow(_verify, "a bigint, b bigint")
+    first = sets.select("s1", "at")
+    good = good.join(first.toDF("a", "at_a"), "a").join(first.toDF("b", "at_b"), "b")
+    return saved(good.select(F.when(F.col("at_a") > F.col("at_b"), F.col("a")).otherwise(F.col("b")).alias("s1")).distinct())
+
+
 def later_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, row, line, equal) of the lines to remove: an earlier line, by ``doc_id`` (null last),
     row and place, has a similarity of PERCENT or more; ``equal`` if one has the same set.
@@ -147,37 +184,32 @@ def later_lines(docs: DataFrame) -> DataFrame:
     sets = lines.groupBy("s1", "s2").agg(F.min(place).alias("at"), F.count("*").alias("n"), F.first("size").alias("size"), F.first("sketch").alias("sketch"), F.first("prefix").alias("prefix"))
     sets = saved(sets)
 
-    index = sets.select(F.col("s1").alias("id"), "size", "sketch", F.posexplode("prefix").alias("pos", "token"))
-    index = index.select("token", "id", "sketch", F.expr("size * 65536L * 32768L + pos").alias("sp"))  # one number: a smaller shuffle row
+    # most near copies fall to the earliest line among those that share one of their rarest words
+    head = sets.select(F.col("s1").alias("id"), _order().alias("o"), "size", "sketch", F.explode(F.slice("prefix", 1, LEADING)).alias("token"))
+    lead = head.groupBy("token").agg(F.count("*").alias("n"), F.min(F.struct("o", "id", "size", "sketch")).alias("y")).filter("n > 1")
+    x, y = head.alias("x"), lead.select("token", "y.*").alias("y")
+    pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.id") != F.col("y.id")) & _sizes_fit(F.col("x.size"), F.col("y.size")))
+    gone = _later(pairs.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")), d, sets)
+
+    # the others against all
+    index = sets.join(gone.withColumn("done", F.lit(True)), "s1", "left")
+    index = index.select(F.col("s1").alias("id"), _order().alias("o"), "size", "sketch", F.coalesce("done", F.lit(False)).alias("done"), F.posexplode("prefix").alias("pos", "token"))
+    # one number for size, done and place: a smaller shuffle row
+    index = index.select("token", "id", "o", "sketch", F.expr("(size * 2L + cast(done as int)) * 2147483648L + pos").alias("sp"))
     x, y = index.alias("x"), index.alias("y")
-    sx, sy = (F.expr(f"shiftright({t}.sp, 31)") for t in "xy")
+    sx, sy = (F.expr(f"shiftright({t}.sp, 32)") for t in "xy")
+    dx, dy = (F.expr(f"(shiftright({t}.sp, 31) & 1) = 1") for t in "xy")
     px, py = (F.expr(f"{t}.sp & 2147483647") for t in "xy")
     near = (
         (F.col("x.token") == F.col("y.token"))
-        & ((sx > sy) | ((sx == sy) & (F.col("x.id") > F.col("y.id"))))
-        & (F.lit(100) * sy >= F.lit(PERCENT) * sx)
+        & (F.col("x.id") > F.col("y.id"))
+        & ((F.col("x.o") == F.col("y.o")) | ~F.when(F.col("x.o") > F.col("y.o"), dx).otherwise(dy))
+        & _sizes_fit(sx, sy)
         # overlap >= t / (1 + t) * (sizes together)
-        # words in one line only: at most (1 - t) / (1 + t) of the sizes, and at least what parity shows
-        & (F.bit_count(F.col("x.sketch").bitwiseXOR(F.col("y.sketch"))) * F.lit(100 + PERCENT) <= F.lit(100 - PERCENT) * (sx + sy))
         & ((F.lit(1) + F.least(sx - px, sy - py) - 1) * F.lit(100 + PERCENT) >= F.lit(PERCENT) * (sx + sy))
     )
-    pairs = saved(x.join(y, near).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct())
-
-    # the words of the lines in question, from their first places
-    need = pairs.select(F.col("a").alias("s1")).unionByName(pairs.select(F.col("b").alias("s1"))).distinct()
-    need = saved(sets.select("s1", "at").join(need, "s1", "left_semi").select("s1", F.col("at.row").alias("row"), F.col("at.line").alias("line")))
-    marks = need.select(F.expr(f"cast(row & {BITS - 1} as int)").alias("bit")).distinct().toArrow()
-    have = np.zeros(BITS, np.uint8)
-    have[marks["bit"].to_numpy()] = 1
-    bits = spark.sparkContext.broadcast(np.packbits(have))
-    picked = d.select("row", "text").mapInArrow(_pick(bits), "row bigint, text string").distinct()
-    at_lines = picked.select("row", F.posexplode(F.split("text", "\n")).alias("line", "words"))
-    words = saved(at_lines.join(need, ["row", "line"]).select("s1", "words"))
-    both = pairs.join(words.toDF("a", "wa"), "a").join(words.toDF("b", "wb"), "b").select("a", "b", "wa", "wb")
-    good = both.mapInArrow(_verify, "a bigint, b bigint")
-    first = sets.select("s1", "at")
-    good = good.join(first.toDF("a", "at_a"), "a").join(first.toDF("b", "at_b"), "b")
-    gone = saved(good.select(F.when(F.col("at_a") > F.col("at_b"), F.col("a")).otherwise(F.col("b")).alias("s1")).distinct())
+    rest = _later(x.join(y, near).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")), d, sets)
+    gone = gone.unionByName(rest).distinct()
 
     # every line but the first of its set, and the firsts that have an earlier partner
     mark = sets.join(gone.withColumn("g", F.lit(True)), "s1", "left").filter("n > 1 or g").select("s1", "s2", "at", "g")
