@@ -3,7 +3,7 @@
 A line is the set of its words. In every line the words are ordered by rarity; two lines of
 similarity ``t`` or more share a word among the first ``size - ceil(t * size) + 1`` of both (prefix
 filter), their sizes differ by at most a factor ``t`` (length filter), and the words behind the
-shared one must be able to make up the overlap (positional filter). A word of parities for
+prefix must be able to make up what the shared ones leave of the overlap (positional filter). A word of parities for
 each line bounds from below how many words are in one of the two only. Pairs that pass are
 verified on the lines' words, and the later line goes.
 
@@ -148,6 +148,15 @@ def _sizes_fit(sx: Column, sy: Column) -> Column:
     return fit & (F.bit_count(F.col("x.sketch").bitwiseXOR(F.col("y.sketch"))) * F.lit(100 + PERCENT) <= F.lit(100 - PERCENT) * (sx + sy))
 
 
+def _enough_shared() -> Column:
+    """Positional filter over all shared prefix words (n): whichever prefix ends first in the
+    common order shares nothing with the other line but those n words, so the overlap, which
+    must reach t / (1 + t) of the sizes, is at most n and what lies behind that prefix."""
+    need = F.expr(f"({PERCENT} * (sx + sy) + {99 + PERCENT}) div {100 + PERCENT}")
+    behind = lambda c: F.expr(f"({PERCENT} * {c} + 99) div 100 - 1")
+    return F.col("n") >= F.least(need - behind("sx"), need - behind("sy"))
+
+
 def _later(pairs: DataFrame, d: DataFrame, sets: DataFrame) -> DataFrame:
     """s1 of the later line of each pair of sets (a, b) that is verified on the lines' words,
     which are read again at the sets' first places."""
@@ -189,26 +198,26 @@ def later_lines(docs: DataFrame) -> DataFrame:
     lead = head.groupBy("token").agg(F.count("*").alias("n"), F.min(F.struct("o", "id", "size", "sketch")).alias("y")).filter("n > 1")
     x, y = head.alias("x"), lead.select("token", "y.*").alias("y")
     pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.id") != F.col("y.id")) & _sizes_fit(F.col("x.size"), F.col("y.size")))
-    gone = _later(pairs.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")), d, sets)
+    # (only a head start: those with two such words in common, or short ones)
+    pairs = pairs.groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b"), "x.size").agg(F.count("*").alias("n")).filter("n > 1 or size < 2 * %d" % LEADING)
+    gone = _later(pairs.select("a", "b"), d, sets)
 
     # the others against all
     index = sets.join(gone.withColumn("done", F.lit(True)), "s1", "left")
-    index = index.select(F.col("s1").alias("id"), _order().alias("o"), "size", "sketch", F.coalesce("done", F.lit(False)).alias("done"), F.posexplode("prefix").alias("pos", "token"))
-    # one number for size, done and place: a smaller shuffle row
-    index = index.select("token", "id", "o", "sketch", F.expr("(size * 2L + cast(done as int)) * 2147483648L + pos").alias("sp"))
+    index = index.select(F.col("s1").alias("id"), _order().alias("o"), "size", "sketch", F.coalesce("done", F.lit(False)).alias("done"), F.explode("prefix").alias("token"))
+    # one number for size and done: a smaller shuffle row
+    index = index.select("token", "id", "o", "sketch", F.expr("size * 2L + cast(done as int)").alias("sp"))
     x, y = index.alias("x"), index.alias("y")
-    sx, sy = (F.expr(f"shiftright({t}.sp, 32)") for t in "xy")
-    dx, dy = (F.expr(f"(shiftright({t}.sp, 31) & 1) = 1") for t in "xy")
-    px, py = (F.expr(f"{t}.sp & 2147483647") for t in "xy")
+    sx, sy = (F.expr(f"shiftright({t}.sp, 1)") for t in "xy")
+    dx, dy = (F.expr(f"({t}.sp & 1) = 1") for t in "xy")
     near = (
         (F.col("x.token") == F.col("y.token"))
         & (F.col("x.id") > F.col("y.id"))
         & ((F.col("x.o") == F.col("y.o")) | ~F.when(F.col("x.o") > F.col("y.o"), dx).otherwise(dy))
         & _sizes_fit(sx, sy)
-        # overlap >= t / (1 + t) * (sizes together)
-        & ((F.lit(1) + F.least(sx - px, sy - py) - 1) * F.lit(100 + PERCENT) >= F.lit(PERCENT) * (sx + sy))
     )
-    rest = _later(x.join(y, near).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")), d, sets)
+    pairs = x.join(y, near).groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b"), sx.alias("sx"), sy.alias("sy")).agg(F.count("*").alias("n"))
+    rest = _later(pairs.filter(_enough_shared()).select("a", "b"), d, sets)
     gone = gone.unionByName(rest).distinct()
 
     # every line but the first of its set, and the firsts that have an earlier partner
