@@ -204,20 +204,27 @@ def later_lines(docs: DataFrame) -> DataFrame:
 
     # the others against all
     index = sets.join(gone.withColumn("done", F.lit(True)), "s1", "left")
-    index = index.select(F.col("s1").alias("id"), _order().alias("o"), "size", "sketch", F.coalesce("done", F.lit(False)).alias("done"), F.explode("prefix").alias("token"))
-    # one number for size and done: a smaller shuffle row
-    index = index.select("token", "id", "o", "sketch", F.expr("size * 2L + cast(done as int)").alias("sp"))
+    index = index.select(F.col("s1").alias("id"), _order().alias("o"), "size", "sketch", F.coalesce("done", F.lit(False)).alias("done"), F.posexplode("prefix").alias("pos", "token"))
+    # one number for size, done and place: a smaller shuffle row
+    index = index.select("token", "id", "o", "sketch", F.expr("(size * 2L + cast(done as int)) * 2147483648L + pos").alias("sp"))
     x, y = index.alias("x"), index.alias("y")
-    sx, sy = (F.expr(f"shiftright({t}.sp, 1)") for t in "xy")
-    dx, dy = (F.expr(f"({t}.sp & 1) = 1") for t in "xy")
+    sx, sy = (F.expr(f"shiftright({t}.sp, 32)") for t in "xy")
+    px, py = (F.expr(f"{t}.sp & 2147483647") for t in "xy")
+    dx, dy = (F.expr(f"(shiftright({t}.sp, 31) & 1) = 1") for t in "xy")
     near = (
         (F.col("x.token") == F.col("y.token"))
         & (F.col("x.id") > F.col("y.id"))
         & ((F.col("x.o") == F.col("y.o")) | ~F.when(F.col("x.o") > F.col("y.o"), dx).otherwise(dy))
         & _sizes_fit(sx, sy)
+        # at the first shared word, the rest must reach t / (1 + t) of the sizes with it
+        & (F.least(sx - px, sy - py) * F.lit(100 + PERCENT) >= F.lit(PERCENT) * (sx + sy))
     )
-    pairs = x.join(y, near).groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b"), sx.alias("sx"), sy.alias("sy")).agg(F.count("*").alias("n"))
-    rest = _later(pairs.filter(_enough_shared()).select("a", "b"), d, sets)
+    pairs = x.join(y, near).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    words = sets.select("s1", "size", "prefix")
+    pairs = pairs.join(words.toDF("a", "sx", "wx"), "a").join(words.toDF("b", "sy", "wy"), "b")
+    # shared prefix words; those of one line with equal numbers count apart
+    n = F.size(F.array_intersect("wx", "wy")) + F.size("wx") - F.size(F.array_distinct("wx"))
+    rest = _later(pairs.withColumn("n", n).filter(_enough_shared()).select("a", "b"), d, sets)
     gone = gone.unionByName(rest).distinct()
 
     # every line but the first of its set, and the firsts that have an earlier partner
