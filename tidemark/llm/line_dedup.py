@@ -11,7 +11,7 @@ Any fixed order of words is exact; rarity only keeps prefixes selective. It come
 words over all texts, folded into ``BUCKETS`` counters (4 MB, whatever the corpus). Lines of equal
 sets are one line with its earliest place before any pair is made, so frequent lines cost one
 row each. A line needs only one earlier partner, so those that a first round against the earliest
-line of their rarest words has settled are paired no further: groups of near copies are never
+line of their rarest words has settled are not paired with each other: groups of near copies are never
 listed pair by pair. Nothing is capped: all other candidates are verified.
 """
 
@@ -204,9 +204,9 @@ def later_lines(docs: DataFrame) -> DataFrame:
 
     # the others against all
     index = sets.join(gone.withColumn("done", F.lit(True)), "s1", "left")
-    index = index.select(F.col("s1").alias("id"), _order().alias("o"), "size", "sketch", F.coalesce("done", F.lit(False)).alias("done"), F.posexplode("prefix").alias("pos", "token"))
+    index = index.select(F.col("s1").alias("id"), "size", "sketch", F.coalesce("done", F.lit(False)).alias("done"), F.posexplode("prefix").alias("pos", "token"))
     # one number for size, done and place: a smaller shuffle row
-    index = index.select("token", "id", "o", "sketch", F.expr("(size * 2L + cast(done as int)) * 2147483648L + pos").alias("sp"))
+    index = index.select("token", "id", "sketch", F.expr("(size * 2L + cast(done as int)) * 2147483648L + pos").alias("sp"))
     x, y = index.alias("x"), index.alias("y")
     sx, sy = (F.expr(f"shiftright({t}.sp, 32)") for t in "xy")
     px, py = (F.expr(f"{t}.sp & 2147483647") for t in "xy")
@@ -214,7 +214,7 @@ def later_lines(docs: DataFrame) -> DataFrame:
     near = (
         (F.col("x.token") == F.col("y.token"))
         & (F.col("x.id") > F.col("y.id"))
-        & ((F.col("x.o") == F.col("y.o")) | ~F.when(F.col("x.o") > F.col("y.o"), dx).otherwise(dy))
+        & ~(dx & dy)
         & _sizes_fit(sx, sy)
         # at the first shared word, the rest must reach t / (1 + t) of the sizes with it
         & (F.least(sx - px, sy - py) * F.lit(100 + PERCENT) >= F.lit(PERCENT) * (sx + sy))
