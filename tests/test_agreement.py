@@ -119,14 +119,55 @@ def test_null_keys_are_one_group(spark):
     assert j.filter(F.col("user_id").isNull()).agg(F.max("rn")).first()[0] > 100
 
 
-def test_periodic_count_without_broadcast(spark):
-    """X03's fallback when the per-key table is too big to broadcast: same result."""
+def test_periodic_count_keeps_null_keys(spark):
+    """The null key is a key like any other."""
     from tidemark.operators import timers
 
     ev = events(spark, SF_SMALL)
-    a = timers.periodic_count(ev, "user_id", "ts", "1 day")
-    b = timers.periodic_count(ev, "user_id", "ts", "1 day", max_keys=1)
-    assert _set(a, "user_id", "tick", "pv") == _set(b, "user_id", "tick", "pv")
+    some = ev.withColumn("user_id", F.when(F.col("user_id") % 3 == 0, F.lit(None)).otherwise(F.lit(0)).cast("bigint"))
+    named = some.withColumn("user_id", F.coalesce("user_id", F.lit(-1).cast("bigint")))
+    got = _set(timers.periodic_count(some, "user_id", "ts", "1 day").withColumn("user_id", F.coalesce("user_id", F.lit(-1))), "user_id", "tick", "pv")
+    assert got == _set(timers.periodic_count(named, "user_id", "ts", "1 day"), "user_id", "tick", "pv")
+    assert any(x[0] == -1 for x in got)
+
+
+def test_cogroup_keeps_null_keys(spark):
+    from tidemark.operators import joins
+
+    ev = events(spark, SF_SMALL).withColumn("user_id", F.when(F.col("event_id") % 2 == 0, F.col("user_id")))
+    a, b = ev.filter("event_type = 'click'"), ev.filter("event_type <> 'click'")
+    assert joins.cogroup(a, b, "user_id", "ts", "1 day", ["ts", "event_id"]).count() == ev.filter("event_type is not null").count()
+
+
+@pytest.mark.parametrize("case", ["null_ts", "null_hot_key", "outlier", "one_second", "many_hot"])
+def test_hot_slices_match_plain_window(spark, case):
+    """Hot keys in slices give the plain window's numbers, lose no row and take several slices."""
+    from pyspark.sql import Window
+
+    n = 6000
+    d = spark.range(n).select(F.col("id").alias("event_id"), (F.col("id") % 7).alias("user_id"), F.timestamp_seconds(F.col("id") * 60).cast("timestamp_ntz").alias("ts"))
+    if case == "null_ts":
+        d = d.withColumn("ts", F.when(F.col("event_id") % 5 != 0, F.col("ts")))
+    if case == "null_hot_key":
+        d = d.withColumn("user_id", F.when(F.col("user_id") < 2, F.col("user_id")))
+    if case == "outlier":
+        d = d.withColumn("ts", F.when(F.col("event_id") == 0, F.lit("1970-01-01").cast("timestamp_ntz")).otherwise(F.col("ts") + F.expr("INTERVAL 50 YEARS")))
+    if case == "one_second":
+        d = d.withColumn("ts", F.timestamp_micros(F.col("event_id") * 100).cast("timestamp_ntz"))
+    if case == "many_hot":
+        d = d.withColumn("user_id", F.col("event_id") % 1500)
+    split = keyed.hot_split(d, "user_id", "ts", hot_rows=3)
+    slices = d.select("user_id", split.alias("s")).distinct().groupBy("user_id").count()
+    assert slices.agg(F.max("count")).first()[0] > (1 if case == "many_hot" else 20)
+    if case == "null_hot_key":
+        assert slices.filter("user_id is null").first()["count"] > 20
+    got = keyed.row_number(d, ["user_id"], ["ts", "event_id"], split, "rn")
+    want = d.withColumn("rn", F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")).cast("bigint"))
+    assert sorted(map(tuple, got.select("event_id", "rn").collect())) == sorted(map(tuple, want.select("event_id", "rn").collect()))
+    lag = keyed.lag(d, ["user_id"], ["ts", "event_id"], split, ["event_id"], 2)
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    ref = d.select("event_id", F.lag("event_id", 2).over(w).alias("x"))
+    assert {r["event_id"]: r["prev2_event_id"] for r in lag.collect()} == {r["event_id"]: r["x"] for r in ref.collect()}
 
 
 def test_hot_key_rows_span_many_tasks(spark):

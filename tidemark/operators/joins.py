@@ -58,15 +58,16 @@ def cogroup(
     cols = list(dict.fromkeys([key, ts, *order]))
     u = left.select(*cols, F.lit("left").alias("side")).unionByName(right.select(*cols, F.lit("right").alias("side")))
     u = u.withColumn("_w", F.window(ts, size))
-    sizes = u.groupBy(key, "_w").agg(
+    group = F.struct(F.col(key).alias("k"), F.col("_w").alias("w")).alias("_g")
+    sizes = u.groupBy(group).agg(
         F.count(F.when(F.col("side") == "left", 1)).alias("n_left"),
         F.count(F.when(F.col("side") == "right", 1)).alias("n_right"),
     )
     if split is None:
-        split = F.window(ts, f"{max(duration_us(size) // 60, 1)} microseconds").start
-    # the sizes table has one row per group: broadcast when a bounded count proves it small,
-    # else a shuffle join (AQE splits a skewed group's partition; nothing follows the join)
-    u = keyed.row_number(u, [key, "_w", "side"], order, split, "pos").join(checked_broadcast(sizes, 1_000_000), [key, "_w"])
+        split = floordiv(epoch_us(ts), max(duration_us(size) // 60, 1))
+    # one row per group, null keys included; AQE picks the join by run-time size and splits a
+    # skewed group's partition
+    u = keyed.row_number(u, [key, "_w", "side"], order, split, "pos").withColumn("_g", group).join(sizes, "_g")
     rest = [c for c in cols if c != key]
     return u.select(
         key, F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),

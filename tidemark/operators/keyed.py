@@ -28,6 +28,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.time import epoch_us
+
 SLICE = "_tm_slice"
 KV = "_tm_kv"  # struct(keys..., slice)
 K = "_tm_k"  # struct(keys...)
@@ -43,10 +45,6 @@ def _cols(cs: Sequence[str | Column]) -> list[Column]:
     return [_col(c) for c in cs]
 
 
-def with_slice(df: DataFrame, split: str | Column) -> DataFrame:
-    return df.withColumn(SLICE, _col(split))
-
-
 def _keyed(df: DataFrame, keys: Sequence[str], split: str | Column) -> DataFrame:
     """Adds the struct ``KV = (keys..., slice)``, the only extra column carried per row."""
     return df.withColumn(KV, F.struct(*[F.col(k) for k in keys], _col(split).alias(SLICE)))
@@ -243,19 +241,36 @@ def run_length(
     return _drop(out, "_ok", "_rn", "_brk", "_last", "_carry")
 
 
-def time_split(df: DataFrame, ts: str, min_width: int = 1, max_width: int = 86_400) -> Column:
-    """A ``split`` sized from the data: time buckets of ``span / sqrt(rows)`` seconds (clamped
-    to ``[min_width, max_width]``). With N rows that gives about sqrt(N) slices, so even a key
-    holding a third of all rows has about sqrt(N) rows per slice and sqrt(N) rows in its
-    per-slice table. Costs one min/max/count aggregate over one column."""
+SEGMENTS = 32
+BUCKETS = 1 << 16
+
+
+def _slices(v: Column, borders: Sequence[int], per: int) -> Column:
+    """A number that grows with ``v``: ``per`` slices between each two ``borders``, one before
+    and one after them, and one (the first) for null."""
+    out = F.lit(1 + (len(borders) - 1) * per)
+    for i in reversed(range(len(borders) - 1)):
+        lo, hi = borders[i], borders[i + 1]
+        part = F.floor((v - F.lit(lo)) / F.lit(float(hi - lo)) * F.lit(per))
+        out = F.when(v < F.lit(hi), F.lit(1 + i * per) + F.least(part, F.lit(per - 1))).otherwise(out)
+    if borders:
+        out = F.when(v < F.lit(borders[0]), F.lit(0)).otherwise(out)
+    return F.when(v.isNull(), F.lit(-1)).otherwise(out).cast("bigint")
+
+
+def time_split(df: DataFrame, ts: str) -> Column:
+    """A ``split`` sized from the data: about sqrt(rows) slices whose borders follow the spread of
+    ``ts`` (approximate quantiles of its microseconds, even slices between them), so neither
+    an outlier nor rows within a second make one slice of everything. A null ``ts`` sorts
+    first and has a slice of its own. Costs one aggregate over one column; rows of the very
+    same ``ts`` stay together."""
     import math
 
-    lo, hi, n = df.agg(F.min(ts), F.max(ts), F.count(F.lit(1))).first()
-    if not n or lo is None:
-        return F.window(F.col(ts), f"{max_width} seconds").start
-    span = max((hi - lo).total_seconds(), 1.0)
-    width = int(min(max(span / math.sqrt(n), min_width), max_width))
-    return F.window(F.col(ts), f"{width} seconds").start
+    v = epoch_us(ts)
+    probs = [i / SEGMENTS for i in range(SEGMENTS + 1)]
+    n, found = df.agg(F.count(F.lit(1)), F.percentile_approx(v, probs, 10_000)).first()
+    borders = sorted(set(found or []))
+    return _slices(v, borders, max(int(math.sqrt(n or 0) / max(len(borders) - 1, 1)), 1))
 
 
 def range_split(df: DataFrame, col: str, rows: int | None = None) -> Column:
@@ -273,23 +288,23 @@ def range_split(df: DataFrame, col: str, rows: int | None = None) -> Column:
     return F.call_function("div", x - F.pmod(x, wl), wl)
 
 
-def hot_split(df: DataFrame, key: str, ts: str, hot_rows: int | None = None, max_hot: int = 10_000) -> Column:
-    """A ``split`` that slices only hot keys (split or salt only the hot groups): keys with
-    more than ``hot_rows`` rows (default sqrt(rows)) get the data-sized time buckets of
-    :func:`time_split`, every other key one slice, so the per-slice table stays about one row
-    per key. The hot keys are found with a partial-aggregate count and brought to the driver
-    only after a bounded check (at most ``max_hot``); with more, every key is sliced."""
-    import datetime as _dt
+def hot_split(df: DataFrame, key: str, ts: str, hot_rows: int | None = None) -> Column:
+    """A ``split`` that slices only hot keys: keys that share a hash bucket with more than
+    ``hot_rows`` rows (default: sqrt(rows), and four times the mean of a bucket at least) get the
+    slices of :func:`time_split`, every other key one slice, so the per-slice table stays about
+    one row per key. Buckets are counted with one partial aggregate; their number is fixed, so
+    any number of keys may be hot. A null key is a key like any other, and a cold key in a hot
+    bucket is merely sliced."""
     import math
 
-    ttype = df.schema[ts].dataType.simpleString()
-    one = F.lit(_dt.datetime(1970, 1, 1)).cast(ttype)
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    n, biggest = counts.agg(F.sum("_n"), F.max("_n")).first()
-    threshold = hot_rows or max(int(math.sqrt(max(n or 0, 1))), 1)
-    if not biggest or biggest <= threshold:
-        return one  # no hot key: one slice per key, one small job
-    keys = [r[0] for r in counts.filter(F.col("_n") > threshold).select(key).limit(max_hot + 1).collect()]
-    if len(keys) > max_hot:
-        return time_split(df, ts)
-    return F.when(F.col(key).isin(keys), time_split(df, ts)).otherwise(one)
+    at = F.pmod(F.xxhash64(key), F.lit(BUCKETS))
+    counts = {r["b"]: r["n"] for r in df.groupBy(at.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    n = sum(counts.values())
+    threshold = hot_rows or max(math.isqrt(n), 4 * n // BUCKETS, 1)
+    hot = bytearray(BUCKETS)
+    for b, m in counts.items():
+        hot[b] = m > threshold
+    if not any(hot):
+        return F.lit(0).cast("bigint")  # no hot key: one slice per key, one small job
+    is_hot = F.substring(F.lit(hot), (at + 1).cast("int"), 1) == F.lit(bytearray(b"\x01"))
+    return F.when(is_hot, time_split(df.filter(is_hot), ts)).otherwise(F.lit(0).cast("bigint"))

@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.durations import duration_us
 from tidemark.functions.time import ceildiv, epoch_us, floordiv
-from tidemark.operators import keyed
-from tidemark.operators.joins import fits
 
 
 def _as_ts(us, like: DataFrame, ts: str):
@@ -26,7 +24,7 @@ def event_timer(df: DataFrame, key: str, ts: str, delay: str) -> DataFrame:
     return arrivals.unionByName(timers.select(key, F.lit("timer").alias("kind"), "at"))
 
 
-def periodic_count(df: DataFrame, key: str, ts: str, period: str, until=None, max_keys: int = 1_000_000) -> DataFrame:
+def periodic_count(df: DataFrame, key: str, ts: str, period: str, until=None) -> DataFrame:
     """Per key, starting at its first row ``t0``, a timer every ``period`` reports the
     key's cumulative row count up to the timer (rows with ``ts <= tick``). Ticks stop at
     ``until`` (default: the input's last ``ts``, the last watermark of a bounded run).
@@ -38,13 +36,10 @@ def periodic_count(df: DataFrame, key: str, ts: str, period: str, until=None, ma
     p = duration_us(period)
     if until is None:
         until = df.agg(F.max(ts)).first()[0]
-    t0 = df.groupBy(key).agg(F.min(ts).alias("_t0"))
-    # each row needs its key's start: a broadcast join when a bounded count proves the
-    # per-key table small, else a slice-split running minimum (a hot key is not one task)
-    if fits(t0, max_keys):
-        rows = df.select(key, ts).join(F.broadcast(t0), key)
-    else:
-        rows = keyed.running(df.select(key, ts), [key], [ts], keyed.time_split(df, ts), {"_t0": ("min", ts)})
+    # each row needs its key's start, null keys included; AQE picks the join by run-time size and
+    # splits a hot key's partition
+    t0 = df.groupBy(F.struct(key).alias("_k")).agg(F.min(ts).alias("_t0"))
+    rows = df.select(key, ts, F.struct(key).alias("_k")).join(t0, "_k").drop("_k")
     idx = ceildiv(epoch_us(ts) - epoch_us("_t0"), p)
     # counted per (key, tick index) with partial aggregation before the shuffle
     per = rows.groupBy(key, "_t0", idx.alias("k")).agg(F.count(F.lit(1)).alias("_n"))

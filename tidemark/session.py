@@ -41,11 +41,13 @@ def ensure_utc(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession, sub: str | None = None) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting names shared storage and is only read here. Only when it is
-    unset (local tests) a fresh scratch folder is created and registered.
+    On a cluster that setting names shared storage; its absence is an error. Only a local
+    session (tests) without it gets a fresh scratch folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)
