@@ -198,11 +198,25 @@ def test_f7_reconcile(spark, width):
     app = app.withColumn("a_ts", ms_to_ts("ms")).drop("ms")
     third = spark.createDataFrame([("order-1", 3000, 1), ("order-3", 4000, 2)], "order_id string, ms bigint, t_seq bigint")
     third = third.withColumn("t_ts", ms_to_ts("ms")).drop("ms")
-    r = joins.reconcile(app, third, "order_id", ["a_ts", "a_seq"], ["t_ts", "t_seq"], bucket("a_ts", width), bucket("t_ts", width),
-                        "a_ts", "t_ts", "5 seconds")
+    r = joins.reconcile(app, third, "order_id", "a_ts", "a_seq", "t_ts", "t_seq", "5 seconds", lambda d, k, ts: bucket(ts, width))
     assert rows_of(r, "order_id", "status") == [("order-1", "matched"), ("order-2", "missing_third"), ("order-3", "matched")]
 
 
+@pytest.mark.parametrize("width", SPLITS)
+def test_reconcile_goes_on_behind_a_lonely_row(spark, width):
+    """One lonely app payment, then 19 true pairs: 19 matched and 1 lonely. Null keys are one
+    key, a row without a time matches nothing."""
+    for key in ("o", None):
+        app = [(key, 0, 100)] + [(key, (i + 1) * 100_000, i) for i in range(19)] + [("z", None, 7)]
+        third = [(key, (i + 1) * 100_000 + 5_000 * (-1) ** i, i) for i in range(19)] + [("z", None, 8)]
+        a = spark.createDataFrame(app, "o string, ms bigint, a_id bigint").withColumn("a_ts", ms_to_ts("ms")).drop("ms")
+        t = spark.createDataFrame(third, "o string, ms bigint, t_id bigint").withColumn("t_ts", ms_to_ts("ms")).drop("ms")
+        r = joins.reconcile(a, t, "o", "a_ts", "a_id", "t_ts", "t_id", "5 seconds", lambda d, k, ts: bucket(ts, width))
+        got = rows_of(r.filter("o is null or o <> 'z'"), "status", "a_id", "t_id")
+        assert got == [("matched", i, i) for i in range(19)] + [("missing_third", 100, None)]
+        assert rows_of(r.filter("o = 'z'"), "status") == [("missing_app",), ("missing_third",)]
+
+
 @pytest.mark.parametrize("mode,expected", [
     ("all", [("Alice", "login", "pay"), ("Bob", "login", "order")]),
     ("latest", [("Bob", "login", "order")]),

@@ -91,8 +91,8 @@ def test_followed_by_stream(spark, stream_dir):
 
 
 def test_group_of_five_stream(spark, stream_dir):
-    src = _stream(spark, stream_dir).withColumn("ms", epoch_ms("et")).filter(F.col("user_id") >= 0)
-    got = _run(stateful.group_of_n_average(src, "user_id", 5, "ms", name="avg_ts_ms"), "tm_a15")
+    src = _stream(spark, stream_dir).withColumn("ms", epoch_ms("et"))
+    got = _run(stateful.group_of_n_average(src, "user_id", 5, "ms", name="avg_ts_ms"), "tm_a15").filter("user_id >= 0")
     b = _batch(spark, "a15_avg_of_5")
     assert _norm(got.select("user_id", "grp", "avg_ts_ms").collect()) == _norm(b.select("user_id", "grp", "avg_ts_ms").collect())
 
@@ -110,12 +110,64 @@ def test_patterns_stream(spark, stream_dir):
 
 
 def test_rows_average_stream(spark, stream_dir):
-    src = _stream(spark, stream_dir).filter(F.col("user_id") >= 0)
-    got = _run(stateful.rows_average(src, "user_id", 4), "tm_w11")
+    got = _run(stateful.rows_average(_stream(spark, stream_dir), "user_id", 4), "tm_w11").filter("user_id >= 0")
     b = _batch(spark, "w11_over_avg")
     assert _norm(got.select("user_id", "seq", "avg_ts_ms").collect()) == _norm(b.select("user_id", "event_id", "avg_ts_ms").collect())
 
 
+@pytest.fixture(scope="module")
+def disordered_dir(spark):
+    """The same events dealt to four files without regard to time, and the sentinel file: with a
+    delay of the whole span no row is late, and each batch brings rows before those of the last."""
+    d = tempfile.mkdtemp(prefix="tm-disorder-")
+    t = pq.read_table(f"{SF_SMALL}/events.parquet").to_pandas()
+    s = t.iloc[:1].copy()
+    s["event_id"], s["user_id"], s["ts"] = SENTINEL_ID, -1, t["ts"].max() + dt.timedelta(days=36500)
+    for i, g in enumerate([t[t["event_id"] % 4 == j] for j in range(4)] + [s]):
+        p = f"{d}/part-{i}.parquet"
+        pq.write_table(pa.Table.from_pandas(g.sample(frac=1, random_state=i).reset_index(drop=True), preserve_index=False), p)
+        os.utime(p, (1_700_000_000 + i, 1_700_000_000 + i))
+    return d
+
+
+@pytest.mark.parametrize("name", ["c02", "c03", "c04", "a15", "w11", "w04", "j05"])
+def test_rows_across_batches_are_handled_in_event_time(spark, disordered_dir, name):
+    src = _stream(spark, disordered_dir, "3650 days")
+    t = F.col("event_type")
+    if name == "c02":
+        got = stateful.consecutive(src, "user_id", t == "error", 3).withColumnRenamed("seq", "event_id")
+        b = _batch(spark, "c02_consecutive").select(got.columns)
+    elif name == "c03":
+        got = stateful.followed_by_within(src, "user_id", "event_type", "signup", "purchase", "12 hours")
+        b = _batch(spark, "c03_followed_by_within").select("user_id", "first_event_id", "first_ts", "second_event_id", "second_ts", "status")
+    elif name == "c04":
+        sym = F.when(t == "error", 0).when(t == "purchase", 1)  # null: the last symbol
+        got = stateful.state_machine(src, "user_id", sym, patterns.LOGIN_FAIL_NEXT, patterns.LOGIN_FAIL_EMIT)
+        b = _batch(spark, "c04_state_machine").select("user_id", "event_id", "ts")
+    elif name == "a15":
+        got = stateful.group_of_n_average(src.withColumn("ms", epoch_ms("et")), "user_id", 5, "ms", name="avg_ts_ms")
+        b = _batch(spark, "a15_avg_of_5").select("user_id", "grp", "avg_ts_ms")
+    elif name == "w11":
+        got = stateful.rows_average(src, "user_id", 4)
+        b = _batch(spark, "w11_over_avg").select("user_id", "event_id", "avg_ts_ms")
+    elif name == "w04":
+        got = stateful.count_window(src.withColumn("v", F.col("seq")), "user_id", 5, 3, "v")
+        from pyspark.sql import Window
+
+        ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").withColumn("v", F.col("event_id"))
+        w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+        b = ev.withColumn("fire_pos", F.row_number().over(w)).withColumn("frame_rows", F.least("fire_pos", F.lit(5)))
+        b = b.withColumn("frame_sum", F.sum("v").over(w.rowsBetween(-4, 0))).filter("fire_pos % 3 = 0")
+        b = b.select("user_id", "fire_pos", "frame_rows", "frame_sum", (F.col("fire_pos") - F.col("frame_rows") + 1).alias("frame_first"))
+    else:
+        got = stateful.reconcile(src.filter(t.isin("click", "purchase") | (F.col("user_id") < 0)), "user_id", "event_type", "click", "1 day")
+        b = _batch(spark, "j05_reconcile").select("user_id", "app_id", "app_ts", "third_id", "third_ts", "status")
+    rows = _run(got, f"tm_disorder_{name}").filter("user_id >= 0").collect()
+    key = lambda r: [(v is not None, v) for v in r]
+    plain = lambda rs: sorted((tuple(v.replace(tzinfo=None) if isinstance(v, dt.datetime) else v for v in r) for r in rs), key=key)
+    assert len(rows) > 0 and plain(rows) == plain(b.collect())
+
+
 def test_event_timer_stream(spark, stream_dir):
     got = _run(stateful.event_timer(_stream(spark, stream_dir), "user_id", "1 hour"), "tm_x01").filter(F.col("user_id") >= 0)
     b = _batch(spark, "x01_event_timer")
@@ -274,8 +326,7 @@ def test_processing_timer_fires(spark, stream_dir):
 
 
 def test_keyed_state_forms_stream(spark, stream_dir):
-    src = _stream(spark, stream_dir).filter(F.col("user_id") >= 0)
-    got = _run(stateful.keyed_state_forms(src, "user_id", "event_type"), "tm_x0x")
+    got = _run(stateful.keyed_state_forms(_stream(spark, stream_dir), "user_id", "event_type"), "tm_x0x").filter("user_id >= 0")
     g = {r.seq: r for r in got.collect()}
     x4 = {r.event_id: r for r in _batch(spark, "x04_value_state_previous").collect()}
     x5 = {r.event_id: r.list_size for r in _batch(spark, "x05_list_state_size").collect()}
@@ -299,8 +350,8 @@ def test_rule_join_stream(spark, stream_dir):
 
 
 def test_count_window_stream(spark, stream_dir):
-    src = _stream(spark, stream_dir).filter(F.col("user_id") >= 0).withColumn("c", F.round(F.col("value") * 100).cast("bigint"))
-    got = _run(stateful.count_window(src, "user_id", 10, 2, "c"), "tm_w04")
+    src = _stream(spark, stream_dir).withColumn("c", F.round(F.col("value") * 100).cast("bigint"))
+    got = _run(stateful.count_window(src, "user_id", 10, 2, "c"), "tm_w04").filter("user_id >= 0")
     b = _batch(spark, "w04_count_window")
     cols = ["user_id", "fire_pos", "frame_rows", "frame_sum", "frame_first"]
     assert _norm(got.select(cols).collect()) == _norm(b.select(cols).collect())

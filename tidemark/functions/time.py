@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemark.functions.durations import duration_us
+
 
 def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -40,8 +42,10 @@ def floor_to(ms: str | Column, size_ms: int) -> Column:
 
 
 def bucket(ts: str | Column, width: str) -> Column:
-    """Epoch-aligned time bucket start (same as a tumbling window start); the usual ``split``."""
-    return F.window(_c(ts), width).start
+    """Epoch-aligned time bucket start (as a tumbling window's), null for a null time; a ``split``
+    by plain arithmetic (``F.window`` would drop the rows without a time)."""
+    w = duration_us(width)
+    return F.timestamp_micros(floordiv(epoch_us(ts), w) * F.lit(w)).cast("timestamp_ntz")
 
 
 def minus(ts: str | Column, interval: str) -> Column:

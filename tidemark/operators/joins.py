@@ -11,8 +11,10 @@ places need help at scale:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections import deque
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -107,34 +109,94 @@ def equi_join(
     return big.join(small, on, how)
 
 
+class Pairing:
+    """One-to-one pairs of two sides in event time: a row takes the oldest row of the other side
+    that still waits and is at most ``tol`` older, else it waits itself. Only one side ever
+    waits, for at most ``tol``. ``waiting`` holds (is_app, us, id), ``out`` rows of (app id, app
+    us, third id, third us, status)."""
+
+    def __init__(self, tol: int, waiting: Iterable[tuple] = ()):
+        self.tol, self.waiting, self.out = tol, deque(waiting), []
+
+    def add(self, is_app: bool, us: int, id_: int) -> None:
+        w = self.waiting
+        while w and w[0][1] + self.tol < us:
+            self._lonely(*w.popleft())
+        if w and w[0][0] != is_app:
+            _, us2, id2 = w.popleft()
+            self.out.append((id_, us, id2, us2, "matched") if is_app else (id2, us2, id_, us, "matched"))
+        else:
+            w.append((is_app, us, id_))
+
+    def _lonely(self, is_app: bool, us: int | None, id_: int) -> None:
+        self.out.append((id_, us, None, None, "missing_third") if is_app else (None, None, id_, us, "missing_app"))
+
+    def expire(self, now: float) -> None:
+        """Rows that nothing after ``now`` can match any more are lonely."""
+        while self.waiting and self.waiting[0][1] + self.tol <= now:
+            self._lonely(*self.waiting.popleft())
+
+
 def reconcile(
-    app: DataFrame,
-    third: DataFrame,
-    key: str,
-    order_app: Sequence[str],
-    order_third: Sequence[str],
-    split_app: str | Column,
-    split_third: str | Column,
-    ts_app: str,
-    ts_third: str,
-    tolerance: str,
+    app: DataFrame, third: DataFrame, key: str, ts_app: str, id_app: str, ts_third: str, id_third: str,
+    tolerance: str, split: Callable[[DataFrame, str, str], str | Column] = keyed.hot_split,
 ) -> DataFrame:
-    """Pair the k-th payment of each side per key (k by each side's order); a pair is
-    ``matched`` when its timestamps are at most ``tolerance`` apart (inclusive), else
-    ``too_far``; a lonely row is ``missing_third`` / ``missing_app``. The k-th number comes
-    from the slice-split running count, so the full outer join runs on ``(key, k)``."""
+    """One-to-one pairs of payments of one key at most ``tolerance`` apart (inclusive).
+
+    In event time (ties by id) a row takes the oldest row of the other side that waits for it
+    (:class:`Pairing`): ``matched``. Rows left alone for the tolerance are ``missing_third`` /
+    ``missing_app``; matching goes on behind them. A row without a time matches nothing. Ids
+    are integers. Output: ``key, app_id, app_ts, third_id, third_ts, status`` under the input's names.
+
+    No pair reaches over a gap longer than the tolerance, so a key's rows are cut at such gaps
+    (by the slice-split lag and running count) and each stretch is paired by itself, in one
+    sorted pass that holds only waiting rows. One task has a stretch of a key, not the key; a key
+    that never pauses for the tolerance stays one stretch."""
     tol = duration_us(tolerance)
-    a = keyed.row_number(app, [key], order_app, split_app, "k")
-    b = keyed.row_number(third, [key], order_third, split_third, "k")
-    j = a.join(b, [key, "k"], "full")
-    gap = F.abs(epoch_us(ts_app) - epoch_us(ts_third))
-    status = (
-        F.when(F.col(ts_third).isNull(), "missing_third")
-        .when(F.col(ts_app).isNull(), "missing_app")
-        .when(gap <= tol, "matched")
-        .otherwise("too_far")
+    one = lambda d, ts, i, is_app: d.select(
+        F.col(key).alias("k"), F.col(ts).alias("ts"), F.col(i).cast("bigint").alias("id"), F.lit(is_app).alias("is_app")
+    )
+    u = one(app, ts_app, id_app, True).unionByName(one(third, ts_third, id_third, False))
+    order = ["ts", "id", "is_app"]
+    cut = split(u, "k", "ts")
+    u = u.withColumn("us", epoch_us("ts"))
+    u = keyed.lag(u, ["k"], order, cut, ["us"], 1, "prev")
+    gap = F.coalesce(F.col("us") - F.col("prev1_us") > tol, F.lit(False))
+    u = keyed.running(u.withColumn("_gap", gap.cast("bigint")), ["k"], order, cut, {"part": ("sum", "_gap")})
+    u = u.select("k", "part", "us", "id", "is_app").repartition("k", "part").sortWithinPartitions("k", "part", "us", "id", "is_app")
+    out = f"k {u.schema['k'].dataType.simpleString()}, a_id bigint, a_us bigint, t_id bigint, t_us bigint, status string"
+
+    def pair(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, queue = None, Pairing(tol)
+
+        def rows(k) -> list[tuple]:
+            done, queue.out = [(k, *r) for r in queue.out], []
+            return done
+
+        for b in batches:
+            found = []
+            us = [None if pd.isna(x) else int(x) for x in b["us"]]
+            for k, part, t, i, is_app in zip(b["k"].astype(object), b["part"], us, b["id"].tolist(), b["is_app"]):
+                k = None if pd.isna(k) else k
+                if (k, part) != now:
+                    if now is not None:
+                        queue.expire(float("inf"))
+                        found += rows(now[0])
+                    now = (k, part)
+                queue._lonely(is_app, None, i) if t is None else queue.add(bool(is_app), t, i)
+                found += rows(k)
+            yield pd.DataFrame(found, columns=["k", "a_id", "a_us", "t_id", "t_us", "status"]).astype(
+                {"a_id": "Int64", "a_us": "Int64", "t_id": "Int64", "t_us": "Int64"})
+        if now is not None:
+            queue.expire(float("inf"))
+            yield pd.DataFrame(rows(now[0]), columns=["k", "a_id", "a_us", "t_id", "t_us", "status"]).astype(
+                {"a_id": "Int64", "a_us": "Int64", "t_id": "Int64", "t_us": "Int64"})
+
+    at = lambda c: F.timestamp_micros(F.col(c)).cast("timestamp_ntz")
+    return u.mapInPandas(pair, out).select(
+        F.col("k").alias(key), F.col("a_id").alias(id_app), at("a_us").alias(ts_app), F.col("t_id").alias(id_third),
+        at("t_us").alias(ts_third), "status",
     )
-    return j.withColumn("status", status)
 
 
 def rule_join(

@@ -797,25 +797,33 @@ def j04_equi_join(spark, sf):
 
 
 @query("j05_reconcile", """
-WITH a AS (SELECT user_id, event_id AS app_id, ts AS app_ts,
-                  row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k
-           FROM events WHERE event_type = 'click'),
-b AS (SELECT user_id, event_id AS third_id, ts AS third_ts,
-             row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k
-      FROM events WHERE event_type = 'purchase')
-SELECT coalesce(a.user_id, b.user_id) AS user_id, coalesce(a.k, b.k) AS k, app_id, app_ts, third_id, third_ts,
-       CASE WHEN third_ts IS NULL THEN 'missing_third' WHEN app_ts IS NULL THEN 'missing_app'
-            WHEN abs(epoch_us(app_ts) - epoch_us(third_ts)) <= 86400000000 THEN 'matched' ELSE 'too_far' END AS status
-FROM a FULL OUTER JOIN b ON a.user_id = b.user_id AND a.k = b.k
+WITH RECURSIVE a AS (SELECT user_id, event_id, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n
+                     FROM events WHERE event_type = 'click'),
+b AS (SELECT user_id, event_id, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n
+      FROM events WHERE event_type = 'purchase'),
+-- i, j: rows of each side that are settled; one step settles the earlier next row, or a pair
+walk AS (
+  SELECT DISTINCT user_id, 0::BIGINT AS i, 0::BIGINT AS j, NULL::BIGINT AS app_id, NULL::TIMESTAMP AS app_ts,
+         NULL::BIGINT AS third_id, NULL::TIMESTAMP AS third_ts, 'start' AS status
+  FROM events WHERE event_type IN ('click', 'purchase')
+  UNION ALL
+  SELECT user_id, i + (take <> 'b')::BIGINT, j + (take <> 'a')::BIGINT,
+         CASE WHEN take <> 'b' THEN a_id END, CASE WHEN take <> 'b' THEN a_ts END,
+         CASE WHEN take <> 'a' THEN b_id END, CASE WHEN take <> 'a' THEN b_ts END,
+         CASE take WHEN 'ab' THEN 'matched' WHEN 'a' THEN 'missing_third' ELSE 'missing_app' END
+  FROM (SELECT w.user_id, w.i, w.j, a.event_id AS a_id, a.ts AS a_ts, b.event_id AS b_id, b.ts AS b_ts,
+               CASE WHEN b.ts IS NULL THEN 'a' WHEN a.ts IS NULL THEN 'b'
+                    WHEN abs(epoch_us(a.ts) - epoch_us(b.ts)) <= 86400000000 THEN 'ab'
+                    WHEN a.ts < b.ts THEN 'a' ELSE 'b' END AS take
+        FROM walk w LEFT JOIN a ON a.user_id = w.user_id AND a.n = w.i + 1
+                    LEFT JOIN b ON b.user_id = w.user_id AND b.n = w.j + 1
+        WHERE a.ts IS NOT NULL OR b.ts IS NOT NULL))
+SELECT user_id, app_id, app_ts, third_id, third_ts, status FROM walk WHERE status <> 'start'
 """)
 def j05_reconcile(spark, sf):
     a = _side(spark, sf, "click", "app")
     b = _side(spark, sf, "purchase", "third")
-    r = joins.reconcile(
-        a, b, "user_id", ["app_ts", "app_id"], ["third_ts", "third_id"],
-        keyed.time_split(a, "app_ts"), keyed.time_split(b, "third_ts"), "app_ts", "third_ts", "1 day",
-    )
-    return r.select("user_id", "k", "app_id", "app_ts", "third_id", "third_ts", "status")
+    return joins.reconcile(a, b, "user_id", "app_ts", "app_id", "third_ts", "third_id", "1 day")
 
 
 def _rules(spark):

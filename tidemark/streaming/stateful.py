@@ -2,10 +2,13 @@
 
 Each operator is ``groupBy(key).applyInPandasWithState``: Spark keeps the per-key state in its
 checkpointed state store, shuffles rows by key and calls the function once per key and
-micro-batch with that key's new rows. Rows are sorted by ``(ts, seq)`` inside the call; the
-order across micro-batches is arrival order. State stays small and bounded (counters, the
-last few rows, pending timers); the rows a call sees are bounded by the micro-batch size
-(``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``).
+micro-batch with that key's new rows. The operators whose result depends on order (patterns,
+count windows, row averages, state forms, rules, reconciliation) run through :func:`_in_order`:
+a row waits in state until the watermark has passed it, so rows are handled by ``(ts, seq)``
+whatever batch they came in, and rows later than the watermark are dropped by Spark. Their state is
+the rows of the watermark's delay and a few counters or rows; :func:`keyed_state_forms` also has a
+counter for each value of a key, which is what its map state is. A call sees the rows of one key
+in one micro-batch (bounded by ``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``).
 
 Input: a stream with the key, an event-time ``et`` column carrying the watermark (see
 :func:`tidemark.streaming.basic.event_time`) and a numeric tie-break ``seq``. Timestamps in
@@ -14,8 +17,9 @@ the output are ``timestamp_ntz`` like the batch forms.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +27,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidemark.functions.durations import duration_us
 from tidemark.functions.time import epoch_us
+from tidemark.operators.joins import Pairing
 
 
 def _prepared(df: DataFrame, key: str, et: str, seq: str, extra: Sequence[str | F.Column] = ()) -> DataFrame:
@@ -43,53 +48,88 @@ def _ntz(c: str) -> F.Column:
     return F.timestamp_micros(F.col(c)).cast("timestamp_ntz")
 
 
-def followed_by_within(
-    df: DataFrame, key: str, kind: str, first: str, second: str, within: str, et: str = "et", seq: str = "seq"
+def _table(out: str, **cols) -> pd.DataFrame:
+    """A frame of the schema ``out`` (``name type, ...``); bigint columns may hold nulls."""
+    pdf = pd.DataFrame(cols, columns=[c.split()[0] for c in out.split(", ")])
+    return pdf.astype({c.split()[0]: "Int64" for c in out.split(", ")[1:] if c.endswith(" bigint")})
+
+
+def _in_order(
+    d: DataFrame, x_type: str, out: str, own: str, init: Sequence,
+    step: Callable[[object, pd.DataFrame, tuple, float], tuple[pd.DataFrame, tuple | None, int | None]],
 ) -> DataFrame:
-    """C03 on a stream: each ``first`` row waits for the next ``second`` row of its key; it is
-    ``matched`` if that row comes less than ``within`` later, and ``timeout`` once the
-    watermark passes ``first + within`` (event-time timeout), as in the batch form."""
-    w_us = duration_us(within)
-    d = _prepared(df, key, et, seq, [F.col(kind).alias("kind")])
+    """Runs ``step(key, rows, mine, watermark)`` over each key's rows in the order ``(us, seq)``.
+
+    ``d`` has the columns ``k, us, seq`` and a payload ``x`` of ``x_type``. Rows newer than the
+    watermark stay in state; ``rows`` are those that no later batch can precede any more.
+    ``mine`` are the operator's own state fields (schema ``own``, first value ``init``); a step
+    returns its output rows (schema ``out``), the new fields or None when there is nothing to
+    keep, and the event time in microseconds at which it wants to be called without new rows."""
 
     def fn(k, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        pend = list(zip(*state.get)) if state.exists else []
-        pend = [(int(a), int(b)) for a, b in pend]
-        out = []
-        if state.hasTimedOut:
-            wm = state.getCurrentWatermarkMs() * 1000
-            keep = []
-            for us, s in pend:
-                (out.append((k[0], s, us, None, None, "timeout")) if us + w_us <= wm else keep.append((us, s)))
-            pend = keep
-        else:
-            for r in _rows(pdfs).itertuples(index=False):
-                if r.kind == first:
-                    pend.append((int(r.us), int(r.seq)))
-                elif r.kind == second:
-                    for us, s in pend:
-                        if r.us - us < w_us:
-                            out.append((k[0], s, us, int(r.seq), int(r.us), "matched"))
-                        else:
-                            out.append((k[0], s, us, None, None, "timeout"))
-                    pend = []
-        if pend:
-            state.update(([p[0] for p in pend], [p[1] for p in pend]))
-            wm = state.getCurrentWatermarkMs()
-            state.setTimeoutTimestamp(max(min(p[0] for p in pend) // 1000 + w_us // 1000, wm + 1))
-        else:
+        us, sq, xs, *mine = state.get if state.exists else ([], [], [], *init)
+        parts = [pd.DataFrame({"us": np.array(us, "int64"), "seq": np.array(sq, "int64"), "x": pd.Series(list(xs), dtype=object)})]
+        if not state.hasTimedOut:
+            parts += [p[["us", "seq", "x"]].astype({"x": object}) for p in pdfs]
+        rows = pd.concat([p for p in parts if len(p)] or parts[:1], ignore_index=True).sort_values(["us", "seq"], kind="mergesort")
+        ms = state.getCurrentWatermarkMs()
+        wm = ms * 1000 if ms > 0 else float("-inf")  # 0: there is no watermark yet
+        n = int(np.searchsorted(rows["us"].to_numpy(), wm, side="right"))
+        result, keep, wake = step(k[0], rows.iloc[:n].reset_index(drop=True), tuple(mine), wm)
+        rest = rows.iloc[n:]
+        if keep is None and not len(rest):
             state.remove()
-        yield pd.DataFrame(out, columns=["k", "first_seq", "first_us", "second_seq", "second_us", "status"]).astype(
-            {"first_seq": "Int64", "first_us": "Int64", "second_seq": "Int64", "second_us": "Int64"}
-        )
-
-    r = d.groupBy("k").applyInPandasWithState(
-        fn,
-        f"k {_ktype(df, key)}, first_seq bigint, first_us bigint, second_seq bigint, second_us bigint, status string",
-        "pend_us array<bigint>, pend_seq array<bigint>",
-        "append",
+        else:
+            x = [None if pd.isna(v) else v.item() if isinstance(v, np.generic) else v for v in rest["x"]]
+            state.update((rest["us"].tolist(), rest["seq"].tolist(), x, *(init if keep is None else keep)))
+            due = [t for t in (wake, int(rest["us"].iloc[0]) if len(rest) else None) if t is not None]
+            if due:
+                state.setTimeoutTimestamp(max(min(due) // 1000, ms + 1))
+        yield result
+
+    return d.groupBy("k").applyInPandasWithState(
+        fn, f"k {_ktype(d, 'k')}, {out}", f"us array<bigint>, seq array<bigint>, x array<{x_type}>, {own}", "append",
         GroupStateTimeout.EventTimeTimeout,
     )
+
+
+def followed_by_within(
+    df: DataFrame, key: str, kind: str, first: str, second: str, within: str, et: str = "et", seq: str = "seq"
+) -> DataFrame:
+    """C03 on a stream: each ``first`` row waits for the next ``second`` row of its key in event
+    time; it is ``matched`` if that row comes less than ``within`` later, and ``timeout`` once the
+    watermark passes ``first + within``, as in the batch form. State: the waiting rows, none
+    older than ``within``."""
+    w_us = duration_us(within)
+    sym = F.when(F.col(kind) == first, 0).when(F.col(kind) == second, 1).otherwise(2).cast("int")
+    d = _prepared(df, key, et, seq, [sym.alias("x")])
+    out = "first_seq bigint, first_us bigint, second_seq bigint, second_us bigint, status string"
+
+    def step(k, rows, mine, wm):
+        x = rows["x"].to_numpy("int64")
+        f, s = x == 0, x == 1
+        us = np.concatenate([np.array(mine[0], "int64"), rows["us"].to_numpy()[f]])
+        sq = np.concatenate([np.array(mine[1], "int64"), rows["seq"].to_numpy()[f]])
+        at = np.concatenate([np.full(len(mine[0]), -1), np.flatnonzero(f)])
+        nxt = np.searchsorted(np.flatnonzero(s), at)  # the next second row, if any
+        found = nxt < s.sum()
+        nxt = np.minimum(nxt, max(s.sum() - 1, 0))
+        s_us, s_sq = rows["us"].to_numpy()[s], rows["seq"].to_numpy()[s]
+        to_us = s_us[nxt] if len(s_us) else np.zeros(len(us), "int64")
+        to_sq = s_sq[nxt] if len(s_sq) else np.zeros(len(us), "int64")
+        hit = found & (to_us - us < w_us)
+        done = found | (us + w_us <= wm)
+        pd_out = _table(
+            f"k x, {out}", k=[k] * int(done.sum()), first_seq=sq[done], first_us=us[done],
+            second_seq=pd.array(to_sq, "Int64")[done], second_us=pd.array(to_us, "Int64")[done],
+            status=np.where(hit[done], "matched", "timeout"),
+        )
+        pd_out.loc[~hit[done], ["second_seq", "second_us"]] = pd.NA
+        if done.all():
+            return pd_out, None, None
+        return pd_out, (us[~done].tolist(), sq[~done].tolist()), int(us[~done].min()) + w_us
+
+    r = _in_order(d, "int", out, "f_us array<bigint>, f_seq array<bigint>", ([], []), step)
     return r.select(
         F.col("k").alias(key), F.col("first_seq").alias(f"first_{seq}"), _ntz("first_us").alias("first_ts"),
         F.col("second_seq").alias(f"second_{seq}"), _ntz("second_us").alias("second_ts"), "status",
@@ -98,23 +138,23 @@ def followed_by_within(
 
 def group_of_n_average(df: DataFrame, key: str, n: int, value: str, et: str = "et", seq: str = "seq", name: str = "avg") -> DataFrame:
     """A15 on a stream: value + aggregating state (count, sum, block number); a block is
-    emitted when its ``n``-th row arrives and the state is cleared (X13)."""
-    d = _prepared(df, key, et, seq, [F.col(value).cast("bigint").alias("v")])
-
-    def fn(k, pdfs, state: GroupState):
-        cnt, tot, grp = state.get if state.exists else (0, 0, 0)
-        out = []
-        for r in _rows(pdfs).itertuples(index=False):
-            cnt, tot = cnt + 1, tot + int(r.v)
-            if cnt == n:
-                out.append((k[0], grp, tot // n))
-                cnt, tot, grp = 0, 0, grp + 1
-        state.update((cnt, tot, grp))
-        yield pd.DataFrame(out, columns=["k", "grp", name])
-
-    r = d.groupBy("k").applyInPandasWithState(
-        fn, f"k {_ktype(df, key)}, grp bigint, {name} bigint", "cnt bigint, tot bigint, grp bigint", "append", GroupStateTimeout.NoTimeout
-    )
+    emitted when its ``n``-th row in event time is there and the state is cleared (X13)."""
+    d = _prepared(df, key, et, seq, [F.col(value).cast("bigint").alias("x")])
+    out = f"grp bigint, {name} bigint"
+
+    def step(k, rows, mine, wm):
+        cnt, tot, grp = mine
+        v = rows["x"].to_numpy("int64")
+        total = tot + np.cumsum(v)
+        end = np.arange(n - cnt - 1, len(v), n)  # the last row of each whole block
+        sums = np.diff(total[end], prepend=0)
+        o = _table(f"k x, {out}", k=[k] * len(end), grp=grp + np.arange(len(end)), **{name: sums // n})
+        if len(end):
+            left = v[end[-1] + 1 :]
+            return o, (len(left), int(left.sum()), grp + len(end)), None
+        return o, (cnt + len(v), tot + int(v.sum()), grp), None
+
+    r = _in_order(d, "bigint", out, "cnt bigint, tot bigint, grp bigint", (0, 0, 0), step)
     return r.withColumnRenamed("k", key)
 
 
@@ -122,67 +162,59 @@ def state_machine(
     df: DataFrame, key: str, symbol: F.Column, next_state: Sequence[Sequence[int]], emit: Sequence[Sequence[bool]],
     start: int = 0, et: str = "et", seq: str = "seq",
 ) -> DataFrame:
-    """C04 on a stream: one value state (the machine's state) per key; alert rows out."""
-    d = _prepared(df, key, et, seq, [symbol.cast("int").alias("sym")])
+    """C04 on a stream: one value state (the machine's state) per key; alert rows out. A null
+    symbol is the last one of the table, as in the batch form."""
+    d = _prepared(df, key, et, seq, [F.coalesce(symbol.cast("int"), F.lit(len(next_state) - 1)).alias("x")])
     nxt = [list(r) for r in next_state]
     em = [list(r) for r in emit]
+    out = "seq bigint, us bigint"
 
-    def fn(k, pdfs, state: GroupState):
-        s = state.get[0] if state.exists else start
-        out = []
-        for r in _rows(pdfs).itertuples(index=False):
-            sym = int(r.sym)
+    def step(k, rows, mine, wm):
+        s, hits = mine[0], []
+        for i, sym in enumerate(rows["x"].tolist()):
             if em[sym][s]:
-                out.append((k[0], int(r.seq), int(r.us)))
+                hits.append(i)
             s = nxt[sym][s]
-        state.update((s,))
-        yield pd.DataFrame(out, columns=["k", "seq", "us"])
+        h = rows.iloc[hits]
+        return _table(f"k x, {out}", k=[k] * len(h), seq=h["seq"].to_numpy(), us=h["us"].to_numpy()), (s,), None
 
-    r = d.groupBy("k").applyInPandasWithState(
-        fn, f"k {_ktype(df, key)}, seq bigint, us bigint", "s int", "append", GroupStateTimeout.NoTimeout
-    )
+    r = _in_order(d, "int", out, "s int", (start,), step)
     return r.select(F.col("k").alias(key), F.col("seq").alias(seq), _ntz("us").alias("ts"))
 
 
 def consecutive(df: DataFrame, key: str, pred: F.Column, n: int, et: str = "et", seq: str = "seq") -> DataFrame:
-    """C02 on a stream: the run length is the only state."""
-    d = _prepared(df, key, et, seq, [F.coalesce(pred, F.lit(False)).alias("ok")])
-
-    def fn(k, pdfs, state: GroupState):
-        run = state.get[0] if state.exists else 0
-        out = []
-        for r in _rows(pdfs).itertuples(index=False):
-            run = run + 1 if r.ok else 0
-            if run >= n:
-                out.append((k[0], int(r.seq), int(r.us), run))
-        state.update((run,))
-        yield pd.DataFrame(out, columns=["k", "seq", "us", "run"])
-
-    r = d.groupBy("k").applyInPandasWithState(
-        fn, f"k {_ktype(df, key)}, seq bigint, us bigint, run bigint", "run bigint", "append", GroupStateTimeout.NoTimeout
-    )
+    """C02 on a stream: the run length is the operator's only state."""
+    d = _prepared(df, key, et, seq, [F.coalesce(pred, F.lit(False)).alias("x")])
+    out = "seq bigint, us bigint, run bigint"
+
+    def step(k, rows, mine, wm):
+        ok = rows["x"].to_numpy("bool")
+        i = np.arange(len(ok))
+        broken = np.maximum.accumulate(np.where(ok, -1 - mine[0], i)) if len(ok) else i
+        run = i - broken
+        h = run >= max(n, 1)
+        o = _table(f"k x, {out}", k=[k] * int(h.sum()), seq=rows["seq"].to_numpy()[h], us=rows["us"].to_numpy()[h], run=run[h])
+        return o, (int(run[-1]) if len(run) else mine[0],), None
+
+    r = _in_order(d, "boolean", out, "run bigint", (0,), step)
     return r.select(F.col("k").alias(key), F.col("seq").alias(seq), _ntz("us").alias("ts"), "run")
 
 
 def rows_average(df: DataFrame, key: str, rows: int, et: str = "et", seq: str = "seq", name: str = "avg_ts_ms") -> DataFrame:
     """W11 on a stream (Spark refuses OVER frames on streams): list state of the last
     ``rows - 1`` timestamps; integer mean in epoch ms of the frame ending at each row."""
-    d = _prepared(df, key, et, seq)
-
-    def fn(k, pdfs, state: GroupState):
-        last = list(state.get[0]) if state.exists else []
-        out = []
-        for r in _rows(pdfs).itertuples(index=False):
-            ms = int(r.us) // 1000
-            frame = last + [ms]
-            out.append((k[0], int(r.seq), sum(frame) // len(frame)))
-            last = frame[-(rows - 1):] if rows > 1 else []
-        state.update((last,))
-        yield pd.DataFrame(out, columns=["k", "seq", name])
-
-    r = d.groupBy("k").applyInPandasWithState(
-        fn, f"k {_ktype(df, key)}, seq bigint, {name} bigint", "last array<bigint>", "append", GroupStateTimeout.NoTimeout
-    )
+    d = _prepared(df, key, et, seq, [F.lit(0).alias("x")])
+    out = f"seq bigint, {name} bigint"
+
+    def step(k, new, mine, wm):
+        ms = np.concatenate([np.array(mine[0], "int64"), new["us"].to_numpy() // 1000])
+        total, have = np.concatenate([[0], np.cumsum(ms)]), len(mine[0])
+        end = np.arange(have, len(ms)) + 1
+        begin = np.maximum(end - rows, 0)
+        o = _table(f"k x, {out}", k=[k] * len(new), seq=new["seq"].to_numpy(), **{name: (total[end] - total[begin]) // (end - begin)})
+        return o, (ms[len(ms) - min(rows - 1, len(ms)) :].tolist(),), None
+
+    r = _in_order(d, "int", out, "last array<bigint>", ([],), step)
     return r.select(F.col("k").alias(key), F.col("seq").alias(seq), name)
 
 
@@ -342,59 +374,28 @@ def keyed_window_counts(df: DataFrame, key: str, size: str, et: str = "et", seq:
 
 def reconcile(df: DataFrame, key: str, side: str, app: str, tolerance: str, et: str = "et", seq: str = "seq") -> DataFrame:
     """J05 on a stream (G11 / X12): one stream of both payment kinds, ``side == app`` marks
-    the app's rows. A row pairs with the oldest waiting row of the other side: ``matched``
-    when at most ``tolerance`` apart, else ``too_far``; a row nobody claims within
-    ``tolerance`` of event time is reported ``missing_third`` / ``missing_app`` when the
-    watermark passes it (the timer is dropped once matched)."""
+    the app's rows. In event time a row pairs with the oldest row of the other side that waits
+    for it and is at most ``tolerance`` old: ``matched``; a row nobody claims within
+    ``tolerance`` is ``missing_third`` / ``missing_app`` once the watermark passes that. Only one
+    side ever waits, and no longer than the tolerance."""
     tol = duration_us(tolerance)
-    d = _prepared(df, key, et, seq, [(F.col(side) == app).alias("is_app")])
-
-    def fn(k, pdfs, state: GroupState):
-        if state.exists:
-            pa_, pt_ = list(zip(state.get[0], state.get[1])), list(zip(state.get[2], state.get[3]))
-        else:
-            pa_, pt_ = [], []
-        out = []
-        wm = state.getCurrentWatermarkMs() * 1000
-
-        def expire():
-            nonlocal pa_, pt_
-            for us, s_ in [x for x in pa_ if x[0] + tol <= wm]:
-                out.append((k[0], s_, us, None, None, "missing_third"))
-            for us, s_ in [x for x in pt_ if x[0] + tol <= wm]:
-                out.append((k[0], None, None, s_, us, "missing_app"))
-            pa_ = [x for x in pa_ if x[0] + tol > wm]
-            pt_ = [x for x in pt_ if x[0] + tol > wm]
-
-        expire()
-        if not state.hasTimedOut:
-            for r in _rows(pdfs).itertuples(index=False):
-                me = (int(r.us), int(r.seq))
-                mine, other = (pa_, pt_) if r.is_app else (pt_, pa_)
-                if other:
-                    o = other.pop(0)
-                    a, t = (me, o) if r.is_app else (o, me)
-                    status = "matched" if abs(a[0] - t[0]) <= tol else "too_far"
-                    out.append((k[0], a[1], a[0], t[1], t[0], status))
-                else:
-                    mine.append(me)
-        if pa_ or pt_:
-            state.update(([x[0] for x in pa_], [x[1] for x in pa_], [x[0] for x in pt_], [x[1] for x in pt_]))
-            first = min([x[0] for x in pa_ + pt_]) + tol
-            state.setTimeoutTimestamp(max(first // 1000, state.getCurrentWatermarkMs() + 1))
-        else:
-            state.remove()
-        yield pd.DataFrame(out, columns=["k", "app_seq", "app_us", "third_seq", "third_us", "status"]).astype(
-            {"app_seq": "Int64", "app_us": "Int64", "third_seq": "Int64", "third_us": "Int64"}
-        )
-
-    r = d.groupBy("k").applyInPandasWithState(
-        fn,
-        f"k {_ktype(df, key)}, app_seq bigint, app_us bigint, third_seq bigint, third_us bigint, status string",
-        "a_us array<bigint>, a_seq array<bigint>, t_us array<bigint>, t_seq array<bigint>",
-        "append",
-        GroupStateTimeout.EventTimeTimeout,
-    )
+    d = _prepared(df, key, et, seq, [F.coalesce(F.col(side) == app, F.lit(False)).alias("x")])
+    out = "app_seq bigint, app_us bigint, third_seq bigint, third_us bigint, status string"
+
+    def step(k, rows, mine, wm):
+        queue = Pairing(tol, zip(mine[0], mine[1], mine[2]))
+        for is_app, us, s in zip(rows["x"].tolist(), rows["us"].tolist(), rows["seq"].tolist()):
+            queue.add(bool(is_app), us, s)
+        queue.expire(wm)
+        cols = list(zip(*queue.out)) or [[]] * 5
+        names = ["app_seq", "app_us", "third_seq", "third_us", "status"]
+        o = _table(f"k x, {out}", k=[k] * len(queue.out), **dict(zip(names, map(list, cols))))
+        if not queue.waiting:
+            return o, None, None
+        left = [list(c) for c in zip(*queue.waiting)]
+        return o, tuple(left), queue.waiting[0][1] + tol
+
+    r = _in_order(d, "boolean", out, "w_app array<boolean>, w_us array<bigint>, w_seq array<bigint>", ([], [], []), step)
     return r.select(
         F.col("k").alias(key), "app_seq", _ntz("app_us").alias("app_ts"), "third_seq", _ntz("third_us").alias("third_ts"), "status"
     )
@@ -405,34 +406,32 @@ def keyed_state_forms(df: DataFrame, key: str, value: str, et: str = "et", seq:
     previous row), list state (its size), map state (count per ``value``), reducing state
     (first row's ``value`` with the newest timestamp) and aggregating state
     (``"count : n"``). One output row per input row, as the batch forms."""
-    d = _prepared(df, key, et, seq, [F.col(value).cast("string").alias("v")])
-
-    def fn(k, pdfs, state: GroupState):
-        if state.exists:
-            prev_v, prev_s, n, mk, mv, first_v = state.get
-            counts = dict(zip(mk, mv))
-        else:
-            prev_v, prev_s, n, counts, first_v = None, None, 0, {}, None
-        out = []
-        for r in _rows(pdfs).itertuples(index=False):
-            n += 1
-            counts[r.v] = counts.get(r.v, 0) + 1
-            first_v = r.v if first_v is None else first_v
-            out.append((k[0], int(r.seq), prev_v, prev_s, n, counts[r.v], first_v, int(r.us), f"count : {n}"))
-            prev_v, prev_s = r.v, int(r.seq)
-        state.update((prev_v, prev_s, n, list(counts), list(counts.values()), first_v))
-        yield pd.DataFrame(out, columns=["k", "seq", "prev_v", "prev_seq", "list_size", "map_count", "first_v", "us", "agg"]).astype(
-            {"prev_seq": "Int64"}
+    d = _prepared(df, key, et, seq, [F.col(value).cast("string").alias("x")])
+    out = "seq bigint, prev_v string, prev_seq bigint, list_size bigint, map_count bigint, first_v string, us bigint, agg string"
+
+    def step(k, rows, mine, wm):
+        prev_v, prev_s, n, mk, mv, first_v = mine
+        if not len(rows):
+            return _table(f"k x, {out}"), mine, None
+        counts = dict(zip(mk, mv))
+        v, sq = rows["x"], rows["seq"]
+        size = n + 1 + np.arange(len(rows))
+        nth = v.groupby(v, dropna=False).cumcount().to_numpy() + 1 + np.array([counts.get(x, 0) for x in v])
+        named = [x for x in v if x is not None]
+        seen = first_v if first_v is not None or not named else named[0]
+        lead = int(v.notna().to_numpy().argmax()) if named else len(v)
+        firsts = [first_v if first_v is not None or i < lead else seen for i in range(len(v))]
+        o = _table(
+            f"k x, {out}", k=[k] * len(rows), seq=sq.to_numpy(), prev_v=[prev_v, *v[:-1]],
+            prev_seq=pd.array([prev_s, *sq[:-1].tolist()], "Int64"), list_size=size, map_count=nth, first_v=firsts,
+            us=rows["us"].to_numpy(), agg=[f"count : {i}" for i in size],
         )
+        for x in v:
+            counts[x] = counts.get(x, 0) + 1
+        return o, (v.iloc[-1], int(sq.iloc[-1]), int(size[-1]), list(counts), list(counts.values()), seen), None
 
-    r = d.groupBy("k").applyInPandasWithState(
-        fn,
-        f"k {_ktype(df, key)}, seq bigint, prev_v string, prev_seq bigint, list_size bigint, map_count bigint, "
-        "first_v string, us bigint, agg string",
-        "prev_v string, prev_seq bigint, n bigint, mk array<string>, mv array<bigint>, first_v string",
-        "append",
-        GroupStateTimeout.NoTimeout,
-    )
+    own = "prev_v string, prev_seq bigint, n bigint, mk array<string>, mv array<bigint>, first_v string"
+    r = _in_order(d, "string", out, own, (None, None, 0, [], [], None), step)
     return r.select(
         F.col("k").alias(key), F.col("seq").alias(seq), F.col("prev_v").alias(f"prev_{value}"), F.col("prev_seq").alias(f"prev_{seq}"),
         "list_size", "map_count", F.col("first_v").alias(f"first_{value}"), _ntz("us").alias("latest_ts"), "agg",
@@ -445,21 +444,15 @@ def rule_join(df: DataFrame, rules: DataFrame, key: str, action: str, et: str =
     after a bounded count (re-read each micro-batch when it is a table)."""
     from tidemark.operators.joins import checked_broadcast
 
-    d = _prepared(df, key, et, seq, [F.col(action).cast("string").alias("a")])
+    d = _prepared(df, key, et, seq, [F.col(action).cast("string").alias("x")])
+    out = "seq bigint, prev string, cur string"
 
-    def fn(k, pdfs, state: GroupState):
-        prev = state.get[0] if state.exists else None
-        out = []
-        for r in _rows(pdfs).itertuples(index=False):
-            if prev is not None:
-                out.append((k[0], int(r.seq), prev, r.a))
-            prev = r.a
-        state.update((prev,))
-        yield pd.DataFrame(out, columns=["k", "seq", "prev", "cur"])
-
-    pairs = d.groupBy("k").applyInPandasWithState(
-        fn, f"k {_ktype(df, key)}, seq bigint, prev string, cur string", "prev string", "append", GroupStateTimeout.NoTimeout
-    )
+    def step(k, rows, mine, wm):
+        prev = [mine[0], *rows["x"]]
+        o = _table(f"k x, {out}", k=[k] * len(rows), seq=rows["seq"].to_numpy(), prev=prev[:-1], cur=prev[1:])
+        return o[o["prev"].notna()], (prev[-1],), None
+
+    pairs = _in_order(d, "string", out, "prev string", (None,), step)
     r = checked_broadcast(rules, max_rules)
     j = pairs.join(r, (pairs["prev"] == r["action1"]) & (pairs["cur"] == r["action2"]))
     return j.select(F.col("k").alias(key), F.col("seq").alias(seq), F.col("cur").alias(action), *[c for c in rules.columns])
@@ -468,23 +461,22 @@ def rule_join(df: DataFrame, rules: DataFrame, key: str, action: str, et: str =
 def count_window(df: DataFrame, key: str, size: int, slide: int, value: str, et: str = "et", seq: str = "seq") -> DataFrame:
     """W04 on a stream: list state of the key's last ``size`` values; every ``slide``-th row
     emits the frame (rows, sum, first position), as :func:`tidemark.operators.windows.count_window`."""
-    d = _prepared(df, key, et, seq, [F.col(value).cast("bigint").alias("v")])
-
-    def fn(k, pdfs, state: GroupState):
-        pos, last = (state.get[0], list(state.get[1])) if state.exists else (0, [])
-        out = []
-        for r in _rows(pdfs).itertuples(index=False):
-            pos += 1
-            last = (last + [int(r.v)])[-size:]
-            if pos % slide == 0:
-                out.append((k[0], pos, len(last), sum(last), pos - len(last) + 1))
-        state.update((pos, last))
-        yield pd.DataFrame(out, columns=["k", "fire_pos", "frame_rows", "frame_sum", "frame_first"])
-
-    r = d.groupBy("k").applyInPandasWithState(
-        fn, f"k {_ktype(df, key)}, fire_pos bigint, frame_rows bigint, frame_sum bigint, frame_first bigint",
-        "pos bigint, last array<bigint>", "append", GroupStateTimeout.NoTimeout,
-    )
+    d = _prepared(df, key, et, seq, [F.col(value).cast("bigint").alias("x")])
+    out = "fire_pos bigint, frame_rows bigint, frame_sum bigint, frame_first bigint"
+
+    def step(k, rows, mine, wm):
+        pos, have = mine[0], len(mine[1])
+        v = np.concatenate([np.array(mine[1], "int64"), rows["x"].to_numpy("int64")])
+        total = np.concatenate([[0], np.cumsum(v)])
+        end = np.arange(have, len(v)) + 1  # frame ends, as places in v
+        at = pos + 1 + np.arange(len(rows))
+        fire = at % slide == 0
+        end, at = end[fire], at[fire]
+        begin = np.maximum(end - size, 0)
+        o = _table(f"k x, {out}", k=[k] * len(at), fire_pos=at, frame_rows=end - begin, frame_sum=total[end] - total[begin], frame_first=at - (end - begin) + 1)
+        return o, (pos + len(rows), v[max(len(v) - size, 0) :].tolist()), None
+
+    r = _in_order(d, "bigint", out, "pos bigint, last array<bigint>", (0, []), step)
     return r.withColumnRenamed("k", key)
 
 
