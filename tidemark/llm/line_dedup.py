@@ -10,9 +10,10 @@ verified on the lines' words, and the later line goes.
 Any fixed order of words is exact; rarity only keeps prefixes selective. It comes from counts of
 words over all texts, folded into ``BUCKETS`` counters (4 MB, whatever the corpus). Lines of equal
 sets are one line with its earliest place before any pair is made, so frequent lines cost one
-row each. A line needs only one earlier partner, so those that a first round against the earliest
-line of their rarest words has settled are not paired with each other: groups of near copies are never
-listed pair by pair. Nothing is capped: all other candidates are verified.
+row each, and sets are numbered by that place. A line needs only one earlier partner, so those that a
+first round against the earliest line of two of their rarest words has settled look for no
+partner again: they only serve as earlier lines of others. Nothing is capped: all other
+candidates are verified.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from .common import row_key, saved
 PERCENT = 75
 BUCKETS = 1 << 20
 BITS = 1 << 24
-#: Rarest words by which lines are first held against the earliest line that has them.
+#: Rarest words, by twos of which lines are first held against the earliest line that has both.
 LEADING = 4
 
 
@@ -137,15 +138,11 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
 
-def _order() -> Column:
-    return F.coalesce(F.col("at.doc_id"), F.lit(2**63 - 1))
-
-
-def _sizes_fit(sx: Column, sy: Column) -> Column:
+def _sizes_fit(x: str, y: str, sx: Column, sy: Column) -> Column:
     """Length filter, and the words in one line only: at most (1 - t) / (1 + t) of the sizes, at
     least what the parities show."""
     fit = F.lit(100) * F.least(sx, sy) >= F.lit(PERCENT) * F.greatest(sx, sy)
-    return fit & (F.bit_count(F.col("x.sketch").bitwiseXOR(F.col("y.sketch"))) * F.lit(100 + PERCENT) <= F.lit(100 - PERCENT) * (sx + sy))
+    return fit & (F.bit_count(F.col(x).bitwiseXOR(F.col(y))) * F.lit(100 + PERCENT) <= F.lit(100 - PERCENT) * (sx + sy))
 
 
 def _enough_shared() -> Column:
@@ -157,26 +154,32 @@ def _enough_shared() -> Column:
     return F.col("n") >= F.least(need - behind("sx"), need - behind("sy"))
 
 
-def _later(pairs: DataFrame, d: DataFrame, sets: DataFrame) -> DataFrame:
-    """s1 of the later line of each pair of sets (a, b) that is verified on the lines' words,
-    which are read again at the sets' first places."""
+def _filtered(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) that pass the filters on sizes, parities and shared prefix words."""
+    of = sets.select("id", "size", "sketch", "prefix")
+    p = pairs.distinct().join(of.toDF("a", "sx", "kx", "wx"), "a").join(of.toDF("b", "sy", "ky", "wy"), "b")
+    p = p.filter(_sizes_fit("kx", "ky", F.col("sx"), F.col("sy")))
+    # shared prefix words; those of one line with equal numbers count apart
+    n = F.size(F.array_intersect("wx", "wy")) + F.size("wx") - F.size(F.array_distinct("wx"))
+    return p.withColumn("n", n).filter(_enough_shared()).select("a", "b")
+
+
+def _settled(pairs: DataFrame, d: DataFrame, sets: DataFrame) -> DataFrame:
+    """Ids a of the pairs (a, b) that are verified on the lines' words, which are read again at the
+    sets' first places."""
     spark = d.sparkSession
-    pairs = saved(pairs.distinct())
-    need = pairs.select(F.col("a").alias("s1")).unionByName(pairs.select(F.col("b").alias("s1"))).distinct()
-    need = saved(sets.select("s1", "at").join(need, "s1", "left_semi").select("s1", F.col("at.row").alias("row"), F.col("at.line").alias("line")))
+    pairs = saved(pairs)
+    need = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    need = saved(sets.select("id", "at").join(need, "id", "left_semi").select("id", F.col("at.row").alias("row"), F.col("at.line").alias("line")))
     marks = need.select(F.expr(f"cast(row & {BITS - 1} as int)").alias("bit")).distinct().toArrow()
     have = np.zeros(BITS, np.uint8)
     have[marks["bit"].to_numpy()] = 1
     bits = spark.sparkContext.broadcast(np.packbits(have))
     picked = d.select("row", "text").mapInArrow(_pick(bits), "row bigint, text string")
     at_lines = picked.select("row", F.posexplode(F.split("text", "\n")).alias("line", "words"))
-    words = at_lines.join(need, ["row", "line"]).select("s1", "words").dropDuplicates(["s1"])
-    words = saved(words)
+    words = saved(at_lines.join(need, ["row", "line"]).select("id", "words").dropDuplicates(["id"]))
     both = pairs.join(words.toDF("a", "wa"), "a").join(words.toDF("b", "wb"), "b").select("a", "b", "wa", "wb")
-    good = both.mapInArrow(_verify, "a bigint, b bigint")
-    first = sets.select("s1", "at")
-    good = good.join(first.toDF("a", "at_a"), "a").join(first.toDF("b", "at_b"), "b")
-    return saved(good.select(F.when(F.col("at_a") > F.col("at_b"), F.col("a")).otherwise(F.col("b")).alias("s1")).distinct())
+    return saved(both.mapInArrow(_verify, "a bigint, b bigint").select(F.col("a").alias("id")).distinct())
 
 
 def later_lines(docs: DataFrame) -> DataFrame:
@@ -191,44 +194,39 @@ def later_lines(docs: DataFrame) -> DataFrame:
     lines = saved(d.mapInArrow(_lines(counts), _LINES))
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "line")
     sets = lines.groupBy("s1", "s2").agg(F.min(place).alias("at"), F.count("*").alias("n"), F.first("size").alias("size"), F.first("sketch").alias("sketch"), F.first("prefix").alias("prefix"))
-    sets = saved(sets)
-
-    # most near copies fall to the earliest line among those that share one of their rarest words
-    head = sets.select(F.col("s1").alias("id"), _order().alias("o"), "size", "sketch", F.explode(F.slice("prefix", 1, LEADING)).alias("token"))
-    lead = head.groupBy("token").agg(F.count("*").alias("n"), F.min(F.struct("o", "id", "size", "sketch")).alias("y")).filter("n > 1")
-    x, y = head.alias("x"), lead.select("token", "y.*").alias("y")
-    pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.id") != F.col("y.id")) & _sizes_fit(F.col("x.size"), F.col("y.size")))
-    # (only a head start: those with two such words in common, or short ones)
-    pairs = pairs.groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b"), "x.size").agg(F.count("*").alias("n")).filter("n > 1 or size < 2 * %d" % LEADING)
-    gone = _later(pairs.select("a", "b"), d, sets)
-
-    # the others against all
-    index = sets.join(gone.withColumn("done", F.lit(True)), "s1", "left")
-    index = index.select(F.col("s1").alias("id"), "size", "sketch", F.coalesce("done", F.lit(False)).alias("done"), F.posexplode("prefix").alias("pos", "token"))
+    # numbered in order of their first places: of two lines the one of the greater id is the later
+    sets = saved(sets.orderBy("at").withColumn("id", F.monotonically_increasing_id()))
+
+    # most near copies fall to the earliest line that shares two of their rarest words
+    rare = [f"get(prefix, {k})" for k in range(LEADING)]
+    two = [f"if(size(prefix) > {k}, xxhash64({rare[i]}, {rare[k]}), null)" for k in range(LEADING) for i in range(k)]
+    keys = F.expr(f"if(size(prefix) = 1, array(xxhash64({rare[0]})), array({', '.join(two)}))")
+    head = sets.select("id", F.explode(keys).alias("key")).filter("key is not null")
+    lead = head.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("b")).filter("n > 1").select("key", "b")
+    pairs = head.join(lead, "key").filter("id > b").select(F.col("id").alias("a"), "b")
+    gone = _settled(_filtered(pairs, sets), d, sets)
+
+    # the others against all that are earlier
+    index = sets.join(gone.withColumn("done", F.lit(True)), "id", "left")
+    index = index.select("id", "size", "sketch", F.coalesce("done", F.lit(False)).alias("done"), F.posexplode("prefix").alias("pos", "token"))
     # one number for size, done and place: a smaller shuffle row
     index = index.select("token", "id", "sketch", F.expr("(size * 2L + cast(done as int)) * 2147483648L + pos").alias("sp"))
     x, y = index.alias("x"), index.alias("y")
     sx, sy = (F.expr(f"shiftright({t}.sp, 32)") for t in "xy")
     px, py = (F.expr(f"{t}.sp & 2147483647") for t in "xy")
-    dx, dy = (F.expr(f"(shiftright({t}.sp, 31) & 1) = 1") for t in "xy")
     near = (
         (F.col("x.token") == F.col("y.token"))
-        & (F.col("x.id") > F.col("y.id"))
-        & ~(dx & dy)
-        & _sizes_fit(sx, sy)
+        # the later one is not settled yet (one condition on both sides: one shuffle serves them)
+        & F.when(F.col("x.id") > F.col("y.id"), F.expr("(shiftright(x.sp, 31) & 1) = 0")).otherwise(F.lit(False))
+        & _sizes_fit("x.sketch", "y.sketch", sx, sy)
         # at the first shared word, the rest must reach t / (1 + t) of the sizes with it
         & (F.least(sx - px, sy - py) * F.lit(100 + PERCENT) >= F.lit(PERCENT) * (sx + sy))
     )
-    pairs = x.join(y, near).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-    words = sets.select("s1", "size", "prefix")
-    pairs = pairs.join(words.toDF("a", "sx", "wx"), "a").join(words.toDF("b", "sy", "wy"), "b")
-    # shared prefix words; those of one line with equal numbers count apart
-    n = F.size(F.array_intersect("wx", "wy")) + F.size("wx") - F.size(F.array_distinct("wx"))
-    rest = _later(pairs.withColumn("n", n).filter(_enough_shared()).select("a", "b"), d, sets)
-    gone = gone.unionByName(rest).distinct()
+    pairs = x.join(y, near).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    gone = gone.unionByName(_settled(_filtered(pairs, sets), d, sets))
 
     # every line but the first of its set, and the firsts that have an earlier partner
-    mark = sets.join(gone.withColumn("g", F.lit(True)), "s1", "left").filter("n > 1 or g").select("s1", "s2", "at", "g")
+    mark = sets.join(gone.withColumn("g", F.lit(True)), "id", "left").filter("n > 1 or g").select("s1", "s2", "at", "g")
     out = lines.select("doc_id", "row", "line", "s1", "s2").withColumn("here", place).join(mark, ["s1", "s2"])
     return out.select("doc_id", "row", "line", (F.col("here") != F.col("at")).alias("equal"), "g").filter("equal or g").select("doc_id", "row", "line", "equal")
 
