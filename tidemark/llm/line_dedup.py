@@ -12,8 +12,9 @@ words over all texts, folded into ``BUCKETS`` counters (4 MB, whatever the corpu
 sets are one line with its earliest place before any pair is made, so frequent lines cost one
 row each, and sets are numbered by that place. A line needs only one earlier partner, so those that a
 first round against the earliest line of two of their rarest words has settled look for no
-partner again: they only serve as earlier lines of others. Nothing is capped: all other
-candidates are verified.
+partner again: they only serve as earlier lines of others. Then each line is held against the
+candidate it shares most words with, so only lines without a partner there are verified against
+all their candidates, and a group of near copies is not listed pair by pair. Nothing is capped.
 """
 
 from __future__ import annotations
@@ -157,7 +158,7 @@ def _enough_shared() -> Column:
 def _filtered(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) that pass the filters on sizes, parities and shared prefix words."""
     of = sets.select("id", "size", "sketch", "prefix")
-    p = pairs.distinct().join(of.toDF("a", "sx", "kx", "wx"), "a").join(of.toDF("b", "sy", "ky", "wy"), "b")
+    p = pairs.join(of.toDF("a", "sx", "kx", "wx"), "a").join(of.toDF("b", "sy", "ky", "wy"), "b")
     p = p.filter(_sizes_fit("kx", "ky", F.col("sx"), F.col("sy")))
     # shared prefix words; those of one line with equal numbers count apart
     n = F.size(F.array_intersect("wx", "wy")) + F.size("wx") - F.size(F.array_distinct("wx"))
@@ -203,7 +204,7 @@ def later_lines(docs: DataFrame) -> DataFrame:
     keys = F.expr(f"if(size(prefix) = 1, array(xxhash64({rare[0]})), array({', '.join(two)}))")
     head = sets.select("id", F.explode(keys).alias("key")).filter("key is not null")
     lead = head.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("b")).filter("n > 1").select("key", "b")
-    pairs = head.join(lead, "key").filter("id > b").select(F.col("id").alias("a"), "b")
+    pairs = head.join(lead, "key").filter("id > b").select(F.col("id").alias("a"), "b").distinct()
     gone = _settled(_filtered(pairs, sets), d, sets)
 
     # the others against all that are earlier
@@ -222,8 +223,12 @@ def later_lines(docs: DataFrame) -> DataFrame:
         # at the first shared word, the rest must reach t / (1 + t) of the sizes with it
         & (F.least(sx - px, sy - py) * F.lit(100 + PERCENT) >= F.lit(PERCENT) * (sx + sy))
     )
-    pairs = x.join(y, near).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-    gone = gone.unionByName(_settled(_filtered(pairs, sets), d, sets))
+    pairs = saved(x.join(y, near).groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b")).agg(F.count("*").alias("n")))
+    # each line first against the one it shares most with; what that settles needs no other pair
+    best = pairs.groupBy("a").agg(F.max(F.struct("n", "b")).alias("m")).select("a", "m.b")
+    most = _settled(_filtered(best, sets), d, sets)
+    rest = pairs.join(most.withColumnRenamed("id", "a"), "a", "left_anti").select("a", "b")
+    gone = gone.unionByName(most).unionByName(_settled(_filtered(rest, sets), d, sets))
 
     # every line but the first of its set, and the firsts that have an earlier partner
     mark = sets.join(gone.withColumn("g", F.lit(True)), "id", "left").filter("n > 1 or g").select("s1", "s2", "at", "g")
