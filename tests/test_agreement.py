@@ -15,7 +15,8 @@ Q = se.queries()
 
 
 def _set(df, *cols):
-    return sorted(tuple(r) for r in df.select(*cols).collect())
+    rows = [tuple(r) for r in df.select(*cols).collect()]
+    return sorted(rows, key=lambda r: [(v is not None, v) for v in r])  # nulls first
 
 
 def test_topn_variants_agree(spark):
