@@ -29,7 +29,9 @@ KINDS = (
     ("access", ACCESS, 0, 18, None, "id"),
     ("hex", HEX, 0, 16, None, "secret"),
     ("login", r"""(?i:client_?id|user_?name|user|login|account)["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.@-]{3,})""", 1, 3, None, "id"),
-    ("key", r"""(?i:password|passwd|pwd|secret|token|api_?key|auth)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 6, 11, "secret"),
+    ("key", ASSIGN, 1, 6, 11, "secret"),
+    # words that the base kind does not know: its own least length leaves nothing to it, so none is the most
+    ("key", r"""(?i:pwd|auth)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 6, None, "secret"),
     ("endpoint", r"""https?://[A-Za-z0-9.:/_-]+""", 0, 10, None, "endpoint"),
     ("break", r"\n[ \t\r]*\n", 0, 0, None, "break"),
 )
