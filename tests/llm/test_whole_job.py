@@ -15,3 +15,13 @@ def test_long_secret_of_a_word_the_base_kind_does_not_know(spark):
     assert got[2] == ""  # no login beside it
     assert got[3] == "login:0:8,key:9:30,key:14:30"
     assert got[4] == "login:0:9,key:10:22"
+
+
+def test_reach_is_the_gap_between_parts(spark):
+    long = "token=" + "eyJ0" * 100
+    gap = lambda n: "user=alice " + "." * (n - 2) + " token=hunter2"
+    got = spans(spark, f"{long} user=alice https://host/x", f"https://host/x user=alice {long}", gap(200), gap(201), f"{long}\n\nuser=alice https://host/x", f"{long}{' ' * 201}user=alice")
+    assert got[0] == "assign:0:406,login:407:417,endpoint:418:432"
+    assert got[1] == "endpoint:0:14,login:15:25,assign:26:432"
+    assert got[2] == "login:0:10,key:210:223" and got[3] == ""
+    assert got[4] == got[5] == "assign:0:406"

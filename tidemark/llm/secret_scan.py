@@ -2,9 +2,10 @@
 
 Strong spans are found by pattern. Weak candidates (a login name, a short secret, an
 endpoint) are reported only where the parts that complete a credential stand within ``reach``
-code points in the same scope (text between blank lines): an interval join of identifiers,
-secrets and endpoints, done as range frames over their sorted positions, so no pairs are
-made. DataFrame functions only; whole texts.
+code points in the same scope (text between blank lines), from the end of the one to the start of
+the next: an interval join of identifiers, secrets and endpoints, done as the running greatest
+end before a part and the least start behind it, so no pairs are made. DataFrame functions
+only; whole texts.
 
 A pattern's matches and the gaps between them come from one ``regexp_extract_all`` and one
 ``split``; positions are running sums of their lengths in code points, windowed per document.
@@ -84,9 +85,16 @@ def _link(d: DataFrame, reach: int) -> DataFrame:
     """Keeps base spans, and weak ones whose complementary parts are within reach."""
     doc = Window.partitionBy("doc_id", "_key").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumn("_scope", F.sum(F.when(_is("break"), 1).otherwise(0)).over(doc))
-    near = Window.partitionBy("doc_id", "_key", "_scope").orderBy("start").rangeBetween(-reach, reach)
+    # the gap between two parts: from the end of the one to the start of the other. Running windows
+    # both ways, as one that ends with its scope would be summed anew for each row
+    scope = Window.partitionBy("doc_id", "_key", "_scope")
+    before = scope.orderBy("start").rangeBetween(Window.unboundedPreceding, 0)
+    behind = scope.orderBy(F.col("start").desc()).rangeBetween(Window.unboundedPreceding, 0)
     for role in ("id", "secret"):
-        d = d.withColumn(f"_{role}", F.max(F.when(_is(role), 1).otherwise(0)).over(near))
+        d = d.withColumn(f"_{role}_end", F.max(F.when(_is(role), F.col("end"))).over(before))
+    for role in ("id", "secret"):
+        last, first = F.col(f"_{role}_end"), F.min(F.when(_is(role), F.col("start"))).over(behind)
+        d = d.withColumn(f"_{role}", F.when((last >= F.col("start") - reach) | (first <= F.col("end") + reach), 1).otherwise(0))
     weak = F.col("kind") >= N_BASE
     complete = F.when(_is("id"), F.col("_secret") == 1).when(_is("secret"), F.col("_id") == 1).when(_is("endpoint"), (F.col("_id") == 1) & (F.col("_secret") == 1))
     # a document whose candidates all fall away keeps one row, without a span
