@@ -1,6 +1,8 @@
 """Cases in which an operator once did less than its whole job."""
 
-from tidemark.llm import secret_scan
+import random
+
+from tidemark.llm import ctw, secret_scan
 
 
 def spans(spark, *texts):
@@ -25,3 +27,11 @@ def test_reach_is_the_gap_between_parts(spark):
     assert got[1] == "endpoint:0:14,login:15:25,assign:26:432"
     assert got[2] == "login:0:10,key:210:223" and got[3] == ""
     assert got[4] == got[5] == "assign:0:406"
+
+
+def test_contexts_of_five_bytes(spark):
+    """A letter that only the fifth byte before it tells: one free bit in six bytes, two without it."""
+    rng = random.Random(4)
+    texts = ["".join(rng.choice(("1xyzwa", "2xyzwb")) for _ in range(200)) for _ in range(40)]
+    out = ctw.score(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).filter("held_out").collect()
+    assert out and all(r["bits_per_byte"] < 0.22 for r in out)

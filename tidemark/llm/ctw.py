@@ -8,14 +8,16 @@ stands alone, else it is split by one more byte. What is learned are counts of b
 
 * Texts are dealt into blocks of about ``BLOCK`` bytes by hash. A block is counted once: its distinct
   byte strings and words, with their counts in training documents.
-* The sums over blocks are grouped by the two bytes before: such a group holds 65,536 byte strings
-  at most. It is weighted from the deepest contexts up; what is left for depths 1 and 0 are at
-  most 256 x 255 sums, weighted on the driver, and handed down again to give every byte string
-  its probability.
+* The sums over blocks are dealt by the ``NEAR`` bytes before (hashed into buckets, more of them as
+  there are more distinct strings). A bucket weights its contexts from the deepest up to ``NEAR``
+  bytes, with sparse arrays of the decisions that occur. What is left goes up one depth by a
+  Spark aggregate, and for depths 1 and 0 as at most 256 x 255 sums to the driver. It is handed
+  down the same way, as a linear map for each decision of a ``NEAR``-byte context, to give every
+  byte string its probability.
 * Each block gets the values of its own strings and words back and scores its texts.
 
-The text is scored as lower-cased UTF-8 bytes after three zero bytes and up to one zero byte,
-its end.
+The text is scored as lower-cased UTF-8 bytes after ``DEPTH`` zero bytes and up to one zero
+byte, its end.
 """
 
 from __future__ import annotations
@@ -30,8 +32,14 @@ from pyspark.sql import functions as F
 from . import vectors as V
 from .common import row_key, saved
 
-DEPTH = 3
+DEPTH = 5
+#: Bytes before that all strings of a bucket share; one more than the depth that a Spark aggregate weights.
+NEAR = 3
+#: Distinct byte strings to a bucket beyond 256 buckets.
+BUCKET = 1 << 20
 BLOCK = 32 << 20
+#: Bytes of text whose byte strings are held as arrays at a time.
+PIECE = 1 << 19
 HALF = float(np.log(0.5))
 #: Key of the token that ends a document (words have mixed fingerprints).
 END = np.uint64(0)
@@ -47,21 +55,25 @@ def lgamma(x: np.ndarray) -> np.ndarray:
     return (z - 0.5) * np.log(z) - z + 0.9189385332046727 + (1 / 12 - (1 / 360 - 1 / (1260 * z * z)) / (z * z)) / z - down
 
 
-def kt(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
-    """log of the Krichevsky-Trofimov probability of n0 zeros and n1 ones."""
-    return lgamma(n0 + 0.5) + lgamma(n1 + 0.5) - 1.1447298858494002 - lgamma(n0 + n1 + 1.0)
+_SMALL = np.arange(4096.0)
+_TABLES = {plus: lgamma(_SMALL + plus) for plus in (0.5, 1.0)}
 
 
-def bit_counts(counts: np.ndarray) -> np.ndarray:
-    """Counts of bytes (..., 256) -> zeros and ones at each of the 255 decisions (..., 256, 2);
-    decision p (1..255) is the prefix with a leading one."""
-    out = np.zeros((*counts.shape[:-1], 256, 2))
-    for level in range(8):
-        c = counts.reshape(*counts.shape[:-1], 1 << level, 2, -1).sum(-1)
-        out[..., 1 << level : 2 << level, :] = c
+def _log_gamma(n: np.ndarray, plus: float) -> np.ndarray:
+    """log Gamma(n + plus) of whole numbers: small ones by table."""
+    n = np.asarray(n, np.float64)
+    out = np.array(_TABLES[plus][np.minimum(n, len(_SMALL) - 1).astype(np.int64)])
+    large = n >= len(_SMALL)
+    if large.any():
+        out[large] = lgamma(n[large] + plus)
     return out
 
 
+def kt(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
+    """log of the Krichevsky-Trofimov probability of n0 zeros and n1 ones."""
+    return _log_gamma(n0, 0.5) + _log_gamma(n1, 0.5) - 1.1447298858494002 - _log_gamma(n0 + n1, 1.0)
+
+
 def _weighted(n: np.ndarray, children: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """log weighted probability of a context, and the weight of its own estimate."""
     own = HALF + kt(n[..., 0], n[..., 1])
@@ -73,35 +85,42 @@ def _estimate(n: np.ndarray) -> np.ndarray:
     return (n[..., 1] + 0.5) / (n.sum(-1) + 1.0)
 
 
-class Trees:
-    """The contexts that share their last two bytes, from their byte strings."""
-
-    def __init__(self, grams: np.ndarray, n: np.ndarray):
-        self.third, self.at = np.unique(grams >> 24 & 255, return_inverse=True)
-        self.byte = grams & 255
-        counts = np.zeros((len(self.third), 256))
-        np.add.at(counts, (self.at, self.byte), n)
-        self.deep = bit_counts(counts)
-        self.own = self.deep.sum(0)
-        below = kt(self.deep[..., 0], self.deep[..., 1]).sum(0)
-        self.log, self.weight = _weighted(self.own, below)
-
-    def summary(self) -> tuple[np.ndarray, np.ndarray]:
-        return self.own, self.log
-
-    def score(self, p1: np.ndarray) -> np.ndarray:
-        """log10 probability of each byte string's last byte; ``p1``: probability of a one at each
-        decision from (weight, estimate) pairs of depths 0 and 1, as a linear map."""
-        w0, e0, w1, e1 = p1
-        deep = _estimate(self.deep)
-        p = self.weight * _estimate(self.own) + (1 - self.weight) * deep
-        p = w0 * e0 + (1 - w0) * (w1 * e1 + (1 - w1) * p)
-        lp = np.stack([np.log10(1 - p), np.log10(p)], -1)  # (third, decision, bit)
-        total = np.zeros(len(self.byte))
-        for level in range(8):
-            prefix = (1 << level) | (self.byte >> (8 - level))
-            total += lp[self.at, prefix, self.byte >> (7 - level) & 1]
-        return total
+def _backward(grams: np.ndarray) -> np.ndarray:
+    """The contexts of byte strings with the nearest byte first, so that a shift leaves a shorter one."""
+    out = np.zeros_like(grams)
+    for i in range(1, DEPTH + 1):
+        out = out << 8 | (grams >> (8 * i) & 255)
+    return out
+
+
+class Level:
+    """The decisions of one level (0..7) of the byte's tree in all contexts of a bucket: for each
+    depth from ``DEPTH`` to ``NEAR`` their counts, estimates and weights, where they occur."""
+
+    def __init__(self, context: np.ndarray, byte: np.ndarray, n: np.ndarray, level: int):
+        self.bit = (byte >> (7 - level) & 1).astype(bool)
+        key, at = np.unique(context << 8 | (1 << level) | byte >> (8 - level), return_inverse=True)
+        n0, n1 = (np.bincount(at, weights=np.where(self.bit == one, n, 0), minlength=len(key)) for one in (False, True))
+        log = kt(n0, n1)
+        self.at, self.deep, self.up = at, _estimate(np.stack([n0, n1], -1)), []
+        for _ in range(DEPTH - NEAR):
+            key, at = np.unique(key >> 16 << 8 | key & 255, return_inverse=True)
+            n0, n1, below = (np.bincount(at, weights=x, minlength=len(key)) for x in (n0, n1, log))
+            both = np.stack([n0, n1], -1)
+            log, weight = _weighted(both, below)
+            self.up.append((at, weight, _estimate(both)))
+        self.key, self.n0, self.n1, self.log = key, n0, n1, log
+
+    def score(self, key: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """log10 probability of this decision in each byte string; a + b p is the probability of a
+        one at a decision (sorted ``key``) whose contexts from ``NEAR`` bytes on give p."""
+        p, places = self.deep, np.arange(len(self.deep))
+        for at, weight, estimate in self.up:
+            places = at[places]
+            p = weight[places] * estimate[places] + (1 - weight[places]) * p
+        x = np.searchsorted(key, self.key)[places]
+        p = (a[x] + b[x] * p)[self.at]
+        return np.log10(np.where(self.bit, p, 1 - p))
 
 
 def _units(text: np.ndarray, off: np.ndarray, i: int, j: int):
@@ -111,23 +130,26 @@ def _units(text: np.ndarray, off: np.ndarray, i: int, j: int):
     s, e = V.runs(~V.is_space(low), o[:-1])
     words = V.spans_hash(V.prefix(low), s, e)
     word_doc = np.searchsorted(o, s, side="right") - 1
-    # three zero bytes before each text; the first of them is also the end of the text before
+    # DEPTH zero bytes before each text; the first of them is also the end of the text before
     n = np.diff(o)
-    at = np.arange(len(low)) + 3 * (np.repeat(np.arange(j - i), n) + 1)
-    padded = np.zeros(len(low) + 3 * (j - i) + 1, np.uint8)
+    at = np.arange(len(low)) + DEPTH * (np.repeat(np.arange(j - i), n) + 1)
+    padded = np.zeros(len(low) + DEPTH * (j - i) + 1, np.uint8)
     padded[at] = low
     doc = np.repeat(np.arange(j - i), n + 1)
-    pos = np.repeat(o[:-1] + 3 * (np.arange(j - i) + 1), n + 1) + np.arange(len(doc)) - np.repeat(np.cumsum(n + 1) - (n + 1), n + 1)
-    x = padded.astype(np.int64)
-    grams = x[pos - 3] << 24 | x[pos - 2] << 16 | x[pos - 1] << 8 | x[pos]
+    pos = np.repeat(o[:-1] + DEPTH * (np.arange(j - i) + 1), n + 1) + np.arange(len(doc)) - np.repeat(np.cumsum(n + 1) - (n + 1), n + 1)
+    grams = np.zeros(len(pos), np.int64)
+    for back in range(DEPTH, -1, -1):
+        grams = grams << 8 | padded[pos - back]
     return grams, doc, words, word_doc
 
 
 def _merge(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     k = np.concatenate(keys) if keys else np.zeros(0, np.int64)
     n = np.concatenate(counts) if counts else np.zeros(0, np.int64)
-    u, at = np.unique(k, return_inverse=True)
-    return u, np.bincount(at, weights=n, minlength=len(u)).astype(np.int64)
+    order = np.argsort(k)
+    k = k[order]
+    first = np.flatnonzero(np.r_[True, k[1:] != k[:-1]][: len(k)])
+    return k[first], np.add.reduceat(n[order], first) if len(first) else n
 
 
 _COUNTS = "block int, word boolean, key bigint, n bigint"
@@ -138,44 +160,80 @@ def _count(table: pa.Table) -> Iterator[pa.RecordBatch]:
     block = table["block"][0].as_py()
     data, off = V.raw(table["text"])
     learn = table["learn"].combine_chunks().to_numpy(zero_copy_only=False)
+    got = {True: ([], []), False: ([], [])}
+    for i, j in V.blocks(off, PIECE):
+        grams, doc, words, word_doc = _units(data, off, i, j)
+        for word, k, d in ((True, words.view(np.int64), word_doc), (False, grams, doc)):
+            keys, counts = got[word]
+            k, n = _merge([k], [learn[i:j][d].astype(np.int64)])
+            keys.append(k)
+            counts.append(n)
+            # the sums so far come first; pieces are added to them when they outweigh them
+            if sum(map(len, keys[1:])) > max(len(keys[0]), PIECE):
+                got[word] = tuple([x] for x in _merge(keys, counts))
+    got[True][0].append(np.array([END], np.uint64).view(np.int64))
+    got[True][1].append(np.array([learn.sum()], np.int64))
     out = []
-    for word in (True, False):
-        keys, counts = [], []
-        for i, j in V.blocks(off):
-            grams, doc, words, word_doc = _units(data, off, i, j)
-            k, d = (words.view(np.int64), word_doc) if word else (grams, doc)
-            u, at = np.unique(k, return_inverse=True)
-            keys.append(u)
-            counts.append(np.bincount(at, weights=learn[i:j][d], minlength=len(u)))
-            if len(keys) > 16:
-                keys, counts = ([x] for x in _merge(keys, counts))
-        if word:
-            keys.append(np.array([END], np.uint64).view(np.int64))
-            counts.append(np.array([learn.sum()]))
+    for word, (keys, counts) in got.items():
         k, n = _merge(keys, counts)
         out.append(pa.table({"block": pa.array(np.full(len(k), block, np.int32)), "word": pa.array(np.full(len(k), word)), "key": pa.array(k), "n": pa.array(n)}))
     return pa.concat_tables(out)
 
 
-def _summaries(table: pa.Table) -> pa.Table:
+def _levels(table: pa.Table) -> Iterator[Level]:
     grams, n = table["key"].to_numpy(), table["n"].to_numpy()
-    own, log = Trees(grams, n).summary()
-    at = np.flatnonzero(own.sum(-1) > 0)
-    return pa.table({"c1": pa.array(np.full(len(at), grams[0] >> 8 & 255, np.int32)), "node": pa.array(at.astype(np.int32)), "n0": pa.array(own[at, 0]), "n1": pa.array(own[at, 1]), "log": pa.array(log[at])})
+    context, byte = _backward(grams), grams & 255
+    for level in range(8):
+        yield Level(context, byte, n, level)
+
+
+_SUMMARY = "bucket int, context int, node int, n0 double, n1 double, log double"
+
+
+def _summaries(table: pa.Table) -> pa.Table:
+    """Counts and log weighted probability of the decisions in contexts of ``NEAR`` bytes."""
+    levels = list(_levels(table))
+    key, n0, n1, log = (np.concatenate([getattr(x, k) for x in levels]) for k in ("key", "n0", "n1", "log"))
+    bucket = np.full(len(key), table["bucket"][0].as_py(), np.int32)
+    return pa.table({"bucket": pa.array(bucket), "context": pa.array((key >> 8).astype(np.int32)), "node": pa.array((key & 255).astype(np.int32)), "n0": pa.array(n0), "n1": pa.array(n1), "log": pa.array(log)})
 
 
-def _scorer(shallow):
+_WEIGHED = "context int, node int, n0 double, n1 double, log double, weight double, estimate double"
+
+
+def _weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(context, node, n0, n1, log below) -> with the log, weight and estimate of the context itself."""
+    for t in batches:
+        n = np.stack([t.column(2).to_numpy(), t.column(3).to_numpy()], -1)
+        log, weight = _weighted(n, t.column(4).to_numpy())
+        yield pa.RecordBatch.from_arrays([*t.columns[:4], pa.array(log), pa.array(weight), pa.array(_estimate(n))], names=["context", "node", "n0", "n1", "log", "weight", "estimate"])
+
+
+def _maps(shallow):
+    """The linear map of each decision in contexts of two bytes, from depths 0 to 2."""
     w0, e0, w1, e1 = shallow
 
-    def work(table: pa.Table) -> pa.Table:
-        grams, n = table["key"].to_numpy(), table["n"].to_numpy()
-        c1 = int(grams[0] >> 8 & 255)
-        value = Trees(grams, n).score((w0, e0, w1[c1], e1[c1]))
-        return pa.table({"word": pa.array(np.zeros(len(grams), bool)), "key": table["key"], "value": pa.array(value)})
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in batches:
+            context, node, w2, e2 = (t.column(i).to_numpy() for i in range(4))
+            c1 = context >> 8
+            u0, u1 = w0[node], w1[c1, node]
+            a = u0 * e0[node] + (1 - u0) * (u1 * e1[c1, node] + (1 - u1) * w2 * e2)
+            b = (1 - u0) * (1 - u1) * (1 - w2)
+            yield pa.RecordBatch.from_arrays([t.column(0), t.column(1), pa.array(a), pa.array(b)], names=["context", "node", "a", "b"])
 
     return work
 
 
+def _values(left: pa.Table, right: pa.Table) -> pa.Table:
+    """The byte strings of a bucket and the maps of its contexts -> the strings' log10 probabilities."""
+    key = right["context"].to_numpy().astype(np.int64) << 8 | right["node"].to_numpy()
+    order = np.argsort(key)
+    key, a, b = key[order], right["a"].to_numpy()[order], right["b"].to_numpy()[order]
+    value = sum(level.score(key, a, b) for level in _levels(left))
+    return pa.table({"word": pa.array(np.zeros(len(value), bool)), "key": left["key"], "value": pa.array(value)})
+
+
 def _shallow(rows) -> tuple[np.ndarray, ...]:
     """Weights and estimates of depths 0 and 1 (at most 256 x 255 rows)."""
     n, below = np.zeros((256, 256, 2)), np.zeros((256, 256))
@@ -207,7 +265,7 @@ def _scores(total: int, distinct: int):
         wl = np.log10((wv + 0.5) / floor)
         end = int(np.searchsorted(wk, np.int64(END)))
         out = np.zeros((5, left.num_rows))
-        for i, j in V.blocks(off):
+        for i, j in V.blocks(off, PIECE):
             grams, doc, words, word_doc = _units(data, off, i, j)
             u, at = np.unique(words.view(np.int64), return_inverse=True)
             x = np.searchsorted(wk, u)[at]
@@ -240,13 +298,19 @@ def score(docs: DataFrame, learn_if=None) -> DataFrame:
     per = saved(d.select("block", "text", "learn").groupBy("block").applyInArrow(_count, _COUNTS))
     sums = saved(per.groupBy("word", "key").agg(F.sum("n").alias("n")))
     words = sums.filter("word")
-    total, distinct = words.agg(F.sum("n"), F.count(F.when(F.col("n") > 0, 1))).first()
+    total, distinct, strings = sums.agg(F.sum(F.when(F.col("word"), F.col("n"))), F.count(F.when(F.col("word") & (F.col("n") > 0), 1)), F.count(F.when(~F.col("word"), 1))).first()
     total, distinct = total or 0, distinct or 0
-    context = F.expr("(key div 256) % 65536").alias("context")
-    grams = sums.filter("not word").select("key", "n", context)
-    low = grams.groupBy("context").applyInArrow(_summaries, "c1 int, node int, n0 double, n1 double, log double")
-    shallow = _shallow(low.groupBy("c1", "node").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("log").alias("log")).collect())
-    values = grams.groupBy("context").applyInArrow(_scorer(shallow), "word boolean, key bigint, value double")
+    bucket = F.expr(f"cast(pmod(xxhash64((key div 256) % {1 << 8 * NEAR}), {max(256, -(-strings // BUCKET))}) as int)").alias("bucket")
+    grams = sums.filter("not word").select("key", "n", bucket)
+    near = saved(grams.groupBy("bucket").applyInArrow(_summaries, _SUMMARY))
+    sum_up = [F.sum(c).alias(c) for c in ("n0", "n1", "log")]
+    up = lambda t: t.groupBy(F.shiftright("context", 8).alias("context"), "node").agg(*sum_up)
+    low = saved(up(near).mapInArrow(_weigh, _WEIGHED))
+    shallow = _shallow(up(low).select(F.col("context").alias("c1"), "node", "n0", "n1", "log").collect())
+    maps = low.select("context", "node", "weight", "estimate").mapInArrow(_maps(shallow), "context int, node int, a double, b double")
+    at = near.select("bucket", F.col("context").alias("whole"), F.shiftright("context", 8).alias("context"), "node")
+    maps = at.join(maps, ["context", "node"]).select("bucket", F.col("whole").alias("context"), "node", "a", "b")
+    values = grams.groupBy("bucket").cogroup(maps.groupBy("bucket")).applyInArrow(_values, "word boolean, key bigint, value double")
     values = values.unionByName(words.select("word", "key", F.col("n").cast("double").alias("value")))
     back = per.select("block", "word", "key").join(values, ["word", "key"]).select("block", "word", "key", "value")
     s = d.select("block", "text", "_id", "_row").groupBy("block").cogroup(back.groupBy("block")).applyInArrow(_scores(total, distinct), _SCORES)
