@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, ctw, line_dedup, mixing, near_dup, repeats, rules, secret_scan, sharding, topk
-from .common import documents
+from . import alignment, bpe, ctw, line_dedup, mixing, near_dup, repeats, rules, secret_scan, sharding, token_files, topk, whitening
+from .common import documents, shared_dir
 
 
 def tokenizer() -> tuple[str, str]:
@@ -59,12 +61,33 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.report(documents(spark, sf_dir))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(documents(spark, sf_dir, "embeddings"))
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    folder = f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}"
+    token_files.write(documents(spark, sf_dir), folder, public_tokenizers.path("word_bpe_49k.json"), 1)
+    return token_files.read(spark, folder, F.crc32("ids").alias("ids_crc32"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    files = [public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    d, _ = alignment.align(documents(spark, sf_dir), *files)
+    sha = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    return d.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", sha.alias("groups_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_bpe, op3_suffix_dedup, op4_kd_sharding, op5_line_dedup, op6_lm_scoring, op7_mixing, op8_quality_rules, op9_topk, op10_near_dup, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_bpe, op3_suffix_dedup, op4_kd_sharding, op5_line_dedup, op6_lm_scoring, op7_mixing, op8_quality_rules, op9_topk, op10_near_dup, op11_whitening, op12_token_files, op13_alignment, pipeline)}
 
 ORACLES: dict[str, str] = {}
