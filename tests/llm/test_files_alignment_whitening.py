@@ -22,6 +22,7 @@ from tidemark.llm import alignment, common, token_files, vocabularies, whitening
 
 SF = "/root/testdata/sf0.001"
 WORDS, JSON, MODEL = (public_tokenizers.path(p) for p in ("word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"))
+PATTERN = public_tokenizers.PATTERN
 HARD = [
     (9001, None), (9002, ""), (9003, " "), (9004, "  a  b \n\t c"), (9005, "é日本語 ﬁx ①▁x y z\u0085q\x1cw"), (9006, "<|endoftext|> <s> hi<|startoftext|>x"),
     (9007, "a" * 3000), (9007, "a" * 3000), (None, "x y"), (None, None), (9008, " a   b 'll don't  's ΣΑΣ ς İi é"), (9009, "abc \r\n\r\n  def " * 200),
@@ -133,14 +134,15 @@ TOK[JSON].encode_special_tokens = True
 SP = sentencepiece.SentencePieceProcessor(model_file=MODEL)
 
 
-@settings(max_examples=400, deadline=None)
-@given(SOME)
+PLAIN = st.text(st.sampled_from([*map(chr, (*range(9, 14), *range(32, 127), *range(0xC0, 0x180)))]), max_size=60)
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.one_of(SOME, PLAIN, st.text(max_size=30)))
 def test_segments_encode_as_the_whole_text_does(text):
-    known = vocabularies.words(vocabularies.read(WORDS))
-    parts = text.encode().split()
-    known.learn(parts)
-    assert np.frombuffer(b"".join(known[p] for p in parts), "<u4").tolist() == TOK[WORDS].encode(text, add_special_tokens=False).ids
-    a, b = next(alignment._texts(vocabularies.read(JSON), vocabularies.read(MODEL)).ids([text.encode()]))
+    ids = vocabularies.dropping(vocabularies.read(WORDS))(text.encode())
+    assert np.frombuffer(ids, "<u4").tolist() == TOK[WORDS].encode(text, add_special_tokens=False).ids
+    a, b, *_ = next(alignment._texts(vocabularies.read(JSON), PATTERN, vocabularies.read(MODEL)).ids([text.encode()]))
     if len(a):
         assert a.tolist() == TOK[JSON].encode(" " + text, add_special_tokens=False).ids and b.tolist() == SP.encode(text)
     else:  # only where the tokens do not spell the text
@@ -192,7 +194,7 @@ def _links(a, b, sa, sb):
 @pytest.mark.parametrize("piece,block", [(alignment.PIECE, alignment.BLOCK), (64, 1000), (7, 50)])
 def test_alignment(spark, docs, rows, piece, block):
     want, count, most = plain_alignment(rows)
-    got, pairs = alignment.align(docs, JSON, MODEL, piece, block)
+    got, pairs = alignment.align(docs, JSON, PATTERN, MODEL, piece, block)
     cols = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"]
     got = collections.Counter(tuple(r) for r in got.select(*cols).collect())
     assert got == collections.Counter(want)
@@ -201,10 +203,10 @@ def test_alignment(spark, docs, rows, piece, block):
 
 def test_alignment_of_nothing_and_of_a_very_long_text(spark):
     empty = spark.createDataFrame([], "doc_id bigint, text string")
-    assert alignment.align(empty, JSON, MODEL)[0].count() == 0
+    assert alignment.align(empty, JSON, PATTERN, MODEL)[0].count() == 0
     text = long_text(2 << 20)
     want, _, _ = plain_alignment([(1, text)])
-    got, _ = alignment.align(spark.createDataFrame([(1, text)], "doc_id bigint, text string"), JSON, MODEL)
+    got, _ = alignment.align(spark.createDataFrame([(1, text)], "doc_id bigint, text string"), JSON, PATTERN, MODEL)
     r = got.first()
     assert tuple(r[c] for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups")) == want[0]
 

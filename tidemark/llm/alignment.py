@@ -30,6 +30,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -41,8 +42,8 @@ from .common import saved
 
 #: Steps of a piece and of a block.
 PIECE, BLOCK = 1 << 17, 1 << 20
-#: Both tokenizers part a text at a space between two printable ASCII characters: the pattern of the
-#: one begins a match there, and no piece of the other has a space behind another character.
+#: The sentencepiece model has no piece with a space behind another character, so a text can be parted
+#: before such a space.
 _SEGMENTS = re.compile(rb"(?<=[!-~]) (?=[!-~])").split
 
 _SCHEMA = "block bigint, key bigint, doc_id bigint, piece int, pieces int, n_a int, n_b int, steps int, at int, a int, b int, n bigint, links binary"
@@ -82,32 +83,36 @@ def overlaps(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
 class _Texts:
     """Both tokenizers, and the lengths of their tokens."""
 
-    def __init__(self, json: bytes, model: bytes):
+    def __init__(self, json: bytes, pattern: str, model: bytes):
         spelled = vocabularies.json_bytes(json), vocabularies.model_bytes(model)
-        self.spelled = spelled
+        if any(b" " in x.lstrip(b" ") for x in spelled[1]):
+            raise ValueError("the model has pieces with a space behind another character")
         self.size = [np.array([len(x) for x in s], np.int64) for s in spelled]
         self.dtype = ["<u2" if len(s) <= 1 << 16 else "<u4" for s in spelled]
-        self.known = vocabularies.spaced(json, self.dtype[0]), vocabularies.pieces(model, self.dtype[1])
+        self.spelled = spelled[0]
+        self.a, self.b = vocabularies.spaced(json, pattern, self.dtype[0]), vocabularies.pieces(model, self.dtype[1])
 
-    def ids(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """The A and the B ids of each text; none where they do not spell it."""
+    def ids(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """The A and the B ids of each text and the ends of both in bytes; none where they do not spell it."""
         cut = [_SEGMENTS(t) if t else [] for t in texts]
-        for k in self.known:
-            k.learn(s for c in cut for s in c)
+        self.b.learn(s for c in cut for s in c)
         for t, c in zip(texts, cut):
-            out = [np.frombuffer(b"".join(map(k.__getitem__, c)), d) for k, d in zip(self.known, self.dtype)]
-            want = b" " + t
-            if t and all(b"".join(map(s.__getitem__, o.tolist())) == want for s, o in zip(self.spelled, out)):
-                yield out[0], out[1]
-            else:
-                yield out[0][:0], out[1][:0]
-        for k in self.known:
-            k.forget(s for c in cut for s in c)
+            a = np.frombuffer(self.a(t) if t else b"", self.dtype[0])
+            b = np.frombuffer(b"".join(map(self.b.__getitem__, c)), self.dtype[1])
+            ends = self.size[0][a].cumsum(), self.size[1][b].cumsum()
+            # B's segments are checked one by one, A's pieces are of a byte-level vocabulary
+            if not t or ends[0][-1] != len(t) + 1 or not len(b) or ends[1][-1] != len(t) + 1 or not self._spells(a, t):
+                a, b, ends = a[:0], b[:0], (ends[0][:0], ends[1][:0])
+            yield a, b, *ends
+        self.b.forget(s for c in cut for s in c)
+
+    def _spells(self, a: np.ndarray, text: bytes) -> bool:
+        return vocabularies.plain(text) or b"".join(map(self.spelled.__getitem__, a.tolist())) == b" " + text
 
 
 @lru_cache(maxsize=2)
-def _texts(json: bytes, model: bytes) -> _Texts:
-    return _Texts(json, model)
+def _texts(json: bytes, pattern: str, model: bytes) -> _Texts:
+    return _Texts(json, pattern, model)
 
 
 class _Block:
@@ -157,18 +162,16 @@ class _Block:
         return pa.RecordBatch.from_arrays([pa.array(cols[f.name], f.type) for f in _FIELDS], schema=_FIELDS)
 
 
-def _blocks(json, model, piece: int, block: int):
+def _blocks(json, model, pattern: str, piece: int, block: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts = _texts(json.value, model.value)
-        size_a, size_b = texts.size
+        texts = _texts(json.value, pattern, model.value)
         task = TaskContext.get().partitionId() << 36
         made, docs, out = 0, 0, _Block(task)
         for batch in batches:
             data, off = V.raw(batch.column(1))
             ids = batch.column(0).to_pylist()
             for i, j in V.blocks(off):
-                for d, (a, b) in zip(range(i, j), texts.ids([data[off[d] : off[d + 1]].tobytes() for d in range(i, j)])):
-                    end_a, end_b = np.cumsum(size_a[a]), np.cumsum(size_b[b])
+                for d, (a, b, end_a, end_b) in zip(range(i, j), texts.ids([data[off[d] : off[d + 1]].tobytes() for d in range(i, j)])):
                     at_a, at_b = diagonals(end_a, end_b, piece) if len(a) else (np.zeros(2, int), np.zeros(2, int))
                     for p in range(len(at_a) - 1):
                         a0, a1, b0, b1 = at_a[p], at_a[p + 1], at_b[p], at_b[p + 1]
@@ -236,7 +239,7 @@ _DONE_FIELDS = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("piece",
 def _finish(block: pa.Table, counts: pa.Table) -> pa.Table:
     """A block's pieces with the counts of their pairs. Groups of a text in one piece are final."""
     blob = next((x for x in block["links"].to_pylist() if x is not None), None)
-    rows = block.filter(pa.compute.is_valid(block["steps"]))
+    rows = block.filter(pc.is_valid(block["steps"]))
     if not rows.num_rows:
         return _DONE_FIELDS.empty_table()
     steps = rows["steps"].to_numpy()
@@ -272,19 +275,20 @@ def _stitch(pieces: pa.Table) -> pa.Table:
     t = pieces.sort_by("piece")
     links = np.frombuffer(b"".join(t["links"].to_pylist()), "<u4").reshape(-1, 3)
     groups = rendered(links[:, 0].astype(np.int64), links[:, 1].astype(np.int64), links[:, 2], np.array([len(links)]))[0].decode()
-    row = {c: t[c][0].as_py() for c in ("key", "doc_id")} | {"piece": 0, "pieces": 1, "groups": groups, "links": None} | {c: pa.compute.sum(t[c]).as_py() for c in _LONGS}
+    row = {c: t[c][0].as_py() for c in ("key", "doc_id")} | {"piece": 0, "pieces": 1, "groups": groups, "links": None} | {c: pc.sum(t[c]).as_py() for c in _LONGS}
     return pa.Table.from_pylist([row], schema=_DONE_FIELDS)
 
 
-def align(docs: DataFrame, json: str, model: str, piece: int = PIECE, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
-    """Aligns A, a byte-level vocabulary of the tokenizers library (file ``json``), over space+text with
+def align(docs: DataFrame, json: str, pattern: str, model: str, piece: int = PIECE, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """Aligns A, a byte-level vocabulary of the tokenizers library (file ``json``, and the
+    ``pattern`` by which the library splits texts for it), over space+text with
     B, a sentencepiece ``model`` that adds the space. Two tables: for each document doc_id, n_a, n_b,
     n_groups, n_links, n_best (links whose pair's count is the highest of its A id, ties too),
     count_sum (of the pairs' counts over the links) and groups; and for each id pair a, b, n
     (documents that hold it linked) and best."""
     spark = docs.sparkSession
     sent = [spark.sparkContext.broadcast(vocabularies.read(p)) for p in (json, model)]
-    made = saved(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(_blocks(*sent, piece, block), _SCHEMA))
+    made = saved(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(_blocks(*sent, pattern, piece, block), _SCHEMA))
     held = made.filter("at is not null")
     once = held.filter("key is not null").select("key", "a", "b").distinct().select("a", "b", F.lit(1).cast("bigint").alias("n"))
     n = held.filter("key is null").select("a", "b", "n").unionByName(once).groupBy("a", "b").agg(F.sum("n").alias("n"))

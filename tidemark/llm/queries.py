@@ -76,8 +76,8 @@ def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    files = [public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
-    d, _ = alignment.align(documents(spark, sf_dir), *files)
+    json, model = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    d, _ = alignment.align(documents(spark, sf_dir), json, public_tokenizers.PATTERN, model)
     sha = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
     return d.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", sha.alias("groups_sha256"))
 

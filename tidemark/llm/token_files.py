@@ -84,23 +84,19 @@ class _File:
 
 def _pack(vocabulary, end_id: int, file_bytes: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = vocabularies.words(vocabulary.value)
+        encode = vocabularies.dropping(vocabulary.value)
         end = struct.pack("<I", end_id)
         press = zstandard.ZstdCompressor(level=LEVEL, write_checksum=True, write_content_size=True).compress
         part, k, out = TaskContext.get().partitionId(), 0, _File()
         for batch in batches:
             data, off = V.raw(batch.column(1))
             ids = batch.column(0).to_pylist()
-            for i, j in V.blocks(off):
-                texts = [data[off[d] : off[d + 1]].tobytes().split() for d in range(i, j)]
-                known.learn(w for t in texts for w in t)
-                for d, t in zip(range(i, j), texts):
-                    tokens = b"".join(map(known.__getitem__, t)) + end
-                    out.add(ids[d], tokens, press(tokens))
-                    if out.bytes >= file_bytes:
-                        yield _row(part, k, out)
-                        k, out = k + 1, _File()
-                known.forget(w for t in texts for w in t)
+            for d, doc_id in enumerate(ids):
+                tokens = encode(data[off[d] : off[d + 1]].tobytes()) + end
+                out.add(doc_id, tokens, press(tokens))
+                if out.bytes >= file_bytes:
+                    yield _row(part, k, out)
+                    k, out = k + 1, _File()
         if out.ids:
             yield _row(part, k, out)
 

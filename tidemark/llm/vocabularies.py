@@ -1,16 +1,14 @@
 """Public tokenizers inside tasks: built once a worker from their files' bytes (sent as one broadcast,
-bounded by the file), and asked for each distinct short segment of a block of texts only once.
-
-The tokenizers library is asked for many segments in one call, parted by one of the vocabulary's
-own special tokens: the library cuts a text there before it normalizes and splits anything, so
-every segment is encoded as if alone.
+bounded by the file), and asked for each distinct short piece of many texts only once.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable, Iterable
 from functools import lru_cache
+from json import loads
 
 import numpy as np
 
@@ -49,24 +47,6 @@ def text_of(segment: bytes) -> str:
     return segment.decode("utf-8", "replace")
 
 
-def parted(alone, joined, mark: str, mark_id: int, dtype: str, before: str = "") -> Callable[[list[bytes]], list[bytes]]:
-    """Encodes segments, ``before`` put in front of each, in one call of ``joined``, which takes ``mark``
-    as one special token; those that hold ``mark`` themselves in calls of ``alone``."""
-
-    def encode(segments: list[bytes]) -> list[bytes]:
-        texts = [before + text_of(s) for s in segments]
-        plain = [t for t in texts if mark not in t]
-        if not plain:
-            parts = iter(())
-        else:
-            ids = np.array(joined.encode(mark.join(plain), add_special_tokens=False).ids, dtype)
-            cuts = np.flatnonzero(ids == mark_id).tolist()
-            parts = iter([ids[i:j].tobytes() for i, j in zip([0, *(c + 1 for c in cuts)], [*cuts, len(ids)])])
-        return [np.array(alone.encode(t, add_special_tokens=False).ids, dtype).tobytes() if mark in t else next(parts) for t in texts]
-
-    return encode
-
-
 @lru_cache(maxsize=4)
 def library(json: bytes, special: bool):
     """The tokenizers library's encoder of a vocabulary file; with ``special`` the strings of special
@@ -79,25 +59,126 @@ def library(json: bytes, special: bool):
     return t
 
 
-def mark_of(tokenizer) -> tuple[str, int]:
-    """A special token of the vocabulary, as text and id."""
-    at, token = min((i, t.content) for i, t in tokenizer.get_added_tokens_decoder().items() if t.special and not (t.lstrip or t.rstrip or t.normalized))
-    return token, at
+class Direct:
+    """Ids of whole texts, in little-endian bytes.
+
+    Texts of plain characters (printable ASCII, white space, Latin letters that no normalization
+    changes but for case) are split by the vocabulary's own pattern, and the library's model is asked for
+    each distinct piece; a piece is kept until two generations of others came. Any other text is
+    encoded by the library whole. ``before`` is put in front of every text."""
+
+    def __init__(self, json: bytes, dtype: str, find, special: bool, lower: bool, before: bytes = b""):
+        self.library, self.dtype, self.find, self.lower, self.before = library(json, special), dtype, find, lower, before
+        self.model = self.library.model
+        self.marks = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()] if special else []
+        self.letters = {c: "".join(_SHOWN[b] for b in chr(c).encode()) for c in (*range(0x21), *range(0xC0, 0x180))}
+        self.bytes_of = [np.array([i], dtype).tobytes() for i in range(self.library.get_vocab_size())]
+        self.now, self.old = _Missing(self._piece), {}
+
+    def _piece(self, piece: str) -> bytes:
+        ids = self.old.get(piece)
+        if ids is None:
+            spelled = (piece.lower() if self.lower else piece).translate(self.letters)
+            ids = b"".join([self.bytes_of[t.id] for t in self.model.tokenize(spelled)])
+        if len(piece) <= LONGEST:
+            self.now[piece] = ids
+            if len(self.now) > MOST:
+                self.old, self.now = dict(self.now), _Missing(self._piece)
+        return ids
+
+    def _whole(self, data: bytes) -> bytes:
+        return np.array(self.library.encode(text_of(data), add_special_tokens=False).ids, self.dtype).tobytes()
+
+    def __call__(self, data: bytes) -> bytes:
+        data = self.before + data
+        if self.find is None or not plain(data) or any(m in data for m in self.marks):
+            return self._whole(data)
+        if self.lower:
+            data = data.lower()  # the others in their pieces
+        return b"".join(map(self.now.__getitem__, self.find(data.decode())))
+
+
+class Dropping(Direct):
+    """Of a vocabulary that drops white space: in a text that is not plain, words that are go the short way, as
+    no token and no normalization crosses ASCII white space, which is neither composed nor cased."""
+
+    def __init__(self, json: bytes):
+        super().__init__(json, "<u4", _dropping_pattern(loads(json)), True, True)
+
+    def __call__(self, data: bytes) -> bytes:
+        if self.find is None or plain(data) or any(m in data for m in self.marks):
+            return super().__call__(data)
+        return b"".join([super(Dropping, self).__call__(w) for w in data.split()])
+
+
+def plain(data: bytes) -> bool:
+    """Printable ASCII, white space and U+00C0 to U+017F but U+0130, whose lower case has two characters."""
+    return not data.translate(None, _PLAIN) and b"\xc4\xb0" not in data
+
+
+_PLAIN = bytes([*range(9, 14), *range(0x20, 0x7F), *range(0x80, 0xC0), 0xC3, 0xC4, 0xC5])
+
+
+class _Missing(dict):
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key: str) -> bytes:
+        return self.make(key)
+
+
+def plain_pattern(pattern: str):
+    """All matches of a pattern with classes of letters and numbers, in plain text."""
+    some = [chr(c) for c in (*range(0x21, 0x7F), *range(0xC0, 0x180))]
+    for name, holds in {"\\p{L}": str.isalpha, "\\p{N}": str.isdigit}.items():
+        inside = "".join(re.escape(c) for c in some if holds(c))
+        pattern = re.sub(r"(\[[^]]*\])|" + re.escape(name), lambda m, n=name, i=inside: m[1].replace(n, i) if m[1] else f"[{i}]", pattern)
+    return None if "\\p" in pattern else re.compile(pattern).findall
+
+
+def _dropping_pattern(spec: dict):
+    """All matches of the vocabulary's splitting pattern, where its steps are those known here; else None,
+    and the library does all."""
+    normal, split = spec["normalizer"] or {}, spec["pre_tokenizer"] or {}
+    steps = [n["type"] for n in normal.get("normalizers", [])]
+    spaces = [n for n in normal.get("normalizers", []) if n["type"] == "Replace"]
+    parts = split.get("pretokenizers", [])
+    if steps != ["NFC", "Replace", "Lowercase"] or spaces[0]["pattern"] != {"Regex": "\\s+"} or spaces[0]["content"] != " ":
+        return None
+    if [p["type"] for p in parts] != ["Split", "ByteLevel"] or parts[1]["add_prefix_space"] or parts[1]["use_regex"]:
+        return None
+    pattern = parts[0]["pattern"].get("Regex")
+    if pattern is None or parts[0]["behavior"] != "Removed" or not parts[0]["invert"]:
+        return None
+    return plain_pattern(pattern)
+
+
+def _shown() -> dict[int, str]:
+    """How a byte-level vocabulary spells each byte: the printable ones of Latin-1 as themselves, the
+    others, in order, from U+0100 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+_SHOWN = _shown()
 
 
 @lru_cache(maxsize=4)
-def words(json: bytes, special: bool = True) -> Remembered:
-    """Segments between ASCII white space, for vocabularies that drop white space, as unsigned 32-bit
-    ids: no token crosses white space, and no normalization does (it is neither composed nor cased)."""
-    joined = library(json, True)
-    return Remembered(parted(library(json, special), joined, *mark_of(joined), "<u4"))
+def dropping(json: bytes) -> Dropping:
+    return Dropping(json)
 
 
 @lru_cache(maxsize=4)
-def spaced(json: bytes, dtype: str) -> Remembered:
-    """Segments with a space put before each, special tokens' strings as plain text."""
-    joined = library(json, True)
-    return Remembered(parted(library(json, False), joined, *mark_of(joined), dtype, " "))
+def spaced(json: bytes, pattern: str, dtype: str) -> Direct:
+    """A byte-level vocabulary over space+text, special tokens' strings as plain text; ``pattern``: the one by
+    which the library splits for it (checked on a few texts; if another, the library does all)."""
+    d = Direct(json, dtype, plain_pattern(pattern), False, False, b" ")
+    for t in ("a  b\t\n c", "it's 'll 12x! é--Ö \r\n", "  ", "x\n\ny  "):
+        if d(t.encode()) != d._whole(b" " + t.encode()):
+            d.find = None
+    return d
 
 
 @lru_cache(maxsize=4)
@@ -109,17 +190,21 @@ def _pieces(model: bytes):
 
 @lru_cache(maxsize=4)
 def pieces(model: bytes, dtype: str) -> Remembered:
-    """Segments as ids of a sentencepiece model, which puts the space before each itself."""
+    """Segments as ids of a sentencepiece model, which puts the space before each itself; nothing where the
+    ids do not spell it."""
     p = _pieces(model)
-    return Remembered(lambda segments: [np.array(i, dtype).tobytes() for i in p.encode([text_of(s) for s in segments], num_threads=1)])
+    spelled = model_bytes(model)
+
+    def encode(segments: list[bytes]) -> list[bytes]:
+        ids = p.encode([text_of(s) for s in segments], num_threads=1)
+        return [np.array(i, dtype).tobytes() if b"".join([spelled[k] for k in i]) == b" " + s else b"" for s, i in zip(segments, ids)]
+
+    return Remembered(encode)
 
 
 def json_bytes(json: bytes) -> list[bytes]:
-    """Bytes of every id of a byte-level vocabulary, whose entries spell each byte as one character:
-    the printable ones of Latin-1 as themselves, the others, in order, from U+0100 on."""
-    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    hidden = [b for b in range(256) if b not in set(shown)]
-    byte_of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+    """Bytes of every id of a byte-level vocabulary."""
+    byte_of = {c: b for b, c in _SHOWN.items()}
     vocabulary = library(json, False).get_vocab(with_added_tokens=False)
     out = [b""] * (max(vocabulary.values()) + 1)
     for token, i in vocabulary.items():
