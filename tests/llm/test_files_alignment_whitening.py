@@ -75,7 +75,7 @@ def test_token_files(spark, docs, rows):
     assert len(listed) > 5 and sum(r["n_docs"] for r in listed) == len(rows) and sum(r["n_tokens"] for r in listed) == at
     # any zstandard reader reads the files in order
     whole = b""
-    for f in sorted(glob.glob(f"{folder}/shard=*/part-*")):
+    for f in sorted(glob.glob(f"{folder}/shard=*/**/part-*", recursive=True)):
         with open(f, "rb") as h:
             whole += _frames(h.read())
     assert whole == b"".join(bytes(r["ids"]) for r in got)
@@ -98,7 +98,7 @@ def test_fetch_opens_only_what_is_asked_for(spark, docs):
     token_files.write(docs, folder, WORDS, 1, 1 << 14)
     ids = sorted(r["doc_id"] for r in docs.filter("doc_id < 9000").select("doc_id").collect())
     # damage the frame of the file's first document: others are read, this one is refused
-    path = sorted(glob.glob(f"{folder}/shard=*/part-*"))[0]
+    path = sorted(glob.glob(f"{folder}/shard=*/**/part-*", recursive=True))[0]
     data = bytearray(open(path, "rb").read())
     data[12] ^= 0xFF
     with open(path, "wb") as f:

@@ -29,6 +29,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
@@ -41,14 +42,24 @@ from . import vocabularies
 from .common import saved
 
 #: Steps of a piece and of a block.
-PIECE, BLOCK = 1 << 17, 1 << 20
+PIECE, BLOCK = 1 << 17, 1 << 19
 #: The sentencepiece model has no piece with a space behind another character, so a text can be parted
-#: before such a space.
-_SEGMENTS = re.compile(rb"(?<=[!-~]) (?=[!-~])").split
+#: before such a space; here between printable ASCII, in plain texts behind all but white space.
+_SEGMENTS, _PLAIN_SEGMENTS = re.compile(rb"(?<=[!-~]) (?=[!-~])").split, re.compile(rb"(?<=[^\t-\r ]) (?!\Z)").split
+_RUNS = [bytes([c, 32]) for c in (*range(9, 14), 32)]
 
-_SCHEMA = "block bigint, key bigint, doc_id bigint, piece int, pieces int, n_a int, n_b int, steps int, at int, a int, b int, n bigint, links binary"
+
+def segments(text: bytes) -> list[bytes]:
+    if not vocabularies.plain(text):
+        return _SEGMENTS(text)
+    if text[:1] == b" " or text[-1:] == b" " or any(r in text for r in _RUNS):
+        return _PLAIN_SEGMENTS(text)
+    return text.split(b" ")
+
+
+_SCHEMA = "block bigint, parted boolean, key bigint, doc_id bigint, piece int, pieces int, n_a int, n_b int, steps int, at int, a int, b int, n bigint, links binary"
 _FIELDS = pa.schema(
-    [("block", pa.int64()), ("key", pa.int64()), ("doc_id", pa.int64()), ("piece", pa.int32()), ("pieces", pa.int32()), ("n_a", pa.int32()), ("n_b", pa.int32())]
+    [("block", pa.int64()), ("parted", pa.bool_()), ("key", pa.int64()), ("doc_id", pa.int64()), ("piece", pa.int32()), ("pieces", pa.int32()), ("n_a", pa.int32()), ("n_b", pa.int32())]
     + [("steps", pa.int32()), ("at", pa.int32()), ("a", pa.int32()), ("b", pa.int32()), ("n", pa.int64()), ("links", pa.binary())]
 )
 #: In a link's number: its place in the block's list of pairs, then whether A, and whether B begin.
@@ -94,7 +105,7 @@ class _Texts:
 
     def ids(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         """The A and the B ids of each text and the ends of both in bytes; none where they do not spell it."""
-        cut = [_SEGMENTS(t) if t else [] for t in texts]
+        cut = [segments(t) if t else [] for t in texts]
         self.b.learn(s for c in cut for s in c)
         for t, c in zip(texts, cut):
             a = np.frombuffer(self.a(t) if t else b"", self.dtype[0])
@@ -116,10 +127,10 @@ def _texts(json: bytes, pattern: str, model: bytes) -> _Texts:
 
 
 class _Block:
-    """Pieces until they have ``BLOCK`` steps."""
+    """Pieces until they have ``BLOCK`` steps; those of texts in several pieces have blocks of their own."""
 
-    def __init__(self, number: int):
-        self.number, self.rows, self.links, self.steps = number, [], [], 0
+    def __init__(self, number: int, parted: bool):
+        self.number, self.parted, self.rows, self.links, self.steps = number, parted, [], [], 0
 
     def add(self, row: tuple, pairs: np.ndarray, marks: np.ndarray) -> None:
         self.rows.append((*row, len(pairs)))
@@ -129,23 +140,25 @@ class _Block:
     def batch(self) -> pa.RecordBatch:
         key, doc_id, piece, pieces, n_a, n_b, steps = map(list, zip(*self.rows))
         pairs, marks = (np.concatenate(x) for x in zip(*self.links))
-        known, at = np.unique(pairs, return_inverse=True)
+        at, known = pd.factorize(pairs)
         # rows that hold a pair: once a piece
         row = np.repeat(np.arange(len(steps)), steps)
         held = row * len(known) + at
         held.sort()
         held = held[np.concatenate([[True], held[1:] != held[:-1]])] if len(held) else held
         row, place = np.divmod(held, max(len(known), 1))
-        parted = np.array(pieces)[row] > 1
-        n = np.bincount(place[~parted], minlength=len(known))
-        whole = np.flatnonzero(n)
-        place, key_of = np.concatenate([whole, place[parted]]), [None] * len(whole) + np.array(key)[row[parted]].tolist()
-        count = np.concatenate([n[whole], np.ones(int(parted.sum()), np.int64)])
+        if self.parted:  # a text's pieces may hold the same pair: told apart by its key
+            key_of, count = np.array(key)[row].tolist(), np.ones(len(row), np.int64)
+        else:
+            n = np.bincount(place, minlength=len(known))
+            place = np.arange(len(known))
+            key_of, count = [None] * len(known), n
         blob = zstandard.ZstdCompressor(level=3).compress((at.astype(np.uint32) << np.uint32(2) | marks).view(np.uint8).reshape(-1, 4).T.tobytes())
         none = lambda k: [None] * k
         k, m = len(steps), len(place)
         cols = {
             "block": [self.number] * (k + m + 1),
+            "parted": [self.parted] * (k + m + 1),
             "key": key + key_of + none(1),
             "doc_id": doc_id + none(m + 1),
             "piece": piece + none(m + 1),
@@ -163,27 +176,30 @@ class _Block:
 
 
 def _blocks(json, model, pattern: str, piece: int, block: int):
+    @vocabularies.uncollected
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = _texts(json.value, pattern, model.value)
         task = TaskContext.get().partitionId() << 36
-        made, docs, out = 0, 0, _Block(task)
+        made, docs, out = 2, 0, [_Block(task, False), _Block(task + 1, True)]
         for batch in batches:
             data, off = V.raw(batch.column(1))
             ids = batch.column(0).to_pylist()
             for i, j in V.blocks(off):
                 for d, (a, b, end_a, end_b) in zip(range(i, j), texts.ids([data[off[d] : off[d + 1]].tobytes() for d in range(i, j)])):
-                    at_a, at_b = diagonals(end_a, end_b, piece) if len(a) else (np.zeros(2, int), np.zeros(2, int))
+                    at_a, at_b = diagonals(end_a, end_b, piece) if len(a) + len(b) > piece else (np.array([0, len(a)]), np.array([0, len(b)]))
                     for p in range(len(at_a) - 1):
                         a0, a1, b0, b1 = at_a[p], at_a[p + 1], at_b[p], at_b[p + 1]
                         row = (task + docs, ids[d], p, len(at_a) - 1, int(a1 - a0), int(b1 - b0))
-                        out.add(row, *_piece(a[a0 : a1 + 1], b[b0 : b1 + 1], end_a[a0 : a1 + 1], end_b[b0 : b1 + 1], end_a[a0 - 1] if a0 else 0, end_b[b0 - 1] if b0 else 0, a1 - a0, b1 - b0))
-                        if out.steps >= block:
-                            yield out.batch()
+                        x = out[len(at_a) > 2]
+                        x.add(row, *_piece(a[a0 : a1 + 1], b[b0 : b1 + 1], end_a[a0 : a1 + 1], end_b[b0 : b1 + 1], end_a[a0 - 1] if a0 else 0, end_b[b0 - 1] if b0 else 0, a1 - a0, b1 - b0))
+                        if x.steps >= block:
+                            yield x.batch()
+                            out[x.parted] = _Block(task + made, x.parted)
                             made += 1
-                            out = _Block(task + made)
                     docs += 1
-        if out.rows:
-            yield out.batch()
+        for x in out:
+            if x.rows:
+                yield x.batch()
 
     return work
 
@@ -202,6 +218,16 @@ def _piece(a, b, end_a, end_b, from_a, from_b, own_a, own_b) -> tuple[np.ndarray
     return pairs, new_a * _A | new_b * _B
 
 
+@lru_cache(maxsize=4)
+def _decimal(most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The decimal digits of 0 to most - 1, each in a row with room for a separator behind, and their number."""
+    width = 1 + sum(((np.arange(most) >= 10**k).astype(np.int64) for k in range(1, len(str(most)))), np.zeros(most, np.int64))
+    rows = np.zeros((most, len(str(most)) + 1), np.uint8)
+    for k in range(len(str(most))):
+        rows[:, k] = 48 + np.arange(most) // 10 ** np.maximum(width - 1 - k, 0) % 10
+    return rows, width
+
+
 def rendered(a: np.ndarray, b: np.ndarray, marks: np.ndarray, texts: np.ndarray) -> list[bytes]:
     """``a1,a2|b1;a3|b2,b3`` of each text: ids in order, groups parted by semicolons. ``texts``: steps of each."""
     new_a, new_b = (marks & _A) > 0, (marks & _B) > 0
@@ -212,18 +238,13 @@ def rendered(a: np.ndarray, b: np.ndarray, marks: np.ndarray, texts: np.ndarray)
     order = np.argsort(groups * 2 + side, kind="stable")
     ids, groups, side = ids[order], groups[order], side[order]
     same = groups[1:] == groups[:-1]
-    sep = np.concatenate([np.where(same, np.where(side[1:] == side[:-1], ord(","), ord("|")), ord(";")), [ord(";")]]) if len(ids) else np.zeros(0)
-    width = 2 + sum((ids >= 10**k).astype(np.int64) for k in range(1, 10))
-    ends = np.cumsum(width)
-    out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
-    out[ends - 1] = sep
-    left, place = ids.astype(np.int64), ends - 2
-    more = np.arange(len(ids))
-    while len(more):  # digits from the last one
-        out[place[more]] = 48 + left[more] % 10
-        left[more] //= 10
-        place[more] -= 1
-        more = more[left[more] > 0]
+    sep = np.concatenate([np.where(same, np.where(side[1:] == side[:-1], ord(","), ord("|")), ord(";")), [ord(";")]])[: len(ids)]
+    digits, width = _decimal(1 << int(ids.max(initial=1)).bit_length())
+    width = width[ids]
+    out = digits[ids]
+    out[np.arange(len(ids)), width] = sep
+    out = out[np.arange(out.shape[1]) <= width[:, None]]
+    ends = np.cumsum(width + 1)
     # bytes up to the end of each text: its tokens are all those that begin in its steps
     done = np.concatenate([[0], np.cumsum(new_a.astype(np.int64) + new_b)])[np.concatenate([[0], np.cumsum(texts)])]
     at = np.concatenate([[0], ends])[done]
@@ -231,52 +252,60 @@ def rendered(a: np.ndarray, b: np.ndarray, marks: np.ndarray, texts: np.ndarray)
     return [raw[s : max(e - 1, s)] for s, e in zip(at.tolist(), at[1:].tolist())]
 
 
-_DONE = "key bigint, doc_id bigint, piece int, pieces int, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups string, links binary"
 _LONGS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
-_DONE_FIELDS = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("piece", pa.int32()), ("pieces", pa.int32())] + [(c, pa.int64()) for c in _LONGS] + [("groups", pa.string()), ("links", pa.binary())])
-
-
-def _finish(block: pa.Table, counts: pa.Table) -> pa.Table:
-    """A block's pieces with the counts of their pairs. Groups of a text in one piece are final."""
-    blob = next((x for x in block["links"].to_pylist() if x is not None), None)
-    rows = block.filter(pc.is_valid(block["steps"]))
-    if not rows.num_rows:
-        return _DONE_FIELDS.empty_table()
-    steps = rows["steps"].to_numpy()
-    links = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
-    at, marks = (links >> np.uint32(2)).astype(np.int64), links & np.uint32(3)
-    places = counts["at"].to_numpy()
-    table = np.zeros((4, int(at.max(initial=-1)) + 1), np.int64)
-    for k, c in enumerate(("a", "b", "n", "best")):
-        table[k, places] = counts[c].to_numpy() if c != "best" else counts[c].to_numpy().astype(np.int64)
-    a, b, n, best = table[:, at]
-    ends = np.concatenate([[0], np.cumsum(steps)])
-    sums = lambda x: np.diff(np.concatenate([[0], np.cumsum(x)])[ends])
-    whole = rows["pieces"].to_numpy() == 1
-    inside = np.repeat(whole, steps)
-    texts = iter(rendered(a[inside], b[inside], marks[inside], steps[whole]))
-    both = np.stack([a, b, marks.astype(np.int64)], 1).astype("<u4")
-    cols = {
-        **{c: rows[c] for c in ("key", "doc_id", "piece", "pieces")},
-        "n_a": rows["n_a"].cast(pa.int64()),
-        "n_b": rows["n_b"].cast(pa.int64()),
-        "n_groups": sums(marks == 3),
-        "n_links": steps.astype(np.int64),
-        "n_best": sums(best),
-        "count_sum": sums(n),
-        "groups": pa.array([next(texts).decode() if w else None for w in whole], pa.string()),
-        "links": pa.array([None if w else both[s:e].tobytes() for w, s, e in zip(whole, ends, ends[1:])], pa.binary()),
-    }
-    return pa.Table.from_arrays([x if isinstance(x, pa.ChunkedArray) else pa.chunked_array([pa.array(x)]) for x in cols.values()], schema=_DONE_FIELDS)
+_WHOLE = pa.schema([("doc_id", pa.int64())] + [(c, pa.int64()) for c in _LONGS] + [("groups", pa.string())])
+_PARTS = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("piece", pa.int32())] + [(c, pa.int64()) for c in _LONGS] + [("links", pa.binary())])
+_TYPES = {pa.int64(): "bigint", pa.int32(): "int", pa.string(): "string", pa.binary(): "binary"}
+_WHOLE_SCHEMA, _PARTS_SCHEMA = (", ".join(f"{f.name} {_TYPES[f.type]}" for f in s) for s in (_WHOLE, _PARTS))
+
+
+def _finish(parted: bool):
+    """A block's pieces with the counts of their pairs. Texts in one piece get their groups."""
+    schema = _PARTS if parted else _WHOLE
+
+    def work(block: pa.Table, counts: pa.Table) -> pa.Table:
+        blob = next((x for x in block["links"].to_pylist() if x is not None), None)
+        rows = block.filter(pc.is_valid(block["steps"]))
+        if not rows.num_rows:
+            return schema.empty_table()
+        steps = rows["steps"].to_numpy()
+        links = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
+        at, marks = (links >> np.uint32(2)).astype(np.int64), links & np.uint32(3)
+        ends = np.concatenate([[0], np.cumsum(steps)])
+        places, most = counts["at"].to_numpy(), int(at.max(initial=-1)) + 1
+
+        def of_links(column: str, dtype) -> np.ndarray:
+            table = np.zeros(most, dtype)
+            table[places] = counts[column].to_numpy()
+            return table[at]
+
+        sums = lambda x: np.diff(np.concatenate([[0], np.cumsum(x, dtype=np.int64)])[ends])
+        a, b = of_links("a", np.int32), of_links("b", np.int32)
+        cols = {
+            **{c: rows[c].combine_chunks() for c in ("key", "doc_id", "piece")},
+            "n_a": rows["n_a"].cast(pa.int64()).combine_chunks(),
+            "n_b": rows["n_b"].cast(pa.int64()).combine_chunks(),
+            "n_groups": pa.array(sums(marks == 3)),
+            "n_links": pa.array(steps.astype(np.int64)),
+            "n_best": pa.array(sums(of_links("best", bool))),
+            "count_sum": pa.array(sums(of_links("n", np.int64))),
+        }
+        if parted:
+            both = np.stack([a, b, marks.astype(np.int32)], 1).astype("<u4")
+            cols["links"] = pa.array([both[s:e].tobytes() for s, e in zip(ends, ends[1:])], pa.binary())
+        else:
+            cols["groups"] = pa.array(rendered(a, b, marks, steps), pa.binary()).cast(pa.string())
+        return pa.Table.from_arrays([cols[f.name] for f in schema], schema=schema)
+
+    return work
 
 
 def _stitch(pieces: pa.Table) -> pa.Table:
     """One text's pieces in order, its groups drawn over their borders."""
     t = pieces.sort_by("piece")
     links = np.frombuffer(b"".join(t["links"].to_pylist()), "<u4").reshape(-1, 3)
-    groups = rendered(links[:, 0].astype(np.int64), links[:, 1].astype(np.int64), links[:, 2], np.array([len(links)]))[0].decode()
-    row = {c: t[c][0].as_py() for c in ("key", "doc_id")} | {"piece": 0, "pieces": 1, "groups": groups, "links": None} | {c: pc.sum(t[c]).as_py() for c in _LONGS}
-    return pa.Table.from_pylist([row], schema=_DONE_FIELDS)
+    groups = rendered(links[:, 0], links[:, 1], links[:, 2], np.array([len(links)]))[0].decode()
+    return pa.Table.from_pylist([{"doc_id": t["doc_id"][0].as_py(), "groups": groups} | {c: pc.sum(t[c]).as_py() for c in _LONGS}], schema=_WHOLE)
 
 
 def align(docs: DataFrame, json: str, pattern: str, model: str, piece: int = PIECE, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
@@ -295,9 +324,12 @@ def align(docs: DataFrame, json: str, pattern: str, model: str, piece: int = PIE
     n = saved(n)
     most = n.groupBy("a").agg(F.max("n").alias("most"))
     counts = n.join(most, "a").select("a", "b", "n", (F.col("n") == F.col("most")).alias("best"))
-    of_block = held.select("block", "at", "a", "b").distinct().join(counts, ["a", "b"]).select(F.col("block").alias("of"), "at", "a", "b", "n", "best")
-    rest = made.filter("at is null").select("block", "key", "doc_id", "piece", "pieces", "n_a", "n_b", "steps", "links")
-    done = saved(rest.groupBy("block").cogroup(of_block.groupBy("of")).applyInArrow(_finish, _DONE))
-    out = ["doc_id", *_LONGS, "groups"]
-    parted = done.filter("pieces > 1").groupBy("key").applyInArrow(_stitch, _DONE)
-    return done.filter("pieces = 1").select(*out).unionByName(parted.select(*out)), counts
+    of_block = held.select("block", "parted", "at", "a", "b").distinct().join(counts, ["a", "b"]).select(F.col("block").alias("of"), F.col("parted").alias("p"), "at", "a", "b", "n", "best")
+    rest = made.filter("at is null").select("block", "parted", "key", "doc_id", "piece", "n_a", "n_b", "steps", "links")
+
+    def finished(parted: bool, schema: str) -> DataFrame:
+        x, y = rest.filter(F.col("parted") == parted), of_block.filter(F.col("p") == parted)
+        return x.groupBy("block").cogroup(y.groupBy("of")).applyInArrow(_finish(parted), schema)
+
+    parts = finished(True, _PARTS_SCHEMA).groupBy("key").applyInArrow(_stitch, _WHOLE_SCHEMA)
+    return finished(False, _WHOLE_SCHEMA).unionByName(parts), counts

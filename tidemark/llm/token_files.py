@@ -83,6 +83,7 @@ class _File:
 
 
 def _pack(vocabulary, end_id: int, file_bytes: int):
+    @vocabularies.uncollected
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = vocabularies.dropping(vocabulary.value)
         end = struct.pack("<I", end_id)
@@ -104,41 +105,51 @@ def _pack(vocabulary, end_id: int, file_bytes: int):
 
 
 def _row(part: int, k: int, f: _File) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([f"{part:08d}-{k:08d}"]), pa.array([f.body()], pa.binary())], names=["shard", "body"])
+    have = [i for i in f.ids if i is not None]
+    row = {"shard": f"{part:08d}-{k:08d}", "n_docs": len(f.ids), "n_tokens": sum(e[1] for e in f.entries) // 4, "first": min(have, default=None), "last": max(have, default=None), "body": f.body()}
+    return pa.RecordBatch.from_pylist([row], schema=pa.schema([("shard", pa.string())] + [(c, pa.int64()) for c in _NUMBERS] + [("body", pa.binary())]))
+
+
+_NUMBERS = ("n_docs", "n_tokens", "first", "last")
 
 
 def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Writes ``docs`` (doc_id, text) as files under ``folder`` and their list beside them, and returns
-    the list: shard, n_docs, n_tokens, start (ids in all files before), first and last doc_id
-    (null where a file holds null ids only). ``vocabulary`` is a file of the tokenizers library whose
-    vocabulary drops white space; special tokens are not added."""
+    the list: shard, n_docs, n_tokens, first and last doc_id (null where a file holds null ids only;
+    all these also stand in the file's path), and start (ids in all files before). ``vocabulary`` is a
+    file of the tokenizers library whose vocabulary drops white space; special tokens are not added."""
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(vocabularies.read(vocabulary))
     d = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("_t"), F.rand(11).alias("_r"))
     order = [F.col("doc_id").asc_nulls_last(), F.col("_t").asc(), F.col("_r").asc()]
     ranged = d.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
-    files = ranged.mapInArrow(_pack(sent, end_id, file_bytes), "shard string, body binary")
-    w = files.select("shard", F.col("body").cast("string").alias("value")).write.partitionBy("shard")
+    numbers = [f"{c} bigint" for c in _NUMBERS]
+    files = ranged.mapInArrow(_pack(sent, end_id, file_bytes), f"shard string, {', '.join(numbers)}, body binary")
+    w = files.select("shard", *_NUMBERS, F.col("body").cast("string").alias("value")).write.partitionBy("shard", *_NUMBERS)
     w.option("maxRecordsPerFile", 1).option("encoding", "ISO-8859-1").option("lineSep", LAST.decode("latin-1")).text(folder)
-    listed = _files(spark, folder).mapInArrow(_list, "shard string, n_docs bigint, n_tokens bigint, first bigint, last bigint")
-    listed = listed.select("*", F.substring("shard", 1, 8).alias("part"))
+    number = lambda c: F.regexp_extract("path", f"/{c}=([0-9-]+)/", 1)
+    listed = _found(spark, folder).select(number("shard").alias("shard"), *[F.nullif(number(c), F.lit("")).cast("bigint").alias(c) for c in _NUMBERS])
+    listed = listed.withColumn("part", F.substring("shard", 1, 8))
     inside = Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     # one row a range partition goes through one task, one row a file through its partition's
     parts = listed.groupBy("part").agg(F.sum("n_tokens").alias("n")).withColumn("base", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     start = (F.col("base") + F.coalesce(F.sum("n_tokens").over(inside), F.lit(0))).cast("bigint")
-    listed.join(parts.select("part", "base"), "part").select("shard", "n_docs", "n_tokens", start.alias("start"), "first", "last").write.parquet(f"{folder}/_list")
+    listed.join(parts.select("part", "base"), "part").select("shard", *_NUMBERS, start.alias("start")).write.parquet(f"{folder}/_list")
     return files_of(spark, folder)
 
 
 def files_of(spark: SparkSession, folder: str) -> DataFrame:
     """The list that :func:`write` leaves, one row a file."""
-    return spark.read.schema("shard string, n_docs bigint, n_tokens bigint, start bigint, first bigint, last bigint").parquet(f"{folder}/_list")
+    return spark.read.schema(f"shard string, {', '.join(f'{c} bigint' for c in _NUMBERS)}, start bigint").parquet(f"{folder}/_list")
+
+
+def _found(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(paths)
 
 
 def _files(spark: SparkSession, folder: str, shards: list[str] | None = None) -> DataFrame:
-    paths = folder if shards is None else [f"{folder}/shard={s}" for s in shards]
-    f = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(paths)
-    return f.select(F.regexp_extract("path", r"shard=([0-9-]+)", 1).alias("shard"), "content")
+    f = _found(spark, folder if shards is None else [f"{folder}/shard={s}" for s in shards])
+    return f.select(F.regexp_extract("path", "/shard=([0-9-]+)/", 1).alias("shard"), "content")
 
 
 def _table(name: str, f: memoryview) -> tuple[np.ndarray, list[int | None]]:
@@ -157,16 +168,6 @@ def _table(name: str, f: memoryview) -> tuple[np.ndarray, list[int | None]]:
     return entries[:-1], [None if z else i for i, z in zip(ids, null)]
 
 
-def _list(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for k in range(b.num_rows):
-            name, f = b.column(0)[k].as_py(), memoryview(b.column(1)[k].as_buffer())
-            e, ids = _table(name, f)
-            have = [i for i in ids if i is not None]
-            row = {"shard": name, "n_docs": len(ids), "n_tokens": int(e["size"].astype(np.int64).sum()) // 4, "first": min(have, default=None), "last": max(have, default=None)}
-            yield pa.RecordBatch.from_pylist([row], schema=pa.schema([("shard", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("first", pa.int64()), ("last", pa.int64())]))
-
-
 _DOCS = "shard string, doc_id bigint, before bigint, n_tokens bigint, ids binary"
 _SCHEMA = pa.schema([("shard", pa.string()), ("doc_id", pa.int64()), ("before", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
 

@@ -4,6 +4,7 @@ bounded by the file), and asked for each distinct short piece of many texts only
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 from collections.abc import Callable, Iterable
@@ -12,7 +13,7 @@ from json import loads
 
 import numpy as np
 
-#: Segments remembered by a worker, and the longest of them in bytes: some 60 MB.
+#: Pieces of a generation that a worker keeps, and the longest of them: some 40 MB.
 MOST, LONGEST = 1 << 18, 64
 
 
@@ -43,6 +44,20 @@ def read(path: str) -> bytes:
         return f.read()
 
 
+def uncollected(work):
+    """``work`` over batches without searches for reference cycles: it makes none, and the many small
+    values that are kept would be walked again and again (a sixth of the time)."""
+
+    def run(batches):
+        gc.disable()
+        try:
+            yield from work(batches)
+        finally:
+            gc.enable()
+
+    return run
+
+
 def text_of(segment: bytes) -> str:
     return segment.decode("utf-8", "replace")
 
@@ -73,18 +88,17 @@ class Direct:
         self.marks = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()] if special else []
         self.letters = {c: "".join(_SHOWN[b] for b in chr(c).encode()) for c in (*range(0x21), *range(0xC0, 0x180))}
         self.bytes_of = [np.array([i], dtype).tobytes() for i in range(self.library.get_vocab_size())]
-        self.now, self.old = _Missing(self._piece), {}
+        self.known = _Pieces(self._piece)
 
     def _piece(self, piece: str) -> bytes:
-        ids = self.old.get(piece)
-        if ids is None:
-            spelled = (piece.lower() if self.lower else piece).translate(self.letters)
-            ids = b"".join([self.bytes_of[t.id] for t in self.model.tokenize(spelled)])
-        if len(piece) <= LONGEST:
-            self.now[piece] = ids
-            if len(self.now) > MOST:
-                self.old, self.now = dict(self.now), _Missing(self._piece)
-        return ids
+        if not piece.isascii():
+            piece = (piece.lower() if self.lower else piece).translate(self.letters)
+        elif not piece.isprintable():
+            piece = piece.translate(self.letters)
+        else:
+            piece = piece.replace(" ", self.letters[32])
+        of = self.bytes_of
+        return b"".join([of[t.id] for t in self.model.tokenize(piece)])
 
     def _whole(self, data: bytes) -> bytes:
         return np.array(self.library.encode(text_of(data), add_special_tokens=False).ids, self.dtype).tobytes()
@@ -95,7 +109,7 @@ class Direct:
             return self._whole(data)
         if self.lower:
             data = data.lower()  # the others in their pieces
-        return b"".join(map(self.now.__getitem__, self.find(data.decode())))
+        return b"".join(map(self.known.__getitem__, self.find(data.decode())))
 
 
 class Dropping(Direct):
@@ -119,13 +133,23 @@ def plain(data: bytes) -> bool:
 _PLAIN = bytes([*range(9, 14), *range(0x20, 0x7F), *range(0x80, 0xC0), 0xC3, 0xC4, 0xC5])
 
 
-class _Missing(dict):
+class _Pieces(dict):
+    """piece -> ids; what two generations of others have not asked for goes."""
+
     def __init__(self, make: Callable[[str], bytes]):
         super().__init__()
-        self.make = make
+        self.make, self.old = make, {}
 
-    def __missing__(self, key: str) -> bytes:
-        return self.make(key)
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = self.make(piece)
+        if len(piece) <= LONGEST:
+            if len(self) >= MOST:
+                self.old = dict(self)
+                self.clear()
+            self[piece] = ids
+        return ids
 
 
 def plain_pattern(pattern: str):
@@ -194,10 +218,11 @@ def pieces(model: bytes, dtype: str) -> Remembered:
     ids do not spell it."""
     p = _pieces(model)
     spelled = model_bytes(model)
+    bytes_of = [np.array([i], dtype).tobytes() for i in range(len(spelled))]
 
     def encode(segments: list[bytes]) -> list[bytes]:
         ids = p.encode([text_of(s) for s in segments], num_threads=1)
-        return [np.array(i, dtype).tobytes() if b"".join([spelled[k] for k in i]) == b" " + s else b"" for s, i in zip(segments, ids)]
+        return [b"".join([bytes_of[k] for k in i]) if b"".join([spelled[k] for k in i]) == b" " + s else b"" for s, i in zip(segments, ids)]
 
     return Remembered(encode)
 
