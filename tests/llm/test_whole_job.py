@@ -1,8 +1,11 @@
 """Cases in which an operator once did less than its whole job."""
 
+import collections
 import random
 
-from tidemark.llm import ctw, secret_scan
+from pyspark.sql import functions as F
+
+from tidemark.llm import ctw, near_dup, secret_scan, topk
 
 
 def spans(spark, *texts):
@@ -35,3 +38,55 @@ def test_contexts_of_five_bytes(spark):
     texts = ["".join(rng.choice(("1xyzwa", "2xyzwb")) for _ in range(200)) for _ in range(40)]
     out = ctw.score(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).filter("held_out").collect()
     assert out and all(r["bits_per_byte"] < 0.22 for r in out)
+
+
+def test_one_row_of_each_class_stays(spark):
+    a = " ".join(f"a{i}" for i in range(40))
+    b, c, d = a.replace("a", "b"), a.replace("a", "c"), a.replace("a", "d")
+    rows = [
+        (1, a, 1.0), (3, b, 1.0), (3, a, 1.0),  # two texts of one id: the copy goes, the other stays
+        (4, c, 1.0), (4, c, 1.0), (4, f" {c}\n", 2.0),  # repeated rows
+        (None, d, 1.0), (None, d, 1.0), (None, a, 1.0), (None, None, 1.0),  # copies under no id
+        (5, "", 1.0), (5, "", 1.0), (6, None, 1.0), (7, d.replace("d39", "x"), 1.0),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, w double").withColumn("id", F.lit("clash")).withColumn("odd", F.lit(True))
+    got = near_dup.keep(docs)
+    assert got.columns == docs.columns
+    text = lambda t: None if t is None else " ".join(t.split())
+    got = sorted(((r["doc_id"], text(r["text"])) for r in got.collect()), key=str)
+    assert got == sorted([(1, a), (3, b), (4, c), (None, None), (5, ""), (5, ""), (6, None), (7, d.replace("d39", "x"))], key=str)
+
+
+def test_keep_against_plain(spark):
+    rng = random.Random(9)
+    base = [" ".join(rng.choices("abcdefgh", k=rng.randint(0, 30))) for _ in range(12)]
+    rows = [(rng.choice([None, *range(20)]), rng.choice(base)) for _ in range(120)]
+    got = collections.Counter((r["doc_id"], r["text"]) for r in near_dup.keep(spark.createDataFrame(rows, "doc_id bigint, text string")).collect())
+    texts = collections.defaultdict(set)
+    for i, t in rows:
+        texts[i].add(t)
+    odd = lambda i: i is None or len(texts[i] - {""}) > 1
+    sets = {t: near_dup.shingles(t) for t in base}
+    group = {t: t for t in base}
+    for x in base:
+        for y in base:
+            if sets[x] and 100 * len(sets[x] & sets[y]) >= 75 * len(sets[x] | sets[y]):
+                old, new = group[x], group[y]
+                group = {k: new if v == old else v for k, v in group.items()}
+    assert got == collections.Counter(got.keys()) + collections.Counter({(i, t): got[i, t] - 1 for i, t in got if t == ""})
+    assert {k: v for k, v in got.items() if k[1] == ""} == {k: v for k, v in collections.Counter(rows).items() if k[1] == ""}
+    for g in {group[t] for t in base if t}:
+        have = {(i, t) for i, t in rows if t and group[t] == g}
+        kept = [k for k in got if k in have]
+        if have:
+            assert len(kept) == 1
+            plain = [i for i, _ in have if not odd(i)]
+            assert kept[0][0] == min(plain) if plain else odd(kept[0][0])
+
+
+def test_topk_of_repeated_ids(spark):
+    rows = [(20, [1.0, 0.0]), (20, [2.0, 0.0]), (7, [3.0, 0.0]), (7, [3.0, 0.0]), (7, [384.0, 0.0]), (40, [0.5, 1.0])]
+    v = topk.whole(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"))
+    got = sorted(tuple(r)[1:] + (r["query_id"],) for r in topk.search(v.filter("vec_id % 20 = 0"), v, 3).filter("query_id = 20").collect())
+    one, two = 64 * 64, 128 * 64
+    assert got == sorted([(1, 7, one * 384, 20), (2, 7, one * 3, 20), (3, 7, one * 3, 20), (1, 7, two * 384, 20), (2, 7, two * 3, 20), (3, 7, two * 3, 20)])

@@ -240,9 +240,11 @@ def clean(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: ``doc`` (a struct of its columns), ``kept`` (the text without the
     lines of :func:`later_lines`; null stays null), n_lines, n_removed, n_equal. A text that
     loses no line is kept byte for byte."""
-    gone = later_lines(docs).distinct().groupBy("row").agg(F.collect_list("line").alias("gone"), F.count(F.when(F.col("equal"), 1)).alias("n_equal"))
-    d = docs.select(F.struct("*").alias("doc"), row_key().alias("row"))
-    d = d.join(gone, "row", "left")
+    gone = later_lines(docs).distinct().groupBy("doc_id", "row").agg(F.collect_list("line").alias("gone"), F.count(F.when(F.col("equal"), 1)).alias("n_equal"))
+    d = docs.select(F.struct("*").alias("doc"), F.col("doc_id").cast("bigint").alias("id"), row_key().alias("row"))
+    # by the id too: a hash alone would meet another document's at some 10^10 rows
+    gone = gone.withColumnRenamed("row", "r")
+    d = d.join(gone, (F.col("row") == F.col("r")) & F.col("id").eqNullSafe(F.col("doc_id")), "left")
     parts = F.split("doc.text", "\n")
     d = d.select("doc", "gone", "n_equal", parts.alias("parts"))
     stay = F.expr("filter(parts, (x, i) -> not array_contains(gone, i))")

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import vectors as V
-from .common import components, saved
+from .common import SPACE, components, saved
 
 WORDS, PERCENT = 5, 75
 BANDS, ROWS = 48, 4
@@ -251,8 +251,36 @@ def report(docs: DataFrame) -> DataFrame:
     return classes(docs).select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
 
 
+#: Odd ids (see :func:`keep`) that are sent to every executor: 8 bytes each.
+FEW = 1_000_000
+
+
+def _words(text: str) -> Column:
+    """The word sequence as 16 bytes; null without words."""
+    lower = F.translate(F.col(text), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    words = F.trim(F.regexp_replace(lower, SPACE, " "))
+    return F.when(words != "", F.substring(F.unhex(F.sha2(words, 256)), 1, 16))
+
+
 def keep(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without those whose class has a smaller ``doc_id``."""
-    gone = classes(docs).filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    d = docs.select(F.struct("*").alias("row"))
-    return d.join(gone, F.col("row.doc_id") == F.col("_gone"), "left_anti").select("row.*")
+    """One row of each class of ``docs``, the one of the smallest ``doc_id``; rows without words (null,
+    empty) are in no class and all stay.
+
+    A row is decided by its own text: if a ``doc_id`` has several texts, or none is given (null), each
+    text is a document of its own, which stands behind all others in its class. Of rows with the same
+    ``doc_id`` and words one stays, that of the smallest hash of its columns."""
+    d = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("bigint").alias("id"), _words("text").alias("w"))
+    per = d.filter("w is not null").groupBy("id").agg(F.count("*").alias("n"), F.min("w").alias("x"), F.max("w").alias("y"))
+    per = saved(per.filter("n > 1 or id is null").select("id", (F.col("id").isNull() | (F.col("x") != F.col("y"))).alias("odd")))
+    n = per.count()
+    if n:  # ids that are not one row's: rows of several texts are numbered, behind all ids
+        per = F.broadcast(per) if n <= FEW else per
+        d = d.withColumnRenamed("id", "i").join(per, F.col("i").eqNullSafe(F.col("id")), "left").withColumn("odd", F.col("odd") & F.col("w").isNotNull())
+        # one text of one id may be a third of all rows: one of them stays, found by a pre-aggregated minimum
+        one = d.filter("odd is not null and w is not null").groupBy("i", "w", "odd").agg(F.min_by("row", F.xxhash64("row.*")).alias("row"))
+        one = saved(one.select("row", F.when(F.col("odd"), F.lit(1 << 62) + F.monotonically_increasing_id()).otherwise(F.col("i")).alias("id")))
+        d = d.filter("odd is null or w is null").select("row", F.when(F.col("w").isNotNull(), F.col("i")).alias("id")).unionByName(one)
+    else:
+        d = d.select("row", F.when(F.col("w").isNotNull(), F.col("id")).alias("id"))
+    gone = classes(d.select(F.col("id").alias("doc_id"), "row.text")).filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    return d.join(gone, F.col("id") == F.col("_gone"), "left_anti").select("row.*")
