@@ -1,4 +1,4 @@
-"""Every registered query against its DuckDB oracle on sf0.001 (the driver does the same at
+"""Every query of the catalog against its DuckDB oracle on sf0.001 (the driver does the same at
 sf0.01): same columns, same rows, same values, order-insensitive."""
 
 import duckdb
@@ -6,10 +6,11 @@ import pytest
 from conftest import SF_SMALL
 
 import __spark_entry__ as se
+from tidemark.plans.catalog import CATALOG
 from tidemark.sources.tables import TABLES
 from tools.check_oracle import _rows
 
-NAMES = sorted(se.queries())
+NAMES = sorted(CATALOG)
 
 
 @pytest.fixture(scope="module")
@@ -21,13 +22,14 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(se.oracle_sql()) == set(se.queries())
+    assert all(sql for _, sql in CATALOG.values())
+    assert set(CATALOG) <= set(se.queries()) and set(CATALOG) <= set(se.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
-    got = se.queries()[name](spark, SF_SMALL).toPandas()
-    exp = con.execute(se.oracle_sql()[name]).df()
+    got = CATALOG[name][0](spark, SF_SMALL).toPandas()
+    exp = con.execute(CATALOG[name][1]).df()
     assert sorted(got.columns) == sorted(exp.columns)
     assert len(got) == len(exp)
     assert _rows(got) == _rows(exp)

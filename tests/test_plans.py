@@ -7,9 +7,9 @@ import re
 import pytest
 from conftest import SF_SMALL
 
-import __spark_entry__ as se
+from tidemark.plans.catalog import CATALOG
 
-Q = se.queries()
+Q = {name: fn for name, (fn, _) in CATALOG.items()}
 
 # Single-partition steps that only ever see bounded input: the final merge of one partial
 # aggregate row per task (A07), and the per-slice table of an un-keyed scan.

@@ -288,6 +288,23 @@ def range_split(df: DataFrame, col: str, rows: int | None = None) -> Column:
     return F.call_function("div", x - F.pmod(x, wl), wl)
 
 
+def value_split(df: DataFrame, col: str) -> Column:
+    """A ``split`` that is monotone in any ordered column: a number, a time, or a string (by its first
+    seven bytes); see :func:`time_split`. Equal values, and strings with equal beginnings, stay together."""
+    import math
+
+    kind = df.schema[col].dataType.typeName()
+    if kind in ("timestamp", "timestamp_ntz"):
+        v = epoch_us(col)
+    elif kind in ("string", "binary"):
+        v = F.conv(F.rpad(F.hex(F.substring(F.col(col).cast("binary"), 1, 7)), 14, "0"), 16, 10).cast("bigint")
+    else:
+        v = F.floor(F.col(col).cast("double")).cast("bigint")
+    n, found = df.agg(F.count(F.lit(1)), F.percentile_approx(v, [i / SEGMENTS for i in range(SEGMENTS + 1)], 10_000)).first()
+    borders = sorted(set(found or []))
+    return _slices(v, borders, max(int(math.sqrt(n or 0) / max(len(borders) - 1, 1)), 1))
+
+
 def hot_split(df: DataFrame, key: str, ts: str, hot_rows: int | None = None) -> Column:
     """A ``split`` that slices only hot keys: keys that share a hash bucket with more than
     ``hot_rows`` rows (default: sqrt(rows), and four times the mean of a bucket at least) get the

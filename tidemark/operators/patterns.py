@@ -6,11 +6,13 @@ All are per-key scans over an explicit order and use the slice-split scans of
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.functions.durations import duration_us
 from tidemark.functions.time import epoch_us
@@ -77,19 +79,63 @@ def followed_by_within(
     )
 
 
-def _compose(later: Column, earlier: Column) -> Column:
-    """(later . earlier)[s] = later[earlier[s]] on 0-based state arrays."""
-    return F.transform(earlier, lambda s: F.element_at(later, s + 1))
-
-
-def _prefix(d: DataFrame, part: Sequence[str], order: Sequence[Column | str], col: str, steps: int) -> DataFrame:
-    """Inclusive prefix composition of the per-row functions in ``col`` by pointer doubling:
-    after step t a row holds the composition of its last 2^t rows."""
-    w = Window.partitionBy(*part).orderBy(*order)
-    for t in range(steps):
-        prev = F.lag(col, 2**t).over(w)
-        d = d.withColumn(col, F.when(prev.isNull(), F.col(col)).otherwise(_compose(F.col(col), prev)))
-    return d
+#: States whose function fits in one bigint: a digit of base STATES for each state.
+STATES = 15
+
+
+def _scanned(d: DataFrame, group: str, order: Sequence[Column | str], function: str, states: int) -> DataFrame:
+    """Adds ``_upto``: the composition, in ``order`` within ``group`` (a struct column), of the functions of all
+    rows up to this one, and ``_before``: of those before it. Functions of ``0..states-1`` are
+    packed in a bigint, the digit of base ``STATES`` at place s being f(s).
+
+    One sorted pass: rows come sorted, a batch is composed by doubling, and what is carried to
+    the next batch is one function."""
+    fields = d.schema[group].dataType.names
+    schema = StructType([*d.schema, StructField("_upto", LongType()), StructField("_before", LongType())])
+    base = STATES
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        power = base ** np.arange(states, dtype=np.int64)
+        same = np.arange(states)
+        last, carry = None, same
+        for b in batches:
+            n = b.num_rows
+            if not n:
+                continue
+            keys = b.column(b.schema.get_field_index(group))
+            new = np.zeros(n, bool)
+            for f in fields:
+                codes = keys.field(f).dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+                new[1:] |= codes[1:] != codes[:-1]
+            first = keys[0].as_py()
+            new[0] = first != last
+            last = keys[n - 1].as_py()
+            packed = b.column(b.schema.get_field_index(function)).to_numpy(zero_copy_only=False)
+            own = packed[:, None] // power % base
+            if not new[0]:
+                own[0] = own[0][carry]
+            start = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+            upto, step = own, 1
+            while step < n:
+                at = np.flatnonzero(np.arange(n) - step >= start)
+                if not len(at):
+                    break
+                done = upto.copy()
+                done[at] = np.take_along_axis(upto[at], upto[at - step], axis=1)
+                upto, step = done, 2 * step
+            before = np.vstack([same if new[0] else carry, upto[:-1]])
+            before[new] = same
+            carry = upto[-1]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(upto @ power), pa.array(before @ power)], names=[*b.schema.names, "_upto", "_before"])
+
+    return d.repartition(F.col(group)).sortWithinPartitions(group, *order).mapInArrow(scan, schema)
+
+
+def _applied(function: str | Column, state: Column) -> Column:
+    """f(state) of a packed function."""
+    f = F.col(function) if isinstance(function, str) else function
+    powers = F.array(*[F.lit(STATES**s).cast("bigint") for s in range(STATES)])
+    return F.pmod(F.call_function("div", f, F.element_at(powers, state + 1)), F.lit(STATES).cast("bigint")).cast("int")
 
 
 def state_machine(
@@ -101,50 +147,38 @@ def state_machine(
     next_state: Sequence[Sequence[int]],
     emit: Sequence[Sequence[bool]],
     start: int = 0,
+    unknown: int | None = None,
 ) -> DataFrame:
-    """A per-key finite state machine with output (Mealy machine).
+    """A per-key finite state machine with output (Mealy machine) of at most ``STATES`` states.
 
     ``symbol`` maps each row to ``0..m-1``; ``next_state[sym][state]`` is the next state and
-    ``emit[sym][state]`` says whether the row raises an alert. Adds ``state_before``,
-    ``state_after`` and ``alert``.
+    ``emit[sym][state]`` says whether the row raises an alert. A row whose symbol is null counts as
+    symbol ``unknown`` (default: the last one). Adds ``state_before``, ``state_after`` and ``alert``.
 
-    The fold over a key's rows is an associative composition of functions on the few states,
-    computed by pointer doubling in ``(key, slice)`` window partitions (log2 of the largest
-    slice steps) and carried across slices on the table of slice summaries."""
+    The fold over a key's rows is an associative composition of functions on the few states.
+    Each slice of a key is composed in one ordered pass (:func:`_scanned`); the slices' functions
+    are composed by the same pass over one row per (key, slice), and give the state that enters
+    each slice."""
     keys, order = list(keys), list(order)
-    n_sym = len(next_state)
-    table = F.array(*[F.array(*[F.lit(int(s)) for s in row]) for row in next_state])
+    n_sym, states = len(next_state), len(next_state[0])
+    if states > STATES:
+        raise ValueError(f"at most {STATES} states")
+    packed = [sum(int(f) * STATES**s for s, f in enumerate(row)) for row in next_state]
     emits = F.array(*[F.array(*[F.lit(bool(e)) for e in row]) for row in emit])
-
-    sym = F.coalesce(symbol.cast("int"), F.lit(n_sym - 1))
+    sym = F.coalesce(symbol.cast("int"), F.lit(n_sym - 1 if unknown is None else unknown))
     kv, k_, sl = keyed.KV, keyed.K, keyed.SLICE
-    d = keyed._keyed(df, keys, split).withColumn("_sym", sym).withColumn("_f", F.element_at(table, F.col("_sym") + 1))
-    w = Window.partitionBy(kv).orderBy(*order)
-    d = d.withColumn("_rn", F.row_number().over(w)).withColumn("_last", F.lead(F.lit(1), 1).over(w).isNull())
-
-    # number of doubling steps: one small aggregate job (partial counts per (key, slice))
-    sizes = keyed._keyed(df, keys, split).groupBy(kv).agg(F.count(F.lit(1)).alias("_n"))
-    stats = sizes.groupBy(*[F.col(f"{kv}.{k}") for k in keys]).agg(
-        F.count(F.lit(1)).alias("_s"), F.max("_n").alias("_n")
-    ).agg(F.max("_s").alias("s"), F.max("_n").alias("n")).first()
-    if stats is None or stats["n"] is None:
-        return df.withColumn("state_before", F.lit(None).cast("int")).withColumn(
-            "state_after", F.lit(None).cast("int")).withColumn("alert", F.lit(False))
-    row_steps = max(1, math.ceil(math.log2(max(stats["n"], 2))))
-    slice_steps = max(1, math.ceil(math.log2(max(stats["s"], 2))))
-
-    d = _prefix(d, [kv], order, "_f", row_steps)
-    # slice summaries -> exclusive prefix over slices -> state entering each slice
-    summ = keyed._per_slice(d.filter("_last"), keys, F.col("_f").alias("_g"))
-    summ = _prefix(summ, [k_], [sl], "_g", slice_steps)
-    ws = Window.partitionBy(k_).orderBy(sl)
-    carry = summ.select(kv, F.coalesce(F.element_at(F.lag("_g", 1).over(ws), start + 1), F.lit(start)).alias("_in"))
-    d = d.join(carry, kv, "left")
-    before = F.coalesce(F.element_at(F.lag("_f", 1).over(w), F.col("_in") + 1), F.col("_in"))
-    d = d.withColumn("state_before", before.cast("int"))
-    d = d.withColumn("state_after", F.element_at("_f", F.col("_in") + 1).cast("int"))
-    d = d.withColumn("alert", F.element_at(F.element_at(emits, F.col("_sym") + 1), F.col("state_before") + 1))
-    return d.drop("_sym", "_f", "_rn", "_last", "_in", kv, k_, sl)
+    d = keyed._keyed(df, keys, split).withColumn("_sym", sym)
+    d = d.withColumn("_f", F.element_at(F.array(*[F.lit(p).cast("bigint") for p in packed]), F.col("_sym") + 1))
+    rows = _scanned(d, kv, order, "_f", states)
+
+    # a slice's function is that of its last row; state entering each slice by the same pass over slices
+    here = F.struct(*[F.col(c) for c in order], F.col("_upto").alias("_upto"))
+    whole = _scanned(d.select(kv, *order, "_f"), kv, order, "_f", states).groupBy(kv).agg(F.max(here)["_upto"].alias("_g"))
+    carry = _scanned(keyed._per_slice(whole, keys, "_g"), k_, [sl], "_g", states).select(kv, _applied("_before", F.lit(start)).alias("_in"))
+    rows = rows.join(carry, kv)
+    rows = rows.withColumn("state_before", _applied("_before", F.col("_in"))).withColumn("state_after", _applied("_upto", F.col("_in")))
+    rows = rows.withColumn("alert", F.element_at(F.element_at(emits, F.col("_sym") + 1), F.col("state_before") + 1))
+    return rows.drop("_sym", "_f", "_upto", "_before", "_in", kv)
 
 
 # The reference's login-failure machine.

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.text import lines as text_lines
 from tidemark.functions.time import bucket, epoch_ms, floordiv, seconds_ts
-from tidemark.operators import aggregate, joins, keyed, patterns, state, timers, topn, transform, watermark, windows
+from tidemark.operators import aggregate, joins, keyed, patterns, state, timers, topn, transform, user_aggregate, watermark, windows
 from tidemark.sources.tables import EVENT_ORDER, events, table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -314,6 +314,46 @@ def a09_window_mean_ts(spark, sf):
     )
 
 
+def _half_hours(spark, sf):
+    ev = events(spark, sf).withColumn("ts_ms", epoch_ms("ts"))
+    w = windows.tumbling("ts", "30 minutes")
+    return ev.withColumn("w", w).withColumn("window_start", F.col("w.start")).withColumn("window_end", F.col("w.end"))
+
+
+@query("g04_user_window_mean", CATALOG["a09_window_mean_ts"][1])
+def g04_user_window_mean(spark, sf):
+    """A09 through a user aggregate: init, add, merge, finish."""
+    return user_aggregate.aggregate(_half_hours(spark, sf), ["user_id", "window_start", "window_end"], user_aggregate.MeanOf("ts_ms", "mean_ts_ms"), ["ts_ms"])
+
+
+@query("g05_user_reduce", """
+SELECT user_id, event_id, cents FROM (
+  SELECT user_id, event_id, CAST(round(value * 100) AS BIGINT) AS cents,
+         row_number() OVER (PARTITION BY user_id ORDER BY CAST(round(value * 100) AS BIGINT) DESC, event_id) AS rn FROM events)
+WHERE rn = 1
+""")
+def g05_user_reduce(spark, sf):
+    """A reduce function over rows: the dearest event of each user, the earlier one on a tie."""
+    ev = events(spark, sf).select("user_id", "event_id", _cents().alias("cents"))
+    best = user_aggregate.Reduce("event_id bigint, cents bigint", lambda a, b: a if (-a["cents"], a["event_id"]) <= (-b["cents"], b["event_id"]) else b)
+    return user_aggregate.aggregate(ev, ["user_id"], best, ["event_id", "cents"])
+
+
+@query("f16_list_and_map", """
+WITH f AS (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events),
+l AS (SELECT user_id, string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY event_id) AS first_ids FROM f WHERE rn <= 5 GROUP BY user_id),
+c AS (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY user_id, event_type),
+m AS (SELECT user_id, string_agg(event_type || '=' || n, ',' ORDER BY event_type) AS per_type FROM c GROUP BY user_id)
+SELECT user_id, first_ids, per_type FROM l JOIN m USING (user_id)
+""")
+def f16_list_and_map(spark, sf):
+    """A list and a map accumulated per user: the first five event ids, and counts per event type."""
+    ev = events(spark, sf).select("user_id", "event_id", "event_type")
+    r = user_aggregate.aggregate(ev, ["user_id"], user_aggregate.Collected("event_id", "event_type", 5), ["event_id", "event_type"])
+    pairs = F.transform(F.array_sort(F.map_entries("per")), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string")))
+    return r.select("user_id", F.array_join(F.transform("first", lambda x: x.cast("string")), ",").alias("first_ids"), F.array_join(pairs, ",").alias("per_type"))
+
+
 _SQL_UV = """
 SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start,
        time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' AS window_end, count(DISTINCT user_id) AS uv
@@ -350,6 +390,17 @@ def a13_window_ranking(spark, sf):
     return topn.window_ranking(events(spark, sf), "event_type", "ts", "1 hour", None)
 
 
+@query("a13_user_ranking", """
+SELECT *, row_number() OVER (PARTITION BY window_start, window_end ORDER BY cnt DESC, user_id) AS rn
+FROM (SELECT user_id, time_bucket(INTERVAL '1 day', ts) AS window_start,
+             time_bucket(INTERVAL '1 day', ts) + INTERVAL '1 day' AS window_end, count(*) AS cnt
+      FROM events GROUP BY ALL)
+""")
+def a13_user_ranking(spark, sf):
+    """A13 with many keys a window and many ties: keys of equal counts cut into ranges."""
+    return topn.window_ranking(events(spark, sf), "user_id", "ts", "1 day", None, hot_rows=20)
+
+
 @query("a14_sql_group_count", "SELECT user_id, count(1) AS cnt FROM events GROUP BY user_id")
 def a14_sql_group_count(spark, sf):
     events(spark, sf).createOrReplaceTempView("tm_events")
@@ -400,7 +451,8 @@ SELECT user_id, min(ts) AS window_start, max(ts) + INTERVAL '30 minutes' AS wind
 GROUP BY user_id, sid
 """)
 def w03_session(spark, sf):
-    return windows.session_count(events(spark, sf), ["user_id"], "ts", "30 minutes")
+    ev = events(spark, sf)
+    return windows.session_count(ev, ["user_id"], "ts", "30 minutes", split=_split(ev))
 
 
 @query("w04_count_window", """
@@ -488,7 +540,7 @@ FROM (SELECT user_id, time_bucket(INTERVAL '1 hour', ts) AS ws,
 GROUP BY ALL
 """)
 def w10_cumulate(spark, sf):
-    return windows.cumulate(events(spark, sf), ["user_id"], "ts", "15 minutes", "1 hour", [F.count(F.lit(1)).alias("cnt")])
+    return windows.cumulate(events(spark, sf), ["user_id"], "ts", "15 minutes", "1 hour", {"cnt": ("count", None)})
 
 
 @query("w11_over_avg", """
@@ -936,6 +988,6 @@ def k04_buffered_groups(spark, sf):
 
 
 # the keyed queries once more with every user above 20 rows cut into slices: same results
-for _name in ("a06_running_clicks", "a15_avg_of_5", "w11_over_avg", "x04_value_state_previous", "c01_three_fails", "c02_consecutive", "c03_followed_by_within", "c04_state_machine"):
+for _name in ("a06_running_clicks", "a15_avg_of_5", "w11_over_avg", "x04_value_state_previous", "c01_three_fails", "c02_consecutive", "c03_followed_by_within", "c04_state_machine", "w03_session"):
     if _name in CATALOG:
         CATALOG[f"{_name}_sliced"] = (_sliced(CATALOG[_name][0]), CATALOG[_name][1])

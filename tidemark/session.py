@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -30,6 +31,14 @@ def local_session(cores: int | str = "*", app: str = "tidemark", shuffle_partiti
     )
 
 
+def findable(spark: SparkSession) -> None:
+    """Lets Python workers started from another folder import this package from where the driver has
+    it (a no-op where it is installed or shipped with the job)."""
+    root, env = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    if root not in (have := env.get("PYTHONPATH", "")).split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, (root, have)))
+
+
 def ensure_utc(spark: SparkSession) -> SparkSession:
     """Epoch-millisecond conversions of ``timestamp_ntz`` columns go through the session
     time zone; the operators define epoch time as UTC."""
