@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as se
 from tidemark.functions.time import epoch_ms
 from tidemark.operators import patterns
-from tidemark.sinks.buffered import buffered_writer, flush_groups
+from tidemark.sinks.buffered import buffered_groups, buffered_sink
 from tidemark.sinks.outputs import to_memory
 from tidemark.streaming import basic, stateful
 
@@ -239,31 +239,86 @@ def epoch_ms_py(t):
     return (t.replace(tzinfo=None) - dt.datetime(1970, 1, 1)) / dt.timedelta(milliseconds=1)
 
 
+def _lines_stream(spark, src):
+    lines = spark.readStream.text(src)
+    f = F.split("value", ",")
+    return lines.select(
+        f.getItem(0).alias("url"), f.getItem(1).cast("bigint").alias("n"), F.when(f.getItem(1).cast("bigint") % 2 == 0, F.lit(2**53 + 1)).alias("big"),
+        F.timestamp_micros(f.getItem(1).cast("bigint") * 1_000_001).cast("timestamp_ntz").alias("at"), F.lit(0.1).alias("x"), F.array(F.lit(None).cast("int"), F.lit(1)).alias("a"),
+    )
+
+
 def test_buffered_sink_restart(spark):
-    """Stop and restart on the same checkpoint; every row is flushed once."""
-    src = tempfile.mkdtemp(prefix="tm-buf-src-")
-    out = tempfile.mkdtemp(prefix="tm-buf-out-")
-    ckpt = tempfile.mkdtemp(prefix="tm-buf-ckpt-")
+    """25 rows, restart, 7 rows: three groups of ten, two rows still held back."""
+    src, out, ckpt = (tempfile.mkdtemp(prefix=f"tm-buf-{n}-") for n in ("src", "out", "ckpt"))
 
     def write(batch, epoch_id):
-        g = flush_groups(batch, ["url"], ["ms"], F.lit(0), 10)
-        g.withColumn("epoch", F.lit(epoch_id)).write.mode("append").parquet(out)
-
-    def run():
-        lines = spark.readStream.text(src)
-        ev = lines.select(F.split("value", ",").getItem(0).alias("url"), F.split("value", ",").getItem(1).cast("bigint").alias("ms"))
-        q = ev.writeStream.foreachBatch(buffered_writer(write)).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
-        q.awaitTermination()
-
-    with open(f"{src}/a.txt", "w") as f:
-        f.write("".join(f"u,{i}\n" for i in range(25)))
-    run()
-    with open(f"{src}/b.txt", "w") as f:
-        f.write("".join(f"u,{i}\n" for i in range(25, 32)))
-    run()
-    res = spark.read.parquet(out)
-    assert res.agg(F.sum("n")).first()[0] == 32
-    assert res.select("epoch").distinct().count() == 2
+        batch.withColumn("epoch", F.lit(epoch_id)).write.mode("append").parquet(out)
+
+    def run(name, n):
+        with open(f"{src}/{name}.txt", "w") as f:
+            f.write("".join(f"u,{i}\n" for i in reversed(n)))
+        buffered_sink(_lines_stream(spark, src), F.lit(0), 10, "n", write, ckpt).awaitTermination()
+
+    run("a", range(25))
+    assert spark.read.parquet(out).count() == 20
+    run("b", range(25, 32))
+    got = spark.read.parquet(out).orderBy("flush_no", "pos").collect()
+    assert [(r["buffer"], r["flush_no"], r["pos"], r["n"]) for r in got] == [(0, i // 10, i % 10, i) for i in range(30)]
+    # what was held back over the restart came back as it was
+    assert all(r["big"] == (2**53 + 1 if r["n"] % 2 == 0 else None) and r["x"] == 0.1 and r["a"] == [None, 1] for r in got)
+    assert all(r["at"] == dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=r["n"] * 1_000_001) for r in got)
+    pending = spark.read.format("statestore").load(ckpt).select("value.*").collect()
+    assert len(pending) == 1 and len(str(pending[0]).split("\"n\":")) - 1 == 2
+
+
+def test_buffers_fill_apart(spark, stream_dir):
+    g = _run(buffered_groups(_stream(spark, stream_dir).drop("et"), F.pmod("seq", F.lit(3)), 7, "seq"), "tm_k04")
+    sizes = g.groupBy("buffer", "flush_no").count().select("count").distinct().collect()
+    assert [r[0] for r in sizes] == [7]
+    n = spark.read.parquet(f"{SF_SMALL}/events.parquet").groupBy(F.pmod("event_id", F.lit(3)).alias("b")).count().collect()
+    n = {r["b"]: r["count"] + (r["b"] == SENTINEL_ID % 3) for r in n}
+    assert {r["buffer"]: r["count"] for r in g.groupBy("buffer").count().collect()} == {b: c // 7 * 7 for b, c in n.items()}
+
+
+@pytest.mark.parametrize("steps,lateness,expected", [
+    # rows within [0, 10) s: two on time, then, after 12 s closed the window, one late row (fires again), another
+    ([[1000, 5000], [12500], [2000], [3000, 4000], [99000]], "1 minute", [(0, 1, 2), (0, 2, 3), (0, 3, 4), (0, 4, 5), (10000, 1, 1)]),
+    # too late for the window: firing 0
+    ([[1000], [17000], [2000], [99000]], "3 seconds", [(0, 0, None), (0, 1, 1), (10000, 1, 1)]),
+    # in order: one firing each
+    ([[1000, 2000], [11000], [22500], [99000]], "1 minute", [(0, 1, 2), (10000, 1, 1), (20000, 1, 1)]),
+    # a window first seen after its end, within the lateness
+    ([[15000], [1000], [1500], [99000]], "1 minute", [(0, 1, 1), (0, 2, 2), (10000, 1, 1)]),
+])
+def test_late_rows_fire_their_window_again(spark, steps, lateness, expected):
+    from tidemark.sources.text import parse_delimited, stream_lines
+
+    base = 10**9  # Spark has no watermark before 1970
+    d = _late_files(spark, [[base + m for m in x] for x in steps])
+    ev = parse_delimited(stream_lines(spark, d, max_files_per_trigger=1), "user string, url string, ms bigint", trim=True)
+    ev = ev.withColumn("ts", F.timestamp_millis("ms")).withColumn("seq", F.col("ms"))
+    s = stateful.refired_windows(ev, "url", "10 seconds", "2 seconds", lateness)
+    got = _run(s, "tm_l06_" + str(abs(hash(str(steps)))))
+    rows = sorted((int(epoch_ms_py(r.window_start)) - base, r.firing, r.cnt) for r in got.collect())
+    rows = [r for r in rows if r[0] < 80_000]
+    assert rows == expected
+
+
+def test_periodic_count_does_not_depend_on_arrival(spark):
+    """Rows at 0:30 then 0:00, within the bound: ticks count from the earlier one, as in the batch form."""
+    from tidemark.operators import timers
+
+    base = 10**9
+    steps = [[base + m for m in x] for x in ([30_000], [0, 95_000], [70_000], [400_000])]
+    s = _late_stream(spark, _late_files(spark, steps), "2 minutes")
+    got = _run(stateful.periodic_count(s, "user", "1 minute"), "tm_x03_order")
+    flat = [(m,) for x in steps for m in x]
+    b = spark.createDataFrame(flat, "ms bigint").select(F.lit("a").alias("user"), F.timestamp_millis("ms").cast("timestamp_ntz").alias("ts"))
+    until = dt.datetime(1970, 1, 1) + dt.timedelta(milliseconds=base + 280_000)  # the last watermark
+    want = timers.periodic_count(b, "user", "ts", "1 minute", until)
+    assert _norm(got.select("user", "tick", "pv").collect()) == _norm(want.select("user", "tick", "pv").collect())
+    assert got.count() == 4
 
 
 def test_periodic_count_stream(spark, stream_dir):

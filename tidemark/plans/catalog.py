@@ -987,6 +987,49 @@ def k04_buffered_groups(spark, sf):
     return flush_groups(ev, ["event_type"], ["event_id"], keyed.range_split(ev, "event_id"), 10)
 
 
+@query("k04_buffered_stream", """
+SELECT buffer, flush_no, count(*) AS n, min(event_id) AS first_id, max(event_id) AS last_id, CAST(sum(user_id) AS BIGINT) AS users
+FROM (SELECT event_id % 8 AS buffer, event_id, user_id,
+             (row_number() OVER (PARTITION BY event_id % 8 ORDER BY event_id) - 1) // 10 AS flush_no FROM events)
+GROUP BY ALL HAVING count(*) = 10
+""")
+def k04_buffered_stream(spark, sf):
+    """The buffered sink on a file stream of four micro-batches, its rests carried in state."""
+    from tidemark.sinks.buffered import buffered_groups
+    from tidemark.streaming import replay
+
+    ev = events(spark, sf)
+    lo, hi = ev.agg(F.min("event_id"), F.max("event_id")).first()
+    part = F.least(floordiv(F.col("event_id") - F.lit(lo or 0), max(((hi or 0) - (lo or 0)) // 4 + 1, 1)), F.lit(3))
+    g = replay.finished(buffered_groups(replay.as_stream(ev, part, 4), F.pmod("event_id", F.lit(8)), 10, "event_id"))
+    return g.groupBy("buffer", "flush_no").agg(
+        F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id"), F.sum("user_id").alias("users")
+    )
+
+
+@query("l06_refired_windows", _SQL_URL_VIEWS)
+def l06_refired_windows(spark, sf):
+    """Allowed lateness on a file stream: every seventh event comes with the next file, late for its window but
+    within the lateness, so its window fires again; the last firing of each window is its count.
+    A closing row far behind lets all windows fire."""
+    from tidemark.streaming import replay, stateful
+
+    ev = events(spark, sf).select("event_id", "event_type", "ts")
+    first, last, lo, hi = ev.agg(F.min("ts"), F.max("ts"), F.min("event_id"), F.max("event_id")).first()
+    if first is None:
+        return windows.window_count(ev, ["event_type"], "ts", "1 hour")
+    span = max((hi - lo) // 4 + 1, 1)
+    d = ev.withColumn("_p", floordiv(F.col("event_id") - F.lit(lo), span) + F.when(F.col("event_id") % 7 == 0, 1).otherwise(0))
+    end = spark.range(1).select(F.lit(None).cast("bigint").alias("event_id"), F.lit(None).cast("string").alias("event_type"), F.lit(last).cast("timestamp_ntz").alias("ts"))
+    far = F.make_dt_interval(days=F.lit((last - first).days + 3))
+    d = d.unionByName(end.withColumn("ts", F.col("ts") + far).withColumn("_p", F.lit(5).cast("bigint")))
+    s = replay.as_stream(d, F.col("_p"), 6)
+    lateness = f"{(last - first).days + 1} days"
+    fired = replay.finished(stateful.refired_windows(s, "event_type", "1 hour", "0 seconds", lateness, "ts", "event_id"))
+    best = fired.filter("event_type is not null and firing > 0").groupBy("event_type", "window_start", "window_end")
+    return best.agg(F.max_by("cnt", "firing").alias("cnt"))
+
+
 # the keyed queries once more with every user above 20 rows cut into slices: same results
 for _name in ("a06_running_clicks", "a15_avg_of_5", "w11_over_avg", "x04_value_state_previous", "c01_three_fails", "c02_consecutive", "c03_followed_by_within", "c04_state_machine", "w03_session"):
     if _name in CATALOG:

@@ -26,11 +26,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidemark.functions.durations import duration_us
-from tidemark.functions.time import epoch_us
+from tidemark.functions.time import epoch_us, floordiv
 from tidemark.operators.joins import Pairing
+from tidemark.session import findable
 
 
 def _prepared(df: DataFrame, key: str, et: str, seq: str, extra: Sequence[str | F.Column] = ()) -> DataFrame:
+    findable(df.sparkSession)
     # ``et`` stays in the input: it carries the watermark the event-time timeouts need
     return df.select(F.col(key).alias("k"), epoch_us(et).alias("us"), F.col(seq).alias("seq"), F.col(et), *extra)
 
@@ -272,42 +274,74 @@ def late_route(df: DataFrame, key: str, size: str, lateness: str = "0 seconds",
     return r.select(F.col("k").alias(key), F.col("seq").alias(seq), _ntz("us").alias("et"), "route")
 
 
-def periodic_count(df: DataFrame, key: str, period: str, et: str = "et", seq: str = "seq") -> DataFrame:
-    """X03 on a stream: from a key's first row ``t0`` an event-time timer every ``period``
-    emits the key's cumulative count of rows with ``ts <= tick``; the timer re-arms itself.
-    State: next tick, count so far, and the timestamps not yet counted (rows newer than the
-    watermark, which is a bounded set)."""
-    p = duration_us(period)
-    d = _prepared(df, key, et, seq)
+def refired_windows(df: DataFrame, key: str, size: str, bound: str, lateness: str, ts: str = "ts", seq: str = "seq") -> DataFrame:
+    """Tumbling windows with allowed lateness, every firing of each: ``key, window_start, window_end,
+    firing`` (from 1) and ``cnt``, and rows too late for their window with firing 0 and cnt null.
+
+    A window fires when the watermark (greatest ``ts`` - ``bound``) reaches its end, and once more for
+    each row that comes later, until the watermark reaches end + ``lateness``. ``df`` has no watermark
+    yet: Spark's own stands ``lateness + size`` further back, as Spark drops rows by their time
+    and not by their window's end; rows behind even that are gone (:func:`late_route` sees them).
+    State: two numbers for each open (key, window)."""
+    s_us, l_us = duration_us(size), duration_us(lateness)
+    behind = l_us + s_us
+    d = df.withColumn("et", F.col(ts).cast("timestamp")).withWatermark("et", f"{duration_us(bound) + behind} microseconds")
+    d = _prepared(d, key, "et", seq).withColumn("w", floordiv(F.col("us"), s_us) * s_us)
+    out = f"k {_ktype(df, key)}, w bigint, firing bigint, cnt bigint"
 
     def fn(k, pdfs, state: GroupState):
-        nxt, cnt, pend = (state.get[0], state.get[1], list(state.get[2])) if state.exists else (None, 0, [])
-        wm = state.getCurrentWatermarkMs() * 1000
-        out = []
+        key_, start = k[0], int(k[1])
+        end = start + s_us
+        cnt, fired = state.get if state.exists else (0, 0)
+        ms = state.getCurrentWatermarkMs()
+        now = ms * 1000 + behind if ms > 0 else float("-inf")  # the watermark without lateness
+        found = []
+        if cnt and not fired and end <= now:
+            fired = 1
+            found.append((1, cnt))
+        n = 0 if state.hasTimedOut else sum(len(p) for p in pdfs)
+        if end + l_us <= now:
+            found += [(0, None)] * n
+        elif end <= now:
+            found += [(fired + i, cnt + i) for i in range(1, n + 1)]
+            fired, cnt = fired + n, cnt + n
+        else:
+            cnt += n
+        if end + l_us <= now:
+            if state.exists:
+                state.remove()
+        else:
+            state.update((cnt, fired))
+            due = (end + (l_us if fired else 0) - behind) // 1000
+            state.setTimeoutTimestamp(max(due, ms + 1, 1))
+        yield _table(out, k=[key_] * len(found), w=[start] * len(found), firing=[f for f, _ in found], cnt=pd.array([c for _, c in found], "Int64"))
 
-        def fire():
-            nonlocal nxt, cnt, pend
-            while nxt is not None and nxt <= wm:
-                cnt += sum(1 for t in pend if t <= nxt)
-                pend = [t for t in pend if t > nxt]
-                out.append((k[0], nxt, cnt))
-                nxt += p
+    r = d.groupBy("k", "w").applyInPandasWithState(fn, out, "cnt bigint, fired bigint", "append", GroupStateTimeout.EventTimeTimeout)
+    return r.select(F.col("k").alias(key), _ntz("w").alias("window_start"), F.timestamp_micros(F.col("w") + F.lit(s_us)).cast("timestamp_ntz").alias("window_end"), F.col("firing").cast("int").alias("firing"), "cnt")
 
-        fire()
-        if not state.hasTimedOut:
-            rows = _rows(pdfs)
-            if len(rows):
-                if nxt is None:
-                    nxt = int(rows["us"].iloc[0]) + p
-                pend.extend(int(t) for t in rows["us"])
-        state.update((nxt, cnt, sorted(pend)))
-        state.setTimeoutTimestamp(max(nxt // 1000, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame(out, columns=["k", "us", "pv"])
 
-    r = d.groupBy("k").applyInPandasWithState(
-        fn, f"k {_ktype(df, key)}, us bigint, pv bigint", "nxt bigint, cnt bigint, pend array<bigint>", "append",
-        GroupStateTimeout.EventTimeTimeout,
-    )
+def periodic_count(df: DataFrame, key: str, period: str, et: str = "et", seq: str = "seq") -> DataFrame:
+    """X03 on a stream: from a key's first row in event time an event-time timer every ``period`` emits
+    the key's cumulative count of rows with ``ts <= tick``; the timer re-arms itself. Rows are
+    handled in event time, so ticks do not depend on the order of arrival within the watermark's
+    delay. State: next tick, count so far, and the rows newer than the watermark."""
+    p = duration_us(period)
+    d = _prepared(df, key, et, seq, [F.lit(0).alias("x")])
+    out = "us bigint, pv bigint"
+
+    def step(k, rows, mine, wm):
+        nxt, cnt = mine
+        us = rows["us"].to_numpy("int64")
+        if nxt is None:
+            if not len(us):
+                return _table(f"k x, {out}", k=[], us=[], pv=[]), None, None
+            nxt = int(us[0]) + p
+        ticks = np.arange(nxt, int(wm) + 1, p) if nxt <= wm else np.zeros(0, "int64")
+        pv = cnt + np.searchsorted(us, ticks, side="right")
+        nxt += p * len(ticks)
+        return _table(f"k x, {out}", k=[k] * len(ticks), us=ticks, pv=pv), (nxt, cnt + len(us)), nxt
+
+    r = _in_order(d, "int", out, "nxt bigint, cnt bigint", (None, 0), step)
     return r.select(F.col("k").alias(key), _ntz("us").alias("tick"), "pv")
 
 
