@@ -10,7 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tidemark.operators import keyed, patterns, topn, user_aggregate, windows
+from tidemark.operators import joins, keyed, patterns, topn, user_aggregate, windows
 from tidemark.plans.catalog import CATALOG
 
 
@@ -176,3 +176,22 @@ def test_user_aggregate_keeps_exact_and_null_keys_and_is_partial(spark):
         CATALOG["g04_user_window_mean"][0](spark, SF_SMALL).explain("simple")
     p = buf.getvalue()
     assert p.rindex("Exchange") < p.rindex("MapInArrow")  # the partial stage stands before the first shuffle
+
+
+def test_reconcile_keeps_large_and_null_keys(spark):
+    big = 2**53
+    app = spark.createDataFrame([(big + 1, 1, 10), (big, 2, 10), (None, 3, 10), (None, None, 11)], "k bigint, s bigint, id bigint")
+    third = spark.createDataFrame([(big + 1, 4, 20), (None, 5, 21)], "k bigint, s bigint, id bigint")
+    at = lambda d, n: d.select("k", F.timestamp_seconds("s").cast("timestamp_ntz").alias(f"{n}_ts"), F.col("id").alias(f"{n}_id"))
+    for hot in (None, 1):
+        got = joins.reconcile(at(app, "a"), at(third, "t"), "k", "a_ts", "a_id", "t_ts", "t_id", "5 seconds", hot_rows=hot)
+        assert sorted(((r["k"], r["a_id"], r["t_id"], r["status"]) for r in got.collect()), key=str) == sorted(
+            [(big + 1, 10, 20, "matched"), (big, 10, None, "missing_third"), (None, 10, 21, "matched"), (None, 11, None, "missing_third")], key=str)
+
+
+def test_reconcile_of_hot_keys(rows):
+    """Hot keys cut at pauses, against pairing every key in one pass."""
+    a, b = rows.filter("v < 0").select("k", F.col("ts").alias("a_ts"), F.col("id").alias("a_id")), rows.filter("v >= 0").select("k", F.col("ts").alias("t_ts"), F.col("id").alias("t_id"))
+    for tol in ("5 seconds", "2 minutes"):
+        one = joins.reconcile(a, b, "k", "a_ts", "a_id", "t_ts", "t_id", tol, hot_rows=10**9)
+        assert bag(joins.reconcile(a, b, "k", "a_ts", "a_id", "t_ts", "t_id", tol, hot_rows=5)) == bag(one)

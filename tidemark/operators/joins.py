@@ -14,13 +14,16 @@ from __future__ import annotations
 from collections import deque
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tidemark.functions.durations import duration_us
 from tidemark.functions.time import epoch_us, floordiv
 from tidemark.operators import keyed
+from tidemark.session import findable
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:
@@ -139,61 +142,78 @@ class Pairing:
 
 def reconcile(
     app: DataFrame, third: DataFrame, key: str, ts_app: str, id_app: str, ts_third: str, id_third: str,
-    tolerance: str, split: Callable[[DataFrame, str, str], str | Column] = keyed.hot_split,
+    tolerance: str, split: Callable[[DataFrame, str, str], str | Column] | None = None, hot_rows: int | None = None,
 ) -> DataFrame:
     """One-to-one pairs of payments of one key at most ``tolerance`` apart (inclusive).
 
     In event time (ties by id) a row takes the oldest row of the other side that waits for it
     (:class:`Pairing`): ``matched``. Rows left alone for the tolerance are ``missing_third`` /
     ``missing_app``; matching goes on behind them. A row without a time matches nothing. Ids
-    are integers. Output: ``key, app_id, app_ts, third_id, third_ts, status`` under the input's names.
-
-    No pair reaches over a gap longer than the tolerance, so a key's rows are cut at such gaps
-    (by the slice-split lag and running count) and each stretch is paired by itself, in one
-    sorted pass that holds only waiting rows. One task has a stretch of a key, not the key; a key
-    that never pauses for the tolerance stays one stretch."""
+    are integers, keys of any type that sorts; both stay exact, nulls included. Output: ``key, app_id,
+    app_ts, third_id, third_ts, status`` under the input's names.
+
+    Rows of a key are paired in one sorted pass that holds only waiting rows. A hot key
+    (:func:`keyed.hot`) is first cut into stretches: no pair reaches over a gap longer than the
+    tolerance, so each stretch (found by the slice-split lag and running count) is paired by itself.
+    One task has a stretch of a hot key, not the key; a key that never pauses for the tolerance
+    stays one stretch. ``split`` cuts every key so."""
+    findable(app.sparkSession)
     tol = duration_us(tolerance)
     one = lambda d, ts, i, is_app: d.select(
         F.col(key).alias("k"), F.col(ts).alias("ts"), F.col(i).cast("bigint").alias("id"), F.lit(is_app).alias("is_app")
     )
     u = one(app, ts_app, id_app, True).unionByName(one(third, ts_third, id_third, False))
     order = ["ts", "id", "is_app"]
-    cut = split(u, "k", "ts")
-    u = u.withColumn("us", epoch_us("ts"))
-    u = keyed.lag(u, ["k"], order, cut, ["us"], 1, "prev")
-    gap = F.coalesce(F.col("us") - F.col("prev1_us") > tol, F.lit(False))
-    u = keyed.running(u.withColumn("_gap", gap.cast("bigint")), ["k"], order, cut, {"part": ("sum", "_gap")})
+
+    def parted(d: DataFrame, cut: str | Column) -> DataFrame:
+        d = keyed.lag(d.withColumn("us", epoch_us("ts")), ["k"], order, cut, ["us"], 1, "prev")
+        gap = F.coalesce(F.col("us") - F.col("prev1_us") > tol, F.lit(False))
+        return keyed.running(d.withColumn("_gap", gap.cast("bigint")), ["k"], order, cut, {"part": ("sum", "_gap")})
+
+    if split is not None:
+        u = parted(u, split(u, "k", "ts"))
+    else:
+        is_hot = keyed.hot(u, "k", hot_rows)
+        whole = u if is_hot is None else u.filter(~is_hot)
+        whole = whole.withColumn("us", epoch_us("ts")).withColumn("part", F.lit(0).cast("bigint"))
+        cols = ["k", "part", "us", "id", "is_app"]
+        if is_hot is not None:
+            warm = u.filter(is_hot)
+            whole = whole.select(*cols).unionByName(parted(warm, keyed.time_split(warm, "ts")).select(*cols))
+        u = whole
     u = u.select("k", "part", "us", "id", "is_app").repartition("k", "part").sortWithinPartitions("k", "part", "us", "id", "is_app")
-    out = f"k {u.schema['k'].dataType.simpleString()}, a_id bigint, a_us bigint, t_id bigint, t_us bigint, status string"
+    found = StructType([StructField("k", u.schema["k"].dataType)] + [StructField(c, LongType()) for c in ("a_id", "a_us", "t_id", "t_us")] + [StructField("status", StringType())])
+    types = to_arrow_schema(found)
 
-    def pair(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, queue = None, Pairing(tol)
 
         def rows(k) -> list[tuple]:
             done, queue.out = [(k, *r) for r in queue.out], []
             return done
 
+        def table(found: list[tuple]) -> pa.RecordBatch:
+            cols = zip(*found) if found else [()] * len(types)
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, types)], schema=types)
+
         for b in batches:
             found = []
-            us = [None if pd.isna(x) else int(x) for x in b["us"]]
-            for k, part, t, i, is_app in zip(b["k"].astype(object), b["part"], us, b["id"].tolist(), b["is_app"]):
-                k = None if pd.isna(k) else k
+            for k, part, t, i, is_app in zip(*[c.to_pylist() for c in b.columns]):
                 if (k, part) != now:
                     if now is not None:
                         queue.expire(float("inf"))
                         found += rows(now[0])
                     now = (k, part)
-                queue._lonely(is_app, None, i) if t is None else queue.add(bool(is_app), t, i)
-                found += rows(k)
-            yield pd.DataFrame(found, columns=["k", "a_id", "a_us", "t_id", "t_us", "status"]).astype(
-                {"a_id": "Int64", "a_us": "Int64", "t_id": "Int64", "t_us": "Int64"})
+                queue._lonely(is_app, None, i) if t is None else queue.add(is_app, t, i)
+                if queue.out:
+                    found += rows(k)
+            yield table(found)
         if now is not None:
             queue.expire(float("inf"))
-            yield pd.DataFrame(rows(now[0]), columns=["k", "a_id", "a_us", "t_id", "t_us", "status"]).astype(
-                {"a_id": "Int64", "a_us": "Int64", "t_id": "Int64", "t_us": "Int64"})
+            yield table(rows(now[0]))
 
     at = lambda c: F.timestamp_micros(F.col(c)).cast("timestamp_ntz")
-    return u.mapInPandas(pair, out).select(
+    return u.mapInArrow(pair, found).select(
         F.col("k").alias(key), F.col("a_id").alias(id_app), at("a_us").alias(ts_app), F.col("t_id").alias(id_third),
         at("t_us").alias(ts_third), "status",
     )

@@ -305,23 +305,27 @@ def value_split(df: DataFrame, col: str) -> Column:
     return _slices(v, borders, max(int(math.sqrt(n or 0) / max(len(borders) - 1, 1)), 1))
 
 
-def hot_split(df: DataFrame, key: str, ts: str, hot_rows: int | None = None) -> Column:
-    """A ``split`` that slices only hot keys: keys that share a hash bucket with more than
-    ``hot_rows`` rows (default: sqrt(rows), and four times the mean of a bucket at least) get the
-    slices of :func:`time_split`, every other key one slice, so the per-slice table stays about
-    one row per key. Buckets are counted with one partial aggregate; their number is fixed, so
-    any number of keys may be hot. A null key is a key like any other, and a cold key in a hot
-    bucket is merely sliced."""
+def hot(df: DataFrame, key: str, hot_rows: int | None = None) -> Column | None:
+    """Whether a row's key shares a hash bucket with more than ``hot_rows`` rows (default: sqrt(rows), and four
+    times the mean of a bucket at least); None if no key does. Buckets are counted with one partial
+    aggregate; their number is fixed, so any number of keys may be hot. A null key is a key like
+    any other, and a cold key in a hot bucket counts as hot."""
     import math
 
     at = F.pmod(F.xxhash64(key), F.lit(BUCKETS))
     counts = {r["b"]: r["n"] for r in df.groupBy(at.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()}
     n = sum(counts.values())
     threshold = hot_rows or max(math.isqrt(n), 4 * n // BUCKETS, 1)
-    hot = bytearray(BUCKETS)
+    marks = bytearray(BUCKETS)
     for b, m in counts.items():
-        hot[b] = m > threshold
-    if not any(hot):
+        marks[b] = m > threshold
+    return F.substring(F.lit(marks), (at + 1).cast("int"), 1) == F.lit(bytearray(b"\x01")) if any(marks) else None
+
+
+def hot_split(df: DataFrame, key: str, ts: str, hot_rows: int | None = None) -> Column:
+    """A ``split`` that slices only hot keys (:func:`hot`): they get the slices of :func:`time_split`, every
+    other key one slice, so the per-slice table stays about one row per key."""
+    is_hot = hot(df, key, hot_rows)
+    if is_hot is None:
         return F.lit(0).cast("bigint")  # no hot key: one slice per key, one small job
-    is_hot = F.substring(F.lit(hot), (at + 1).cast("int"), 1) == F.lit(bytearray(b"\x01"))
     return F.when(is_hot, time_split(df.filter(is_hot), ts)).otherwise(F.lit(0).cast("bigint"))

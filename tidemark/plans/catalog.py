@@ -875,7 +875,7 @@ SELECT user_id, app_id, app_ts, third_id, third_ts, status FROM walk WHERE statu
 def j05_reconcile(spark, sf):
     a = _side(spark, sf, "click", "app")
     b = _side(spark, sf, "purchase", "third")
-    return joins.reconcile(a, b, "user_id", "app_ts", "app_id", "third_ts", "third_id", "1 day")
+    return joins.reconcile(a, b, "user_id", "app_ts", "app_id", "third_ts", "third_id", "1 day", hot_rows=HOT_ROWS)
 
 
 def _rules(spark):
@@ -1031,6 +1031,6 @@ def l06_refired_windows(spark, sf):
 
 
 # the keyed queries once more with every user above 20 rows cut into slices: same results
-for _name in ("a06_running_clicks", "a15_avg_of_5", "w11_over_avg", "x04_value_state_previous", "c01_three_fails", "c02_consecutive", "c03_followed_by_within", "c04_state_machine", "w03_session"):
+for _name in ("a06_running_clicks", "a15_avg_of_5", "w11_over_avg", "x04_value_state_previous", "c01_three_fails", "c02_consecutive", "c03_followed_by_within", "c04_state_machine", "w03_session", "j05_reconcile"):
     if _name in CATALOG:
         CATALOG[f"{_name}_sliced"] = (_sliced(CATALOG[_name][0]), CATALOG[_name][1])
