@@ -30,8 +30,9 @@ from . import vectors as V
 from .common import row_key, saved
 
 PERCENT = 75
-BUCKETS = 1 << 20
-BITS = 1 << 24
+BUCKETS, CHUNK = 1 << 20, 1 << 16
+#: Documents whose lines are found by a bitmap of eight bits each (4 MB); beyond, by a shuffle join.
+FEW = 1 << 22
 #: Rarest words, by twos of which lines are first held against the earliest line that has both.
 LEADING = 4
 
@@ -54,15 +55,23 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, j in V.blocks(off):
             h, _, _ = _words(data, off, i, j)
             total += np.bincount((h & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
-    at = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["bucket", "n"])
+    for c in range(0, BUCKETS, CHUNK):
+        yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([total[c : c + CHUNK].tobytes()], pa.binary())], names=["at", "n"])
+
+
+def _summed(t: pa.Table) -> pa.Table:
+    n = np.sum([np.frombuffer(x, np.int64) for x in t["n"].to_pylist()], axis=0)
+    return pa.table({"at": t["at"][:1], "n": pa.array([n.tobytes()], pa.binary())})
 
 
 def rarity(docs: DataFrame) -> np.ndarray:
-    """Words counted over all texts, folded into BUCKETS counters."""
-    t = docs.select("text").mapInArrow(_count, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    """Words counted over all texts, folded into BUCKETS counters; a task sends its counters in chunks,
+    and those of one chunk are summed in groups of tasks first."""
+    t = docs.select("text").mapInArrow(_count, "at int, n binary").withColumn("g", F.pmod(F.spark_partition_id(), F.lit(64)))
+    t = t.groupBy("at", "g").applyInArrow(lambda x: _summed(x), "at int, n binary").groupBy("at").applyInArrow(lambda x: _summed(x), "at int, n binary").toArrow()
     out = np.zeros(BUCKETS, np.int32)
-    out[t["bucket"].to_numpy()] = np.minimum(t["n"].to_numpy(), 2**31 - 1)
+    for at, n in zip(t["at"].to_pylist(), t["n"].to_pylist()):
+        out[at : at + CHUNK] = np.minimum(np.frombuffer(n, np.int64), 2**31 - 1)
     return out
 
 
@@ -123,7 +132,7 @@ def _pick(bits):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         have = np.unpackbits(bits.value)
         for b in batches:
-            yield b.filter(pa.array(have[b.column(0).to_numpy(zero_copy_only=False) & (BITS - 1)] == 1))
+            yield b.filter(pa.array(have[b.column(0).to_numpy(zero_copy_only=False) & (len(have) - 1)] == 1))
 
     return work
 
@@ -172,11 +181,16 @@ def _settled(pairs: DataFrame, d: DataFrame, sets: DataFrame) -> DataFrame:
     pairs = saved(pairs)
     need = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
     need = saved(sets.select("id", "at").join(need, "id", "left_semi").select("id", F.col("at.row").alias("row"), F.col("at.line").alias("line")))
-    marks = need.select(F.expr(f"cast(row & {BITS - 1} as int)").alias("bit")).distinct().toArrow()
-    have = np.zeros(BITS, np.uint8)
-    have[marks["bit"].to_numpy()] = 1
-    bits = spark.sparkContext.broadcast(np.packbits(have))
-    picked = d.select("row", "text").mapInArrow(_pick(bits), "row bigint, text string")
+    rows = need.select("row").distinct()
+    n = rows.count()
+    if n <= FEW:
+        size = max(8, 1 << (8 * n - 1).bit_length())
+        marks = rows.select(F.expr(f"row & {size - 1}").alias("bit")).distinct().toArrow()
+        have = np.zeros(size, np.uint8)
+        have[marks["bit"].to_numpy()] = 1
+        picked = d.select("row", "text").mapInArrow(_pick(spark.sparkContext.broadcast(np.packbits(have))), "row bigint, text string")
+    else:
+        picked = d.select("row", "text").join(rows, "row", "left_semi")
     at_lines = picked.select("row", F.posexplode(F.split("text", "\n")).alias("line", "words"))
     words = saved(at_lines.join(need, ["row", "line"]).select("id", "words").dropDuplicates(["id"]))
     both = pairs.join(words.toDF("a", "wa"), "a").join(words.toDF("b", "wb"), "b").select("a", "b", "wa", "wb")
@@ -209,26 +223,20 @@ def later_lines(docs: DataFrame) -> DataFrame:
 
     # the others against all that are earlier
     index = sets.join(gone.withColumn("done", F.lit(True)), "id", "left")
-    index = index.select("id", "size", "sketch", F.coalesce("done", F.lit(False)).alias("done"), F.posexplode("prefix").alias("pos", "token"))
-    # one number for size, done and place: a smaller shuffle row
-    index = index.select("token", "id", "sketch", F.expr("(size * 2L + cast(done as int)) * 2147483648L + pos").alias("sp"))
+    index = index.select("id", "size", "sketch", F.coalesce("done", F.lit(False)).alias("done"), F.explode("prefix").alias("token"))
+    # one number for size and done: a smaller shuffle row
+    index = index.select("token", "id", "sketch", F.expr("size * 2 + cast(done as int)").alias("sp"))
     x, y = index.alias("x"), index.alias("y")
-    sx, sy = (F.expr(f"shiftright({t}.sp, 32)") for t in "xy")
-    px, py = (F.expr(f"{t}.sp & 2147483647") for t in "xy")
+    sx, sy = (F.expr(f"shiftright({t}.sp, 1)") for t in "xy")
     near = (
         (F.col("x.token") == F.col("y.token"))
         # the later one is not settled yet (one condition on both sides: one shuffle serves them)
-        & F.when(F.col("x.id") > F.col("y.id"), F.expr("(shiftright(x.sp, 31) & 1) = 0")).otherwise(F.lit(False))
+        & F.when(F.col("x.id") > F.col("y.id"), F.expr("(x.sp & 1) = 0")).otherwise(F.lit(False))
         & _sizes_fit("x.sketch", "y.sketch", sx, sy)
-        # at the first shared word, the rest must reach t / (1 + t) of the sizes with it
-        & (F.least(sx - px, sy - py) * F.lit(100 + PERCENT) >= F.lit(PERCENT) * (sx + sy))
     )
-    pairs = saved(x.join(y, near).groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b")).agg(F.count("*").alias("n")))
-    # each line first against the one it shares most with; what that settles needs no other pair
-    best = pairs.groupBy("a").agg(F.max(F.struct("n", "b")).alias("m")).select("a", "m.b")
-    most = _settled(_filtered(best, sets), d, sets)
-    rest = pairs.join(most.withColumnRenamed("id", "a"), "a", "left_anti").select("a", "b")
-    gone = gone.unionByName(most).unionByName(_settled(_filtered(rest, sets), d, sets))
+    # how many prefix words a pair shares decides most pairs before any is listed
+    pairs = x.join(y, near).groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b")).agg(F.count("*").alias("n"), F.min(sx).alias("sx"), F.min(sy).alias("sy"))
+    gone = gone.unionByName(_settled(pairs.filter(_enough_shared()).select("a", "b"), d, sets))
 
     # every line but the first of its set, and the firsts that have an earlier partner
     mark = sets.join(gone.withColumn("g", F.lit(True)), "id", "left").filter("n > 1 or g").select("s1", "s2", "at", "g")
