@@ -13,7 +13,7 @@ sets are one line with its earliest place before any pair is made, so frequent l
 row each, and sets are numbered by that place. A line needs only one earlier partner, so those that a
 first round against the earliest line of two of their rarest words has settled look for no
 partner again: they only serve as earlier lines of others. Then each line is held against the
-candidate it shares most words with, so only lines without a partner there are verified against
+candidate it shares most prefix words with, so only lines without a partner there are verified against
 all their candidates, and a group of near copies is not listed pair by pair. Nothing is capped.
 """
 
@@ -236,7 +236,12 @@ def later_lines(docs: DataFrame) -> DataFrame:
     )
     # how many prefix words a pair shares decides most pairs before any is listed
     pairs = x.join(y, near).groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b")).agg(F.count("*").alias("n"), F.min(sx).alias("sx"), F.min(sy).alias("sy"))
-    gone = gone.unionByName(_settled(pairs.filter(_enough_shared()).select("a", "b"), d, sets))
+    pairs = saved(pairs.filter(_enough_shared()).select("a", "b", "n"))
+    # each line first against the one it shares most with; what that settles needs no other pair
+    best = pairs.groupBy("a").agg(F.max(F.struct("n", "b")).alias("m")).select("a", "m.b")
+    most = _settled(best, d, sets)
+    rest = pairs.join(most.withColumnRenamed("id", "a"), "a", "left_anti").join(best, ["a", "b"], "left_anti").select("a", "b")
+    gone = gone.unionByName(most).unionByName(_settled(rest, d, sets))
 
     # every line but the first of its set, and the firsts that have an earlier partner
     mark = sets.join(gone.withColumn("g", F.lit(True)), "id", "left").filter("n > 1 or g").select("s1", "s2", "at", "g")
