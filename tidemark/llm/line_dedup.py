@@ -31,6 +31,8 @@ from .common import row_key, saved
 
 PERCENT = 75
 BUCKETS, CHUNK = 1 << 20, 1 << 16
+#: Prefix words that a pair must share to be listed; prefixes are longer by as many less one.
+SHARED = 2
 #: Documents whose lines are found by a bitmap of eight bits each (4 MB); beyond, by a shuffle join.
 FEW = 1 << 22
 #: Rarest words, by twos of which lines are first held against the earliest line that has both.
@@ -76,7 +78,7 @@ def rarity(docs: DataFrame) -> np.ndarray:
 
 
 def _prefix(size: np.ndarray) -> np.ndarray:
-    return size + (-PERCENT * size) // 100 + 1  # size - ceil(t * size) + 1
+    return np.minimum(size, size + (-PERCENT * size) // 100 + SHARED)  # size - ceil(t * size) + SHARED
 
 
 _LINES = "doc_id bigint, row bigint, line int, s1 bigint, s2 bigint, size int, sketch bigint, prefix array<int>"
@@ -160,7 +162,7 @@ def _enough_shared() -> Column:
     common order shares nothing with the other line but those n words, so the overlap, which
     must reach t / (1 + t) of the sizes, is at most n and what lies behind that prefix."""
     need = F.expr(f"({PERCENT} * (sx + sy) + {99 + PERCENT}) div {100 + PERCENT}")
-    behind = lambda c: F.expr(f"({PERCENT} * {c} + 99) div 100 - 1")
+    behind = lambda c: F.expr(f"greatest(({PERCENT} * {c} + 99) div 100 - {SHARED}, 0)")
     return F.col("n") >= F.least(need - behind("sx"), need - behind("sy"))
 
 
@@ -171,7 +173,7 @@ def _filtered(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     p = p.filter(_sizes_fit("kx", "ky", F.col("sx"), F.col("sy")))
     # shared prefix words; those of one line with equal numbers count apart
     n = F.size(F.array_intersect("wx", "wy")) + F.size("wx") - F.size(F.array_distinct("wx"))
-    return p.withColumn("n", n).filter(_enough_shared()).select("a", "b")
+    return p.withColumn("n", n).filter(_enough_shared()).select("a", "b", "n")
 
 
 def _settled(pairs: DataFrame, d: DataFrame, sets: DataFrame) -> DataFrame:
@@ -219,24 +221,27 @@ def later_lines(docs: DataFrame) -> DataFrame:
     head = sets.select("id", F.explode(keys).alias("key")).filter("key is not null")
     lead = head.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("b")).filter("n > 1").select("key", "b")
     pairs = head.join(lead, "key").filter("id > b").select(F.col("id").alias("a"), "b").distinct()
-    gone = _settled(_filtered(pairs, sets), d, sets)
+    gone = _settled(_filtered(pairs, sets).select("a", "b"), d, sets)
 
     # the others against all that are earlier
     index = sets.join(gone.withColumn("done", F.lit(True)), "id", "left")
-    index = index.select("id", "size", "sketch", F.coalesce("done", F.lit(False)).alias("done"), F.explode("prefix").alias("token"))
-    # one number for size and done: a smaller shuffle row
-    index = index.select("token", "id", "sketch", F.expr("size * 2 + cast(done as int)").alias("sp"))
+    index = index.select("id", "size", "sketch", F.coalesce("done", F.lit(False)).alias("done"), F.posexplode("prefix").alias("pos", "token"))
+    # one number for size, done and place: a smaller shuffle row
+    index = index.select("token", "id", "sketch", F.expr("(size * 2L + cast(done as int)) * 2147483648L + pos").alias("sp"))
     x, y = index.alias("x"), index.alias("y")
-    sx, sy = (F.expr(f"shiftright({t}.sp, 1)") for t in "xy")
+    sx, sy = (F.expr(f"shiftright({t}.sp, 32)") for t in "xy")
+    px, py = (F.expr(f"{t}.sp & 2147483647") for t in "xy")
     near = (
         (F.col("x.token") == F.col("y.token"))
         # the later one is not settled yet (one condition on both sides: one shuffle serves them)
-        & F.when(F.col("x.id") > F.col("y.id"), F.expr("(x.sp & 1) = 0")).otherwise(F.lit(False))
+        & F.when(F.col("x.id") > F.col("y.id"), F.expr("(shiftright(x.sp, 31) & 1) = 0")).otherwise(F.lit(False))
         & _sizes_fit("x.sketch", "y.sketch", sx, sy)
+        # of an overlap of t / (1 + t) of the sizes, the k-th shared word has all but k - 1 behind it
+        & ((F.least(sx - px, sy - py) + F.lit(SHARED - 1)) * F.lit(100 + PERCENT) >= F.lit(PERCENT) * (sx + sy))
     )
-    # how many prefix words a pair shares decides most pairs before any is listed
-    pairs = x.join(y, near).groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b")).agg(F.count("*").alias("n"), F.min(sx).alias("sx"), F.min(sy).alias("sy"))
-    pairs = saved(pairs.filter(_enough_shared()).select("a", "b", "n"))
+    few = F.expr(f"least({SHARED}, min(({PERCENT} * (shiftright(x.sp, 32) + shiftright(y.sp, 32)) + {99 + PERCENT}) div {100 + PERCENT}))")
+    pairs = x.join(y, near).groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b")).agg((F.count("*") >= few).alias("ok")).filter("ok").select("a", "b")
+    pairs = saved(_filtered(pairs, sets))
     # each line first against the one it shares most with; what that settles needs no other pair
     best = pairs.groupBy("a").agg(F.max(F.struct("n", "b")).alias("m")).select("a", "m.b")
     most = _settled(best, d, sets)
