@@ -195,3 +195,45 @@ def test_reconcile_of_hot_keys(rows):
     for tol in ("5 seconds", "2 minutes"):
         one = joins.reconcile(a, b, "k", "a_ts", "a_id", "t_ts", "t_id", tol, hot_rows=10**9)
         assert bag(joins.reconcile(a, b, "k", "a_ts", "a_id", "t_ts", "t_id", tol, hot_rows=5)) == bag(one)
+
+
+def test_user_cogroup(spark, rows):
+    """Both sides of every key in order and in chunks, unread chunks passed over."""
+    a = rows.filter("v < 0").select("k", "ts", "id")
+    b = rows.filter("v >= 1").select("k", F.col("ts").alias("ts"), F.col("id").alias("id"), (F.lit(2**53) + F.col("id")).alias("big"))
+
+    def listed(key, sizes, chunks):
+        import pyarrow as pa
+
+        ids, most = {"left": [], "right": []}, 0
+        for side, r in chunks:
+            most = max(most, r.num_rows)
+            ids[side] += r.column(r.schema.get_field_index("big" if side == "right" else "id")).to_pylist()
+            if key[0] == "a":
+                break  # the rest is left unread
+        yield pa.RecordBatch.from_pylist([{"k": key[0], "n_left": sizes[0], "n_right": sizes[1], "l": ids["left"], "r": ids["right"], "most": most}])
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        got = joins.cogroup_apply(a, b, ["k"], ["ts", "id"], listed, "k string, n_left bigint, n_right bigint, l array<bigint>, r array<bigint>, most bigint").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    order = lambda r: (r["ts"] is not None, r["ts"], r["id"])
+    want = {}
+    for side, d in (("l", a), ("r", b)):
+        for r in sorted(d.collect(), key=order):
+            want.setdefault(r["k"], {"l": [], "r": []})[side].append(r["id"] if side == "l" else r["big"])
+    assert {r["k"] for r in got} == set(want) and len(got) == len(want)
+    for r in got:
+        w = want[r["k"]]
+        assert (r["n_left"], r["n_right"]) == (len(w["l"]), len(w["r"])) and r["most"] <= 100
+        if r["k"] != "a":
+            assert (r["l"], r["r"]) == (w["l"], w["r"])
+
+
+def test_user_cogroup_reads_each_side_once(spark):
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        CATALOG["g12_user_cogroup"][0](spark, SF_SMALL).explain("simple")
+    p = buf.getvalue()
+    assert p.count("FileScan") == 2 and p.count("Exchange") == 1

@@ -528,3 +528,56 @@ def test_approx_distinct_counts_stream(spark, stream_dir):
     got = {r.window_start: r.uv for r in _run(s, "tm_a10_approx").collect()}
     exact = {r.window_start: r.uv for r in _batch(spark, "a10_uv_window").collect()}
     assert all(abs(got[w] - n) <= max(1, 0.1 * n) for w, n in exact.items())
+
+
+@pytest.mark.parametrize("name", ["x01", "x03", "x05"])
+def test_user_process_equals_batch_on_disordered_files(spark, disordered_dir, name):
+    from tidemark.streaming import process
+
+    src = _stream(spark, disordered_dir, "3650 days")
+    ts = F.timestamp_micros("us").cast("timestamp_ntz")
+    if name == "x01":
+        r = process.process(src, "user_id", process.EventTimer(3_600_000_000), ["seq"]).select("user_id", "kind", ts.alias("at"))
+        b = _batch(spark, "x01_event_timer").select("user_id", "kind", "at")
+    elif name == "x03":
+        r = process.process(src, "user_id", process.PeriodicCount(86_400_000_000), ["seq"]).select("user_id", ts.alias("tick"), "pv")
+        b = _batch(spark, "x03_periodic_pv").select("user_id", "tick", "pv")
+    else:
+        r = process.process(src, "user_id", process.ListAndMap("event_type", 3), ["event_type"])
+        from pyspark.sql import Window
+
+        w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+        e = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+        b = e.select(
+            "user_id", F.array_join(F.collect_list("event_type").over(w.rowsBetween(-2, 0)), ",").alias("seen"),
+            (F.row_number().over(Window.partitionBy("user_id", "event_type").orderBy("ts", "event_id")) - 1).cast("bigint").alias("before"),
+        )
+    with process.store(spark):
+        got = _run(r, f"tm_process_{name}").filter("user_id >= 0")
+        if name == "x03":  # ticks go on until the sentinel's watermark
+            until = spark.read.parquet(f"{SF_SMALL}/events.parquet").agg(F.max("ts")).first()[0]
+            got = got.filter(F.col("tick") <= F.lit(until))
+    assert got.count() > 0 and _norm(got.collect()) == _norm(b.select(got.columns).collect())
+
+
+def test_user_process_state_survives_a_restart(spark):
+    from tidemark.sources.text import parse_delimited, stream_lines
+    from tidemark.streaming import process
+
+    base = 10**9
+    d, out, ckpt = (tempfile.mkdtemp(prefix=f"tm-proc-{n}-") for n in ("src", "out", "ckpt"))
+
+    def run(step, ms_list):
+        with open(f"{d}/s{step}.txt", "w") as f:
+            f.write("".join(f"a, /h, {base + m}\n" for m in ms_list))
+        ev = parse_delimited(stream_lines(spark, d, max_files_per_trigger=1), "user string, url string, ms bigint", trim=True)
+        ev = basic.event_time(ev.withColumn("seq", F.col("ms")), "2 seconds", ms="ms")
+        r = process.process(ev, "user", process.PeriodicCount(10_000_000), ["url"])
+        with process.store(spark):
+            q = r.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+            q.awaitTermination()
+
+    run(0, [0, 3000, 14_000])
+    run(1, [15_000, 13_000, 40_000])
+    got = [(r["us"] // 1000 - base, r["pv"]) for r in spark.read.parquet(out).orderBy("us").collect()]
+    assert got == [(10_000, 2), (20_000, 5), (30_000, 5)]

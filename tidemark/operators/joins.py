@@ -14,8 +14,9 @@ from __future__ import annotations
 from collections import deque
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -80,6 +81,70 @@ def cogroup(
     )
 
 
+def cogroup_apply(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], order: Sequence[str], function: Callable[..., Iterator[pa.RecordBatch]], out: str
+) -> DataFrame:
+    """Hands each key's rows of both sides to a user's function, one-sided keys included.
+
+    ``function(key, sizes, chunks)`` gets the key's values as a tuple, the numbers of left and right rows,
+    and an iterator of (``"left"`` / ``"right"``, record batch of that side's columns): first the left rows in
+    ``order``, then the right ones, in chunks of at most one Arrow batch. It yields record batches of
+    the schema ``out``; chunks that it leaves unread are passed over. Nothing is collected: a group
+    of any size streams through its task in sorted order, in the memory of one batch and of what
+    the function keeps. Both sides are read once and shuffled once, by ``keys`` (columns of both);
+    a null key is a key like any other."""
+    findable(left.sparkSession)
+    keys, order = list(keys), list(order)
+    side = lambda d, own, name, other: d.select(
+        *keys, *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], F.lit(name).alias("_side"),
+        *((F.struct(*d.columns).alias("_l"), F.lit(None).cast(other.schema).alias("_r")) if own else (F.lit(None).cast(other.schema).alias("_l"), F.struct(*d.columns).alias("_r"))),
+    )
+    u = side(left, True, 0, right).unionByName(side(right, False, 1, left)).repartition(*[F.col(k) for k in keys])
+    w = Window.partitionBy(*keys)
+    u = u.withColumn("_nl", F.count(F.when(F.col("_side") == 0, 1)).over(w)).withColumn("_nr", F.count(F.when(F.col("_side") == 1, 1)).over(w))
+    u = u.sortWithinPartitions(*keys, "_side", *[f"_o{i}" for i in range(len(order))])
+    result = StructType.fromDDL(out)
+    types = to_arrow_schema(result)
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        """(key, sizes, side, rows) of runs of equal key and side, none longer than a batch."""
+        for b in batches:
+            col = lambda n: b.column(b.schema.get_field_index(n))
+            cut = np.zeros(b.num_rows, bool)
+            cut[:1] = True
+            for c in (*keys, "_side"):
+                code = col(c).dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+                cut[1:] |= code[1:] != code[:-1]
+            at = np.flatnonzero(cut).tolist()
+            for s, e in zip(at, [*at[1:], b.num_rows]):
+                name = "left" if col("_side")[s].as_py() == 0 else "right"
+                rows = pa.RecordBatch.from_struct_array(col("_l" if name == "left" else "_r").slice(s, e - s))
+                yield tuple(col(k)[s].as_py() for k in keys), (col("_nl")[s].as_py(), col("_nr")[s].as_py()), name, rows
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        source = pieces(batches)
+        ahead = next(source, None)
+        while ahead is not None:
+            key, sizes = ahead[:2]
+            left_rows = sum(sizes)
+
+            def chunks():
+                nonlocal ahead, left_rows
+                while ahead is not None and left_rows:
+                    name, rows = ahead[2:]
+                    left_rows -= rows.num_rows
+                    ahead = next(source, None)
+                    yield name, rows
+
+            c = chunks()
+            for batch in function(key, sizes, c):
+                yield batch.cast(types) if batch.schema != types else batch
+            for _ in c:  # what the function did not read
+                pass
+
+    return u.select(*keys, "_side", "_l", "_r", "_nl", "_nr").mapInArrow(run, result)
+
+
 def interval_join(
     left: DataFrame, right: DataFrame, key: str, lts: str, rts: str, lower: str, upper: str
 ) -> DataFrame:

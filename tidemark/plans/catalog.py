@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -826,6 +827,31 @@ def j02_cogroup(spark, sf):
     return joins.cogroup(left, right, "user_id", "ts", "6 hours", ORDER)
 
 
+def _numbered(key, sizes, chunks):
+    """A user's co-group function: every member with its place in its side's list and both sizes."""
+    pos = {"left": 0, "right": 0}
+    for side, rows in chunks:
+        n = rows.num_rows
+        at, pos[side] = range(pos[side] + 1, pos[side] + n + 1), pos[side] + n
+        col = lambda c: rows.column(rows.schema.get_field_index(c))  # noqa: E731, B023
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([key[0]] * n, pa.int64()), col("window_start"), col("window_end"), pa.array([side] * n), pa.array(at, pa.int64()), col("ts"), col("event_id"),
+             pa.array([sizes[0]] * n, pa.int64()), pa.array([sizes[1]] * n, pa.int64())],
+            names=["user_id", "window_start", "window_end", "side", "pos", "ts", "event_id", "n_left", "n_right"],
+        )
+
+
+@query("g12_user_cogroup", CATALOG["j02_cogroup"][1])
+def g12_user_cogroup(spark, sf):
+    """J02 through a user's co-group function that sees each group as a stream of chunks."""
+    w = windows.tumbling("ts", "6 hours")
+    ev = events(spark, sf).withColumn("w", w).select("user_id", "ts", "event_id", "event_type", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"))
+    left = ev.filter(F.col("event_type") == "click").drop("event_type")
+    right = ev.filter(F.col("event_type") == "view").drop("event_type")
+    out = "user_id bigint, window_start timestamp_ntz, window_end timestamp_ntz, side string, pos bigint, ts timestamp_ntz, event_id bigint, n_left bigint, n_right bigint"
+    return joins.cogroup_apply(left, right, ["user_id", "window_start"], ORDER, _numbered, out)
+
+
 @query("j03_interval_join", """
 SELECT p.user_id, p.event_id AS buy_id, p.ts AS buy_ts, v.event_id AS view_id, v.ts AS view_ts
 FROM events p JOIN events v ON p.user_id = v.user_id
@@ -1007,6 +1033,31 @@ def k04_buffered_stream(spark, sf):
     )
 
 
+@query("g09_process_timers", """
+SELECT user_id, 'arrival' AS kind, ts AS at FROM events
+UNION ALL
+SELECT DISTINCT user_id, 'timer' AS kind, ts + INTERVAL '1 hour' AS at FROM events
+""")
+def g09_process_timers(spark, sf):
+    """X01 as a user's process function on a file stream whose every seventh row comes with the next file."""
+    from tidemark.streaming import basic, process, replay
+
+    ev = events(spark, sf).select("event_id", "user_id", "ts")
+    first, last, lo, hi = ev.agg(F.min("ts"), F.max("ts"), F.min("event_id"), F.max("event_id")).first()
+    if first is None:
+        return timers.event_timer(ev, "user_id", "ts", "1 hour")
+    days = (last - first).days + 1
+    d = ev.withColumn("_p", floordiv(F.col("event_id") - F.lit(lo), max((hi - lo) // 3 + 1, 1)) + F.when(F.col("event_id") % 7 == 0, 1).otherwise(0))
+    end = spark.range(1).select(F.lit(None).cast("bigint").alias("event_id"), F.lit(None).cast("bigint").alias("user_id"), F.lit(last).cast("timestamp_ntz").alias("ts"))
+    end = end.withColumn("ts", F.col("ts") + F.make_dt_interval(days=F.lit(2 * days + 2))).withColumn("_p", F.lit(4).cast("bigint"))
+    s = basic.event_time(replay.as_stream(d.unionByName(end), F.col("_p"), 5), f"{days} days").withColumn("seq", F.col("event_id"))
+    r = process.process(s.filter("user_id is not null or event_id is null"), "user_id", process.EventTimer(3_600_000_000), ["event_id"])
+    with process.store(spark):
+        out = replay.finished(r)
+    # the closing row has no user
+    return out.filter("user_id is not null").select("user_id", "kind", F.timestamp_micros("us").cast("timestamp_ntz").alias("at"))
+
+
 @query("l06_refired_windows", _SQL_URL_VIEWS)
 def l06_refired_windows(spark, sf):
     """Allowed lateness on a file stream: every seventh event comes with the next file, late for its window but
