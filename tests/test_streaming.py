@@ -425,6 +425,15 @@ def test_distinct_counts_stream_and_watermark(spark, stream_dir):
     assert basic.watermark_ms(q) == int((sentinel - dt.datetime(1970, 1, 1)).total_seconds() * 1000)
 
 
+def test_distinct_counts_keep_no_set(spark, stream_dir):
+    """Members are keys of the first stage; sliding windows too."""
+    s = basic.distinct_counts(_stream(spark, stream_dir), ["event_type"], "et", "1 day", "user_id", "12 hours")
+    got = _run(s, "tm_a11").filter(F.col("window_start") < dt.datetime(2030, 1, 1))
+    e = spark.read.parquet(f"{SF_SMALL}/events.parquet").groupBy("event_type", F.window("ts", "1 day", "12 hours").alias("w")).agg(F.countDistinct("user_id").alias("uv"))
+    want = e.select("event_type", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "uv")
+    assert _norm(got.select(want.columns).collect()) == _norm(want.collect())
+
+
 def test_cumulate_stream(spark, stream_dir):
     from tidemark.operators import windows
 

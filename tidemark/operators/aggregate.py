@@ -34,10 +34,10 @@ def word_count(lines: DataFrame, text: str, sep: str = " ") -> DataFrame:
 
 
 def running_count(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], split: str | Column, name: str = "cnt"
+    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], split: str | Column, name: str = "cnt", once: bool = False
 ) -> DataFrame:
-    """A02 / A06 running form: the count of the key after each row."""
-    return keyed.row_number(df, keys, order, split, name)
+    """A02 / A06 running form: the count of the key after each row; ``once`` as in :func:`keyed.running`."""
+    return keyed.row_number(df, keys, order, split, name, once)
 
 
 def max_keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str], field: str, others: Sequence[str]) -> DataFrame:

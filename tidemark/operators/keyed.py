@@ -68,9 +68,13 @@ def running(
     split: str | Column,
     aggs: dict[str, tuple[str, str | Column | None]],
     inclusive: bool = True,
+    once: bool = False,
 ) -> DataFrame:
     """Running aggregates per key in ``order`` (``inclusive=False``: rows strictly before).
 
+    ``once``: the per-slice totals are taken from the shuffled rows (one exchange, used twice)
+    instead of from a second evaluation of the input; for inputs that are expensive to make.
+
     ``aggs`` maps an output name to ``(kind, expr)`` with kind in count/sum/min/max
     (``expr`` ignored for count). min/max accept structs, so ``("min", struct(ts, id, x))``
     is the running *first* row. With no ``keys`` the whole input is one sequence, still cut
@@ -78,6 +82,8 @@ def running(
     """
     keys = list(keys)
     d = _keyed(df, keys, split)
+    if once:
+        d = d.repartition(KV)
     w = Window.partitionBy(KV).orderBy(*_cols(order))
     w_in = w.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     w_sl = Window.partitionBy(K).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
@@ -109,10 +115,10 @@ def running(
 
 
 def row_number(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], split: str | Column, name: str = "rn"
+    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], split: str | Column, name: str = "rn", once: bool = False
 ) -> DataFrame:
     """1-based position of each row within its key (bigint)."""
-    return running(df, keys, order, split, {name: ("count", None)})
+    return running(df, keys, order, split, {name: ("count", None)}, once=once)
 
 
 def lag(

@@ -18,8 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import lines as text_lines
-from tidemark.functions.time import bucket, epoch_ms, floordiv, seconds_ts
+from tidemark.functions.time import epoch_ms, floordiv, minus, ms_to_ts, seconds_ts
 from tidemark.operators import aggregate, joins, keyed, patterns, state, timers, topn, transform, user_aggregate, watermark, windows
+from tidemark.sources import text
 from tidemark.sources.tables import EVENT_ORDER, events, table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -106,7 +107,35 @@ def a02_running_word_count(spark, sf):
     toks = aggregate.tokens(_doc_lines(spark, sf), "line")
     # slices of the order: document-id ranges, about sqrt(#documents) of them
     docs = table(spark, sf, "documents").select("doc_id")
-    return aggregate.running_count(toks, ["word"], ["doc_id", "line_no", "pos"], keyed.range_split(docs, "doc_id"), "cnt")
+    return aggregate.running_count(toks, ["word"], ["doc_id", "line_no", "pos"], keyed.range_split(docs, "doc_id"), "cnt", once=True)
+
+
+@query("s06_parse_delimited", """
+WITH l AS (SELECT doc_id, unnest(string_split(CASE WHEN text LIKE '%' || chr(10) THEN left(text, length(text) - 1) ELSE text END, chr(10))) AS line FROM documents),
+p AS (SELECT doc_id, line, string_split(line, ',') AS f FROM l)
+SELECT doc_id, line, trim(f[1], ' ') AS first, trim(f[2], ' ') AS second, TRY_CAST(trim(f[3], ' ') AS BIGINT) AS number,
+       CASE WHEN f[2] IS NOT NULL THEN 'good' ELSE 'bad' END AS route
+FROM p
+""")
+def s06_parse_delimited(spark, sf):
+    """Lines cut at commas into trimmed, typed fields; lines without a second field go aside."""
+    lines = _doc_lines(spark, sf).select("doc_id", "line")
+    good, bad = text.split_bad(text.parse_delimited(lines, "first string, second string, number bigint", col="line", keep=["doc_id", "line"]), ["second"])
+    return good.withColumn("route", F.lit("good")).unionByName(bad.withColumn("route", F.lit("bad")))
+
+
+@query("s07_parse_untrimmed", """
+SELECT event_id, user_id, event_type, epoch_us(ts) // 1000 AS ms, time_bucket(INTERVAL '1 second', ts) AS second_ts,
+       make_timestamp((epoch_us(ts) // 1000) * 1000) AS at, make_timestamp((epoch_us(ts) // 1000) * 1000) - INTERVAL '1 second' AS before
+FROM events
+""")
+def s07_parse_untrimmed(spark, sf):
+    """Events written as lines and parsed back without trimming; epoch milliseconds to
+    times, cut to seconds, less a second."""
+    ev = events(spark, sf)
+    line = F.concat_ws(",", F.col("event_id").cast("string"), F.col("user_id").cast("string"), "event_type", epoch_ms("ts").cast("string"))
+    p = text.parse_delimited(ev.select(line.alias("value")), "event_id bigint, user_id bigint, event_type string, ms bigint", trim=False)
+    return p.withColumn("second_ts", seconds_ts("ms")).withColumn("at", ms_to_ts("ms")).withColumn("before", minus(F.col("at"), "'1' SECOND"))
 
 
 # ---------------------------------------------------------------- transforms --------------

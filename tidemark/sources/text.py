@@ -43,10 +43,12 @@ def lines_of(df: DataFrame, text: str, keep: Sequence[str] = (), line_no: str =
 
 
 def parse_delimited(
-    lines: DataFrame, schema: StructType | str, sep: str = ",", trim: bool = True, col: str = "value", keep_raw: bool = False
+    lines: DataFrame, schema: StructType | str, sep: str = ",", trim: bool = True, col: str = "value", keep_raw: bool = False,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """S06 (``trim=True``) / S07 (``trim=False``): ``a,b,123`` -> typed columns of ``schema``.
-    Missing fields are null; fields that do not cast are null (``try_cast``)."""
+    Missing fields are null; fields that do not cast are null (``try_cast``). ``keep``: columns of
+    ``lines`` that stay in front."""
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
     parts = F.split(F.col(col), sep, -1)
@@ -59,7 +61,7 @@ def parse_delimited(
             v = v.try_cast(f.dataType)
         out.append(v.alias(f.name))
     sel = [*out, F.col(col).alias("_raw")] if keep_raw else out
-    return lines.select(*sel)
+    return lines.select(*keep, *sel)
 
 
 def split_bad(parsed: DataFrame, required: Sequence[str]) -> tuple[DataFrame, DataFrame]:

@@ -131,10 +131,17 @@ def watermark_ms(query) -> int | None:
 
 
 def distinct_counts(df: DataFrame, keys: Sequence[str], et: str, size: str, col: str, slide: str | None = None, exact: bool = True, name: str = "uv") -> DataFrame:
-    """A10 / A11 on a stream. Spark refuses ``count(distinct)`` in streaming aggregations;
-    the exact form is the size of the window's value set (state holds the distinct values
-    of open windows), ``exact=False`` uses ``approx_count_distinct`` (fixed-size sketch)."""
+    """A10 / A11 on a stream. Spark refuses ``count(distinct)`` in streaming aggregations; the exact form is two
+    stages, for append mode: each (key, window, member) is a state of its own, and once the window closes
+    its members are counted. A hot window's members are spread over the store, none is one value in
+    one task. Null members do not count; a window of null members only has 0. ``exact=False`` uses
+    ``approx_count_distinct`` (fixed-size sketch) in one stage."""
     w = F.window(et, size, slide) if slide else F.window(et, size)
-    agg = F.size(F.collect_set(col)) if exact else F.approx_count_distinct(col)
-    g = df.groupBy(*keys, w.alias("w")).agg(agg.cast("bigint").alias(name))
-    return g.select(*keys, _ntz(F.col("w.start")).alias("window_start"), _ntz(F.col("w.end")).alias("window_end"), name)
+    bounds = [_ntz(F.col("ws")).alias("window_start"), _ntz(F.col("we")).alias("window_end")]
+    if not exact:
+        g = df.groupBy(*keys, w.alias("w")).agg(F.approx_count_distinct(col).cast("bigint").alias(name))
+        return g.withColumn("ws", F.col("w.start")).withColumn("we", F.col("w.end")).select(*keys, *bounds, name)
+    c = df.groupBy(*keys, w.alias("w"), F.col(col).alias("_member")).agg(F.count(F.lit(1)).alias("_n"))
+    c = c.select(*keys, "_member", F.col("w.start").alias("ws"), F.col("w.end").alias("we"), F.window_time("w").alias("wt"))
+    g = c.groupBy(*keys, "wt", "ws", "we").agg(F.count("_member").cast("bigint").alias(name))
+    return g.select(*keys, *bounds, name)
