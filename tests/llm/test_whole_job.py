@@ -2,10 +2,12 @@
 
 import collections
 import random
+import re
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from tidemark.llm import ctw, near_dup, secret_scan, topk
+from tidemark.llm import common, ctw, mixing, near_dup, queries, rules, secret_scan, topk
 
 
 def spans(spark, *texts):
@@ -90,3 +92,98 @@ def test_topk_of_repeated_ids(spark):
     got = sorted(tuple(r)[1:] + (r["query_id"],) for r in topk.search(v.filter("vec_id % 20 = 0"), v, 3).filter("query_id = 20").collect())
     one, two = 64 * 64, 128 * 64
     assert got == sorted([(1, 7, one * 384, 20), (2, 7, one * 3, 20), (3, 7, one * 3, 20), (1, 7, two * 384, 20), (2, 7, two * 3, 20), (3, 7, two * 3, 20)])
+
+
+def test_rules_go_on_behind_an_impure_candidate(spark):
+    """A first candidate of 85 % beside a pure group of 200: the group gets its rule; more than twelve kinds do too."""
+    empty = dict.fromkeys((f"b_{f}" for f in rules.FEATURES), 0)
+    rows = [empty | {"bad": int(i % 100 < 85), "part": i % 3, "b_symbols": 40} for i in range(3000)]
+    rows += [empty | {"bad": 1, "part": i % 3, "b_upper": 30} for i in range(200)]
+    rows += [empty | {"bad": 0, "part": i % 3, "b_length": i % 50} for i in range(3000)]
+    found = rules.learn(spark.createDataFrame(rows))
+    assert any("upper" in " ".join(map(str, r)) for r in found)
+    d = spark.createDataFrame(rows).withColumn("rule", rules.verdict(found))
+    assert d.filter("b_upper = 30 and rule is null").count() == 0 and d.filter("bad = 0 and b_symbols = 0 and rule is not null").count() == 0
+    kinds = [empty | {"bad": 1, "part": i % 3, f"b_{rules.FEATURES[k % 9]}": 20 + 2 * (k // 9)} for k in range(18) for i in range(60)]
+    kinds += [empty | {"bad": 0, "part": i % 3, f"b_{rules.FEATURES[k % 9]}": 19 + 2 * (k // 9)} for k in range(27) for i in range(60)]
+    found = rules.learn(spark.createDataFrame(kinds))
+    d = spark.createDataFrame(kinds).withColumn("rule", rules.verdict(found))
+    assert len(found) > 12 and d.filter("bad = 1 and rule is null").count() == 0
+
+
+def test_rows_without_an_id_are_in_many_slices(spark):
+    d = spark.range(3000).select(F.lit(None).cast("bigint").alias("doc_id"), F.concat(F.lit("a b "), F.col("id").cast("string")).alias("text"), F.lit("s").alias("source"))
+    r = mixing.report(d).collect()
+    assert sum(x["taken"] for x in r) == 13500 or abs(sum(x["taken"] for x in r) - 13500) <= 3
+    buf = mixing.assign(d)
+    assert buf.select("at").distinct().count() == 3000
+
+
+def test_pipeline_stages_against_plain(spark):
+    """Each stage on what its predecessor kept, and run() as their composition."""
+    import base64
+
+    import corpus_pipeline as p
+    import tiktoken
+
+    sf = "/root/testdata/sf0.001"
+    key = lambda r: (r["doc_id"], r["text"], r["lang"], r["source"], r["n_chars"])
+    docs = common.documents(spark, sf)
+    made = []
+    for _, stage in p.STAGES:
+        docs = common.saved(stage(spark, docs, sf))
+        made.append(docs)
+    have = [collections.Counter(map(key, d.collect())) for d in [common.documents(spark, sf), *made[:4]]]
+    # quality: no base failure, no rule of the learned list
+    _, found = rules.judge(common.documents(spark, sf), common.documents(spark, sf, "labels"))
+    bins = {r["doc_id"]: r for r in rules.counts(common.documents(spark, sf).select("doc_id", "text"), ["doc_id"]).collect()}
+
+    def good(row):
+        w = re.findall(r"[^\x20\x09-\x0D]+", row[1] or "")
+        three = collections.Counter(zip(w, w[1:], w[2:]))
+        again = {j for i in range(len(w) - 2) if three[tuple(w[i : i + 3])] > 1 for j in (i, i + 1, i + 2)}
+        b = bins[row[0]]
+        hit = any(all((b[f"b_{c.feature}"] >= c.bin) == c.at_least for c in r) for r in found)
+        return len(w) >= 50 and 100 * len(again) <= 50 * len(w) and not hit
+
+    assert have[1] == collections.Counter({r: n for r, n in have[0].items() if good(r)})
+    # lines: a line goes if an earlier one is similar enough
+    seen, want = [], collections.Counter()
+    for row in sorted(have[1]):
+        stay, gone = [], 0
+        for line in row[1].split("\n"):
+            s = frozenset(line.encode().split())
+            if s and any(100 * len(s & o) >= 75 * len(s | o) for o in seen):
+                gone += 1
+            else:
+                stay.append(line)
+            if s:
+                seen.append(s)
+        text = "\n".join(stay)
+        if not gone or text.split():
+            want[(row[0], text, *row[2:])] += have[1][row]
+    assert have[2] == want
+    # near copies: the smallest doc_id of each class
+    rows = sorted(have[2])
+    sets = [near_dup.shingles(r[1]) for r in rows]
+    top = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+                a, b = sorted((top[i], top[j]))
+                top = [a if t == b else t for t in top]
+    assert have[3] == collections.Counter({r: 1 for i, r in enumerate(rows) if top[i] == i})
+    # mixture: the copies that the report counts
+    copies = {r["doc_id"]: r["copies"] for r in mixing.report(made[2]).collect()}
+    assert have[4] == collections.Counter({r: copies[r[0]] for r in have[3] if copies[r[0]]})
+    # tokens: the ids of each copy
+    path, pattern = queries.tokenizer()
+    with open(path, "rb") as f:
+        t = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks={base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}, special_tokens={})
+    got = collections.Counter((r["doc_id"], r["source"], r["n_tokens"], bytes(r["ids"])) for r in made[4].collect())
+    want = collections.Counter()
+    for r, n in have[4].items():
+        ids = t.encode_ordinary(r[1])
+        want[r[0], r[3], len(ids), np.array(ids, "<u4").tobytes()] += n
+    assert got == want
+    assert collections.Counter(map(tuple, p.run(spark, sf).select("doc_id", "ids_sha256").collect())) == collections.Counter(map(tuple, made[4].select("doc_id", "ids_sha256").collect()))

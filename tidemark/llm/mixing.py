@@ -6,9 +6,9 @@ excess is shared again by weight. A schedule is integrated to the source's cumul
 inverting that demand gives every copy of a document its training position, and the mix is
 range-sorted by position. DataFrame functions only.
 
-Scale: a source is cut into 4,096 slices by the first hex digits of a hash of ``doc_id``. Rows
-are windowed inside (source, slice); what crosses slices is carried by a table of at most
-4,096 rows a source. No source, however large, is in one task.
+Scale: a source is cut into 4,096 slices by a hash of ``doc_id`` and text, so rows without an id are
+spread too; only wholly equal rows share one. Rows are windowed inside (source, slice); what crosses
+slices is carried by a table of at most 4,096 rows a source. No source, however large, is in one task.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ WEIGHTS = (3, 1, 2)
 #: Schedules of the sources in turn: (time, relative weight) knots, linear in between.
 SCHEDULES = (((0.0, 1.5), (1.0, 0.5)), ((0.0, 1.0), (1.0, 1.0)), ((0.0, 0.5), (0.5, 0.5), (1.0, 2.0)))
 SHARE, CAP = 1.5, 2.0
+SLICES = 4096
 
 
 def n_words(text: str = "text") -> Column:
@@ -82,22 +83,24 @@ def assign(
 ) -> DataFrame:
     """One row per document: ``payload`` (default ``row``, a struct of all its columns) with
     size, source, source_size, turn, target, copies and ``at``, the words of its source before
-    it in the order of a hash of ``doc_id`` (then of the text).
+    it in the order of its slice, then of a hash of ``doc_id``, then of the text.
 
     Every document of a source is taken in each whole pass over it; in the last, partial pass
     those are taken whose middle lies before the target, so a source misses its target by
     half a document at most. Null text: size 0. Null source: a source of its own, the last.
     Repeated rows are separate documents; an empty table gives no rows."""
     who = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    slice_ = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.col("text")), F.lit(SLICES)).cast("int")
     rows = docs.select(
         *(payload or [F.struct("*").alias("row")]),
         F.struct(F.col("source")).alias("_s"),
         n_words().alias("size"),
         F.md5(who).alias("_o1"),
         F.md5(F.coalesce(F.col("text"), F.lit(""))).alias("_o2"),
-    ).withColumn("_slice", F.substring("_o1", 1, 3))
+        slice_.alias("_slice"),
+    )
     per = (
-        docs.select(F.struct(F.col("source")).alias("_s"), n_words().alias("size"), F.substring(F.md5(who), 1, 3).alias("_slice"))
+        docs.select(F.struct(F.col("source")).alias("_s"), n_words().alias("size"), slice_.alias("_slice"))
         .groupBy("_s", "_slice")
         .agg(F.sum("size").alias("_n"))
     )

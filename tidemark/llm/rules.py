@@ -147,39 +147,41 @@ def _best(table: dict[str, list[tuple[int, int]]], p0: int, n0: int) -> tuple[fl
     return best, found
 
 
-def learn(labelled: DataFrame, max_rules: int = 12, max_conditions: int = 4, precision: float = 0.9, least: int = 3) -> list[Rule]:
+def learn(labelled: DataFrame, precision: float = 0.9, least: int = 3) -> list[Rule]:
     """The decision list from ``labelled`` (columns of :func:`counts` and ``bad`` 0/1, ``part``
-    0 to prune by or 1, 2 to grow by). A rule stays if, pruned, it covers ``least`` bad rows
-    of either part together and is ``precision`` precise on both parts; the first that fails
-    ends the list. No labels, or none bad: no rules."""
+    0 to prune by or 1, 2 to grow by). A rule grows as long as a condition gains information. It
+    stays if, pruned, it covers ``least`` bad rows of either part together and is ``precision``
+    precise on both parts. The rows of one that fails are set aside while the next is grown, and the
+    list ends when fewer than ``least`` bad rows are left to grow by or no condition gains: there
+    is no limit on rules or conditions. No labels, or none bad: no rules."""
     rules: list[Rule] = []
+    aside: list[Rule] = []
     grow, prune = labelled.filter("part <> 0"), labelled.filter("part = 0")
-    while len(rules) < max_rules:
+    while True:
         left = verdict(rules).isNull()
         rule: Rule = ()
-        g = grow.filter(left)
-        while len(rule) < max_conditions:
+        g = grow.filter(left & verdict(aside).isNull())
+        p0 = least
+        while p0 >= least:
             table = _table(g.filter(_holds(rule)))
             p0, n0 = (sum(x[i] for x in table[FEATURES[0]]) for i in (0, 1))
-            if not p0 or not n0 and rule:
+            if p0 < least or not n0 and rule:
                 break
             _, found = _best(table, p0, n0)
             if found is None:
                 break
             rule = (*rule, found)
         if not rule:
-            break
+            return rules
         # prune: the shortest prefix that is at least as good on rows the rule was not grown on
         prefixes = [rule[: k + 1] for k in range(len(rule))]
         sums = [F.sum(F.when(_holds(x), v)).alias(f"{name}{k}") for k, x in enumerate(prefixes) for name, v in (("p", F.col("bad")), ("n", 1 - F.col("bad")))]
-        seen, own = prune.filter(left).agg(*sums).first(), g.agg(*sums).first()
+        seen, own = prune.filter(left).agg(*sums).first(), grow.filter(left).agg(*sums).first()
         score = [((seen[f"p{k}"] or 0) + 1) / ((seen[f"p{k}"] or 0) + (seen[f"n{k}"] or 0) + 2) for k in range(len(rule))]
         k = max(range(len(rule)), key=lambda i: (score[i], -i))
         p, n, q, m = (x or 0 for x in (seen[f"p{k}"], seen[f"n{k}"], own[f"p{k}"], own[f"n{k}"]))
-        if p + q < least or q < precision * (q + m) or p < precision * (p + n):
-            break
-        rules.append(prefixes[k])
-    return rules
+        good = p + q >= least and q >= precision * (q + m) and p >= precision * (p + n)
+        rules.append(prefixes[k]) if good else aside.append(rule)
 
 
 def labelled(features: DataFrame, labels: DataFrame) -> DataFrame:
