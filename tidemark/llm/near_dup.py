@@ -269,18 +269,20 @@ def keep(docs: DataFrame) -> DataFrame:
     A row is decided by its own text: if a ``doc_id`` has several texts, or none is given (null), each
     text is a document of its own, which stands behind all others in its class. Of rows with the same
     ``doc_id`` and words one stays, that of the smallest hash of its columns."""
-    d = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("bigint").alias("id"), _words("text").alias("w"))
-    per = d.filter("w is not null").groupBy("id").agg(F.count("*").alias("n"), F.min("w").alias("x"), F.max("w").alias("y"))
-    per = saved(per.filter("n > 1 or id is null").select("id", (F.col("id").isNull() | (F.col("x") != F.col("y"))).alias("odd")))
-    n = per.count()
-    if n:  # ids that are not one row's: rows of several texts are numbered, behind all ids
-        per = F.broadcast(per) if n <= FEW else per
-        d = d.withColumnRenamed("id", "i").join(per, F.col("i").eqNullSafe(F.col("id")), "left").withColumn("odd", F.col("odd") & F.col("w").isNotNull())
+    few = lambda x, n: F.broadcast(x) if n <= FEW else x
+    d = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("bigint").alias("id"))
+    again = saved(d.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1 or id is null").select("id", F.lit(True).alias("again")))
+    n = again.count()
+    if n:  # ids that are not one row's: only their texts are compared here
+        d = d.withColumnRenamed("id", "i").join(few(again, n), F.col("i").eqNullSafe(F.col("id")), "left").drop("id")
+        some = d.filter("again").withColumn("w", _words("row.text"))
         # one text of one id may be a third of all rows: one of them stays, found by a pre-aggregated minimum
-        one = d.filter("odd is not null and w is not null").groupBy("i", "w", "odd").agg(F.min_by("row", F.xxhash64("row.*")).alias("row"))
+        one = saved(some.filter("w is not null").groupBy("i", "w").agg(F.min_by("row", F.xxhash64("row.*")).alias("row")))
+        several = one.groupBy("i").agg(F.count("*").alias("n")).filter("n > 1 or i is null").select(F.col("i").alias("j"), F.lit(True).alias("odd"))
+        one = one.join(few(several, n), F.col("i").eqNullSafe(F.col("j")), "left")
+        # rows of several texts are numbered, behind all ids
         one = saved(one.select("row", F.when(F.col("odd"), F.lit(1 << 62) + F.monotonically_increasing_id()).otherwise(F.col("i")).alias("id")))
-        d = d.filter("odd is null or w is null").select("row", F.when(F.col("w").isNotNull(), F.col("i")).alias("id")).unionByName(one)
-    else:
-        d = d.select("row", F.when(F.col("w").isNotNull(), F.col("id")).alias("id"))
+        bare = some.filter("w is null").select("row", F.lit(None).cast("bigint").alias("id"))
+        d = d.filter("again is null").select("row", F.col("i").alias("id")).unionByName(bare).unionByName(one)
     gone = classes(d.select(F.col("id").alias("doc_id"), "row.text")).filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
     return d.join(gone, F.col("id") == F.col("_gone"), "left_anti").select("row.*")
