@@ -237,3 +237,10 @@ def test_user_cogroup_reads_each_side_once(spark):
         CATALOG["g12_user_cogroup"][0](spark, SF_SMALL).explain("simple")
     p = buf.getvalue()
     assert p.count("FileScan") == 2 and p.count("Exchange") == 1
+
+
+def test_latest_rule_of_equal_versions(spark):
+    acts = spark.createDataFrame([("a", "x", 1), ("a", "y", 2), ("a", "z", 3)], "k string, act string, seq bigint")
+    for rules in ([("y", "z", 1), ("x", "y", 1)], [("x", "y", 1), ("y", "z", 1)]):
+        r = spark.createDataFrame(rules, "action1 string, action2 string, version int")
+        assert [x["seq"] for x in joins.rule_join(acts, r, "k", ["seq"], F.lit(0), "act", "latest").collect()] == [2]

@@ -297,10 +297,11 @@ def rule_join(
 ) -> DataFrame:
     """Emit (row, rule) where the key's previous action equals ``rules.action1`` and the
     current one ``rules.action2``. ``mode='all'`` checks every rule; ``mode='latest'`` only
-    the rule with the highest ``version`` (the reference's single broadcast slot, Q5).
+    the rule with the highest ``version`` (the reference's single broadcast slot, Q5), of equal
+    versions the first by its other columns.
     The rule table is broadcast after a bounded count."""
     if mode == "latest":
-        rules = rules.orderBy(F.col(version).desc()).limit(1)
+        rules = rules.orderBy(F.col(version).desc(), *[c for c in rules.columns if c != version]).limit(1)
     elif mode != "all":
         raise ValueError("mode must be 'all' or 'latest'")
     prev = keyed.lag(actions, [key], order, split, [action], 1, "prev")
