@@ -47,6 +47,10 @@ def ensure_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: Scratch folders of local sessions that name no shared one, by application.
+_SCRATCH: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession, sub: str | None = None) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
@@ -57,9 +61,11 @@ def checkpoint_dir(spark: SparkSession, sub: str | None = None) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
+        app = spark.sparkContext.applicationId
+        if app not in _SCRATCH:  # the setting itself cannot be changed in a running session
+            _SCRATCH[app] = tempfile.mkdtemp(prefix="tidemark-ckpt-")
+            spark.sparkContext.setCheckpointDir(_SCRATCH[app])
+        base = _SCRATCH[app]
     if sub:
         return base.rstrip("/") + "/" + sub
     return base
