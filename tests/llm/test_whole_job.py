@@ -4,10 +4,15 @@ import collections
 import random
 import re
 
+import duckdb
 import numpy as np
+import pytest
+from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
 from tidemark.llm import common, ctw, mixing, near_dup, queries, rules, secret_scan, topk
+from tidemark.llm.oracles import ORACLES
+from tools.check_oracle import _rows
 
 
 def spans(spark, *texts):
@@ -187,3 +192,13 @@ def test_pipeline_stages_against_plain(spark):
         want[r[0], r[3], len(ids), np.array(ids, "<u4").tobytes()] += n
     assert got == want
     assert collections.Counter(map(tuple, p.run(spark, sf).select("doc_id", "ids_sha256").collect())) == collections.Counter(map(tuple, made[4].select("doc_id", "ids_sha256").collect()))
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_matches_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+    got, exp = queries.QUERIES[name](spark, SF_SMALL).toPandas(), con.execute(ORACLES[name]).df()
+    assert sorted(got.columns) == sorted(exp.columns) and len(got) == len(exp) > 0
+    assert _rows(got) == _rows(exp)

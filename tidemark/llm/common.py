@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
+
 #: White space that separates words: space, tab, line feed, vertical tab, form feed, return.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -31,14 +32,7 @@ def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> Data
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, from ``spark.checkpoint.dir``. Only a local session
     (tests) that names none gets a scratch folder; elsewhere its absence is an error."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    base = tempfile.mkdtemp(prefix="tidemark-llm-")
-    spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    return checkpoint_dir(spark).rstrip("/")
 
 
 def saved(df: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""The operators as queries over the driver's tables, and SQL for those that it can express."""
+"""The operators as queries over the driver's tables; `oracles` holds SQL for those that it can express."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import alignment, bpe, ctw, line_dedup, mixing, near_dup, repeats, rules, secret_scan, sharding, token_files, topk, whitening
 from .common import documents, shared_dir
+from .oracles import ORACLES  # noqa: F401
 
 
 def tokenizer() -> tuple[str, str]:
@@ -89,5 +90,3 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_bpe, op3_suffix_dedup, op4_kd_sharding, op5_line_dedup, op6_lm_scoring, op7_mixing, op8_quality_rules, op9_topk, op10_near_dup, op11_whitening, op12_token_files, op13_alignment, pipeline)}
-
-ORACLES: dict[str, str] = {}

@@ -48,6 +48,8 @@ def _sliding_min(v: np.ndarray, w: int) -> np.ndarray:
 def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Gram fingerprint and place of each anchor of one text, and the first and last window it
     stands for."""
+    if len(data) > int(_PLACE):
+        raise ValueError(f"a text of {len(data)} bytes is longer than {int(_PLACE)}, the bound of a place")
     p = V.prefix(data)
     m = len(data) - GRAM + 1
     g = V.mix((p[GRAM:] - p[:m]) * V.powers(len(p))[1][:m])
