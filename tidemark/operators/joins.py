@@ -59,21 +59,15 @@ def cogroup(
     The two lists are returned in long form (no collected arrays): one row per member with
     ``side`` ('left'/'right'), its ``pos`` in its list (by ``order``), and the group's list
     sizes ``n_left`` / ``n_right``. Both sides must have the columns ``key, *order``.
-    Positions come from the slice-split running count (``split``, default: 1/60 of the
-    window), the sizes from a table with one row per group, so a hot group is not one task."""
+    Rows are shuffled once, by group, side and slice (``split``, default: 1/60 of the window); what
+    stands before a slice and the list sizes come from a table with one row per slice, so a hot
+    group is not one task."""
     cols = list(dict.fromkeys([key, ts, *order]))
     u = left.select(*cols, F.lit("left").alias("side")).unionByName(right.select(*cols, F.lit("right").alias("side")))
     u = u.withColumn("_w", F.window(ts, size))
-    group = F.struct(F.col(key).alias("k"), F.col("_w").alias("w")).alias("_g")
-    sizes = u.groupBy(group).agg(
-        F.count(F.when(F.col("side") == "left", 1)).alias("n_left"),
-        F.count(F.when(F.col("side") == "right", 1)).alias("n_right"),
-    )
     if split is None:
         split = floordiv(epoch_us(ts), max(duration_us(size) // 60, 1))
-    # one row per group, null keys included; AQE picks the join by run-time size and splits a
-    # skewed group's partition
-    u = keyed.row_number(u, [key, "_w", "side"], order, split, "pos").withColumn("_g", group).join(sizes, "_g")
+    u = keyed.positions(u, [key, "_w"], ["side"], order, split, "pos", {"n_left": F.col("side") == "left", "n_right": F.col("side") == "right"})
     rest = [c for c in cols if c != key]
     return u.select(
         key, F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),

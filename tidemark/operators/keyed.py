@@ -121,6 +121,29 @@ def row_number(
     return running(df, keys, order, split, {name: ("count", None)}, once=once)
 
 
+def positions(
+    df: DataFrame,
+    keys: Sequence[str],
+    parts: Sequence[str],
+    order: Sequence[str | Column],
+    split: str | Column,
+    name: str,
+    sizes: dict[str, Column],
+) -> DataFrame:
+    """1-based position of each row within its keys and ``parts`` (columns that divide a key's rows), and
+    how many rows of the whole key fulfil each of ``sizes`` (name -> condition). Rows are shuffled once;
+    both come from one table of a row per (key, part, slice)."""
+    keys, parts = list(keys), list(parts)
+    d = _keyed(df, [*keys, *parts], split)
+    whole = Window.partitionBy(F.struct(*[F.col(f"{KV}.{k}") for k in keys]))
+    before = Window.partitionBy(K).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    per = d.groupBy(KV).agg(F.count(F.lit(1)).alias("_n"), *[F.count(F.when(c, 1)).alias(f"_s_{n}") for n, c in sizes.items()])
+    per = _per_slice(per, [*keys, *parts], "_n", *[f"_s_{n}" for n in sizes])
+    per = per.select(KV, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"), *[F.sum(f"_s_{n}").over(whole).alias(n) for n in sizes])
+    d = d.withColumn("_rn", F.row_number().over(Window.partitionBy(KV).orderBy(*_cols(order))))
+    return _drop(d.join(per, KV).withColumn(name, F.col("_rn") + F.col("_before")), "_rn", "_before")
+
+
 def lag(
     df: DataFrame,
     keys: Sequence[str],
