@@ -1,6 +1,7 @@
 """Cases in which an operator once did less than its whole job."""
 
 import collections
+import hashlib
 import random
 import re
 
@@ -10,7 +11,7 @@ import pytest
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
-from tidemark.llm import common, ctw, mixing, near_dup, queries, rules, secret_scan, topk
+from tidemark.llm import common, ctw, mixing, near_dup, queries, repeats, rules, secret_scan, topk
 from tidemark.llm.oracles import ORACLES
 from tools.check_oracle import _rows
 
@@ -202,3 +203,26 @@ def test_query_matches_sql(spark, name):
     got, exp = queries.QUERIES[name](spark, SF_SMALL).toPandas(), con.execute(ORACLES[name]).df()
     assert sorted(got.columns) == sorted(exp.columns) and len(got) == len(exp) > 0
     assert _rows(got) == _rows(exp)
+
+
+def test_repeats_with_hot_texts_and_hot_passages(spark):
+    """Copies, and a passage that most texts hold, above and below the share at which a value is hot."""
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    passage, copy = word(430), word(500)
+    texts = [word(60) + passage + word(60) for _ in range(1500)] + [copy] * 1500 + [word(700)] * 2 + [word(900) for _ in range(200)] + ["", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    seen = {}
+    for t in texts:
+        for i in range(len(t or "") - 399):
+            seen[t[i : i + 400]] = seen.get(t[i : i + 400], 0) + 1
+    for r in repeats.report(docs).collect():
+        t = texts[r["doc_id"]] or ""
+        gone = [False] * len(t)
+        for i in range(len(t) - 399):
+            if seen[t[i : i + 400]] > 1:
+                gone[i : i + 400] = [True] * 400
+        kept = "".join(c for c, g in zip(t, gone) if not g)
+        spans = sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))
+        assert (r["n_bytes"], r["n_removed"], r["n_spans"]) == (len(t), sum(gone), spans)
+        assert r["kept_sha256"] == hashlib.sha256(kept.encode()).hexdigest()

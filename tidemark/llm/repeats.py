@@ -155,7 +155,7 @@ def merge_spans(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return lo[new], np.concatenate([hi[:-1][new[1:]], hi[-1:]])
 
 
-_CUT = "key binary, n_bytes bigint, spans array<struct<start:bigint,end:bigint>>, kept binary"
+_CUT = "key binary, copies bigint, n_bytes bigint, spans array<struct<start:bigint,end:bigint>>, kept binary"
 
 
 def _cut(batches):
@@ -171,8 +171,8 @@ def _cut(batches):
         for x, y in zip(lo, hi):
             stay[x:y] = False
         yield pa.RecordBatch.from_pydict(
-            {"key": [b.column(0)[i].as_py()], "n_bytes": [n], "spans": [[{"start": int(x), "end": int(y)} for x, y in zip(lo, hi)]], "kept": [data[stay].tobytes()]},
-            schema=pa.schema([("key", pa.binary()), ("n_bytes", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.binary())]),
+            {"key": [b.column(0)[i].as_py()], "copies": [b.column(2)[i].as_py()], "n_bytes": [n], "spans": [[{"start": int(x), "end": int(y)} for x, y in zip(lo, hi)]], "kept": [data[stay].tobytes()]},
+            schema=pa.schema([("key", pa.binary()), ("copies", pa.int64()), ("n_bytes", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.binary())]),
         )
 
 
@@ -187,8 +187,23 @@ def distinct_texts(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     return spark.table(name)
 
 
+#: A value of more than one in so many rows is hot; there are at most as many hot values.
+HOT = 1000
+
+
+def _that_repeat(rows: DataFrame, by: list[str], counts: DataFrame) -> DataFrame:
+    """The ``rows`` (a written table) whose values of ``by`` stand in ``counts`` (by, n) with n > 1. Rows of
+    hot values, of which there are fewer than HOT, stay where they are; the others meet in a
+    shuffle join, so no value brings more than one row in HOT to a task."""
+    again = counts.filter("n > 1")
+    least = rows.count() // HOT
+    hot = F.broadcast(saved(again.filter(F.col("n") > least).select(*by)))
+    cold = rows.join(hot, by, "left_anti").join(again.filter(F.col("n") <= least).select(*by), by)
+    return rows.join(hot, by, "left_semi").unionByName(cold)
+
+
 def repeats(docs: DataFrame) -> DataFrame:
-    """By text: key (16 bytes, :func:`text_key`), n_bytes, spans removed (maximal runs of bytes
+    """By text: key (16 bytes, :func:`text_key`), copies (rows of that text), n_bytes, spans removed (maximal runs of bytes
     covered by a window that also starts elsewhere) and the bytes kept.
 
     Null text is empty; a text under ``LENGTH`` bytes has no window. Repeated rows are copies
@@ -196,25 +211,32 @@ def repeats(docs: DataFrame) -> DataFrame:
     texts = distinct_texts(docs)
     thin = texts.select("key", "text")
     a = saved(thin.mapInArrow(_pass1, "g bigint, key binary, place int, first int, last int"))
-    again = a.groupBy("g").agg(F.count("*").alias("n")).filter("n > 1").select("g")
-    of_key = a.join(again, "g").groupBy("key").agg(F.collect_list(F.struct("place", "first", "last")).alias("at"))
+    again = _that_repeat(a, ["g"], a.groupBy("g").agg(F.count("*").alias("n")))
+    of_key = again.groupBy("key").agg(F.collect_list(F.struct("place", "first", "last")).alias("at"))
     r = saved(thin.join(of_key, "key").select("key", "text", "at").mapInArrow(_pass2, "core bigint, stretch bigint, key binary, first int, last int"))
     same = r.groupBy("core", "stretch").agg(F.count("*").alias("n"), F.min(F.struct("key", "first", "last")).alias("at"))
     # equal stretches repeat as they are; where a core has several, one of each goes on
     several = same.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1").select("core")
-    covered = r.join(same.filter("n > 1").select("core", "stretch"), ["core", "stretch"]).select("key", "first", "last")
+    covered = _that_repeat(r, ["core", "stretch"], same.select("core", "stretch", "n")).select("key", "first", "last")
     mixed = same.join(several, "core").select("at.*").groupBy("key").agg(F.collect_list(F.struct("first", "last")).alias("at"))
     w = saved(thin.join(mixed, "key").select("key", "text", "at").mapInArrow(_pass3, "w1 bigint, w2 bigint, key binary, first int"))
-    twice = w.groupBy("w1", "w2").agg(F.count("*").alias("n")).filter("n > 1").select("w1", "w2")
+    twice = _that_repeat(w, ["w1", "w2"], w.groupBy("w1", "w2").agg(F.count("*").alias("n")))
     spans = covered.select("key", F.col("first").cast("long").alias("lo"), (F.col("last").cast("long") + LENGTH).alias("hi"))
-    spans = spans.unionByName(w.join(twice, ["w1", "w2"]).select("key", F.col("first").cast("long").alias("lo"), (F.col("first").cast("long") + LENGTH).alias("hi")))
+    spans = spans.unionByName(twice.select("key", F.col("first").cast("long").alias("lo"), (F.col("first").cast("long") + LENGTH).alias("hi")))
     spans = spans.groupBy("key").agg(F.collect_list(F.struct("lo", "hi")).alias("at"))
     return texts.join(spans, "key", "left").select("key", "text", "copies", "at").mapInArrow(_cut, _CUT)
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
+    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256. Texts with very many copies
+    are few, and are brought to their rows; the other rows go to their texts."""
     r = repeats(docs)
     gone = F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"])
-    r = r.select("key", "n_bytes", gone.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
-    return docs.select("doc_id", text_key().alias("key")).join(r, "key").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    out = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    r = r.withColumn("n_removed", gone).withColumn("n_spans", F.size("spans").cast("long")).withColumn("kept_sha256", F.sha2("kept", 256))
+    r = saved(r.select("key", "copies", *out))
+    least = (r.agg(F.sum("copies")).first()[0] or 0) // HOT
+    hot = F.broadcast(r.filter(F.col("copies") > F.greatest(F.lit(least), F.lit(1))).select("key", *out))
+    d = docs.select("doc_id", text_key().alias("key"))
+    cold = d.join(hot, "key", "left_anti").join(r.filter(F.col("copies") <= F.greatest(F.lit(least), F.lit(1))).select("key", *out), "key")
+    return d.join(hot, "key").unionByName(cold).select("doc_id", *out)
