@@ -187,19 +187,21 @@ def distinct_texts(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     return spark.table(name)
 
 
-#: A value of more than one in so many rows is hot; there are at most as many hot values.
-HOT = 1000
+#: A value that holds more than one row in so many is hot: fewer values than this are. Their rows are
+#: dealt over PARTS tasks.
+HOT, PARTS = 1000, 64
 
 
 def _that_repeat(rows: DataFrame, by: list[str], counts: DataFrame) -> DataFrame:
-    """The ``rows`` (a written table) whose values of ``by`` stand in ``counts`` (by, n) with n > 1. Rows of
-    hot values, of which there are fewer than HOT, stay where they are; the others meet in a
-    shuffle join, so no value brings more than one row in HOT to a task."""
-    again = counts.filter("n > 1")
-    least = rows.count() // HOT
-    hot = F.broadcast(saved(again.filter(F.col("n") > least).select(*by)))
-    cold = rows.join(hot, by, "left_anti").join(again.filter(F.col("n") <= least).select(*by), by)
-    return rows.join(hot, by, "left_semi").unionByName(cold)
+    """The ``rows`` (a written table with key and first) whose values of ``by`` stand in ``counts`` (by, n)
+    with n > 1. Rows of a hot value are salted, and the value stands there once for each salt."""
+    again = saved(counts.filter("n > 1"))
+    is_hot = F.col("n") > rows.count() // HOT
+    hot = F.broadcast(again.filter(is_hot).select(*by, F.lit(True).alias("_hot")))
+    salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(0)))
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64("key", "first"), F.lit(PARTS)).cast("int")).otherwise(F.lit(0))
+    d = rows.join(hot, by, "left").withColumn("_salt", salt).drop("_hot")
+    return d.join(again.select(*by, F.explode(salts).alias("_salt")), [*by, "_salt"]).drop("_salt")
 
 
 def repeats(docs: DataFrame) -> DataFrame:
