@@ -244,3 +244,29 @@ def test_latest_rule_of_equal_versions(spark):
     for rules in ([("y", "z", 1), ("x", "y", 1)], [("x", "y", 1), ("y", "z", 1)]):
         r = spark.createDataFrame(rules, "action1 string, action2 string, version int")
         assert [x["seq"] for x in joins.rule_join(acts, r, "k", ["seq"], F.lit(0), "act", "latest").collect()] == [2]
+
+
+def test_counts_carry_their_keys_once(spark):
+    """The rows of a running count are shuffled with their keys in one column, and come back as they were."""
+    rows = [("a", 1, 5), (None, 2, 6), ("a", 2, 7), ("b", 2, 8), (None, 3, 9), ("a", 2, 7)]
+    df = spark.createDataFrame(rows, "word string, at int, x int")
+    d = keyed.row_number(df, ["word"], ["at"], F.col("at"), "cnt")
+    assert d.columns == ["word", "at", "x", "cnt"]
+    got = sorted(d.collect(), key=str)
+    assert got == sorted([("a", 1, 5, 1), ("a", 2, 7, 2), ("a", 2, 7, 3), ("b", 2, 8, 1), (None, 2, 6, 1), (None, 3, 9, 2)], key=str)
+    window = next(x for x in d._jdf.queryExecution().optimizedPlan().toString().split("Window [")[1:] if "_i_cnt" in x)
+    assert "word" not in window.split("Project [")[1].split("struct(")[0]
+
+
+def test_only_frequent_words_are_sliced(spark, tmp_path):
+    """The table of slices of a02 has a row per word, and a few for words in a large part of the rows."""
+    docs = [(i, "the " * 40 + f"w{i % 150} v{i % 150}\nthe") for i in range(300)] + [(None, "the x"), (7, "")]
+    spark.createDataFrame(docs, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    d = CATALOG["a02_running_word_count"][0](spark, str(tmp_path))
+    rows = d.collect()
+    assert len(rows) == 300 * 43 + 3 and len(set(rows)) == len(rows)
+    by_word: dict = {}
+    for r in sorted(rows, key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.line_no, r.pos)):
+        by_word[r.word] = by_word.get(r.word, 0) + 1
+        assert r.cnt == by_word[r.word]
+    assert "_tm_slice, CASE WHEN" in d._jdf.queryExecution().optimizedPlan().toString()

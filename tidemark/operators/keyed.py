@@ -79,9 +79,14 @@ def running(
     (``expr`` ignored for count). min/max accept structs, so ``("min", struct(ts, id, x))``
     is the running *first* row. With no ``keys`` the whole input is one sequence, still cut
     into slices; the per-slice table then has one row per slice.
+
+    Plain counts carry the keys in ``KV`` only: a shuffled and sorted row has each of them once.
     """
     keys = list(keys)
     d = _keyed(df, keys, split)
+    once_each = all(kind == "count" for kind, _ in aggs.values()) and all(isinstance(c, str) and c not in keys for c in order)
+    if once_each:
+        d = d.drop(*keys)
     if once:
         d = d.repartition(KV)
     w = Window.partitionBy(KV).orderBy(*_cols(order))
@@ -111,6 +116,8 @@ def running(
         else:
             v = F.greatest(i, p)
         out = out.withColumn(name, v).drop(f"_i_{name}", f"_p_{name}")
+    if once_each:
+        out = out.select(*[F.col(KV).getField(c).alias(c) if c in keys else F.col(f"`{c}`") for c in df.columns], *aggs)
     return _drop(out)
 
 

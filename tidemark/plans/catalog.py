@@ -105,9 +105,15 @@ SELECT doc_id, line_no, pos, word,
 FROM t""")
 def a02_running_word_count(spark, sf):
     toks = aggregate.tokens(_doc_lines(spark, sf), "line")
-    # slices of the order: document-id ranges, about sqrt(#documents) of them
+    # line and position are ints: one number for both, a smaller shuffle row
+    toks = toks.select("doc_id", (F.shiftleft("line_no", 32) + F.col("pos")).alias("at"), "word")
+    # slices of the order: document-id ranges, about sqrt(#documents) of them; only frequent words are sliced, so the
+    # table of slices has about a row per word
     docs = table(spark, sf, "documents").select("doc_id")
-    return aggregate.running_count(toks, ["word"], ["doc_id", "line_no", "pos"], keyed.range_split(docs, "doc_id"), "cnt", once=True)
+    is_hot = keyed.hot(toks, "word")
+    split = F.lit(0).cast("bigint") if is_hot is None else F.when(is_hot, keyed.range_split(docs, "doc_id")).otherwise(F.lit(0).cast("bigint"))
+    run = aggregate.running_count(toks, ["word"], ["doc_id", "at"], split, "cnt")
+    return run.select("doc_id", F.shiftright("at", 32).alias("line_no"), F.col("at").bitwiseAND((1 << 32) - 1).alias("pos"), "word", "cnt")
 
 
 @query("s06_parse_delimited", """
