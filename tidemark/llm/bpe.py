@@ -29,12 +29,16 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PART, PIECE = 4096, 48
-CACHE = 400_000
+#: Matches in each of the two generations of a worker's cache: some 20 MB each.
+CACHE = 100_000
+#: Rows, and characters of text, encoded at a time, as far as a row allows.
+ROWS, CHARS = 512, 1 << 22
 NONE = 1 << 60
 
 
@@ -195,8 +199,10 @@ def encode(docs: DataFrame, path: str, pattern: str, payload: Sequence[str] = ("
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path, pattern)
         for b in batches:
-            for at in range(0, b.num_rows, 512):
-                part = b.slice(at, 512)
+            size = np.cumsum(pc.fill_null(pc.utf8_length(b.column(len(payload))), 0).to_numpy(zero_copy_only=False)) // CHARS
+            cuts = sorted({*range(0, b.num_rows, ROWS), *(np.flatnonzero(np.diff(size)) + 1).tolist()})
+            for at, to in zip(cuts, [*cuts[1:], b.num_rows]):
+                part = b.slice(at, to - at)
                 ids = [enc.encode(t) if t else b"" for t in part.column(len(payload)).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [
