@@ -337,3 +337,31 @@ def test_pipeline_stages_keep_columns(spark):
         if i < len(p.STAGES) - 1:
             assert out.columns == d.columns
         d = out
+
+
+def test_parities_tell_long_lines_apart(spark):
+    """Lines of 100 words that share a fifth of them don't fit each other; with 64 parities some did."""
+    rng = random.Random(5)
+    common = [f"c{i}" for i in range(20)]
+    docs = spark.createDataFrame([(i, i, " ".join(common + [f"w{rng.randrange(10**9)}" for _ in range(80)])) for i in range(60)], "doc_id bigint, row bigint, text string")
+    counts = spark.sparkContext.broadcast(line_dedup.rarity(docs))
+    sets = docs.mapInArrow(line_dedup._lines(counts), line_dedup._LINES).select("doc_id", "size", "sketch", "sketch2").cache()
+    pairs = sets.toDF("a", "sx", "kx", "lx").crossJoin(sets.toDF("b", "sy", "ky", "ly")).filter("a > b")
+    assert pairs.filter(line_dedup._sizes_fit(["kx", "lx"], ["ky", "ly"], F.col("sx"), F.col("sy"))).count() == 0
+    assert pairs.filter("bit_count(kx ^ ky ^ lx ^ ly) * 175 <= 25 * (sx + sy)").count() > 0  # as with one word
+    # equal words, whatever their order and number, have equal parities
+    assert sets.filter("bit_count(sketch) + bit_count(sketch2) > size").count() == 0
+
+
+def test_encoder_cache_is_bounded_and_parts_keep_rows(spark, monkeypatch):
+    """Batches are cut by rows and by characters, and no row is lost or moved."""
+    import public_tokenizers
+
+    args = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    assert bpe.CACHE * 2 <= 200_000
+    texts = ["a b c " * k for k in range(40)] + [None, "", "x" * 5000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    monkeypatch.setattr(bpe, "ROWS", 7)
+    monkeypatch.setattr(bpe, "CHARS", 300)
+    got = bpe.encode(docs, *args).select("doc_id", F.col("decoded").cast("string").alias("t")).collect()
+    assert [(r.doc_id, r.t) for r in got] == [(i, t or "") for i, t in enumerate(texts)]

@@ -3,8 +3,8 @@
 A line is the set of its words. In every line the words are ordered by rarity; two lines of
 similarity ``t`` or more share a word among the first ``size - ceil(t * size) + 1`` of both (prefix
 filter), their sizes differ by at most a factor ``t`` (length filter), and the words behind the
-prefix must be able to make up what the shared ones leave of the overlap (positional filter). A word of parities for
-each line bounds from below how many words are in one of the two only. Pairs that pass are
+prefix must be able to make up what the shared ones leave of the overlap (positional filter). Two words of parities for
+each line bound from below how many words are in one of the two only. Pairs that pass are
 verified on the lines' words, and the later line goes.
 
 Any fixed order of words is exact; rarity only keeps prefixes selective. It comes from counts of
@@ -81,7 +81,7 @@ def _prefix(size: np.ndarray) -> np.ndarray:
     return np.minimum(size, size + (-PERCENT * size) // 100 + SHARED)  # size - ceil(t * size) + SHARED
 
 
-_LINES = "doc_id bigint, row bigint, line int, s1 bigint, s2 bigint, size int, sketch bigint, prefix array<int>"
+_LINES = "doc_id bigint, row bigint, line int, s1 bigint, s2 bigint, size int, sketch bigint, sketch2 bigint, prefix array<int>"
 
 
 def _lines(counts):
@@ -107,7 +107,8 @@ def _lines(counts):
                 size = np.diff(np.concatenate([start, [len(h2)]]))
                 s1 = np.add.reduceat(V.mix(h2 + V.BASE), start)
                 s2 = np.add.reduceat(V.mix(h2 ^ V.BASE2), start)
-                sketch = np.bitwise_xor.reduceat(np.uint64(1) << (h2 >> np.uint64(58)), start)
+                bit, low = np.uint64(1) << ((h2 >> np.uint64(57)) & np.uint64(63)), h2 >> np.uint64(63) == 0
+                sketch, sketch2 = (np.bitwise_xor.reduceat(np.where(half, bit, np.uint64(0)), start) for half in (low, ~low))
                 n = _prefix(size)
                 at = np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
                 first = np.flatnonzero(new)
@@ -120,9 +121,10 @@ def _lines(counts):
                         pa.array(s2.view(np.int64)),
                         pa.array(size.astype(np.int32)),
                         pa.array(sketch.view(np.int64)),
+                        pa.array(sketch2.view(np.int64)),
                         pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array((h2[at] >> np.uint64(32)).astype(np.uint32).view(np.int32))),
                     ],
-                    names=["doc_id", "row", "line", "s1", "s2", "size", "sketch", "prefix"],
+                    names=["doc_id", "row", "line", "s1", "s2", "size", "sketch", "sketch2", "prefix"],
                 )
 
     return work
@@ -150,11 +152,12 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
 
-def _sizes_fit(x: str, y: str, sx: Column, sy: Column) -> Column:
+def _sizes_fit(x: list[str], y: list[str], sx: Column, sy: Column) -> Column:
     """Length filter, and the words in one line only: at most (1 - t) / (1 + t) of the sizes, at
-    least what the parities show."""
+    least what the parities show (two words of 64 for each line)."""
     fit = F.lit(100) * F.least(sx, sy) >= F.lit(PERCENT) * F.greatest(sx, sy)
-    return fit & (F.bit_count(F.col(x).bitwiseXOR(F.col(y))) * F.lit(100 + PERCENT) <= F.lit(100 - PERCENT) * (sx + sy))
+    odd = sum(F.bit_count(F.col(p).bitwiseXOR(F.col(q))) for p, q in zip(x, y))
+    return fit & (odd * F.lit(100 + PERCENT) <= F.lit(100 - PERCENT) * (sx + sy))
 
 
 def _enough_shared() -> Column:
@@ -168,9 +171,9 @@ def _enough_shared() -> Column:
 
 def _filtered(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) that pass the filters on sizes, parities and shared prefix words."""
-    of = sets.select("id", "size", "sketch", "prefix")
-    p = pairs.join(of.toDF("a", "sx", "kx", "wx"), "a").join(of.toDF("b", "sy", "ky", "wy"), "b")
-    p = p.filter(_sizes_fit("kx", "ky", F.col("sx"), F.col("sy")))
+    of = sets.select("id", "size", "sketch", "sketch2", "prefix")
+    p = pairs.join(of.toDF("a", "sx", "kx", "lx", "wx"), "a").join(of.toDF("b", "sy", "ky", "ly", "wy"), "b")
+    p = p.filter(_sizes_fit(["kx", "lx"], ["ky", "ly"], F.col("sx"), F.col("sy")))
     # shared prefix words; those of one line with equal numbers count apart
     n = F.size(F.array_intersect("wx", "wy")) + F.size("wx") - F.size(F.array_distinct("wx"))
     return p.withColumn("n", n).filter(_enough_shared()).select("a", "b", "n")
@@ -210,7 +213,7 @@ def later_lines(docs: DataFrame) -> DataFrame:
     d = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), row_key().alias("row"), F.coalesce("text", F.lit("")).alias("text"))
     lines = saved(d.mapInArrow(_lines(counts), _LINES))
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "line")
-    sets = lines.groupBy("s1", "s2").agg(F.min(place).alias("at"), F.count("*").alias("n"), F.first("size").alias("size"), F.first("sketch").alias("sketch"), F.first("prefix").alias("prefix"))
+    sets = lines.groupBy("s1", "s2").agg(F.min(place).alias("at"), F.count("*").alias("n"), F.first("size").alias("size"), F.first("sketch").alias("sketch"), F.first("sketch2").alias("sketch2"), F.first("prefix").alias("prefix"))
     # numbered in order of their first places: of two lines the one of the greater id is the later
     sets = saved(sets.orderBy("at").withColumn("id", F.monotonically_increasing_id()))
 
@@ -225,9 +228,9 @@ def later_lines(docs: DataFrame) -> DataFrame:
 
     # the others against all that are earlier
     index = sets.join(gone.withColumn("done", F.lit(True)), "id", "left")
-    index = index.select("id", "size", "sketch", F.coalesce("done", F.lit(False)).alias("done"), F.posexplode("prefix").alias("pos", "token"))
+    index = index.select("id", "size", "sketch", "sketch2", F.coalesce("done", F.lit(False)).alias("done"), F.posexplode("prefix").alias("pos", "token"))
     # one number for size, done and place: a smaller shuffle row
-    index = index.select("token", "id", "sketch", F.expr("(size * 2L + cast(done as int)) * 2147483648L + pos").alias("sp"))
+    index = index.select("token", "id", "sketch", "sketch2", F.expr("(size * 2L + cast(done as int)) * 2147483648L + pos").alias("sp"))
     x, y = index.alias("x"), index.alias("y")
     sx, sy = (F.expr(f"shiftright({t}.sp, 32)") for t in "xy")
     px, py = (F.expr(f"{t}.sp & 2147483647") for t in "xy")
@@ -235,7 +238,7 @@ def later_lines(docs: DataFrame) -> DataFrame:
         (F.col("x.token") == F.col("y.token"))
         # the later one is not settled yet (one condition on both sides: one shuffle serves them)
         & F.when(F.col("x.id") > F.col("y.id"), F.expr("(shiftright(x.sp, 31) & 1) = 0")).otherwise(F.lit(False))
-        & _sizes_fit("x.sketch", "y.sketch", sx, sy)
+        & _sizes_fit(["x.sketch", "x.sketch2"], ["y.sketch", "y.sketch2"], sx, sy)
         # of an overlap of t / (1 + t) of the sizes, the k-th shared word has all but k - 1 behind it
         & ((F.least(sx - px, sy - py) + F.lit(SHARED - 1)) * F.lit(100 + PERCENT) >= F.lit(PERCENT) * (sx + sy))
     )
