@@ -5,6 +5,7 @@ and fires every timer (Q16); it is removed from the results."""
 import datetime as dt
 import os
 import tempfile
+import uuid
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -590,3 +591,87 @@ def test_user_process_state_survives_a_restart(spark):
     run(1, [15_000, 13_000, 40_000])
     got = [(r["us"] // 1000 - base, r["pv"]) for r in spark.read.parquet(out).orderBy("us").collect()]
     assert got == [(10_000, 2), (20_000, 5), (30_000, 5)]
+
+
+def test_replayed_parts_are_written_in_parallel(spark):
+    """Each part is one micro-batch of as many files as tasks read the table, a part of few rows included."""
+    from tidemark.streaming import replay
+
+    df = spark.range(0, 90, 1, 4).withColumnRenamed("id", "n")
+    s = replay.as_stream(df, F.when(F.col("n") < 50, 0).when(F.col("n") < 52, 1).otherwise(2), 3)
+    q = s.writeStream.format("memory").queryName(f"replay_{uuid.uuid4().hex}").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert [p["numInputRows"] for p in q.recentProgress] == [50, 2, 38]
+    assert sorted(r.n for r in spark.table(q.name).collect()) == list(range(90))
+
+
+def test_rows_that_wait_are_not_read_again():
+    """While nothing of a key is due its rows are added to those waiting; due timers run in order, equal ones once."""
+    import pandas as pd
+
+    from tidemark.streaming import process
+
+    class Fake:
+        def __init__(self):
+            self.v, self.reads = None, 0
+
+        def exists(self):
+            return self.v is not None
+
+        def get(self):
+            self.reads += 1
+            return self.v if isinstance(self.v, tuple) else iter(self.v or [])
+
+        def appendList(self, x):
+            self.v = (self.v or []) + x
+
+        def put(self, x):
+            self.v = list(x)
+
+        def update(self, x):
+            self.v = x
+
+        def clear(self):
+            self.v = None
+
+    class Value(Fake):
+        def get(self):
+            return self.v
+
+    class Handle:
+        def __init__(self):
+            self.lists, self.alarms = {}, set()
+
+        def getListState(self, n, _):
+            return self.lists.setdefault(n, Fake())
+
+        def getValueState(self, n, _):
+            return self.lists.setdefault(n, Value())
+
+        getMapState = getListState
+
+        def registerTimer(self, t):
+            self.alarms.add(t)
+
+        def deleteTimer(self, t):
+            self.alarms.discard(t)
+
+        def listTimers(self):
+            return list(self.alarms)
+
+    class Mark:
+        def __init__(self, ms):
+            self.getCurrentWatermarkInMs = lambda: ms
+
+    h, p = Handle(), process._Processor(process.EventTimer(5000), ["kind", "us"])
+    p.init(h)
+    batch = lambda us: iter([pd.DataFrame({"us": us, "seq": range(len(us)), "x": ["{}"] * len(us)})])
+    for us in ([9000, 20000], [7000], [7000, 30000]):
+        assert [x for d in p.handleInputRows(("k",), batch(us), Mark(0)) for x in d.values.tolist()] == []
+    assert h.lists["_waiting"].reads == 0 and h.alarms == {7}
+    got = [tuple(x) for d in p.handleInputRows(("k",), batch([13000]), Mark(15)) for x in d.values.tolist()]
+    assert got == [("k", "arrival", 7000), ("k", "arrival", 7000), ("k", "arrival", 9000), ("k", "timer", 12000), ("k", "arrival", 13000), ("k", "timer", 14000)]
+    assert h.alarms == {18}
+    got = [tuple(x) for d in p.handleExpiredTimer(("k",), Mark(100), None) for x in d.values.tolist()]
+    assert got == [("k", "timer", 18000), ("k", "arrival", 20000), ("k", "timer", 25000), ("k", "arrival", 30000), ("k", "timer", 35000)]
+    assert h.alarms == set() and not h.lists["_waiting"].exists() and not h.lists["_timers"].exists()

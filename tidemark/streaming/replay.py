@@ -1,4 +1,4 @@
-"""A table as a file stream: its rows written in order as files that a stream reads one a micro-batch."""
+"""A table as a file stream: its rows written in parts, in order, and a stream that reads one part a micro-batch."""
 
 from __future__ import annotations
 
@@ -10,15 +10,20 @@ from tidemark.session import checkpoint_dir
 
 
 def as_stream(df: DataFrame, part: Column, parts: int) -> DataFrame:
-    """A stream over the rows of ``df``, those with ``part`` = 0 first, then 1, up to ``parts`` - 1. Each part is
-    a folder's worth of files in the shared folder; parts are written one after the other, as the
-    file source takes files by their time."""
+    """A stream over the rows of ``df``, those with ``part`` = 0 first, then 1, up to ``parts`` - 1: a part is a
+    micro-batch. Each is written by as many tasks as read ``df``, into as many files in the shared folder; parts
+    are written one after the other, as the file source takes files by their time."""
     spark = df.sparkSession
     folder = checkpoint_dir(spark, f"replay/{uuid.uuid4().hex}")
+    n = max(min(df.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism), 1)
     d = df.withColumn("_part", part)
     for i in range(parts):
-        d.filter(d["_part"] == i).drop("_part").coalesce(1).write.mode("append").parquet(folder)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        p = d.filter(d["_part"] == i).drop("_part")
+        (p.coalesce(1) if n == 1 else p.repartition(n)).write.mode("append").parquet(folder)
+        if n > 1 and i < parts - 1:  # a part of few rows has fewer files: empty ones make up for them
+            for _ in range(n * (i + 1) - len(spark.read.schema(df.schema).parquet(folder).inputFiles())):
+                p.limit(0).coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", n).parquet(folder)
 
 
 def finished(stream: DataFrame, mode: str = "append") -> DataFrame:
