@@ -93,6 +93,26 @@ def _frames(data):
     return out
 
 
+def test_words_are_cut_and_asked_for_once(monkeypatch):
+    """Plain texts are cut into pieces without the pattern, and a repeated word that is not plain is encoded once."""
+    encode, rng = vocabularies.Dropping(vocabularies.read(WORDS)), random.Random(5)
+    found = vocabularies.plain_pattern(vocabularies.CONTRACTED)
+    for n in range(3000):
+        text = "".join(rng.choices("'''strevlmdzSTz9 0,-\n\t\x0bñſŉĸ_×÷", k=n % 17))
+        if not {"×", "÷"} & set(text):
+            assert vocabularies.contracted(text.lower().encode()) == [p.encode() for p in found(text.lower())], text
+        assert encode(text.encode()) == np.array(word_ids_of(text), "<u4").tobytes(), text
+    asked, whole = [], encode._whole
+    monkeypatch.setattr(encode, "_whole", lambda data: asked.append(data) or whole(data))
+    text = "日本 дом, it's ﬁx дом, 日本 \u0301x дом, " * 50
+    assert encode(text.encode()) == np.array(word_ids_of(text), "<u4").tobytes()
+    assert sorted(asked) == sorted({w.encode() for w in "日本 дом, ﬁx \u0301x".split()})
+
+
+def word_ids_of(text, tok=Tokenizer.from_file(WORDS)):
+    return tok.encode(text, add_special_tokens=False).ids
+
+
 def test_fetch_opens_only_what_is_asked_for(spark, docs):
     folder = tempfile.mkdtemp(prefix="run-") + "/files"
     token_files.write(docs, folder, WORDS, 1, 1 << 14)

@@ -10,6 +10,7 @@ import re
 from collections.abc import Callable, Iterable
 from functools import lru_cache
 from json import loads
+from typing import AnyStr
 
 import numpy as np
 
@@ -113,16 +114,24 @@ class Direct:
 
 
 class Dropping(Direct):
-    """Of a vocabulary that drops white space: in a text that is not plain, words that are go the short way, as
-    no token and no normalization crosses ASCII white space, which is neither composed nor cased."""
+    """Of a vocabulary that drops white space: in a text that is not plain, words go one by one and one that
+    was met before is only looked up, as no token and no normalization crosses ASCII white space, which is
+    neither composed nor cased. Pieces are bytes here."""
 
     def __init__(self, json: bytes):
         super().__init__(json, "<u4", _dropping_pattern(loads(json)), True, True)
+        self.words = _Pieces(self._word)
+
+    def _piece(self, piece: bytes) -> bytes:
+        return super()._piece(piece.decode())
+
+    def _word(self, data: bytes) -> bytes:
+        return b"".join(map(self.known.__getitem__, self.find(data.lower()))) if plain(data) else self._whole(data)
 
     def __call__(self, data: bytes) -> bytes:
-        if self.find is None or plain(data) or any(m in data for m in self.marks):
-            return super().__call__(data)
-        return b"".join([super(Dropping, self).__call__(w) for w in data.split()])
+        if self.find is None or any(m in data for m in self.marks):
+            return self._whole(data)
+        return self._word(data) if plain(data) else b"".join(map(self.words.__getitem__, data.split()))
 
 
 def plain(data: bytes) -> bool:
@@ -134,13 +143,13 @@ _PLAIN = bytes([*range(9, 14), *range(0x20, 0x7F), *range(0x80, 0xC0), 0xC3, 0xC
 
 
 class _Pieces(dict):
-    """piece -> ids; what two generations of others have not asked for goes."""
+    """piece or word -> ids; what two generations of others have not asked for goes."""
 
-    def __init__(self, make: Callable[[str], bytes]):
+    def __init__(self, make: Callable[[AnyStr], bytes]):
         super().__init__()
         self.make, self.old = make, {}
 
-    def __missing__(self, piece: str) -> bytes:
+    def __missing__(self, piece: AnyStr) -> bytes:
         ids = self.old.get(piece)
         if ids is None:
             ids = self.make(piece)
@@ -162,8 +171,8 @@ def plain_pattern(pattern: str):
 
 
 def _dropping_pattern(spec: dict):
-    """All matches of the vocabulary's splitting pattern, where its steps are those known here; else None,
-    and the library does all."""
+    """All matches of the vocabulary's splitting pattern in the bytes of a plain text, where its steps are
+    those known here; else None, and the library does all."""
     normal, split = spec["normalizer"] or {}, spec["pre_tokenizer"] or {}
     steps = [n["type"] for n in normal.get("normalizers", [])]
     spaces = [n for n in normal.get("normalizers", []) if n["type"] == "Replace"]
@@ -175,7 +184,42 @@ def _dropping_pattern(spec: dict):
     pattern = parts[0]["pattern"].get("Regex")
     if pattern is None or parts[0]["behavior"] != "Removed" or not parts[0]["invert"]:
         return None
-    return plain_pattern(pattern)
+    found = plain_pattern(pattern)
+    if found is None:
+        return None
+    by_pattern = lambda data: [p.encode() for p in found(data.decode())]
+    return by_pattern if pattern != CONTRACTED else lambda data: by_pattern(data) if any(x in data for x in _NO_LETTERS) else contracted(data)
+
+
+#: Contractions, runs of letters, single digits, runs of all others but white space.
+CONTRACTED = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+#: The signs of multiplication and division: no letters, but spelled like them.
+_NO_LETTERS = (b"\xc3\x97", b"\xc3\xb7")
+_SPACE, _LETTER, _DIGIT, _OTHER = range(4)
+_KIND = np.array([_SPACE if b == 32 or 9 <= b <= 13 else _LETTER if b >= 128 or chr(b).isalpha() else _DIGIT if chr(b).isdigit() else _OTHER for b in range(256)], np.uint8)
+_ONE, _TWO = np.isin(np.arange(256), list(b"stmd")), (b"re", b"ve", b"ll")
+
+
+def contracted(data: bytes) -> list[bytes]:
+    """All matches of CONTRACTED in a plain text in lower case without _NO_LETTERS: the text is cut
+    wherever a match ends."""
+    b = np.frombuffer(data, np.uint8)
+    kind = _KIND[b]
+    ends = (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)  # of a match, behind each byte but the last
+    if b"'" in data:
+        at = np.flatnonzero((b[:-1] == 39) & np.concatenate([[True], kind[:-1] != _OTHER])[:-1])
+        one = _ONE[b[at + 1]]
+        for q, n in [(at[one], 1)] + [(at[~one][[data.startswith(_TWO, q + 1) for q in at[~one].tolist()]], 2)]:
+            ends[q] = False
+            ends[(q + n)[q + n < len(ends)]] = True
+    ends &= (kind[1:] != _SPACE) & (kind[:-1] != _SPACE)
+    at = np.flatnonzero(ends)
+    if not len(at):
+        return data.split()
+    out, use = np.full(len(b) + len(at), 32, np.uint8), np.ones(len(b) + len(at), bool)
+    use[at + np.arange(1, len(at) + 1)] = False
+    out[use] = b
+    return out.tobytes().split()
 
 
 def _shown() -> dict[int, str]:
