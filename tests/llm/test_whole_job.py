@@ -226,3 +226,40 @@ def test_repeats_with_hot_texts_and_hot_passages(spark):
         spans = sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))
         assert (r["n_bytes"], r["n_removed"], r["n_spans"]) == (len(t), sum(gone), spans)
         assert r["kept_sha256"] == hashlib.sha256(kept.encode()).hexdigest()
+
+
+def smallest(ids, pairs):
+    """The smallest id reachable from each."""
+    low = {i: i for i in ids}
+    for _ in ids:
+        for a, b in pairs:
+            low[a] = low[b] = min(low[a], low[b])
+    return low
+
+
+def test_near_copies_across_components(spark, monkeypatch):
+    """Links that only the step across components finds, and the size of that step's plan, which the driver holds."""
+    rng = random.Random(8)
+    words, rows = [f"w{i}" for i in range(60)], []
+    for k in range(80):  # a drifting text
+        words[rng.randrange(60)] = f"v{k}"
+        rows.append((1000 - k, " ".join(words)))
+    rows += [(2000 + k, " ".join(f"u{k}_{i}" for i in range(30))) for k in range(20)]
+    plans, links, confirmed = [], [], near_dup._confirmed
+
+    def noted(pairs, docs, nodes):
+        plans.append(pairs._jdf.queryExecution().executedPlan().toString())
+        found = confirmed(pairs, docs, nodes).filter(F.col("a") % 2 == 0 if few and len(plans) == 1 else F.lit(True))
+        links.extend(tuple(r) for r in found.collect())
+        return found
+
+    monkeypatch.setattr(near_dup, "_confirmed", noted)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    sets = {d: near_dup.shingles(t) for d, t in rows}
+    brute = [(d, e) for d, x in sets.items() for e, y in sets.items() if d > e and 100 * len(x & y) >= 75 * len(x | y)]
+    for few in (False, True):  # with half of the links to leaders left out, the step across components has work
+        plans.clear(), links.clear()
+        got = {r["doc_id"]: r["component_id"] for r in near_dup.report(docs).collect()}
+        assert len(plans) == 2 and plans[1].count("Join") <= 6
+        assert got == smallest(sets, links) and set(links) <= set(brute)
+        assert few or got == smallest(sets, brute)

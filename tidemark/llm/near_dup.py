@@ -79,12 +79,12 @@ def _sketches(m: np.ndarray) -> np.ndarray:
     return np.packbits(odd.reshape(len(m), SKETCH), axis=1)
 
 
-def _whole(h: np.ndarray) -> bytes:
+def _whole(h: np.ndarray) -> np.ndarray:
     """Parities of all shingles, in WHOLE bits."""
-    return np.packbits((np.bincount((h >> np.uint64(20)).astype(np.int64) % WHOLE, minlength=WHOLE) & 1).astype(np.uint8)).tobytes()
+    return np.packbits((np.bincount((h >> np.uint64(20)).astype(np.int64) % WHOLE, minlength=WHOLE) & 1).astype(np.uint8))
 
 
-SIGNED = "doc_id bigint, key binary, n_shingles bigint, bands array<bigint>, sketch binary, whole binary"
+SIGNED = "doc_id bigint, key binary, n_shingles bigint, bands array<bigint>, sketch array<bigint>, whole array<bigint>"
 
 
 def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,15 +115,13 @@ def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     m[d] = signature(h, a, b)
                 piece = slice(o[d], o[d + 1])
                 keys.append(hashlib.sha256(flat[piece][use[piece]].tobytes().rstrip(b" ")).digest()[:16])
-            bands, sk = _bands(m).view(np.int64), _sketches(m)
+            bands, sk, whole = _bands(m).view(np.int64), _sketches(m).view(np.int64), np.stack(whole).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
                     ids.slice(i, j - i).cast(pa.int64()),
                     pa.array(keys, pa.binary()),
                     pa.array(n, pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(np.arange(0, (j - i + 1) * BANDS, BANDS), pa.int32()), pa.array(bands.ravel())),
-                    pa.array([x.tobytes() for x in sk], pa.binary()),
-                    pa.array(whole, pa.binary()),
+                    *[pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array(x.ravel())) for x in (bands, sk, whole)],
                 ],
                 names=["doc_id", "key", "n_shingles", "bands", "sketch", "whole"],
             )
@@ -159,9 +157,8 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _longs(c: str, n: int) -> list[Column]:
-    """The first ``n`` bits of a binary column as plain, non-null numbers."""
-    word = lambda i: F.conv(F.hex(F.substring(c, 8 * i + 1, 8)), 16, -10).cast("bigint")
-    return [F.coalesce(word(i), F.lit(0).cast("bigint")).alias(f"{c}{i}") for i in range(n // 64)]
+    """The first ``n`` bits of an array of numbers as plain, non-null columns."""
+    return [F.coalesce(F.get(c, F.lit(i)), F.lit(0).cast("bigint")).alias(f"{c}{i}") for i in range(n // 64)]
 
 
 def _bits(x: str, y: str, c: str, n: int) -> Column:
@@ -217,14 +214,15 @@ def classes(docs: DataFrame) -> DataFrame:
     stars = members.select("node", F.explode("leaders").alias("b")).filter("node <> b")
     stars = stars.select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct()
     stars = saved(_plausible(stars, nodes))
-    links = _confirmed(stars, docs, nodes)
-    comp = components(links)
+    comp = saved(components(_confirmed(stars, docs, nodes)))
 
-    # what is left: members of a bucket in different components
+    # what is left: members of a bucket in different components (written before they are joined with themselves:
+    # plans that hold all these steps twice take hundreds of MB of the driver)
     at = members.select("bucket", "node").join(comp.withColumnRenamed("id", "node"), "node", "left")
     at = at.select("bucket", "node", F.coalesce("component", "node").alias("component"))
     split = at.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("bucket")
-    rest = at.join(split, "bucket").join(nodes.select("node", "n_shingles", *_longs("sketch", SKETCH), *_longs("whole", WHOLE)), "node")
+    rest = saved(at.join(split, "bucket"))
+    rest = rest.join(nodes.select("node", "n_shingles", *_longs("sketch", SKETCH), *_longs("whole", WHOLE)), "node")
     x, y = rest.alias("x"), rest.alias("y")
     near = (
         (F.col("x.bucket") == F.col("y.bucket"))
@@ -237,9 +235,12 @@ def classes(docs: DataFrame) -> DataFrame:
     cross = x.join(y, near).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
     cross = cross.join(stars, ["a", "b"], "left_anti")
     more = _confirmed(cross, docs, nodes)
-    comp = components(links.unionByName(more))
-    whole = nodes.select("key", "node").join(comp.withColumnRenamed("id", "node"), "node", "left")
-    whole = whole.select("key", F.coalesce("component", "node").alias("component_id"))
+    # these links join whole components, each of which is named by its smallest id
+    at = comp.withColumnRenamed("id", "node")
+    ends = more.join(at.toDF("a", "x"), "a", "left").join(at.toDF("b", "y"), "b", "left")
+    joined = saved(components(ends.select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b"))).toDF("component", "least"))
+    whole = nodes.select("key", "node").join(at, "node", "left").select("key", F.coalesce("component", "node").alias("component"))
+    whole = whole.join(joined, "component", "left").select("key", F.coalesce("least", "component").alias("component_id"))
     out = signed.select("doc_id", "key", "n_shingles").join(whole, "key", "left")
     # rows without words, or without an id
     own = F.when(F.col("doc_id").isNull() | (F.col("n_shingles") == 0), F.col("doc_id")).otherwise(F.col("component_id"))
