@@ -365,3 +365,26 @@ def test_encoder_cache_is_bounded_and_parts_keep_rows(spark, monkeypatch):
     monkeypatch.setattr(bpe, "CHARS", 300)
     got = bpe.encode(docs, *args).select("doc_id", F.col("decoded").cast("string").alias("t")).collect()
     assert [(r.doc_id, r.t) for r in got] == [(i, t or "") for i, t in enumerate(texts)]
+
+
+def test_near_copies_are_not_listed_pair_by_pair(spark, monkeypatch):
+    """Lines of one group, each with rare words of its own: no step keeps a row for each pair, and
+    the result is that of comparing all."""
+    rng = random.Random(11)
+    lines = []
+    for i in range(400):
+        w = [f"c{k}" for k in range(40)]
+        for k in rng.sample(range(40), rng.choice([1, 2, 3, 4])):
+            w[k] = f"r{i}x{k}"
+        lines.append(w)
+    wide = [f"w{i}" for i in range(400)]
+    lines += [rng.sample(wide, 200) for _ in range(8)] + [wide[:200], wide[:190], wide[:150], wide[30:200]]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(lines)], "doc_id bigint, text string")
+    sizes, save = [], line_dedup.saved
+    monkeypatch.setattr(line_dedup, "saved", lambda df: (out := save(df), sizes.append(out.count()))[0])
+    got = {r.doc_id for r in line_dedup.report(docs).filter("n_removed > 0").collect()}
+    sets = [set(w) for w in lines]
+    assert got == {i for i, x in enumerate(sets) if any(100 * len(x & y) >= 75 * len(x | y) for y in sets[:i])}
+    fit = sum(len(x & y) * 175 >= 75 * (len(x) + len(y)) for i, x in enumerate(sets) for y in sets[:i])
+    prefix = sum(len(x) // 4 + 1 for x in sets)
+    assert fit > prefix >= max(sizes) / 2  # at most two rows for each prefix word

@@ -2,19 +2,25 @@
 
 A line is the set of its words. In every line the words are ordered by rarity; two lines of
 similarity ``t`` or more share a word among the first ``size - ceil(t * size) + 1`` of both (prefix
-filter), their sizes differ by at most a factor ``t`` (length filter), and the words behind the
-prefix must be able to make up what the shared ones leave of the overlap (positional filter). Two words of parities for
-each line bound from below how many words are in one of the two only. Pairs that pass are
-verified on the lines' words, and the later line goes.
+filter), their sizes differ by at most a factor ``t`` (length filter), and the words from the first
+shared one on must be able to make up the overlap (positional filter). Words of parities for
+each line, more for long ones, bound from below how many words are in one of the two only. Pairs that
+pass are verified on the lines' words, and the later line goes.
 
 Any fixed order of words is exact; rarity only keeps prefixes selective. It comes from counts of
 words over all texts, folded into ``BUCKETS`` counters (4 MB, whatever the corpus). Lines of equal
 sets are one line with its earliest place before any pair is made, so frequent lines cost one
-row each, and sets are numbered by that place. A line needs only one earlier partner, so those that a
-first round against the earliest line of two of their rarest words has settled look for no
-partner again: they only serve as earlier lines of others. Then each line is held against the
-candidate it shares most prefix words with, so only lines without a partner there are verified against
-all their candidates, and a group of near copies is not listed pair by pair. Nothing is capped.
+row each, and sets are numbered by that place. A line needs only one earlier partner, so pairs are
+never listed:
+
+1. A first round holds each line against the earliest line of two of their rarest words. Those
+   that it settles look for no partner again: they only serve as earlier lines of others.
+2. Prefix words at which a line has a fitting partner are found by a semi join, which yields each word
+   of a line once, however many partners there are.
+3. At those words each unsettled line is held against the leaders of the word (grouped minima), and
+   verified against the one it meets most often.
+4. Lines that are left are held against all others at those words, on all their words, by semi joins
+   again. Nothing is capped.
 """
 
 from __future__ import annotations
@@ -23,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import vectors as V
@@ -31,8 +37,8 @@ from .common import row_key, saved
 
 PERCENT = 75
 BUCKETS, CHUNK = 1 << 20, 1 << 16
-#: Prefix words that a pair must share to be listed; prefixes are longer by as many less one.
-SHARED = 2
+#: Lines of so many words or more have 256 parities besides the 128 of all lines.
+LONG = 140
 #: Documents whose lines are found by a bitmap of eight bits each (4 MB); beyond, by a shuffle join.
 FEW = 1 << 22
 #: Rarest words, by twos of which lines are first held against the earliest line that has both.
@@ -78,10 +84,24 @@ def rarity(docs: DataFrame) -> np.ndarray:
 
 
 def _prefix(size: np.ndarray) -> np.ndarray:
-    return np.minimum(size, size + (-PERCENT * size) // 100 + SHARED)  # size - ceil(t * size) + SHARED
+    return size + (-PERCENT * size) // 100 + 1  # size - ceil(t * size) + 1
 
 
-_LINES = "doc_id bigint, row bigint, line int, s1 bigint, s2 bigint, size int, sketch bigint, sketch2 bigint, prefix array<int>"
+def _parities(h: np.ndarray, no: np.ndarray, n: int, longs: int) -> np.ndarray:
+    """``longs`` numbers of parities for each of ``n`` lines, of the words ``h`` in lines ``no``."""
+    place = ((h >> np.uint64(20)) % np.uint64(64 * longs)).astype(np.int64)
+    odd = (np.bincount(no * 64 * longs + place, minlength=n * 64 * longs) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64).reshape(n, longs)
+
+
+def _arrays(x: np.ndarray, has: np.ndarray | None = None) -> pa.Array:
+    """The rows of ``x`` as lists; with ``has``, those of the places where it holds, and null elsewhere."""
+    has = np.ones(len(x), bool) if has is None else has
+    off = np.concatenate([[0], np.cumsum(has)]).astype(np.int32) * np.int32(x.shape[1])
+    return pa.ListArray.from_arrays(pa.array(off), pa.array(x.ravel()), mask=pa.array(~has))
+
+
+_LINES = "doc_id bigint, row bigint, line int, s1 bigint, s2 bigint, size int, sketch bigint, sketch2 bigint, wide array<bigint>, prefix array<int>"
 
 
 def _lines(counts):
@@ -109,6 +129,9 @@ def _lines(counts):
                 s2 = np.add.reduceat(V.mix(h2 ^ V.BASE2), start)
                 bit, low = np.uint64(1) << ((h2 >> np.uint64(57)) & np.uint64(63)), h2 >> np.uint64(63) == 0
                 sketch, sketch2 = (np.bitwise_xor.reduceat(np.where(half, bit, np.uint64(0)), start) for half in (low, ~low))
+                long = size >= LONG
+                of = np.repeat(np.where(long, np.cumsum(long) - 1, -1), size)
+                wide = _parities(h2[of >= 0], of[of >= 0], int(long.sum()), 4)
                 n = _prefix(size)
                 at = np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
                 first = np.flatnonzero(new)
@@ -122,9 +145,10 @@ def _lines(counts):
                         pa.array(size.astype(np.int32)),
                         pa.array(sketch.view(np.int64)),
                         pa.array(sketch2.view(np.int64)),
+                        _arrays(wide, long),
                         pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array((h2[at] >> np.uint64(32)).astype(np.uint32).view(np.int32))),
                     ],
-                    names=["doc_id", "row", "line", "s1", "s2", "size", "sketch", "sketch2", "prefix"],
+                    names=["doc_id", "row", "line", "s1", "s2", "size", "sketch", "sketch2", "wide", "prefix"],
                 )
 
     return work
@@ -160,32 +184,41 @@ def _sizes_fit(x: list[str], y: list[str], sx: Column, sy: Column) -> Column:
     return fit & (odd * F.lit(100 + PERCENT) <= F.lit(100 - PERCENT) * (sx + sy))
 
 
-def _enough_shared() -> Column:
-    """Positional filter over all shared prefix words (n): whichever prefix ends first in the
-    common order shares nothing with the other line but those n words, so the overlap, which
-    must reach t / (1 + t) of the sizes, is at most n and what lies behind that prefix."""
-    need = F.expr(f"({PERCENT} * (sx + sy) + {99 + PERCENT}) div {100 + PERCENT}")
-    behind = lambda c: F.expr(f"greatest(({PERCENT} * {c} + 99) div 100 - {SHARED}, 0)")
-    return F.col("n") >= F.least(need - behind("sx"), need - behind("sy"))
+def _wide_fit(x: str, y: str, longs: int, sx: Column, sy: Column) -> Column:
+    """The same by ``longs`` more numbers of parities, where both lines have them."""
+    odd = sum(F.coalesce(F.bit_count(F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i)))), F.lit(0)) for i in range(longs))
+    return odd * F.lit(100 + PERCENT) <= F.lit(100 - PERCENT) * (sx + sy)
+
+
+def _meet(x: str, y: str) -> Column:
+    """Rows (token, id, sp, sketch, sketch2, wide) of two lines that can be partners from this
+    shared word on. ``sp`` holds size (from bit 32), done (bit 31) and place of the word."""
+    sx, sy = (F.expr(f"shiftright({t}.sp, 32)") for t in (x, y))
+    px, py = (F.expr(f"{t}.sp & 2147483647") for t in (x, y))
+    return (
+        (F.col(f"{x}.token") == F.col(f"{y}.token"))
+        # at the first shared word the overlap, t / (1 + t) of the sizes, is still to come
+        & (F.least(sx - px, sy - py) * F.lit(100 + PERCENT) >= F.lit(PERCENT) * (sx + sy))
+        & _sizes_fit([f"{x}.sketch", f"{x}.sketch2"], [f"{y}.sketch", f"{y}.sketch2"], sx, sy)
+        & _wide_fit(f"{x}.wide", f"{y}.wide", 4, sx, sy)
+    )
+
+
+def _open(t: str) -> Column:
+    return F.expr(f"(shiftright({t}.sp, 31) & 1) = 0")
 
 
 def _filtered(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that pass the filters on sizes, parities and shared prefix words."""
-    of = sets.select("id", "size", "sketch", "sketch2", "prefix")
-    p = pairs.join(of.toDF("a", "sx", "kx", "lx", "wx"), "a").join(of.toDF("b", "sy", "ky", "ly", "wy"), "b")
-    p = p.filter(_sizes_fit(["kx", "lx"], ["ky", "ly"], F.col("sx"), F.col("sy")))
-    # shared prefix words; those of one line with equal numbers count apart
-    n = F.size(F.array_intersect("wx", "wy")) + F.size("wx") - F.size(F.array_distinct("wx"))
-    return p.withColumn("n", n).filter(_enough_shared()).select("a", "b", "n")
+    """The pairs (a, b) that pass the filters on sizes and parities."""
+    of = sets.select("id", "size", "sketch", "sketch2")
+    p = pairs.join(of.toDF("a", "sx", "kx", "lx"), "a").join(of.toDF("b", "sy", "ky", "ly"), "b")
+    return p.filter(_sizes_fit(["kx", "lx"], ["ky", "ly"], F.col("sx"), F.col("sy"))).select("a", "b")
 
 
-def _settled(pairs: DataFrame, d: DataFrame, sets: DataFrame) -> DataFrame:
-    """Ids a of the pairs (a, b) that are verified on the lines' words, which are read again at the
-    sets' first places."""
+def _read(ids: DataFrame, d: DataFrame, sets: DataFrame) -> DataFrame:
+    """(id, words) of the sets ``ids``: the lines are read again at the sets' first places."""
     spark = d.sparkSession
-    pairs = saved(pairs)
-    need = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    need = saved(sets.select("id", "at").join(need, "id", "left_semi").select("id", F.col("at.row").alias("row"), F.col("at.line").alias("line")))
+    need = saved(sets.select("id", "at").join(ids, "id", "left_semi").select("id", F.col("at.row").alias("row"), F.col("at.line").alias("line")))
     rows = need.select("row").distinct()
     n = rows.count()
     if n <= FEW:
@@ -197,11 +230,44 @@ def _settled(pairs: DataFrame, d: DataFrame, sets: DataFrame) -> DataFrame:
     else:
         picked = d.select("row", "text").join(rows, "row", "left_semi")
     at_lines = picked.select("row", F.posexplode(F.split("text", "\n")).alias("line", "words"))
-    words = saved(at_lines.join(need, ["row", "line"]).select("id", "words").dropDuplicates(["id"]))
+    return saved(at_lines.join(need, ["row", "line"]).select("id", "words").dropDuplicates(["id"]))
+
+
+def _settled(pairs: DataFrame, d: DataFrame, sets: DataFrame) -> DataFrame:
+    """Ids a of the pairs (a, b) that are verified on the lines' words."""
+    pairs = saved(pairs)
+    words = _read(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), d, sets)
     both = pairs.join(words.toDF("a", "wa"), "a").join(words.toDF("b", "wb"), "b").select("a", "b", "wa", "wb")
     return saved(both.mapInArrow(_verify, "a bigint, b bigint").select(F.col("a").alias("id")).distinct())
 
 
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, words) -> id, 512 parities of the distinct words, and those."""
+    for b in batches:
+        sets = [sorted(set(t.encode("utf-8", "surrogatepass").split())) for t in b.column(1).to_pylist()]
+        off = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int64)
+        data = pa.array([w for x in sets for w in x], pa.binary())
+        raw, ends = V.raw(data)
+        h = V.spans_hash(V.prefix(raw), ends[:-1], ends[1:])
+        all_ = _parities(h, np.repeat(np.arange(len(sets)), np.diff(off)), len(sets), 8)
+        yield pa.RecordBatch.from_arrays([b.column(0), _arrays(all_), pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), data.cast(pa.string()))], names=["id", "all", "words"])
+
+
+def _partnered(left: DataFrame, fit: DataFrame, d: DataFrame, sets: DataFrame) -> DataFrame:
+    """Ids of the rows ``left`` that have an earlier partner among the rows ``fit``, on all words: held
+    against each other where they meet, no pair is listed."""
+    x, y = left.alias("x"), fit.alias("y")
+    both = saved(y.join(x, _meet("y", "x") & (F.col("x.id") > F.col("y.id")), "left_semi").withColumn("own", F.lit(False)).unionByName(left.withColumn("own", F.lit(True))))
+    words = _read(both.select("id").distinct(), d, sets).mapInArrow(_whole, "id bigint, all array<bigint>, words array<string>")
+    both = saved(both.join(words, "id"))
+    x, y = both.filter("own").alias("x"), both.filter("not own").alias("y")
+    sx, sy = F.size("x.words"), F.size("y.words")
+    n = F.size(F.array_intersect("x.words", "y.words"))
+    same = F.lit(100) * n >= F.lit(PERCENT) * (sx + sy - n)
+    near = _meet("x", "y") & (F.col("x.id") > F.col("y.id")) & _wide_fit("x.all", "y.all", 8, sx, sy) & same
+    return saved(x.join(y, near, "left_semi").select("id").distinct())
+
+
 def later_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, row, line, equal) of the lines to remove: an earlier line, by ``doc_id`` (null last),
     row and place, has a similarity of PERCENT or more; ``equal`` if one has the same set.
@@ -213,7 +279,7 @@ def later_lines(docs: DataFrame) -> DataFrame:
     d = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), row_key().alias("row"), F.coalesce("text", F.lit("")).alias("text"))
     lines = saved(d.mapInArrow(_lines(counts), _LINES))
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "line")
-    sets = lines.groupBy("s1", "s2").agg(F.min(place).alias("at"), F.count("*").alias("n"), F.first("size").alias("size"), F.first("sketch").alias("sketch"), F.first("sketch2").alias("sketch2"), F.first("prefix").alias("prefix"))
+    sets = lines.groupBy("s1", "s2").agg(F.min(place).alias("at"), F.count("*").alias("n"), F.first("size").alias("size"), F.first("sketch").alias("sketch"), F.first("sketch2").alias("sketch2"), F.first("wide").alias("wide"), F.first("prefix").alias("prefix"))
     # numbered in order of their first places: of two lines the one of the greater id is the later
     sets = saved(sets.orderBy("at").withColumn("id", F.monotonically_increasing_id()))
 
@@ -222,34 +288,30 @@ def later_lines(docs: DataFrame) -> DataFrame:
     two = [f"if(size(prefix) > {k}, xxhash64({rare[i]}, {rare[k]}), null)" for k in range(LEADING) for i in range(k)]
     keys = F.expr(f"if(size(prefix) = 1, array(xxhash64({rare[0]})), array({', '.join(two)}))")
     head = sets.select("id", F.explode(keys).alias("key")).filter("key is not null")
-    lead = head.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("b")).filter("n > 1").select("key", "b")
-    pairs = head.join(lead, "key").filter("id > b").select(F.col("id").alias("a"), "b").distinct()
-    gone = _settled(_filtered(pairs, sets).select("a", "b"), d, sets)
+    # (a running window: one shuffle, and no group is held)
+    first = F.first("id").over(Window.partitionBy("key").orderBy("id"))
+    pairs = head.withColumn("b", first).filter("id > b").select(F.col("id").alias("a"), "b").distinct()
+    gone = _settled(_filtered(pairs, sets), d, sets)
 
-    # the others against all that are earlier
+    # prefix words of the lines at which one of the two, the later one, is not settled and may have a partner
     index = sets.join(gone.withColumn("done", F.lit(True)), "id", "left")
-    index = index.select("id", "size", "sketch", "sketch2", F.coalesce("done", F.lit(False)).alias("done"), F.posexplode("prefix").alias("pos", "token"))
+    index = index.select("id", "size", "sketch", "sketch2", "wide", F.coalesce("done", F.lit(False)).alias("done"), F.posexplode("prefix").alias("pos", "token"))
     # one number for size, done and place: a smaller shuffle row
-    index = index.select("token", "id", "sketch", "sketch2", F.expr("(size * 2L + cast(done as int)) * 2147483648L + pos").alias("sp"))
+    index = index.select("token", "id", "sketch", "sketch2", "wide", F.expr("(size * 2L + cast(done as int)) * 2147483648L + pos").alias("sp"))
     x, y = index.alias("x"), index.alias("y")
-    sx, sy = (F.expr(f"shiftright({t}.sp, 32)") for t in "xy")
-    px, py = (F.expr(f"{t}.sp & 2147483647") for t in "xy")
-    near = (
-        (F.col("x.token") == F.col("y.token"))
-        # the later one is not settled yet (one condition on both sides: one shuffle serves them)
-        & F.when(F.col("x.id") > F.col("y.id"), F.expr("(shiftright(x.sp, 31) & 1) = 0")).otherwise(F.lit(False))
-        & _sizes_fit(["x.sketch", "x.sketch2"], ["y.sketch", "y.sketch2"], sx, sy)
-        # of an overlap of t / (1 + t) of the sizes, the k-th shared word has all but k - 1 behind it
-        & ((F.least(sx - px, sy - py) + F.lit(SHARED - 1)) * F.lit(100 + PERCENT) >= F.lit(PERCENT) * (sx + sy))
-    )
-    few = F.expr(f"least({SHARED}, min(({PERCENT} * (shiftright(x.sp, 32) + shiftright(y.sp, 32)) + {99 + PERCENT}) div {100 + PERCENT}))")
-    pairs = x.join(y, near).groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b")).agg((F.count("*") >= few).alias("ok")).filter("ok").select("a", "b")
-    pairs = saved(_filtered(pairs, sets))
-    # each line first against the one it shares most with; what that settles needs no other pair
-    best = pairs.groupBy("a").agg(F.max(F.struct("n", "b")).alias("m")).select("a", "m.b")
-    most = _settled(best, d, sets)
-    rest = pairs.join(most.withColumnRenamed("id", "a"), "a", "left_anti").join(best, ["a", "b"], "left_anti").select("a", "b")
-    gone = gone.unionByName(most).unionByName(_settled(rest, d, sets))
+    # (one condition on both sides: one shuffle serves them)
+    later = F.when(F.col("x.id") > F.col("y.id"), _open("x")).when(F.col("x.id") < F.col("y.id"), _open("y")).otherwise(F.lit(False))
+    fit = saved(x.join(y, _meet("x", "y") & later, "left_semi"))
+
+    # each line first against the leader it meets most often
+    by = lambda k: F.min(F.struct(F.xxhash64("id", F.lit(k)).alias("h"), "id"))["id"]
+    lead = fit.groupBy("token").agg(F.array_distinct(F.array(F.min("id"), by(1), by(2))).alias("lead"))
+    stars = fit.alias("x").filter(_open("x")).join(lead, "token").select("id", F.explode("lead").alias("b")).filter("id > b")
+    stars = stars.groupBy(F.col("id").alias("a"), "b").agg(F.count("*").alias("n"))
+    stars = stars.join(_filtered(stars.select("a", "b"), sets), ["a", "b"], "left_semi")
+    most = _settled(stars.groupBy("a").agg(F.max(F.struct("n", "b")).alias("m")).select("a", "m.b"), d, sets)
+    left = saved(fit.alias("x").filter(_open("x")).join(most, "id", "left_anti").select(fit.columns))
+    gone = gone.unionByName(most).unionByName(_partnered(left, fit, d, sets))
 
     # every line but the first of its set, and the firsts that have an earlier partner
     mark = sets.join(gone.withColumn("g", F.lit(True)), "id", "left").filter("n > 1 or g").select("s1", "s2", "at", "g")
