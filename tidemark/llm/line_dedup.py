@@ -244,6 +244,8 @@ def _settled(pairs: DataFrame, d: DataFrame, sets: DataFrame) -> DataFrame:
 def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id, words) -> id, 512 parities of the distinct words, and those."""
     for b in batches:
+        if not b.num_rows:
+            continue
         sets = [sorted(set(t.encode("utf-8", "surrogatepass").split())) for t in b.column(1).to_pylist()]
         off = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int64)
         data = pa.array([w for x in sets for w in x], pa.binary())
