@@ -13,12 +13,12 @@ sets are one line with its earliest place before any pair is made, so frequent l
 row each, and sets are numbered by that place. A line needs only one earlier partner, so pairs are
 never listed:
 
-1. A first round holds each line against the earliest line of two of their rarest words. Those
+1. Prefix words at which a line has a fitting partner are found by a semi join, which yields each word
+   of a line once, however many partners there are. Lines without one are done; the rest is small.
+2. A round on those holds each line against the earliest line of two of its rarest such words. Lines
    that it settles look for no partner again: they only serve as earlier lines of others.
-2. Prefix words at which a line has a fitting partner are found by a semi join, which yields each word
-   of a line once, however many partners there are.
-3. At those words each unsettled line is held against the leaders of the word (grouped minima), and
-   verified against the one it meets most often.
+3. At the words that are left, by a semi join again, each unsettled line is held against the leaders of
+   the word (grouped minima), and verified against the one it meets most often.
 4. Lines that are left are held against all others at those words, on all their words, by semi joins
    again. Nothing is capped.
 """
@@ -101,28 +101,37 @@ def _arrays(x: np.ndarray, has: np.ndarray | None = None) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(off), pa.array(x.ravel()), mask=pa.array(~has))
 
 
+def _order(h: np.ndarray, c: np.ndarray, no: np.ndarray) -> np.ndarray:
+    """Order by line ``no`` (ascending), count ``c`` below 2048 and fingerprint ``h``. One key holds 17 bits of
+    the line and 36 of the fingerprint; where that is not enough, all of both are compared."""
+    if int(no[-1]) < 1 << 17:
+        key = (no.astype(np.uint64) << np.uint64(47)) | (c.astype(np.uint64) << np.uint64(36)) | (h >> np.uint64(28))
+        order = np.argsort(key, kind="stable")  # (the lines are in order, so runs are short)
+        key, h2 = key[order], h[order]
+        if not ((key[1:] == key[:-1]) & (h2[1:] != h2[:-1])).any():
+            return order
+    return np.lexsort((h, c, no))
+
+
 _LINES = "doc_id bigint, row bigint, line int, s1 bigint, s2 bigint, size int, sketch bigint, sketch2 bigint, wide array<bigint>, prefix array<int>"
 
 
 def _lines(counts):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rare = counts.value
+        rare = (64 * np.log2(counts.value + 1.0)).astype(np.uint16)  # below 2048, in steps of 1 %
         for batch in batches:
             data, off = V.raw(batch.column(2))
             for i, j in V.blocks(off):
                 h, doc, line = _words(data, off, i, j)
                 if not len(h):
                     continue
-                # number the lines with a word, drop repeated words of a line, order by rarity
+                # number the lines with a word, order by rarity, drop repeated words of a line
                 new = np.concatenate([[True], (doc[1:] != doc[:-1]) | (line[1:] != line[:-1])])
                 no = np.cumsum(new) - 1
-                order = np.lexsort((h, no))
+                order = _order(h, rare[(h & np.uint64(BUCKETS - 1)).astype(np.int64)], no)
                 h2, no2 = h[order], no[order]
                 keep = np.concatenate([[True], (h2[1:] != h2[:-1]) | (no2[1:] != no2[:-1])])
                 h2, no2 = h2[keep], no2[keep]
-                c = rare[(h2 & np.uint64(BUCKETS - 1)).astype(np.int64)]
-                order = np.lexsort((c, no2))  # stable: ties stay in order of h
-                h2 = h2[order]
                 start = np.flatnonzero(np.concatenate([[True], no2[1:] != no2[:-1]]))
                 size = np.diff(np.concatenate([start, [len(h2)]]))
                 s1 = np.add.reduceat(V.mix(h2 + V.BASE), start)
@@ -270,6 +279,16 @@ def _partnered(left: DataFrame, fit: DataFrame, d: DataFrame, sets: DataFrame) -
     return saved(x.join(y, near, "left_semi").select("id").distinct())
 
 
+def _number(d: DataFrame, lines: DataFrame) -> Column | None:
+    """A bigint in order of the lines' places, from ``doc_id`` and ``line``; None if a ``doc_id`` has several
+    rows or the numbers don't fit (places are sorted then)."""
+    low, high, rows = d.groupBy("doc_id").count().agg(F.min("doc_id"), F.max("doc_id"), F.max("count")).first()
+    low, high, line = low or 0, high or 0, lines.agg(F.max("line")).first()[0] or 0
+    if (rows or 0) > 1 or (high - low + 2) * (line + 1) >= 1 << 63:
+        return None
+    return F.coalesce(F.col("doc_id") - F.lit(low), F.lit(high - low + 1)) * F.lit(line + 1).cast("bigint") + F.col("line")
+
+
 def later_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, row, line, equal) of the lines to remove: an earlier line, by ``doc_id`` (null last),
     row and place, has a similarity of PERCENT or more; ``equal`` if one has the same set.
@@ -281,26 +300,41 @@ def later_lines(docs: DataFrame) -> DataFrame:
     d = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), row_key().alias("row"), F.coalesce("text", F.lit("")).alias("text"))
     lines = saved(d.mapInArrow(_lines(counts), _LINES))
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "line")
-    sets = lines.groupBy("s1", "s2").agg(F.min(place).alias("at"), F.count("*").alias("n"), F.first("size").alias("size"), F.first("sketch").alias("sketch"), F.first("sketch2").alias("sketch2"), F.first("wide").alias("wide"), F.first("prefix").alias("prefix"))
     # numbered in order of their first places: of two lines the one of the greater id is the later
-    sets = saved(sets.orderBy("at").withColumn("id", F.monotonically_increasing_id()))
+    if (number := _number(d, lines)) is not None:
+        at = lines.withColumn("id", number)
+        first = at.groupBy("s1", "s2").agg(F.min("id").alias("id"), F.count("*").alias("n")).select("id", "n")
+        sets = at.join(first, "id").select("s1", "s2", place.alias("at"), "n", "size", "sketch", "sketch2", "wide", "prefix", "id")
+    else:
+        sets = lines.groupBy("s1", "s2").agg(F.min(place).alias("at"), F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("size", "sketch", "sketch2", "wide", "prefix")])
+        sets = sets.orderBy("at").withColumn("id", F.monotonically_increasing_id())
+    sets = saved(sets)
+
+    # prefix words of the lines at which another line may be a partner
+    index = sets.select("id", "size", "sketch", "sketch2", "wide", F.posexplode("prefix").alias("pos", "token"))
+    # one number for size, done (not yet) and place: a smaller shuffle row
+    index = index.select("token", "id", "sketch", "sketch2", "wide", F.expr("size * 4294967296L + pos").alias("sp"))
+    x, y = index.alias("x"), index.alias("y")
+    fit = saved(x.join(y, _meet("x", "y") & (F.col("x.id") != F.col("y.id")), "left_semi"))
+    # those lines, with their rarest such words; all others have no partner
+    rarest = F.slice(F.sort_array(F.collect_list(F.struct(F.expr("sp & 2147483647").alias("pos"), "token"))), 1, LEADING)["token"]
+    of = fit.groupBy("id").agg(F.first(F.expr("shiftright(sp, 32)")).alias("size"), F.first("sketch").alias("sketch"), F.first("sketch2").alias("sketch2"), rarest.alias("prefix"))
+    some = saved(sets.select("id", "at").join(of, "id"))
 
-    # most near copies fall to the earliest line that shares two of their rarest words
+    # most near copies fall to the earliest line that shares two of those words
     rare = [f"get(prefix, {k})" for k in range(LEADING)]
     two = [f"if(size(prefix) > {k}, xxhash64({rare[i]}, {rare[k]}), null)" for k in range(LEADING) for i in range(k)]
     keys = F.expr(f"if(size(prefix) = 1, array(xxhash64({rare[0]})), array({', '.join(two)}))")
-    head = sets.select("id", F.explode(keys).alias("key")).filter("key is not null")
+    head = some.select("id", F.explode(keys).alias("key")).filter("key is not null")
     # (a running window: one shuffle, and no group is held)
     first = F.first("id").over(Window.partitionBy("key").orderBy("id"))
     pairs = head.withColumn("b", first).filter("id > b").select(F.col("id").alias("a"), "b").distinct()
-    gone = _settled(_filtered(pairs, sets), d, sets)
+    gone = _settled(_filtered(pairs, some), d, some)
 
-    # prefix words of the lines at which one of the two, the later one, is not settled and may have a partner
-    index = sets.join(gone.withColumn("done", F.lit(True)), "id", "left")
-    index = index.select("id", "size", "sketch", "sketch2", "wide", F.coalesce("done", F.lit(False)).alias("done"), F.posexplode("prefix").alias("pos", "token"))
-    # one number for size, done and place: a smaller shuffle row
-    index = index.select("token", "id", "sketch", "sketch2", "wide", F.expr("(size * 2L + cast(done as int)) * 2147483648L + pos").alias("sp"))
-    x, y = index.alias("x"), index.alias("y")
+    # words at which one of the two lines, the later one, is not settled
+    done = fit.join(gone.withColumn("g", F.lit(True)), "id", "left")
+    done = done.withColumn("sp", F.expr("if(g, sp + 2147483648L, sp)")).select(fit.columns)
+    x, y = done.alias("x"), done.alias("y")
     # (one condition on both sides: one shuffle serves them)
     later = F.when(F.col("x.id") > F.col("y.id"), _open("x")).when(F.col("x.id") < F.col("y.id"), _open("y")).otherwise(F.lit(False))
     fit = saved(x.join(y, _meet("x", "y") & later, "left_semi"))
@@ -310,10 +344,10 @@ def later_lines(docs: DataFrame) -> DataFrame:
     lead = fit.groupBy("token").agg(F.array_distinct(F.array(F.min("id"), by(1), by(2))).alias("lead"))
     stars = fit.alias("x").filter(_open("x")).join(lead, "token").select("id", F.explode("lead").alias("b")).filter("id > b")
     stars = stars.groupBy(F.col("id").alias("a"), "b").agg(F.count("*").alias("n"))
-    stars = stars.join(_filtered(stars.select("a", "b"), sets), ["a", "b"], "left_semi")
-    most = _settled(stars.groupBy("a").agg(F.max(F.struct("n", "b")).alias("m")).select("a", "m.b"), d, sets)
+    stars = stars.join(_filtered(stars.select("a", "b"), some), ["a", "b"], "left_semi")
+    most = _settled(stars.groupBy("a").agg(F.max(F.struct("n", "b")).alias("m")).select("a", "m.b"), d, some)
     left = saved(fit.alias("x").filter(_open("x")).join(most, "id", "left_anti").select(fit.columns))
-    gone = gone.unionByName(most).unionByName(_partnered(left, fit, d, sets))
+    gone = gone.unionByName(most).unionByName(_partnered(left, fit, d, some))
 
     # every line but the first of its set, and the firsts that have an earlier partner
     mark = sets.join(gone.withColumn("g", F.lit(True)), "id", "left").filter("n > 1 or g").select("s1", "s2", "at", "g")
