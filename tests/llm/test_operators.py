@@ -388,3 +388,54 @@ def test_near_copies_are_not_listed_pair_by_pair(spark, monkeypatch):
     fit = sum(len(x & y) * 175 >= 75 * (len(x) + len(y)) for i, x in enumerate(sets) for y in sets[:i])
     prefix = sum(len(x) // 4 + 1 for x in sets)
     assert fit > prefix >= max(sizes) / 2  # at most two rows for each prefix word
+
+
+@pytest.mark.parametrize("ids", [[7, -3, None, 12, 1 << 40], [1 << 62, -(1 << 62), 5, 0, None], [4, 4, None, None, 9]])
+def test_lines_are_numbered_without_a_sort_where_places_tell(spark, monkeypatch, ids):
+    """Sets are sorted by place only where doc_id and line don't fit in a number, the head start runs on
+    lines that may have a partner, and the rows are those of comparing all lines in order."""
+    rng = random.Random(3)
+    base = [[f"b{k}x{i}" for i in range(12)] for k in range(6)]
+    texts = []
+    for k in range(5):
+        near = [" ".join([*b[:11], f"r{k}"] if rng.random() < 0.5 else b) for b in rng.sample(base, 4)]
+        texts.append("\n".join([*near, "", " ".join(f"own{k}x{i}" for i in range(9))]))
+    docs = spark.createDataFrame(list(zip(ids, texts)), "doc_id bigint, text string")
+    plans, save = [], line_dedup.saved
+
+    def keep(df):
+        plans.append((df.columns, df._jdf.queryExecution().executedPlan().toString()))
+        return save(df)
+
+    monkeypatch.setattr(line_dedup, "saved", keep)
+    unique = docs.withColumn("row", common.row_key())
+    order = sorted(unique.collect(), key=lambda r: (r.doc_id is None, r.doc_id or 0, r.row))
+    seen, want = [], set()
+    for r in order:
+        for i, x in enumerate(r.text.split("\n")):
+            w = set(x.split())
+            if w and any(100 * len(w & o) >= 75 * len(w | o) for o in seen):
+                want.add((r.doc_id, r.row, i))
+            seen.append(w)
+    got = {(r.doc_id, r.row, r.line) for r in line_dedup.later_lines(docs).collect()}
+    assert got == want and want
+    narrow = len(set(ids)) == len(ids) and ids[0] < 1 << 61
+    assert any("rangepartitioning" in p for _, p in plans) != narrow
+    fit = next(i for i, (c, _) in enumerate(plans) if "sp" in c)
+    assert all("Window" not in p for _, p in plans[: fit + 1])
+    assert not any(c == ["a", "b"] for c, _ in plans[:fit])
+
+
+def test_words_of_a_block_are_ordered_by_one_key():
+    """By line, count and fingerprint, also where one number cannot hold them."""
+    rng = np.random.default_rng(4)
+    h = rng.integers(0, 1 << 63, 5000, dtype=np.uint64)
+    c = (h % np.uint64(2048)).astype(np.uint16)
+    for high, same in ((300, False), (1 << 18, False), (300, True)):
+        no = np.sort(rng.integers(0, high, 5000))
+        no[-1] = high - 1
+        hh, cc = h.copy(), c.copy()
+        if same:  # equal in the key's part of the fingerprint
+            no[100:104], hh[100:104], cc[100:104] = no[100], (hh[100] >> np.uint64(28) << np.uint64(28)) + np.array([3, 1, 3, 1], np.uint64), cc[100]
+        o, w = line_dedup._order(hh, cc, no), np.lexsort((hh, cc, no))
+        assert all((x[o] == x[w]).all() for x in (hh, cc, no))
